@@ -1,0 +1,120 @@
+"""Run each registered query in Spark and its oracle SQL in DuckDB on the same
+parquet tables; compare row counts, column names and order-insensitive values.
+
+Usage: ``python tests/oracle_check.py [sf_dir] [name ...]``
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+import os
+import sys
+import time
+
+import duckdb
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+if ROOT not in sys.path:
+    sys.path.insert(0, ROOT)
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        path = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "NaN"
+        return round(v, 9)
+    if isinstance(v, dt.datetime):
+        return v.isoformat()
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    return v
+
+
+def _key(row):
+    return tuple((x is None, str(type(x).__name__), str(x)) for x in row)
+
+
+def canon(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    cols = [columns[i] for i in order]
+    out = sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=_key)
+    return cols, out
+
+
+def compare(spark, name, query, sql, sf_dir, con=None):
+    con = con or duck(sf_dir)
+    t0 = time.time()
+    sdf = query(spark, sf_dir)
+    srows = [tuple(r) for r in sdf.collect()]
+    t1 = time.time()
+    res = con.execute(sql)
+    dcols = [d[0] for d in res.description]
+    drows = res.fetchall()
+    scols, s = canon(sdf.columns, srows)
+    dcols2, d = canon(dcols, drows)
+    problems = []
+    if scols != dcols2:
+        problems.append(f"columns spark={scols} duck={dcols2}")
+    if len(s) != len(d):
+        problems.append(f"rows spark={len(s)} duck={len(d)}")
+    elif s != d:
+        diff = [(a, b) for a, b in zip(s, d) if a != b][:3]
+        problems.append(f"values differ, e.g. {diff}")
+    return {
+        "name": name,
+        "ok": not problems,
+        "rows": len(s),
+        "spark_sec": round(t1 - t0, 2),
+        "problems": problems,
+    }
+
+
+def main(argv):
+    from pyspark.sql import SparkSession
+
+    import __spark_entry__ as E
+
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    names = argv[2:] or list(E.queries())
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    qs, sqls = E.queries(), E.oracle_sql()
+    con = duck(sf_dir)
+    bad = 0
+    for n in names:
+        if n not in sqls:
+            print(f"{n:28s} no oracle")
+            continue
+        try:
+            r = compare(spark, n, qs[n], sqls[n], sf_dir, con)
+        except Exception as e:  # report and continue with the next query
+            r = {"name": n, "ok": False, "rows": -1, "spark_sec": 0, "problems": [repr(e)[:600]]}
+        bad += not r["ok"]
+        status = "OK " if r["ok"] else "BAD"
+        print(f"{status} {n:28s} rows={r['rows']:6d} {r['spark_sec']:6.2f}s {r['problems']}")
+    print(f"{len(names) - bad}/{len(names)} match")
+    return 1 if bad else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv))
