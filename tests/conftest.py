@@ -1,0 +1,36 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+if ROOT not in sys.path:
+    sys.path.insert(0, ROOT)
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+
+    # Tests name their own shared folder; a cluster names it in its config.
+    ckpt = tempfile.mkdtemp(prefix="loanframe-test-ckpt-")
+    session = (
+        SparkSession.builder.master("local[*]")
+        .appName("loanframe-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", ckpt)
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def tmp_out(spark):
+    from loanframe.sources import scratch_path
+
+    return lambda name: scratch_path(spark, name)
