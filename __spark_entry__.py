@@ -42,11 +42,12 @@ from loanframe.operators import (
     value_counts,
 )
 from loanframe.operators.clean import clean_dates, clean_sparse, clean_term
-from loanframe.plans import prepare_loans, profiled_loans
+from loanframe.plans import prepare_loans, profiled_loans, run_quality
 from loanframe.sources import (
     loan_view,
     read_checkpoint,
     read_raw_csv,
+    save_baseline,
     scratch_path,
     write_checkpoint,
     write_csv,
@@ -218,15 +219,21 @@ def q_output_gate(spark, d):
 
 
 def q_quality_report_rows(spark, d):
-    raw, loans = _raw(spark, d), _loans(spark, d)
-    current, baseline = _snapshots(spark, d)
-    return report_rows(
-        row_count_delta(raw, loans),
-        output_row_counts(spark, _outputs(spark, d)),
-        null_rates(loans),
-        distribution_snapshot(loans),
-        drift(current, baseline),
+    """P2 as run after P1: the labelled loans are written as the checkpoint, a
+    baseline snapshot from an earlier run (vintages before 1998) is stored, and the
+    quality job reads both, with the output tables derived from the checkpoint."""
+    ckpt = read_checkpoint(
+        spark, write_checkpoint(_loans(spark, d), scratch_path(spark, "checkpoint"))
+    )
+    baseline_path = save_baseline(
+        distribution_snapshot(ckpt.filter(F.col("vintage_year") < 1998)),
+        scratch_path(spark, "baseline"),
     )
+    outputs = {
+        "npl_ratio": npl_ratio_by_dimensions(ckpt),
+        "vintage_curve": default_rate_curve(ckpt),
+    }
+    return run_quality(spark, _raw(spark, d), ckpt, outputs, baseline_path).report
 
 
 def q_checkpoint_roundtrip(spark, d):
@@ -436,7 +443,8 @@ _SNAPSHOTS = (
     _snapshot_sql("(SELECT * FROM loans WHERE vintage_year < 1998)", "snap_base"),
 )
 
-_DRIFT_CTE = """
+def _drift_cte(current: str, baseline: str) -> str:
+    return f"""
 drift AS (
   SELECT coalesce(c.column, b.column) AS column,
     CASE WHEN c.column IS NOT NULL THEN c.value ELSE b.value END AS value,
@@ -446,7 +454,7 @@ drift AS (
       - CAST(round(coalesce(b.pct, 0.0) * 100) AS BIGINT)) / 100 AS shift_pct,
     abs(CAST(round(coalesce(c.pct, 0.0) * 100) AS BIGINT)
       - CAST(round(coalesce(b.pct, 0.0) * 100) AS BIGINT)) >= 200.0 AS flagged
-  FROM snap_cur c FULL OUTER JOIN snap_base b
+  FROM {current} c FULL OUTER JOIN {baseline} b
     ON c.column = b.column AND c.value IS NOT DISTINCT FROM b.value
 )"""
 
@@ -524,7 +532,7 @@ def _dataset_profile_sql() -> str:
 
 
 def _report_sql() -> str:
-    return _with(*_SNAPSHOTS, _DRIFT_CTE, _ROW_COUNTS_CTE, _OUTPUT_COUNTS_CTE, _null_rates_cte()) + """
+    return _with(*_SNAPSHOTS, _drift_cte("snap", "snap_base"), _ROW_COUNTS_CTE, _OUTPUT_COUNTS_CTE, _null_rates_cte()) + """
 SELECT 'row_counts' AS section, CAST(NULL AS VARCHAR) AS column, CAST(NULL AS VARCHAR) AS value,
   metric, number, CAST(NULL AS VARCHAR) AS note
 FROM (
@@ -619,7 +627,7 @@ FROM (
 ) s""",
         "null_rates": _with(_null_rates_cte()) + "SELECT * FROM null_rates",
         "distribution": _with(_SNAPSHOTS[0]) + "SELECT * FROM snap",
-        "drift": _with(*_SNAPSHOTS[1:], _DRIFT_CTE) + "SELECT * FROM drift",
+        "drift": _with(*_SNAPSHOTS[1:], _drift_cte("snap_cur", "snap_base")) + "SELECT * FROM drift",
         "output_counts": _with(_OUTPUT_COUNTS_CTE) + "SELECT * FROM output_counts",
         "output_gate": _with(_OUTPUT_COUNTS_CTE)
         + "SELECT metric, row_count, row_count > 0 AS passed FROM output_counts",

@@ -76,19 +76,19 @@ def distribution_snapshot(
     (Q4).
 
     Values are cast to string; null stays a null value of its own.  One scan and one
-    shuffle for all columns; the total is a scalar subquery over the grouped rows of
-    the first column, so the input is not scanned a second time.  No rows in, no
-    rows out.
+    shuffle for all columns; the total is a scalar subquery over the grouped rows,
+    so the input is not scanned a second time.  No rows in, no rows out.
     """
     require_columns(df, columns, "distribution_snapshot")
     narrow = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
     long = narrow.unpivot([], list(columns), "column", "value")
     grouped = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("row_count"))
-    total = (
-        grouped.filter(F.col("column") == F.lit(columns[0]))
-        .agg(F.sum("row_count"))
-        .scalar()
-    )
+    # Every column's groups add up to the row count, so the total is the sum over
+    # all groups divided by the number of columns.  The subquery then has the same
+    # plan as ``grouped`` and reuses its shuffle instead of scanning the input again.
+    total = grouped.agg(
+        F.call_function("div", F.sum("row_count"), F.lit(len(columns)))
+    ).scalar()
     return grouped.select(
         "column", "value", "row_count", half_up_pct("row_count", total).alias("pct")
     )

@@ -1,0 +1,7 @@
+"""Streaming.
+
+The source job is a manually triggered batch job: it has no stream source,
+watermark, window or state, so this package defines no operator.  The per-row
+operators (cleaning, labelling, features) are plain DataFrame transformations and
+apply unchanged to a streaming DataFrame; the aggregates are batch reports.
+"""

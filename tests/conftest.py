@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,15 +12,15 @@ if ROOT not in sys.path:
 def spark():
     from pyspark.sql import SparkSession
 
-    # Tests name their own shared folder; a cluster names it in its config.
-    ckpt = tempfile.mkdtemp(prefix="loanframe-test-ckpt-")
+    # The shared folder comes from spark.checkpoint.dir when the environment sets
+    # it; loanframe.sources.shared_dir creates a local one only when it is unset.
     session = (
         SparkSession.builder.master("local[*]")
         .appName("loanframe-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", ckpt)
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

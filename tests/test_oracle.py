@@ -1,0 +1,27 @@
+"""Every registered query equals its DuckDB oracle on the smallest test tables."""
+
+import pytest
+
+import __spark_entry__ as E
+from oracle_check import compare, duck
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF)
+
+
+@pytest.mark.parametrize("name", list(E.queries()))
+def test_query_matches_oracle(spark, con, name):
+    sqls = E.oracle_sql()
+    assert name in sqls, f"{name} has no oracle"
+    r = compare(spark, name, E.queries()[name], sqls[name], SF, con)
+    assert r["ok"], r["problems"]
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.columns == ["dimension", "dimension_value", "default_count", "total_count", "npl_ratio"]
+    assert df.count() > 0

@@ -84,4 +84,5 @@ def test_baseline_absent_then_saved_once(spark, tmp_out):
 
 
 def test_shared_dir_comes_from_session(spark):
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert configured and shared_dir(spark) == configured
