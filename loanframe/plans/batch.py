@@ -60,14 +60,25 @@ def run_batch(
     dimensions: Sequence[str] = rules.NPL_DIMENSIONS,
     output_format: str = "parquet",
     as_tables: bool = False,
+    checkpoint_partition_by: Sequence[str] | None = None,
+    stage_raw: str | None = None,
 ) -> BatchResult:
-    """Run P1 end to end; raises ``ValueError`` (before writing) on bad categories."""
+    """Run P1 end to end; raises ``ValueError`` (before writing) on bad categories.
+
+    ``stage_raw``: a path where the raw text is first written as Parquet.  Then the
+    raw input is read once; the category check reads two Parquet columns and the
+    checkpoint pass reads Parquet splits in parallel.  Worth it for a single
+    (unsplittable) gzip file or when reading the raw text is the slow part; for
+    large splittable inputs it costs one extra full write.
+    """
+    if stage_raw:
+        raw = read_checkpoint(spark, write_checkpoint(raw, stage_raw))
     cleaned = raw.transform(clean_raw, date_columns, numeric_sparse, date_sparse)
     aligned = drop_shifted_rows(cleaned)
     validate_categoricals(aligned, domain=purposes)
     labelled = aligned.transform(label_target).transform(add_features)
 
-    write_checkpoint(labelled, checkpoint_path)
+    write_checkpoint(labelled, checkpoint_path, checkpoint_partition_by)
     checkpoint = read_checkpoint(spark, checkpoint_path)
 
     write_table(

@@ -124,13 +124,19 @@ def save_baseline(snapshot: DataFrame, path: str, refresh: bool = False) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a fresh local folder created
-    and registered as the checkpoint directory.
+    Only when the session names none and runs in local mode (tests) is a fresh
+    local folder created and registered as the checkpoint directory; on a cluster
+    a machine-local folder would be wrong, so a missing setting is an error there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(
+                "spark.checkpoint.dir is not set: name a shared folder for the "
+                "checkpoint and outputs"
+            )
         configured = tempfile.mkdtemp(prefix="loanframe-ckpt-")
         spark.sparkContext.setCheckpointDir(configured)
         configured = spark.sparkContext.getCheckpointDir() or configured
