@@ -33,11 +33,22 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# Spark type name -> DuckDB type name, for the schema comparison.
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return round(v, 9)
+        return repr(v)  # exact: the engines must agree bit for bit
     if isinstance(v, dt.datetime):
         return v.isoformat()
     if isinstance(v, dt.date):
@@ -62,14 +73,20 @@ def compare(spark, name, query, sql, sf_dir, con=None):
     sdf = query(spark, sf_dir)
     srows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
-    res = con.execute(sql)
-    dcols = [d[0] for d in res.description]
-    drows = res.fetchall()
+    rel = con.sql(sql)
+    dcols = list(rel.columns)
+    dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    drows = rel.fetchall()
     scols, s = canon(sdf.columns, srows)
     dcols2, d = canon(dcols, drows)
     problems = []
     if scols != dcols2:
         problems.append(f"columns spark={scols} duck={dcols2}")
+    else:
+        types = {c: (TYPES.get(t, t), dtypes[c]) for c, t in sdf.dtypes}
+        bad_types = {c: t for c, t in types.items() if t[0] != t[1]}
+        if bad_types:
+            problems.append(f"types (spark, duck) differ: {bad_types}")
     if len(s) != len(d):
         problems.append(f"rows spark={len(s)} duck={len(d)}")
     elif s != d:
