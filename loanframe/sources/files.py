@@ -26,13 +26,16 @@ def read_raw_csv(
     path: str | Sequence[str],
     columns: Sequence[str] | None = None,
     partitions: int | None = None,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """Read raw loan CSV with a header, every column as string.
 
-    With ``columns`` the schema is fixed and no file is opened at planning time;
-    without, the names come from the header line only.  ``PERMISSIVE`` keeps rows
-    with a wrong field count (missing fields become null); those rows are the
-    misaligned ones that :func:`loanframe.operators.drop_shifted_rows` removes.
+    With ``columns`` the schema is fixed; without, the names come from the header
+    line only (no inference pass over the data).  ``PERMISSIVE`` keeps rows with a
+    wrong field count (missing fields become null, extra ones are dropped); those
+    are the misaligned rows that :func:`loanframe.operators.drop_shifted_rows`
+    removes.  With ``corrupt_column`` (needs ``columns``) the parser also puts the
+    raw text of every such row into that column, and null elsewhere.
 
     A single ``.gz`` file is not splittable and arrives as one partition; pass
     ``partitions`` to spread it before the per-row work.
@@ -43,7 +46,13 @@ def read_raw_csv(
         .option("multiLine", False)
     )
     if columns is not None:
-        reader = reader.schema(string_schema(columns)).option("enforceSchema", False)
+        schema = string_schema(columns)
+        if corrupt_column:
+            schema = schema.add(corrupt_column, StringType(), True)
+            reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+        reader = reader.schema(schema).option("enforceSchema", corrupt_column is None)
+    elif corrupt_column:
+        raise ValueError("read_raw_csv: corrupt_column needs the column list")
     else:
         reader = reader.option("inferSchema", False)
     df = reader.csv(path if isinstance(path, str) else list(path))
