@@ -83,13 +83,16 @@ def validate_categoricals(
 
 
 def output_row_counts(
-    spark: SparkSession, tables: Mapping[str, DataFrame]
+    spark: SparkSession, tables: Mapping[str, DataFrame | str]
 ) -> DataFrame:
-    """Rows ``(metric, row_count)`` with ``metric = '<label>_row_count'`` (Q2)."""
+    """Rows ``(metric, row_count)`` with ``metric = '<label>_row_count'`` (Q2).
+
+    A table is a DataFrame or the name of a catalog table.
+    """
     parts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(f"{label}_row_count").alias("metric"), "row_count"
-        )
+        (spark.table(df) if isinstance(df, str) else df)
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(f"{label}_row_count").alias("metric"), "row_count")
         for label, df in tables.items()
     ]
     if not parts:
@@ -100,14 +103,18 @@ def output_row_counts(
     return out
 
 
-def output_gate(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
+def output_gate(
+    spark: SparkSession, tables: Mapping[str, DataFrame | str]
+) -> DataFrame:
     """:func:`output_row_counts` plus ``passed = row_count > 0`` per table (Q7)."""
     return output_row_counts(spark, tables).withColumn(
         "passed", F.col("row_count") > 0
     )
 
 
-def require_non_empty(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
+def require_non_empty(
+    spark: SparkSession, tables: Mapping[str, DataFrame | str]
+) -> None:
     """Raise ``ValueError`` naming every output that has no rows."""
     empty = [
         r["metric"]
