@@ -36,6 +36,7 @@ from loanframe.operators import (
     report_rows,
     row_count_delta,
     sparse_block_fill,
+    split_shifted_rows,
     stage_funnel,
     status_profile,
     top_values,
@@ -126,6 +127,11 @@ def q_shifted_rows_kept(spark, d):
     return drop_shifted_rows(_cleaned(spark, d)).select("id", "addr_state")
 
 
+def q_shifted_rows_rejected(spark, d):
+    _, rejected = split_shifted_rows(_cleaned(spark, d))
+    return rejected.select("id", "addr_state", "purpose", "loan_status")
+
+
 def q_category_violations(spark, d):
     aligned = drop_shifted_rows(_cleaned(spark, d))
     return category_violations(aligned, domain=lv.PURPOSE_DOMAIN)
@@ -265,6 +271,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_dates": q_clean_dates,
     "clean_sparse": q_clean_sparse,
     "shifted_rows_kept": q_shifted_rows_kept,
+    "shifted_rows_rejected": q_shifted_rows_rejected,
     "category_violations": q_category_violations,
     "label_target": q_label_target,
     "label_distribution": q_label_distribution,
@@ -571,6 +578,9 @@ def _oracles() -> dict[str, str]:
         + "SELECT id, hardship_amount, settlement_amount, annual_inc_joint, "
         "hardship_start_date, settlement_date, sec_app_earliest_cr_line FROM cleaned",
         "shifted_rows_kept": w + "SELECT id, addr_state FROM aligned",
+        "shifted_rows_rejected": w
+        + "SELECT id, addr_state, purpose, loan_status FROM cleaned "
+        "WHERE NOT coalesce(regexp_full_match(addr_state, '[A-Z]{2}'), false)",
         "category_violations": w
         + """SELECT 'domain' AS "check", 'purpose' AS column,
   count(*) FILTER (WHERE NOT purpose IN ('automobile', 'building', 'furniture', 'household', 'machinery')) AS violations
