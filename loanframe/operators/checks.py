@@ -72,13 +72,13 @@ def validate_categoricals(
     }
     if found["domain"] > 0:
         raise ValueError(
-            f"Found {found['domain']} rows with unexpected {domain_column} values "
-            f"outside the known {len(set(domain))}-category set."
+            f"validate_categoricals: {found['domain']} row(s) carry unexpected "
+            f"{domain_column} values (not among the {len(set(domain))} known categories)"
         )
     if found["pattern"] > 0:
         raise ValueError(
-            f"Found {found['pattern']} rows with {pattern_column} values "
-            f"that do not match the pattern {pattern}."
+            f"validate_categoricals: {found['pattern']} row(s) carry {pattern_column} "
+            f"values not matching {pattern}"
         )
 
 

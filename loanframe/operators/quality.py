@@ -233,15 +233,20 @@ def report_rows(
         *rows("distribution", F.col("column"), F.col("value"), F.lit("pct"), F.col("pct"))
     )
     if drift_rows is None:
-        dr = row_counts.select(
-            *rows(
-                "drift",
-                null_str,
-                null_str,
-                F.lit("status"),
-                null_num,
-                F.lit("No baseline available; this run is saved as the new baseline."),
-            )
+        # A constant note: one local row, so no input is read for it.
+        dr = row_counts.sparkSession.createDataFrame(
+            [
+                (
+                    "drift",
+                    None,
+                    None,
+                    "status",
+                    None,
+                    "No baseline available; this run is saved as the new baseline.",
+                )
+            ],
+            "section string, column string, value string, metric string, "
+            "number double, note string",
         )
     else:
         flagged = drift_rows.filter(F.col("flagged")).select(
