@@ -33,7 +33,6 @@ from loanframe.operators import (
     null_rates,
     output_gate,
     output_row_counts,
-    report_rows,
     row_count_delta,
     sparse_block_fill,
     split_shifted_rows,
