@@ -9,13 +9,22 @@ expressions.
 
 from __future__ import annotations
 
+import os
 import re
+import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+# The package sits next to this file; make it importable however this file is
+# loaded.  Only the driver imports it: there are no Python UDFs, so executors
+# never need the package.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
 
-from loanframe import rules
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from loanframe import rules  # noqa: E402
 from loanframe.operators import (
     category_violations,
     clean_raw,
