@@ -28,8 +28,10 @@ def status_profile(df: DataFrame, column: str = "loan_status") -> DataFrame:
     """Loans per status (null included) with their share in %, by count desc (A4)."""
     grouped = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
     total = grouped.agg(F.sum("count")).scalar()
-    return grouped.withColumn("pct", half_up_pct("count", total)).orderBy(
-        F.desc("count"), F.asc_nulls_first(column)
+    return (
+        grouped.withColumn("__total", total)
+        .select(column, "count", half_up_pct("count", "__total").alias("pct"))
+        .orderBy(F.desc("count"), F.asc_nulls_first(column))
     )
 
 

@@ -89,8 +89,8 @@ def distribution_snapshot(
     total = grouped.agg(
         F.call_function("div", F.sum("row_count"), F.lit(len(columns)))
     ).scalar()
-    return grouped.select(
-        "column", "value", "row_count", half_up_pct("row_count", total).alias("pct")
+    return grouped.withColumn("__total", total).select(
+        "column", "value", "row_count", half_up_pct("row_count", "__total").alias("pct")
     )
 
 
