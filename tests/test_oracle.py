@@ -25,3 +25,21 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["dimension", "dimension_value", "default_count", "total_count", "npl_ratio"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize(
+    "name", ["clean_dates", "loan_features", "bad_rate_by_dimension", "distribution", "drift"]
+)
+def test_results_do_not_depend_on_session_settings(spark, con, name):
+    """ANSI mode off, AQE off and a non-UTC session time zone give the same rows."""
+    keys = ("spark.sql.ansi.enabled", "spark.sql.adaptive.enabled", "spark.sql.session.timeZone")
+    saved = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        r = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF, con)
+        assert r["ok"], r["problems"]
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
