@@ -82,7 +82,15 @@ def write_checkpoint(
     The written table cuts the lineage: downstream jobs read it back with
     :func:`read_checkpoint` instead of recomputing the cleaning chain, and a lost
     executor only costs the re-read of its Parquet splits.
+
+    Unpartitioned, the write is map-only (no shuffle).  With ``partition_by`` the
+    rows are first rebalanced on those columns (``REBALANCE`` hint): otherwise every
+    input split would write one small file per partition value, and AQE sizes the
+    rebalanced partitions, splitting a value that holds a large share of the rows
+    over several tasks.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
