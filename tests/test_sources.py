@@ -103,21 +103,26 @@ def test_shared_dir_comes_from_session(spark):
 def test_partitioned_checkpoint_splits_a_hot_value(spark, tmp_out):
     from pyspark.sql import functions as F
 
-    df = spark.range(0, 400_000, numPartitions=8).select(
+    df = spark.range(0, 2_000_000, numPartitions=16).select(
         "id",
         F.when(F.col("id") % 3 == 0, 2015).otherwise((F.col("id") % 7 + 2010).cast("int")).alias("vintage_year"),
     )
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    saved = spark.conf.get(key)
-    spark.conf.set(key, "128k")
+    confs = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512k",
+        "spark.sql.shuffle.partitions": "200",
+    }
+    saved = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
     try:
         path = write_checkpoint(df, tmp_out("rebalance"), ["vintage_year"])
     finally:
-        spark.conf.set(key, saved)
+        for k, v in saved.items():
+            spark.conf.set(k, v)
     files = {
         d: len([f for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet")])
         for d in os.listdir(path)
         if d.startswith("vintage_year=")
     }
     assert files["vintage_year=2015"] > max(v for k, v in files.items() if k != "vintage_year=2015")
-    assert read_checkpoint(spark, path).count() == 400_000
+    assert read_checkpoint(spark, path).count() == 2_000_000
