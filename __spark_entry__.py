@@ -26,6 +26,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from loanframe import rules  # noqa: E402
 from loanframe.operators import (
+    batch_stats,
     category_violations,
     clean_raw,
     dataset_profile,
@@ -203,6 +204,10 @@ def q_dataset_profile(spark, d):
     return dataset_profile(_raw(spark, d))
 
 
+def q_batch_stats(spark, d):
+    return batch_stats(_cleaned(spark, d), domain=lv.PURPOSE_DOMAIN)
+
+
 def q_row_count_delta(spark, d):
     return row_count_delta(_raw(spark, d), _loans(spark, d))
 
@@ -293,6 +298,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fill_rates": q_fill_rates,
     "sparse_block_fill": q_sparse_block_fill,
     "dataset_profile": q_dataset_profile,
+    "batch_stats": q_batch_stats,
     "row_count_delta": q_row_count_delta,
     "stage_funnel": q_stage_funnel,
     "null_rates": q_null_rates,
@@ -570,6 +576,9 @@ FROM (SELECT count(*) FILTER (WHERE flagged) AS n FROM drift) WHERE n = 0
 """
 
 
+_ALIGNED = "coalesce(regexp_full_match(addr_state, '[A-Z]{2}'), false)"
+_DOMAIN = ", ".join(f"'{p}'" for p in lv.PURPOSE_DOMAIN)
+
 _QUOTE_COLUMN = re.compile(r'(?<!["\w])column(?!["\w])')
 
 
@@ -628,6 +637,15 @@ FROM (SELECT loan_status, count(*) AS "count", sum(count(*)) OVER () AS t
         "fill_rates": w + _fill_sql(fill_cols),
         "sparse_block_fill": w + _fill_sql(list(block_of), block_of),
         "dataset_profile": w + _dataset_profile_sql(),
+        "batch_stats": w
+        + f"""SELECT count(*) AS raw_rows,
+  count(*) FILTER (WHERE {_ALIGNED}) AS aligned_rows,
+  count(*) FILTER (WHERE {_ALIGNED} AND loan_status IN ('Fully Paid', 'Charged Off')) AS labelled_rows,
+  count(*) FILTER (WHERE {_ALIGNED} AND NOT purpose IN ({_DOMAIN})) AS domain_violations,
+  count(*) FILTER (WHERE {_ALIGNED} AND NOT regexp_full_match(addr_state, '[A-Z]{{2}}'))
+    AS pattern_violations,
+  {len(lv.RAW_COLUMNS) - 1} AS raw_columns
+FROM cleaned""",
         "row_count_delta": _with(_ROW_COUNTS_CTE) + "SELECT * FROM row_counts",
         "stage_funnel": w
         + f"""SELECT step, stage, rows_before, rows_after, rows_before - rows_after AS rows_removed,

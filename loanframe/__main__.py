@@ -1,8 +1,9 @@
 """Command-line jobs, for ``spark-submit`` or ``python -m loanframe``.
 
     python -m loanframe batch   --raw RAW.csv[.gz] --checkpoint DIR --ratio DIR --curve DIR
-    python -m loanframe quality --raw RAW.csv[.gz] --checkpoint DIR --ratio DIR --curve DIR
-                                --baseline DIR --report DIR
+                                [--stats DIR]
+    python -m loanframe quality (--raw RAW.csv[.gz] | --stats DIR) --checkpoint DIR
+                                --ratio DIR --curve DIR --baseline DIR --report DIR
     python -m loanframe profile --raw RAW.csv[.gz] --out DIR
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so master, memory,
@@ -26,8 +27,8 @@ def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="loanframe")
     sub = p.add_subparsers(dest="job", required=True)
 
-    def common(q):
-        q.add_argument("--raw", required=True, nargs="+", help="raw loan CSV file(s)")
+    def common(q, raw_required=True):
+        q.add_argument("--raw", required=raw_required, nargs="+", help="raw loan CSV file(s)")
         q.add_argument(
             "--partitions",
             type=int,
@@ -44,9 +45,11 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--as-tables", action="store_true", help="--ratio/--curve are table names")
     b.add_argument("--partition-by", nargs="*", default=None)
     b.add_argument("--stage-raw", default=None, help="write the raw text as Parquet first")
+    b.add_argument("--stats", default=None, help="save the raw row counts and checks here")
 
     q = sub.add_parser("quality", help="counts, null rates, snapshot, drift, report rows")
-    common(q)
+    common(q, raw_required=False)
+    q.add_argument("--stats", default=None, help="the batch job's stats (instead of --raw)")
     q.add_argument("--checkpoint", required=True)
     q.add_argument("--ratio", required=True)
     q.add_argument("--curve", required=True)
@@ -66,7 +69,7 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"loanframe-{args.job}").getOrCreate()
-    raw = read_raw_csv(spark, args.raw, partitions=args.partitions)
+    raw = read_raw_csv(spark, args.raw, partitions=args.partitions) if args.raw else None
     if args.job == "batch":
         res = run_batch(
             spark,
@@ -78,6 +81,7 @@ def main(argv: list[str] | None = None) -> int:
             as_tables=args.as_tables,
             checkpoint_partition_by=args.partition_by,
             stage_raw=args.stage_raw,
+            stats_path=args.stats,
         )
         require_non_empty(
             spark, {"npl_ratio": res.npl_ratio, "vintage_curve": res.default_rate_curve}
@@ -88,6 +92,10 @@ def main(argv: list[str] | None = None) -> int:
             "vintage_curve": spark.read.format(args.format).load(args.curve),
         }
         kwargs = {} if args.threshold is None else {"threshold_pct": args.threshold}
+        if args.stats:
+            kwargs["batch_stats"] = spark.read.parquet(args.stats)
+        elif raw is None:
+            raise SystemExit("quality: pass --raw or --stats")
         res = run_quality(
             spark,
             raw,

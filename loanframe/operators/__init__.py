@@ -4,6 +4,7 @@ from loanframe.operators.checks import (
     category_violations,
     output_gate,
     output_row_counts,
+    raise_on_violations,
     require_non_empty,
     validate_categoricals,
 )
@@ -42,11 +43,14 @@ from loanframe.operators.profile import (
     value_counts,
 )
 from loanframe.operators.quality import (
+    batch_stats,
     distribution_snapshot,
     drift,
+    funnel_rows,
     null_rates,
     report_rows,
     row_count_delta,
+    row_count_delta_from_stats,
     stage_funnel,
 )
 

@@ -70,14 +70,28 @@ def validate_categoricals(
             df, domain_column, domain, pattern_column, pattern, nulls_invalid
         ).collect()
     }
-    if found["domain"] > 0:
+    raise_on_violations(
+        found["domain"], found["pattern"], domain_column, domain, pattern_column, pattern
+    )
+
+
+def raise_on_violations(
+    domain_violations: int,
+    pattern_violations: int,
+    domain_column: str = "purpose",
+    domain: Sequence[str] = rules.PURPOSES,
+    pattern_column: str = "addr_state",
+    pattern: str = rules.STATE_PATTERN,
+) -> None:
+    """The errors of :func:`validate_categoricals` for counts computed elsewhere."""
+    if domain_violations > 0:
         raise ValueError(
-            f"validate_categoricals: {found['domain']} row(s) carry unexpected "
+            f"validate_categoricals: {domain_violations} row(s) carry unexpected "
             f"{domain_column} values (not among the {len(set(domain))} known categories)"
         )
-    if found["pattern"] > 0:
+    if pattern_violations > 0:
         raise ValueError(
-            f"validate_categoricals: {found['pattern']} row(s) carry {pattern_column} "
+            f"validate_categoricals: {pattern_violations} row(s) carry {pattern_column} "
             f"values not matching {pattern}"
         )
 

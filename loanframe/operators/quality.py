@@ -24,13 +24,7 @@ DRIFT_COLUMNS = ("column", "value", "current_pct", "baseline_pct", "shift_pct",
 REPORT_COLUMNS = ("section", "column", "value", "metric", "number", "note")
 
 
-def row_count_delta(raw: DataFrame, checkpoint: DataFrame) -> DataFrame:
-    """One row: raw and checkpoint counts, their delta and the delta in % of raw
-    (null when raw is empty) (Q1)."""
-    checkpoint_rows = checkpoint.agg(F.count(F.lit(1))).scalar()
-    counts = raw.agg(F.count(F.lit(1)).alias("raw_row_count")).select(
-        "raw_row_count", checkpoint_rows.alias("checkpoint_row_count")
-    )
+def _delta(counts: DataFrame) -> DataFrame:
     delta = F.col("checkpoint_row_count") - F.col("raw_row_count")
     return counts.select(
         "raw_row_count",
@@ -40,6 +34,29 @@ def row_count_delta(raw: DataFrame, checkpoint: DataFrame) -> DataFrame:
     )
 
 
+def row_count_delta(raw: DataFrame, checkpoint: DataFrame) -> DataFrame:
+    """One row: raw and checkpoint counts, their delta and the delta in % of raw
+    (null when raw is empty) (Q1)."""
+    checkpoint_rows = checkpoint.agg(F.count(F.lit(1))).scalar()
+    return _delta(
+        raw.agg(F.count(F.lit(1)).alias("raw_row_count")).select(
+            "raw_row_count", checkpoint_rows.alias("checkpoint_row_count")
+        )
+    )
+
+
+def row_count_delta_from_stats(stats: DataFrame, checkpoint: DataFrame) -> DataFrame:
+    """:func:`row_count_delta` with the raw count taken from :func:`batch_stats`
+    (saved by the batch job), so the raw input is not read again."""
+    checkpoint_rows = checkpoint.agg(F.count(F.lit(1))).scalar()
+    return _delta(
+        stats.select(
+            F.col("raw_rows").alias("raw_row_count"),
+            checkpoint_rows.alias("checkpoint_row_count"),
+        )
+    )
+
+
 def null_rates(
     df: DataFrame, columns: Sequence[str] = rules.NULL_CHECK_COLUMNS
 ) -> DataFrame:
@@ -139,44 +156,82 @@ def drift(
     )
 
 
-def stage_funnel(
+def batch_stats(
     df: DataFrame,
     status: str = "loan_status",
     resolved: Sequence[str] = rules.RESOLVED_STATUSES,
     state_column: str = "addr_state",
     state_pattern: str = rules.STATE_PATTERN,
+    domain_column: str | None = "purpose",
+    domain: Sequence[str] = rules.PURPOSES,
 ) -> DataFrame:
-    """Rows before, after and removed by each row filter of the batch job, in its
-    order (shifted rows, then unresolved statuses), from one scan of the raw rows
-    (Q8).  Also reports the raw column count."""
-    kept_state = F.coalesce(state_ok(state_column, state_pattern), F.lit(False))
-    kept_label = F.coalesce(F.col(status).isin(*resolved), F.lit(False))
-    counts = df.agg(
-        F.count(F.lit(1)).alias("raw"),
-        F.count_if(kept_state).alias("after_state"),
-        F.count_if(kept_state & kept_label).alias("after_label"),
-    )
+    """One row of counts over the raw rows of the batch job, from one scan.
+
+    ``raw_rows``; ``aligned_rows`` kept by the shifted-row filter;
+    ``labelled_rows`` also resolved; ``domain_violations`` and
+    ``pattern_violations`` among the aligned rows (the category check, C7 and C8;
+    left out when ``domain_column`` is None); ``raw_columns``.  The batch job
+    validates from this row and can save it, so the quality job need not read the
+    raw input again for its count.
+    """
+    aligned = F.coalesce(state_ok(state_column, state_pattern), F.lit(False))
+    resolved_ = F.coalesce(F.col(status).isin(*resolved), F.lit(False))
+    counts = [
+        F.count(F.lit(1)).alias("raw_rows"),
+        F.count_if(aligned).alias("aligned_rows"),
+        F.count_if(aligned & resolved_).alias("labelled_rows"),
+    ]
+    if domain_column is not None:
+        counts += [
+            F.count_if(aligned & ~F.col(domain_column).isin(*domain)).alias(
+                "domain_violations"
+            ),
+            F.count_if(aligned & ~F.col(state_column).rlike(state_pattern)).alias(
+                "pattern_violations"
+            ),
+        ]
+    return df.agg(*counts).withColumn("raw_columns", F.lit(len(df.columns)))
+
+
+def funnel_rows(stats: DataFrame) -> DataFrame:
+    """The two row filters of the batch job, in order, from :func:`batch_stats`:
+    ``(step, stage, rows_before, rows_after, rows_removed, raw_columns)``."""
     stages = F.array(
         F.struct(
             F.lit(1).alias("step"),
             F.lit("drop_shifted_rows").alias("stage"),
-            F.col("raw").alias("rows_before"),
-            F.col("after_state").alias("rows_after"),
+            F.col("raw_rows").alias("rows_before"),
+            F.col("aligned_rows").alias("rows_after"),
         ),
         F.struct(
             F.lit(2).alias("step"),
             F.lit("label_target").alias("stage"),
-            F.col("after_state").alias("rows_before"),
-            F.col("after_label").alias("rows_after"),
+            F.col("aligned_rows").alias("rows_before"),
+            F.col("labelled_rows").alias("rows_after"),
         ),
     )
-    return counts.select(F.inline(stages)).select(
+    return stats.select(F.inline(stages), "raw_columns").select(
         "step",
         "stage",
         "rows_before",
         "rows_after",
         (F.col("rows_before") - F.col("rows_after")).alias("rows_removed"),
-        F.lit(len(df.columns)).alias("raw_columns"),
+        "raw_columns",
+    )
+
+
+def stage_funnel(
+    df: DataFrame,
+    status: str = "loan_status",
+    resolved: Sequence[str] = rules.RESOLVED_STATUSES,
+    state_column: str = "addr_state",
+    state_pattern: str = rules.STATE_PATTERN,
+) -> DataFrame:
+    """Rows before, after and removed by each row filter of the batch job, in its
+    order (shifted rows, then unresolved statuses), from one scan of the raw rows
+    (Q8).  Also reports the raw column count."""
+    return funnel_rows(
+        batch_stats(df, status, resolved, state_column, state_pattern, domain_column=None)
     )
 
 

@@ -16,10 +16,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from loanframe import rules
-from loanframe.operators.checks import validate_categoricals
+from loanframe.operators.checks import raise_on_violations
 from loanframe.operators.clean import clean_raw, drop_shifted_rows
 from loanframe.operators.features import add_features, label_target
 from loanframe.operators.metrics import default_rate_curve, npl_ratio_by_dimensions
+from loanframe.operators.quality import batch_stats
 from loanframe.sources.files import read_checkpoint, write_checkpoint, write_table
 
 
@@ -44,6 +45,7 @@ class BatchResult:
     checkpoint: DataFrame
     npl_ratio: DataFrame
     default_rate_curve: DataFrame
+    stats: DataFrame
     paths: dict
 
 
@@ -62,6 +64,7 @@ def run_batch(
     as_tables: bool = False,
     checkpoint_partition_by: Sequence[str] | None = None,
     stage_raw: str | None = None,
+    stats_path: str | None = None,
 ) -> BatchResult:
     """Run P1 end to end; raises ``ValueError`` (before writing) on bad categories.
 
@@ -70,13 +73,23 @@ def run_batch(
     checkpoint pass reads Parquet splits in parallel.  Worth it for a single
     (unsplittable) gzip file or when reading the raw text is the slow part; for
     large splittable inputs it costs one extra full write.
+
+    The category check (C7, C8) and the row funnel (Q8) come from one aggregate
+    over the raw rows (:func:`loanframe.operators.batch_stats`); its single row is
+    returned as ``stats`` and, with ``stats_path``, saved next to the outputs so the
+    quality job can take the raw row count from it instead of reading the raw
+    input again.
     """
     if stage_raw:
         raw = read_checkpoint(spark, write_checkpoint(raw, stage_raw))
     cleaned = raw.transform(clean_raw, date_columns, numeric_sparse, date_sparse)
-    aligned = drop_shifted_rows(cleaned)
-    validate_categoricals(aligned, domain=purposes)
-    labelled = aligned.transform(label_target).transform(add_features)
+    row = batch_stats(cleaned, domain=purposes).first()
+    raise_on_violations(row["domain_violations"], row["pattern_violations"], domain=purposes)
+    stats = spark.createDataFrame([row])
+    if stats_path:
+        write_table(stats, stats_path)
+        stats = spark.read.parquet(stats_path)
+    labelled = drop_shifted_rows(cleaned).transform(label_target).transform(add_features)
 
     write_checkpoint(labelled, checkpoint_path, checkpoint_partition_by)
     checkpoint = read_checkpoint(spark, checkpoint_path)
@@ -95,9 +108,11 @@ def run_batch(
         checkpoint=checkpoint,
         npl_ratio=_read(ratio_target),
         default_rate_curve=_read(curve_target),
+        stats=stats,
         paths={
             "checkpoint": checkpoint_path,
             "npl_ratio": ratio_target,
             "default_rate_curve": curve_target,
+            "stats": stats_path,
         },
     )

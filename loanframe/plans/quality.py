@@ -20,6 +20,7 @@ from loanframe.operators.quality import (
     null_rates,
     report_rows,
     row_count_delta,
+    row_count_delta_from_stats,
 )
 from loanframe.sources.files import load_baseline, save_baseline
 
@@ -37,7 +38,7 @@ class QualityResult:
 
 def run_quality(
     spark: SparkSession,
-    raw: DataFrame,
+    raw: DataFrame | None,
     checkpoint: DataFrame,
     outputs: Mapping[str, DataFrame],
     baseline_path: str | None = None,
@@ -45,10 +46,20 @@ def run_quality(
     distribution_columns: Sequence[str] = rules.DISTRIBUTION_COLUMNS,
     threshold_pct: float = rules.DRIFT_THRESHOLD_PCT,
     refresh_baseline: bool = False,
+    batch_stats: DataFrame | None = None,
 ) -> QualityResult:
     """Build every quality metric.  Without a stored baseline at ``baseline_path``
-    the current snapshot is saved there (first run) and no drift is computed."""
-    rc = row_count_delta(raw, checkpoint)
+    the current snapshot is saved there (first run) and no drift is computed.
+
+    With ``batch_stats`` (the row the batch job saved) the raw row count comes from
+    it and ``raw`` may be ``None``: the raw input is not read again.
+    """
+    if batch_stats is not None:
+        rc = row_count_delta_from_stats(batch_stats, checkpoint)
+    elif raw is not None:
+        rc = row_count_delta(raw, checkpoint)
+    else:
+        raise ValueError("run_quality: pass the raw rows or the batch job's stats")
     oc = output_row_counts(spark, outputs)
     nr = null_rates(checkpoint, null_columns)
     snap = distribution_snapshot(checkpoint, distribution_columns)

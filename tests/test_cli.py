@@ -45,10 +45,10 @@ def raw_path(spark):
 
 
 def test_batch_quality_profile(spark, raw_path, tmp_out):
-    paths = {k: tmp_out(k) for k in ("ckpt", "ratio", "curve", "baseline", "report", "report2", "profile")}
+    paths = {k: tmp_out(k) for k in ("ckpt", "ratio", "curve", "baseline", "report", "report2", "profile", "stats")}
     assert main(["batch", "--raw", raw_path, "--checkpoint", paths["ckpt"], "--ratio", paths["ratio"],
                  "--curve", paths["curve"], "--partitions", "4", "--stage-raw", tmp_out("stage"),
-                 "--partition-by", "vintage_year"]) == 0
+                 "--partition-by", "vintage_year", "--stats", paths["stats"]]) == 0
     ratio = spark.read.parquet(paths["ratio"])
     n = spark.read.parquet(paths["ckpt"]).count()
     assert n > 0
@@ -60,7 +60,8 @@ def test_batch_quality_profile(spark, raw_path, tmp_out):
     assert main(["quality", *common, "--report", paths["report"]]) == 0
     first = spark.read.parquet(paths["report"])
     assert first.filter("section = 'drift' AND note LIKE 'No baseline%'").count() == 1
-    assert main(["quality", *common, "--report", paths["report2"]]) == 0
+    no_raw = [a for a in common if a != raw_path and a != "--raw"]
+    assert main(["quality", *no_raw, "--stats", paths["stats"], "--report", paths["report2"]]) == 0
     second = spark.read.parquet(paths["report2"])
     assert second.filter("section = 'drift' AND note LIKE 'No columns shifted%'").count() == 1
     rc = {r.metric: r.number for r in second.filter("section = 'row_counts'").collect()}

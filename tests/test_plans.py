@@ -66,6 +66,22 @@ def test_quality_first_run_saves_baseline_second_compares(spark, raw_csv, tmp_ou
     assert rc.raw_row_count == raw.count() and rc.checkpoint_row_count == res.checkpoint.count()
 
 
+def test_quality_from_batch_stats_skips_raw(spark, raw_csv, tmp_out):
+    raw = _raw(spark, raw_csv).filter(F.coalesce(F.col("purpose") != "bogus", F.lit(True)))
+    stats_path = tmp_out("stats")
+    res = run_batch(spark, raw, tmp_out("ckpt"), tmp_out("ratio"), tmp_out("curve"),
+                    purposes=lv.PURPOSE_DOMAIN, stats_path=stats_path, **VIEW_RULES)
+    s = res.stats.first()
+    assert s.raw_rows == raw.count() and s.labelled_rows == res.checkpoint.count()
+    outputs = {"npl_ratio": res.npl_ratio, "vintage_curve": res.default_rate_curve}
+    with_raw = run_quality(spark, raw, res.checkpoint, outputs).row_counts.first()
+    from_stats = run_quality(spark, None, res.checkpoint, outputs,
+                             batch_stats=spark.read.parquet(stats_path)).row_counts.first()
+    assert tuple(with_raw) == tuple(from_stats)
+    with pytest.raises(ValueError):
+        run_quality(spark, None, res.checkpoint, outputs)
+
+
 def test_profiling(spark, raw_csv):
     out = run_profiling(_raw(spark, raw_csv), **VIEW_RULES)
     assert {r.column for r in out.collect()} == {"purpose", "addr_state"}
