@@ -43,3 +43,30 @@ def test_results_do_not_depend_on_session_settings(spark, con, name):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["loan_features", "bad_rate_by_dimension", "drift", "csv_pipeline"])
+def test_results_with_the_join_strategy_of_large_tables(spark, con, capsys, name):
+    """With broadcasting off, as for tables far above the broadcast threshold, every
+    join of the view is a sort-merge join (AQE may still split skewed partitions)
+    and the rows are the same."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        df = E.queries()[name](spark, SF)
+        capsys.readouterr()
+        df.explain()
+        plan = capsys.readouterr().out
+        assert "BroadcastHashJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
+        if name != "csv_pipeline":  # reads its own written files: no join left
+            assert "SortMergeJoin" in plan
+        r = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF, con)
+        assert r["ok"], r["problems"]
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
