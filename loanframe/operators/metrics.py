@@ -59,13 +59,15 @@ def npl_ratio_by_dimensions(
     ``Expand`` directly feeding the partial aggregate), and a single
     ``groupBy(dimension, dimension_value)`` produces every group.  Nulls stay rows.
     """
+    dimensions = list(dict.fromkeys(dimensions))
     narrow = df.select(
-        F.col(target), *[F.col(d).cast("string").alias(d) for d in dimensions]
+        F.col(target).alias("__target"),
+        *[F.col(d).cast("string").alias(d) for d in dimensions],
     )
-    long = narrow.unpivot([target], list(dimensions), "dimension", "dimension_value")
+    long = narrow.unpivot(["__target"], dimensions, "dimension", "dimension_value")
     return (
         long.groupBy("dimension", "dimension_value")
-        .agg(*_counts(target))
+        .agg(*_counts("__target"))
         .select(*RATIO_COLUMNS[:-1], _ratio().alias("npl_ratio"))
     )
 

@@ -49,6 +49,7 @@ def top_values(
 ) -> DataFrame:
     """The ``k`` most frequent values of each column, as ``(column, value,
     row_count, rank)``; ties broken by value, nulls first (A6)."""
+    columns = list(dict.fromkeys(columns))
     require_columns(df, columns, "top_values")
     narrow = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
     long = narrow.unpivot([], list(columns), "column", "value")
@@ -101,6 +102,7 @@ def _fill_rates(
 def fill_rates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: total, non-null and null counts and ``fill_rate`` (0.0 on no
     rows), by fill rate desc; one scan for all columns (A7)."""
+    columns = list(dict.fromkeys(columns))
     require_columns(df, columns, "fill_rates")
     return _fill_rates(df, columns, None)
 

@@ -62,6 +62,7 @@ def null_rates(
 ) -> DataFrame:
     """``(column, null_count, null_pct)``, one scan; ``null_pct`` is null on no rows
     (Q3)."""
+    columns = list(dict.fromkeys(columns))
     require_columns(df, columns, "null_rates")
     counts = df.agg(
         F.count(F.lit(1)).alias("__total"),
@@ -96,6 +97,7 @@ def distribution_snapshot(
     shuffle for all columns; the total is a scalar subquery over the grouped rows,
     so the input is not scanned a second time.  No rows in, no rows out.
     """
+    columns = list(dict.fromkeys(columns))
     require_columns(df, columns, "distribution_snapshot")
     narrow = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
     long = narrow.unpivot([], list(columns), "column", "value")
