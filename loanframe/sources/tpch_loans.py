@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # FIXED VALUES: the injection rules of the test fixture (key divisors and values).
 PURPOSE_DOMAIN = ("automobile", "building", "furniture", "household", "machinery")
@@ -49,8 +50,18 @@ RAW_COLUMNS = (
 )
 
 
+# Schema per table path, read once.  ``spark.read.parquet`` without a schema runs a
+# job that reads file footers on every call; with the remembered schema it runs
+# none.  Only the schema (a small driver-side object) is kept, never data.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        schema = _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(schema).parquet(path)
 
 
 def _every(k: int) -> F.Column:
