@@ -118,3 +118,93 @@ def test_month_year_date(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r.d for r in df.select(month_year_date("t").alias("d")).collect()]
     assert got == [_month_year(t) for t in texts]
+
+
+# --- whole operators against brute force on random rows ---------------------------
+
+from collections import Counter  # noqa: E402
+
+from loanframe.operators import (  # noqa: E402
+    distribution_snapshot,
+    drift,
+    npl_ratio_by_dimensions,
+    top_values,
+)
+
+cat = st.one_of(st.none(), st.sampled_from(["A", "B", "C", "D"]))
+loan_rows = st.lists(
+    st.tuples(cat, cat, st.one_of(st.none(), st.integers(2010, 2014)), st.integers(0, 1)),
+    min_size=0,
+    max_size=200,
+)
+LOAN_SCHEMA = "grade string, purpose string, vintage_year int, is_default int"
+
+
+@SETTINGS
+@given(loan_rows)
+def test_snapshot_against_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, LOAN_SCHEMA)
+    got = {(r.column, r.value): (r.row_count, r.pct) for r in distribution_snapshot(df, ["grade", "vintage_year"]).collect()}
+    want = {}
+    for i, col in enumerate(["grade", "purpose", "vintage_year"]):
+        if col == "purpose":
+            continue
+        for v, n in Counter(r[i] for r in rows).items():
+            want[(col, None if v is None else str(v))] = (n, _pct(n, len(rows)))
+    assert got == want
+
+
+@SETTINGS
+@given(loan_rows)
+def test_ratio_table_against_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, LOAN_SCHEMA)
+    got = {
+        (r.dimension, r.dimension_value): (r.default_count, r.total_count, r.npl_ratio)
+        for r in npl_ratio_by_dimensions(df, ["grade", "purpose", "vintage_year"]).collect()
+    }
+    want = {}
+    for i, col in enumerate(["grade", "purpose", "vintage_year"]):
+        groups = {}
+        for r in rows:
+            key = None if r[i] is None else str(r[i])
+            d, t = groups.get(key, (0, 0))
+            groups[key] = (d + r[3], t + 1)
+        for key, (d, t) in groups.items():
+            want[(col, key)] = (d, t, d / t)
+    assert got == want
+
+
+@SETTINGS
+@given(loan_rows, st.integers(1, 3))
+def test_top_values_against_brute_force(spark, rows, k):
+    df = spark.createDataFrame(rows, LOAN_SCHEMA)
+    def nkey(t):
+        return tuple((x is None, str(x)) for x in t)
+
+    got = sorted(((r.column, r.value, r.row_count, r["rank"]) for r in top_values(df, ["grade", "purpose"], k).collect()), key=nkey)
+    want = []
+    for i, col in enumerate(["grade", "purpose"]):
+        counts = Counter(r[i] for r in rows)
+        ordered = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0] is not None, kv[0] or ""))
+        want += [(col, v, n, rank + 1) for rank, (v, n) in enumerate(ordered[:k])]
+    assert got == sorted(want, key=nkey)
+
+
+pct_values = st.integers(0, 10000).map(lambda h: h / 100)
+snapshots = st.dictionaries(st.tuples(st.sampled_from(["grade", "purpose"]), cat), pct_values, max_size=8)
+
+
+@SETTINGS
+@given(snapshots, snapshots, st.sampled_from([0.5, 2.0, 5.0]))
+def test_drift_against_brute_force(spark, current, baseline, threshold):
+    schema = "column string, value string, pct double"
+    cur = spark.createDataFrame([(c, v, p) for (c, v), p in current.items()], schema)
+    base = spark.createDataFrame([(c, v, p) for (c, v), p in baseline.items()], schema)
+    got = {(r.column, r.value): (r.current_pct, r.baseline_pct, r.shift_pct, r.flagged)
+           for r in drift(cur, base, threshold).collect()}
+    want = {}
+    for key in set(current) | set(baseline):
+        c, b = current.get(key, 0.0), baseline.get(key, 0.0)
+        shift = (round(c * 100) - round(b * 100)) / 100
+        want[key] = (c, b, shift, abs(shift) >= threshold)
+    assert got == want
