@@ -1,11 +1,11 @@
 """Batch pipeline (P1): raw loans -> clean -> validate -> label and features ->
 Parquet checkpoint -> bad-rate table and default-rate curve.
 
-Passes over the raw input: one for the category check (one aggregate for both
-checks) and one for the checkpoint write.  The two aggregate tables are computed
-from the checkpoint, so they read only the six columns they need from Parquet and
-do not re-run the cleaning chain; the bad-rate table is one scan and one shuffle
-for all its dimensions.
+Passes over the raw input: one aggregate (both category checks, the raw row count
+and the row funnel) and one checkpoint write.  The two aggregate tables are
+computed from the checkpoint, so they read only the columns they need from Parquet
+and do not re-run the cleaning chain; the bad-rate table is one scan and one
+shuffle for all its dimensions.
 """
 
 from __future__ import annotations
