@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanframe import rules
@@ -113,7 +113,7 @@ def distribution_snapshot(
     )
 
 
-def _hundredths(c) -> F.Column:
+def _hundredths(c: Column) -> Column:
     return F.round(F.coalesce(c, F.lit(0.0)) * F.lit(100)).cast("bigint")
 
 

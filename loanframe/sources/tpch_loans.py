@@ -14,7 +14,7 @@ Spark's size-checked broadcast.  Only the columns used are read from each file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -64,11 +64,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def _every(k: int) -> F.Column:
+def _every(k: int) -> Column:
     return F.col("o_orderkey") % F.lit(k) == 0
 
 
-def _month_year(c: str) -> F.Column:
+def _month_year(c: str) -> Column:
     return F.date_format(F.col(c), "MMM-yyyy")
 
 
