@@ -1,4 +1,5 @@
-"""Command-line jobs, for ``spark-submit`` or ``python -m loanframe``.
+"""Command-line jobs: ``spark-submit loanframe/__main__.py JOB ...`` or
+``python -m loanframe JOB ...``.
 
     python -m loanframe batch   --raw RAW.csv[.gz] --checkpoint DIR --ratio DIR --curve DIR
                                 [--stats DIR]
@@ -14,13 +15,19 @@ Every result is written; nothing is printed row by row.
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
-from pyspark.sql import SparkSession
+if __package__ in (None, ""):
+    # Run as a file (``spark-submit loanframe/__main__.py ...``): make the package
+    # importable from the folder above it.
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from loanframe.operators.checks import require_non_empty
-from loanframe.plans import run_batch, run_profiling, run_quality
-from loanframe.sources import read_checkpoint, read_raw_csv, write_table
+from pyspark.sql import SparkSession  # noqa: E402
+
+from loanframe.operators.checks import require_non_empty  # noqa: E402
+from loanframe.plans import run_batch, run_profiling, run_quality  # noqa: E402
+from loanframe.sources import read_checkpoint, read_raw_csv, write_table  # noqa: E402
 
 
 def _parser() -> argparse.ArgumentParser:
