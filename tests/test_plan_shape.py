@@ -61,7 +61,7 @@ def test_status_filter_reaches_the_parquet_scan(checkpoint, capsys):
     assert re.search(r"PushedFilters: \[[^\]]*In\(loan_status", p)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"csv_pipeline", "checkpoint_roundtrip", "quality_report_rows"}))
+@pytest.mark.parametrize("name", sorted(E.queries()))
 def test_no_python_udf_no_cartesian(spark, capsys, name):
     p = plan(E.queries()[name](spark, SF), capsys, "simple")
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
