@@ -262,7 +262,7 @@ def q_checkpoint_roundtrip(spark, d):
     return default_rate_curve(read_checkpoint(spark, path))
 
 
-def q_csv_pipeline(spark, d):
+def q_csv_source_ratio(spark, d):
     """S1 + P1 chain + S3/S4/S5: the view written as raw CSV text, read back as
     all-string columns, cleaned and labelled, checkpointed, aggregated, written as
     the curated table and read back."""
@@ -308,7 +308,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "output_gate": q_output_gate,
     "quality_report_rows": q_quality_report_rows,
     "checkpoint_roundtrip": q_checkpoint_roundtrip,
-    "csv_pipeline": q_csv_pipeline,
+    "csv_source_ratio": q_csv_source_ratio,
 }
 
 
@@ -669,7 +669,7 @@ FROM (
         + "SELECT metric, row_count, row_count > 0 AS passed FROM output_counts",
         "quality_report_rows": _report_sql(),
         "checkpoint_roundtrip": w + _CURVE,
-        "csv_pipeline": w + ratio_dims,
+        "csv_source_ratio": w + ratio_dims,
     }
 
 

@@ -45,7 +45,7 @@ def test_results_do_not_depend_on_session_settings(spark, con, name):
             spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize("name", ["loan_features", "bad_rate_by_dimension", "drift", "csv_pipeline"])
+@pytest.mark.parametrize("name", ["loan_features", "bad_rate_by_dimension", "drift", "csv_source_ratio"])
 def test_results_with_the_join_strategy_of_large_tables(spark, con, capsys, name):
     """With broadcasting off, as for tables far above the broadcast threshold, every
     join of the view is a sort-merge join (AQE may still split skewed partitions)
@@ -60,7 +60,7 @@ def test_results_with_the_join_strategy_of_large_tables(spark, con, capsys, name
         df.explain()
         plan = capsys.readouterr().out
         assert "BroadcastHashJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
-        if name != "csv_pipeline":  # reads its own written files: no join left
+        if name != "csv_source_ratio":  # reads its own written files: no join left
             assert "SortMergeJoin" in plan
         r = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF, con)
         assert r["ok"], r["problems"]
