@@ -126,3 +126,10 @@ def test_partitioned_checkpoint_splits_a_hot_value(spark, tmp_out):
     }
     assert files["vintage_year=2015"] > max(v for k, v in files.items() if k != "vintage_year=2015")
     assert read_checkpoint(spark, path).count() == 2_000_000
+
+
+def test_read_raw_csv_header_schema_with_partitions(spark, tmp_out):
+    path = tmp_out("csv") + "/part.csv"
+    _write_text(path, "id,addr_state\n" + "".join(f"{i},CA\n" for i in range(50)))
+    df = read_raw_csv(spark, path, partitions=3)
+    assert df.rdd.getNumPartitions() == 3 and df.count() == 50
