@@ -63,6 +63,7 @@ def _parser() -> argparse.ArgumentParser:
     q.add_argument("--format", default="parquet")
     q.add_argument("--baseline", required=True)
     q.add_argument("--report", required=True)
+    q.add_argument("--report-format", default="parquet", help="e.g. json for readable lines")
     q.add_argument("--threshold", type=float, default=None)
 
     f = sub.add_parser("profile", help="top values of purpose and state")
@@ -111,7 +112,7 @@ def main(argv: list[str] | None = None) -> int:
             args.baseline,
             **kwargs,
         )
-        write_table(res.report, args.report)
+        write_table(res.report, args.report, args.report_format)
     else:
         kwargs = {} if args.top is None else {"k": args.top}
         write_table(run_profiling(raw, args.columns, **kwargs), args.out)
