@@ -6,6 +6,7 @@ from loanframe.functions.columns import (
     first_int,
     half_up_pct,
     month_year_date,
+    named,
     positive_flag,
     safe_double,
     signed_half_up_pct,
@@ -17,6 +18,7 @@ __all__ = [
     "first_int",
     "half_up_pct",
     "month_year_date",
+    "named",
     "positive_flag",
     "safe_double",
     "signed_half_up_pct",

@@ -25,6 +25,12 @@ def as_column(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def named(name: str) -> Column:
+    """The column called ``name`` exactly (dots or spaces in raw headers are part of
+    the name, not a field path)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def first_int(c: ColumnOrName) -> Column:
     """First run of digits as an int; null when there is none or it overflows."""
     digits = F.regexp_extract(as_column(c), r"(\d+)", 1)

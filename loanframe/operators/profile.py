@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanframe import rules
-from loanframe.functions import half_up_pct
+from loanframe.functions import half_up_pct, named
 from loanframe.operators.clean import require_columns
 
 
@@ -82,7 +82,7 @@ def _fill_rates(
 ) -> DataFrame:
     counts = df.agg(
         F.count(F.lit(1)).alias("__total"),
-        *[F.count(F.col(c)).alias(f"__nn{i}") for i, c in enumerate(columns)],
+        *[F.count(named(c)).alias(f"__nn{i}") for i, c in enumerate(columns)],
     )
     long = counts.select(_fill_structs(columns, block_of))
     key = ["block", "column"] if block_of is not None else ["column"]
@@ -124,7 +124,7 @@ def dataset_profile(df: DataFrame) -> DataFrame:
     fields = df.schema.fields
     counts = df.agg(
         F.count(F.lit(1)).alias("__rows"),
-        *[F.count(F.col(f"`{f.name}`")).alias(f"__nn{i}") for i, f in enumerate(fields)],
+        *[F.count(named(f.name)).alias(f"__nn{i}") for i, f in enumerate(fields)],
     )
     return counts.select(
         F.inline(

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanframe import rules
-from loanframe.functions import half_up_pct, signed_half_up_pct
+from loanframe.functions import half_up_pct, named, signed_half_up_pct
 from loanframe.operators.clean import require_columns, state_ok
 
 SNAPSHOT_COLUMNS = ("column", "value", "row_count", "pct")
@@ -66,7 +66,7 @@ def null_rates(
     require_columns(df, columns, "null_rates")
     counts = df.agg(
         F.count(F.lit(1)).alias("__total"),
-        *[F.count_if(F.col(c).isNull()).alias(f"__n{i}") for i, c in enumerate(columns)],
+        *[F.count_if(named(c).isNull()).alias(f"__n{i}") for i, c in enumerate(columns)],
     )
     long = counts.select(
         F.inline(
