@@ -66,6 +66,22 @@ def test_quality_first_run_saves_baseline_second_compares(spark, raw_csv, tmp_ou
     assert rc.raw_row_count == raw.count() and rc.checkpoint_row_count == res.checkpoint.count()
 
 
+def test_quality_refresh_replaces_the_baseline(spark, raw_csv, tmp_out):
+    res = _batch(spark, raw_csv, tmp_out)
+    outputs = {"npl_ratio": res.npl_ratio, "vintage_curve": res.default_rate_curve}
+    base = tmp_out("baseline")
+    old = res.checkpoint.filter(F.col("vintage_year") < 1998)
+    first = run_quality(spark, None, old, outputs, base, batch_stats=res.stats)
+    assert first.baseline_saved
+    drifted = run_quality(spark, None, res.checkpoint, outputs, base, batch_stats=res.stats)
+    assert not drifted.baseline_saved and drifted.drift.count() > 0
+    refreshed = run_quality(spark, None, res.checkpoint, outputs, base, batch_stats=res.stats,
+                            refresh_baseline=True)
+    assert refreshed.baseline_saved and refreshed.drift is None
+    again = run_quality(spark, None, res.checkpoint, outputs, base, batch_stats=res.stats)
+    assert again.drift.filter("flagged").count() == 0
+
+
 def test_quality_from_batch_stats_skips_raw(spark, raw_csv, tmp_out):
     raw = _raw(spark, raw_csv).filter(F.coalesce(F.col("purpose") != "bogus", F.lit(True)))
     stats_path = tmp_out("stats")
