@@ -21,6 +21,10 @@ def test_query_matches_oracle(spark, con, name):
     assert r["ok"], r["problems"]
 
 
+def test_every_query_names_what_it_covers():
+    assert set(E.COVERS) == set(E.queries()) == set(E.oracle_sql())
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["dimension", "dimension_value", "default_count", "total_count", "npl_ratio"]
