@@ -27,6 +27,7 @@ def read_raw_csv(
     columns: Sequence[str] | None = None,
     partitions: int | None = None,
     corrupt_column: str | None = None,
+    infer_schema: bool = False,
 ) -> DataFrame:
     """Read raw loan CSV with a header, every column as string.
 
@@ -39,6 +40,10 @@ def read_raw_csv(
 
     A single ``.gz`` file is not splittable and arrives as one partition; pass
     ``partitions`` to spread it before the per-row work.
+
+    ``infer_schema=True`` (without ``columns``) types the columns the way an
+    inferring reader does, at the cost of one extra full pass over the input; the
+    cleaning operators accept either form.
     """
     reader = (
         spark.read.option("header", True)
@@ -54,7 +59,7 @@ def read_raw_csv(
     elif corrupt_column:
         raise ValueError("read_raw_csv: corrupt_column needs the column list")
     else:
-        reader = reader.option("inferSchema", False)
+        reader = reader.option("inferSchema", infer_schema)
     df = reader.csv(path if isinstance(path, str) else list(path))
     if partitions:
         df = df.repartition(partitions)

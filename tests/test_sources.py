@@ -30,6 +30,17 @@ def test_read_raw_csv_all_strings_from_header(spark, tmp_out):
     assert rows[0].term == " 36 months" and rows[1].term == "60 months, fixed"
 
 
+def test_read_raw_csv_inferred_types_feed_the_same_operators(spark, tmp_out):
+    from loanframe.operators import add_delinquency_flag, add_dti_bucket
+
+    path = tmp_out("csv") + "/part.csv"
+    _write_text(path, "id,dti,delinq_2yrs\n1,12.5,0\n2,45.0,3\n")
+    df = read_raw_csv(spark, path, infer_schema=True)
+    assert dict(df.dtypes)["dti"] == "double"
+    out = add_delinquency_flag(add_dti_bucket(df)).orderBy("id").collect()
+    assert [(r.dti_bucket, r.has_prior_delinquency) for r in out] == [("Low", False), ("High", True)]
+
+
 def test_read_raw_csv_fixed_schema_and_short_rows(spark, tmp_out):
     path = tmp_out("csv") + "/part.csv"
     _write_text(path, "id,addr_state,purpose\n1,CA,car\n2,NY\n")
