@@ -6,6 +6,7 @@
     python -m loanframe quality (--raw RAW.csv[.gz] | --stats DIR) --checkpoint DIR
                                 --ratio DIR --curve DIR --baseline DIR --report DIR
     python -m loanframe profile --raw RAW.csv[.gz] --out DIR
+    python -m loanframe peek    --raw RAW.csv[.gz] [--out DIR]
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so master, memory,
 shuffle partitions and ``spark.checkpoint.dir`` are whatever the submitter sets.
@@ -26,6 +27,7 @@ if __package__ in (None, ""):
 from pyspark.sql import SparkSession  # noqa: E402
 
 from loanframe.operators.checks import require_non_empty  # noqa: E402
+from loanframe.operators.profile import dataset_profile, sample_rows  # noqa: E402
 from loanframe.plans import run_batch, run_profiling, run_quality  # noqa: E402
 from loanframe.sources import read_checkpoint, read_raw_csv, write_table  # noqa: E402
 
@@ -66,6 +68,11 @@ def _parser() -> argparse.ArgumentParser:
     q.add_argument("--report-format", default="parquet", help="e.g. json for readable lines")
     q.add_argument("--threshold", type=float, default=None)
 
+    k = sub.add_parser("peek", help="columns, types, row and non-null counts, sample rows")
+    common(k)
+    k.add_argument("--out", default=None, help="also write the column profile here")
+    k.add_argument("--sample", type=int, default=5)
+
     f = sub.add_parser("profile", help="top values of purpose and state")
     common(f)
     f.add_argument("--out", required=True)
@@ -113,6 +120,14 @@ def main(argv: list[str] | None = None) -> int:
             **kwargs,
         )
         write_table(res.report, args.report, args.report_format)
+    elif args.job == "peek":
+        profile = dataset_profile(raw)
+        if args.out:
+            write_table(profile, args.out)
+            profile = spark.read.parquet(args.out)
+        # Display only: one row per column, and a few sample rows.
+        profile.orderBy("ordinal").show(len(raw.columns), truncate=False)
+        sample_rows(raw, args.sample).show(args.sample, truncate=50, vertical=True)
     else:
         kwargs = {} if args.top is None else {"k": args.top}
         write_table(run_profiling(raw, args.columns, **kwargs), args.out)
