@@ -102,6 +102,8 @@ def main(argv: list[str] | None = None) -> int:
             spark, {"npl_ratio": res.npl_ratio, "vintage_curve": res.default_rate_curve}
         )
     elif args.job == "quality":
+        if not args.stats and raw is None:
+            raise SystemExit("quality: pass --raw or --stats")
         outputs = {
             "npl_ratio": spark.read.format(args.format).load(args.ratio),
             "vintage_curve": spark.read.format(args.format).load(args.curve),
@@ -109,8 +111,6 @@ def main(argv: list[str] | None = None) -> int:
         kwargs = {} if args.threshold is None else {"threshold_pct": args.threshold}
         if args.stats:
             kwargs["batch_stats"] = spark.read.parquet(args.stats)
-        elif raw is None:
-            raise SystemExit("quality: pass --raw or --stats")
         res = run_quality(
             spark,
             raw,

@@ -89,3 +89,9 @@ def test_peek(spark, raw_path, tmp_out, capsys):
     assert prof.count() == len(COLUMNS)
     assert {r.rows for r in prof.collect()} == {400}
     assert "loan_status" in capsys.readouterr().out
+
+
+def test_quality_needs_raw_or_stats(spark, tmp_out):
+    with pytest.raises(SystemExit):
+        main(["quality", "--checkpoint", tmp_out("c"), "--ratio", tmp_out("r"), "--curve", tmp_out("v"),
+              "--baseline", tmp_out("b"), "--report", tmp_out("rep")])

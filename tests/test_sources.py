@@ -144,3 +144,11 @@ def test_read_raw_csv_header_schema_with_partitions(spark, tmp_out):
     _write_text(path, "id,addr_state\n" + "".join(f"{i},CA\n" for i in range(50)))
     df = read_raw_csv(spark, path, partitions=3)
     assert df.rdd.getNumPartitions() == 3 and df.count() == 50
+
+
+def test_load_baseline_reraises_other_errors(spark, tmp_out):
+    path = tmp_out("not-parquet")
+    _write_text(path + "/part.txt", "plain text\n")
+    with pytest.raises(Exception) as err:
+        load_baseline(spark, path)
+    assert "PATH_NOT_FOUND" not in str(err.value)
