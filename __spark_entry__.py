@@ -307,7 +307,7 @@ COVERS = {
     "drift": "Q5",
     "output_counts": "Q2",
     "output_gate": "Q7",
-    "quality_report_rows": "S3 S4 S6 S7 Q1-Q6 P2",
+    "quality_report_rows": "S3 S4 S6 S7 Q1 Q2 Q3 Q4 Q5 Q6 P2",
     "checkpoint_roundtrip": "S3 S4 A3",
     "csv_source_ratio": "S1 S3 S4 S5 P1 A2",
 }
