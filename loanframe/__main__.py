@@ -63,6 +63,7 @@ def _parser() -> argparse.ArgumentParser:
     q.add_argument("--ratio", required=True)
     q.add_argument("--curve", required=True)
     q.add_argument("--format", default="parquet")
+    q.add_argument("--as-tables", action="store_true", help="--ratio/--curve are table names")
     q.add_argument("--baseline", required=True)
     q.add_argument("--report", required=True)
     q.add_argument("--report-format", default="parquet", help="e.g. json for readable lines")
@@ -104,10 +105,12 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "quality":
         if not args.stats and raw is None:
             raise SystemExit("quality: pass --raw or --stats")
-        outputs = {
-            "npl_ratio": spark.read.format(args.format).load(args.ratio),
-            "vintage_curve": spark.read.format(args.format).load(args.curve),
-        }
+        def output(target):
+            if args.as_tables:
+                return target  # a catalog table name, counted by output_row_counts
+            return spark.read.format(args.format).load(target)
+
+        outputs = {"npl_ratio": output(args.ratio), "vintage_curve": output(args.curve)}
         kwargs = {} if args.threshold is None else {"threshold_pct": args.threshold}
         if args.stats:
             kwargs["batch_stats"] = spark.read.parquet(args.stats)

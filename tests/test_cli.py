@@ -95,3 +95,21 @@ def test_quality_needs_raw_or_stats(spark, tmp_out):
     with pytest.raises(SystemExit):
         main(["quality", "--checkpoint", tmp_out("c"), "--ratio", tmp_out("r"), "--curve", tmp_out("v"),
               "--baseline", tmp_out("b"), "--report", tmp_out("rep")])
+
+
+def test_batch_and_quality_with_catalog_tables(spark, raw_path, tmp_out):
+    names = ("loanframe_cli_ratio", "loanframe_cli_curve")
+    ckpt, stats, baseline, report = tmp_out("ckpt"), tmp_out("stats"), tmp_out("b"), tmp_out("report")
+    try:
+        assert main(["batch", "--raw", raw_path, "--checkpoint", ckpt, "--ratio", names[0],
+                     "--curve", names[1], "--as-tables", "--stats", stats]) == 0
+        assert main(["quality", "--stats", stats, "--checkpoint", ckpt, "--ratio", names[0],
+                     "--curve", names[1], "--as-tables", "--baseline", baseline, "--report", report]) == 0
+        counts = {r.metric: r.number for r in spark.read.parquet(report).filter("section = 'output_counts'").collect()}
+        assert counts == {
+            "npl_ratio_row_count": float(spark.table(names[0]).count()),
+            "vintage_curve_row_count": float(spark.table(names[1]).count()),
+        }
+    finally:
+        for n in names:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")
