@@ -92,7 +92,8 @@ def write_checkpoint(
     rows are first rebalanced on those columns (``REBALANCE`` hint): otherwise every
     input split would write one small file per partition value, and AQE sizes the
     rebalanced partitions, splitting a value that holds a large share of the rows
-    over several tasks.
+    over several tasks.  (The split needs AQE, Spark's default; without it the
+    rebalance is a plain hash repartition on those columns.)
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
