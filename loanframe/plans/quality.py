@@ -40,7 +40,7 @@ def run_quality(
     spark: SparkSession,
     raw: DataFrame | None,
     checkpoint: DataFrame,
-    outputs: Mapping[str, DataFrame],
+    outputs: Mapping[str, DataFrame | str],
     baseline_path: str | None = None,
     null_columns: Sequence[str] = rules.NULL_CHECK_COLUMNS,
     distribution_columns: Sequence[str] = rules.DISTRIBUTION_COLUMNS,
@@ -52,7 +52,8 @@ def run_quality(
     the current snapshot is saved there (first run) and no drift is computed.
 
     With ``batch_stats`` (the row the batch job saved) the raw row count comes from
-    it and ``raw`` may be ``None``: the raw input is not read again.
+    it and ``raw`` may be ``None``: the raw input is not read again.  ``outputs``
+    maps labels to output DataFrames or catalog table names.
     """
     if batch_stats is not None:
         rc = row_count_delta_from_stats(batch_stats, checkpoint)
