@@ -208,3 +208,21 @@ def test_drift_against_brute_force(spark, current, baseline, threshold):
         shift = (round(c * 100) - round(b * 100)) / 100
         want[key] = (c, b, shift, abs(shift) >= threshold)
     assert got == want
+
+
+state_texts = st.one_of(
+    st.none(),
+    st.text(alphabet="ACNYca \n9x", max_size=4),
+    st.sampled_from(["CA", "NY", "CA\n", "ca", "C", "CAL", "941xx", ""]),
+)
+
+
+@SETTINGS
+@given(st.lists(state_texts, min_size=1, max_size=200))
+def test_shifted_row_filter_against_brute_force(spark, states):
+    from loanframe.operators import drop_shifted_rows
+
+    df = spark.createDataFrame(list(enumerate(states)), "id bigint, addr_state string")
+    kept = sorted(r.id for r in drop_shifted_rows(df).collect())
+    want = [i for i, s in enumerate(states) if s is not None and re.fullmatch(r"[A-Z]{2}", s)]
+    assert kept == want
