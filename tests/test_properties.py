@@ -226,3 +226,27 @@ def test_shifted_row_filter_against_brute_force(spark, states):
     kept = sorted(r.id for r in drop_shifted_rows(df).collect())
     want = [i for i, s in enumerate(states) if s is not None and re.fullmatch(r"[A-Z]{2}", s)]
     assert kept == want
+
+
+purpose_texts = st.one_of(st.none(), st.sampled_from(["car", "house", "bogus", "", "CAR"]))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(purpose_texts, state_texts), min_size=1, max_size=200), st.booleans())
+def test_category_violations_against_brute_force(spark, rows, nulls_invalid):
+    from loanframe.operators import category_violations
+
+    df = spark.createDataFrame(rows, "purpose string, addr_state string")
+    got = {r.check: r.violations for r in category_violations(
+        df, domain=("car", "house"), nulls_invalid=nulls_invalid).collect()}
+
+    def bad_domain(p):
+        return nulls_invalid if p is None else p not in ("car", "house")
+
+    def bad_pattern(s):
+        return nulls_invalid if s is None else not re.fullmatch(r"[A-Z]{2}", s)
+
+    assert got == {
+        "domain": sum(bad_domain(p) for p, _ in rows),
+        "pattern": sum(bad_pattern(s) for _, s in rows),
+    }
