@@ -250,3 +250,38 @@ def test_category_violations_against_brute_force(spark, rows, nulls_invalid):
         "domain": sum(bad_domain(p) for p, _ in rows),
         "pattern": sum(bad_pattern(s) for _, s in rows),
     }
+
+
+import math  # noqa: E402
+
+ages = st.one_of(st.none(), st.integers(-300, 3000).map(lambda a: a / 10))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(2010, 2012)), ages, st.integers(0, 1)),
+                min_size=0, max_size=200))
+def test_default_rate_curve_against_brute_force(spark, rows):
+    from loanframe.operators import default_rate_curve
+
+    df = spark.createDataFrame(rows, "vintage_year int, loan_age_months double, is_default int")
+    got = {(r.vintage_year, r.loan_age_months): (r.default_count, r.total_count, r.npl_ratio)
+           for r in default_rate_curve(df).collect()}
+    cells = {}
+    for v, a, d in rows:
+        key = (v, None if a is None else math.floor(a))
+        dc, tc = cells.get(key, (0, 0))
+        cells[key] = (dc + d, tc + 1)
+    assert got == {k: (dc, tc, dc / tc) for k, (dc, tc) in cells.items()}
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.sampled_from(["Fully Paid", "Charged Off", "Current"])),
+                min_size=1, max_size=200))
+def test_status_profile_against_brute_force(spark, statuses):
+    from loanframe.operators import status_profile
+
+    df = spark.createDataFrame([(s,) for s in statuses], "loan_status string")
+    got = [(r.loan_status, r["count"], r.pct) for r in status_profile(df).collect()]
+    counts = Counter(statuses)
+    ordered = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0] is not None, kv[0] or ""))
+    assert got == [(s, n, _pct(n, len(statuses))) for s, n in ordered]
