@@ -285,3 +285,26 @@ def test_status_profile_against_brute_force(spark, statuses):
     counts = Counter(statuses)
     ordered = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0] is not None, kv[0] or ""))
     assert got == [(s, n, _pct(n, len(statuses))) for s, n in ordered]
+
+
+sparse_rows = st.lists(
+    st.tuples(st.one_of(st.none(), st.integers(0, 9)), st.one_of(st.none(), st.sampled_from(["a", "b"]))),
+    min_size=0,
+    max_size=200,
+)
+
+
+@SETTINGS
+@given(sparse_rows)
+def test_fill_and_null_rates_against_brute_force(spark, rows):
+    from loanframe.operators import fill_rates, null_rates
+
+    df = spark.createDataFrame(rows, "x int, y string")
+    n = len(rows)
+    fills = {r.column: (r.total_rows, r.non_null_count, r.null_count, r.fill_rate)
+             for r in fill_rates(df, ["x", "y"]).collect()}
+    nulls = {r.column: (r.null_count, r.null_pct) for r in null_rates(df, ["x", "y"]).collect()}
+    for i, c in enumerate(["x", "y"]):
+        nn = sum(r[i] is not None for r in rows)
+        assert fills[c] == (n, nn, n - nn, nn / n if n else 0.0)
+        assert nulls[c] == (n - nn, _pct(n - nn, n))
