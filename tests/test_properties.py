@@ -308,3 +308,28 @@ def test_fill_and_null_rates_against_brute_force(spark, rows):
         nn = sum(r[i] is not None for r in rows)
         assert fills[c] == (n, nn, n - nn, nn / n if n else 0.0)
         assert nulls[c] == (n - nn, _pct(n - nn, n))
+
+
+status_texts = st.one_of(st.none(), st.sampled_from(["Fully Paid", "Charged Off", "Current"]))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(state_texts, status_texts, purpose_texts), min_size=0, max_size=200))
+def test_counts_and_funnel_against_brute_force(spark, rows):
+    from loanframe.operators import batch_stats, label_distribution, label_target, value_counts
+
+    df = spark.createDataFrame(rows, "addr_state string, loan_status string, purpose string")
+    # A5: value counts, most frequent first, ties by value with null first
+    got = [tuple(r) for r in value_counts(df, "purpose").collect()]
+    counts = Counter(p for _, _, p in rows)
+    assert got == sorted(counts.items(), key=lambda kv: (-kv[1], kv[0] is not None, kv[0] or ""))
+    # A9 over labelled rows
+    labels = Counter(1 if s == "Charged Off" else 0 for _, s, _ in rows if s in ("Fully Paid", "Charged Off"))
+    assert [tuple(r) for r in label_distribution(label_target(df)).collect()] == sorted(labels.items())
+    # batch stats: row funnel and the category check among aligned rows
+    aligned = [r for r in rows if r[0] is not None and re.fullmatch(r"[A-Z]{2}", r[0])]
+    s = batch_stats(df, domain=("car", "house")).first()
+    assert (s.raw_rows, s.aligned_rows) == (len(rows), len(aligned))
+    assert s.labelled_rows == sum(r[1] in ("Fully Paid", "Charged Off") for r in aligned)
+    assert s.domain_violations == sum(r[2] is not None and r[2] not in ("car", "house") for r in aligned)
+    assert s.pattern_violations == 0
