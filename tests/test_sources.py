@@ -152,3 +152,22 @@ def test_load_baseline_reraises_other_errors(spark, tmp_out):
     with pytest.raises(Exception) as err:
         load_baseline(spark, path)
     assert "PATH_NOT_FOUND" not in str(err.value)
+
+
+def test_shared_dir_is_required_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
