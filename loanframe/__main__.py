@@ -29,7 +29,14 @@ from pyspark.sql import SparkSession  # noqa: E402
 from loanframe.operators.checks import require_non_empty  # noqa: E402
 from loanframe.operators.profile import dataset_profile, sample_rows  # noqa: E402
 from loanframe.plans import run_batch, run_profiling, run_quality  # noqa: E402
-from loanframe.sources import read_checkpoint, read_raw_csv, write_table  # noqa: E402
+from loanframe.sources import (  # noqa: E402
+    load_baseline,
+    load_json_baseline,
+    read_checkpoint,
+    read_raw_csv,
+    save_baseline,
+    write_table,
+)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -65,6 +72,12 @@ def _parser() -> argparse.ArgumentParser:
     q.add_argument("--format", default="parquet")
     q.add_argument("--as-tables", action="store_true", help="--ratio/--curve are table names")
     q.add_argument("--baseline", required=True)
+    q.add_argument(
+        "--baseline-json",
+        default=None,
+        help="a baseline kept as a JSON object {column: {value: pct}}; converted into "
+        "--baseline when that does not exist yet",
+    )
     q.add_argument("--report", required=True)
     q.add_argument("--report-format", default="parquet", help="e.g. json for readable lines")
     q.add_argument("--threshold", type=float, default=None)
@@ -111,6 +124,10 @@ def main(argv: list[str] | None = None) -> int:
             return spark.read.format(args.format).load(target)
 
         outputs = {"npl_ratio": output(args.ratio), "vintage_curve": output(args.curve)}
+        if args.baseline_json and load_baseline(spark, args.baseline) is None:
+            legacy = load_json_baseline(spark, args.baseline_json)
+            if legacy is not None:
+                save_baseline(legacy, args.baseline)
         kwargs = {} if args.threshold is None else {"threshold_pct": args.threshold}
         if args.stats:
             kwargs["batch_stats"] = spark.read.parquet(args.stats)

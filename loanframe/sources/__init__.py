@@ -3,6 +3,7 @@ snapshot, and the loan-shaped view over the test tables."""
 
 from loanframe.sources.files import (
     load_baseline,
+    load_json_baseline,
     read_checkpoint,
     read_raw_csv,
     save_baseline,
@@ -17,6 +18,7 @@ from loanframe.sources.tpch_loans import loan_view
 
 __all__ = [
     "load_baseline",
+    "load_json_baseline",
     "loan_view",
     "read_checkpoint",
     "read_raw_csv",

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
@@ -135,6 +136,41 @@ def load_baseline(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def load_json_baseline(spark: SparkSession, path: str) -> DataFrame | None:
+    """A baseline kept as one JSON object ``{column: {value: pct}}`` (the form the
+    source job stored), as snapshot rows ``(column, value, row_count, pct)``; ``None``
+    when the file is absent.
+
+    Keys were Python ``str(value)``: ``"None"`` becomes null and ``"True"`` /
+    ``"False"`` become ``"true"`` / ``"false"``, the text Spark gives those values,
+    so the rows join with :func:`loanframe.operators.distribution_snapshot`.
+    ``row_count`` is null (the JSON form has none).  The file is parsed by Spark
+    (``from_json`` to a map, then ``explode``), not on the driver.
+    """
+    try:
+        text = spark.read.text(path, wholetext=True)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e).lower():
+            return None
+        raise
+    parsed = F.from_json("value", "map<string,map<string,double>>")
+    pairs = text.select(F.explode(parsed).alias("column", "values")).select(
+        "column", F.explode("values").alias("key", "pct")
+    )
+    value = (
+        F.when(F.col("key") == "None", F.lit(None).cast("string"))
+        .when(F.col("key") == "True", F.lit("true"))
+        .when(F.col("key") == "False", F.lit("false"))
+        .otherwise(F.col("key"))
+    )
+    return pairs.select(
+        "column",
+        value.alias("value"),
+        F.lit(None).cast("bigint").alias("row_count"),
+        "pct",
+    )
+
+
 def save_baseline(snapshot: DataFrame, path: str, refresh: bool = False) -> str:
     """Save a snapshot as the baseline.
 
@@ -175,6 +211,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 __all__ = [
     "load_baseline",
+    "load_json_baseline",
     "read_checkpoint",
     "read_raw_csv",
     "save_baseline",

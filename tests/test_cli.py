@@ -113,3 +113,23 @@ def test_batch_and_quality_with_catalog_tables(spark, raw_path, tmp_out):
     finally:
         for n in names:
             spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
+def test_quality_converts_a_json_baseline(spark, raw_path, tmp_out):
+    import json
+    import os
+
+    ckpt, ratio, curve, stats = tmp_out("ckpt"), tmp_out("ratio"), tmp_out("curve"), tmp_out("stats")
+    assert main(["batch", "--raw", raw_path, "--checkpoint", ckpt, "--ratio", ratio, "--curve", curve,
+                 "--stats", stats]) == 0
+    legacy_dir = tmp_out("legacy")
+    os.makedirs(legacy_dir)
+    legacy = os.path.join(legacy_dir, "baseline_snapshot.json")
+    with open(legacy, "w") as f:
+        json.dump({"grade": {"A": 100.0}}, f)
+    report = tmp_out("report")
+    assert main(["quality", "--stats", stats, "--checkpoint", ckpt, "--ratio", ratio, "--curve", curve,
+                 "--baseline", tmp_out("baseline"), "--baseline-json", legacy, "--report", report]) == 0
+    drift_rows = spark.read.parquet(report).filter("section = 'drift'").collect()
+    # grade A fell from 100 % to about a seventh: flagged drift, not the first-run note
+    assert any(r.column == "grade" and r.value == "A" and r.number < 0 for r in drift_rows)

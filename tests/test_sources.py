@@ -171,3 +171,29 @@ def test_shared_dir_is_required_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Session())
+
+
+def test_json_baseline_joins_the_snapshot(spark, tmp_out):
+    import json
+
+    from loanframe.operators import distribution_snapshot, drift
+    from loanframe.sources import load_json_baseline
+
+    path = tmp_out("json-baseline") + "/baseline_snapshot.json"
+    snapshot = {"grade": {"A": 50.0, "None": 50.0}, "has_prior_delinquency": {"True": 25.0, "False": 75.0}}
+    _write_text(path, json.dumps(snapshot, indent=2))
+    base = load_json_baseline(spark, path)
+    got = {(r.column, r.value): (r.row_count, r.pct) for r in base.collect()}
+    assert got == {
+        ("grade", "A"): (None, 50.0),
+        ("grade", None): (None, 50.0),
+        ("has_prior_delinquency", "true"): (None, 25.0),
+        ("has_prior_delinquency", "false"): (None, 75.0),
+    }
+    df = spark.createDataFrame([("A", True), (None, False), ("A", False), (None, False)],
+                               "grade string, has_prior_delinquency boolean")
+    current = distribution_snapshot(df, ["grade", "has_prior_delinquency"])
+    shifts = {(r.column, r.value): r.shift_pct for r in drift(current, base).collect()}
+    assert shifts == {("grade", "A"): 0.0, ("grade", None): 0.0,
+                      ("has_prior_delinquency", "true"): 0.0, ("has_prior_delinquency", "false"): 0.0}
+    assert load_json_baseline(spark, tmp_out("absent") + "/none.json") is None
