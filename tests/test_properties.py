@@ -333,3 +333,14 @@ def test_counts_and_funnel_against_brute_force(spark, rows):
     assert s.labelled_rows == sum(r[1] in ("Fully Paid", "Charged Off") for r in aligned)
     assert s.domain_violations == sum(r[2] is not None and r[2] not in ("car", "house") for r in aligned)
     assert s.pattern_violations == 0
+
+
+@SETTINGS
+@given(st.integers(0, 3000), st.integers(0, 3000))
+def test_row_count_delta_against_brute_force(spark, raw_n, ckpt_n):
+    from loanframe.operators import row_count_delta
+
+    r = row_count_delta(spark.range(raw_n), spark.range(ckpt_n)).first()
+    delta = ckpt_n - raw_n
+    want_pct = None if raw_n == 0 else (-1 if delta < 0 else 1) * _pct(abs(delta), raw_n)
+    assert tuple(r) == (raw_n, ckpt_n, delta, want_pct)
