@@ -725,10 +725,31 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_bad_rate_by_dimension(spark, SMOKE_DIR)
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators, and their pipeline; empty
+    where the optional subpackage is not installed."""
+    found, sql = {}, {}
+    try:
+        from loanframe.llm import queries as llm_queries
+    except ImportError:
+        return found, sql
+    found |= llm_queries.QUERIES
+    sql |= llm_queries.ORACLES
+    try:
+        import corpus_pipeline
+    except ImportError:
+        return found, sql
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return QUERIES | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
     # "column" is a reserved word in DuckDB: quote it as an identifier.
-    return {k: _QUOTE_COLUMN.sub('"column"', v) for k, v in _oracles().items()}
+    own = {k: _QUOTE_COLUMN.sub('"column"', v) for k, v in _oracles().items()}
+    return own | _training_data()[1]
