@@ -19,11 +19,13 @@ repeated rows included, gives one output row and all other columns pass through.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField
@@ -31,9 +33,9 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField
 from .common import ship_package, with_fields
 
 #: Matches up to this many bytes are kept in a worker's memo, and so many of them.
-MEMO_BYTES, MEMO_ENTRIES = 64, 400_000
+MEMO_BYTES, MEMO_ENTRIES = 64, 300_000
 #: So many pair checks are kept before the memo starts anew.
-PAIR_ENTRIES = 1_000_000
+PAIR_ENTRIES = 500_000
 #: Texts over so many characters are matched one match at a time.
 LONG_TEXT = 1_000_000
 
@@ -62,12 +64,14 @@ class BytePairEncoder:
         self.pattern = regex.compile(pattern)
         self.automaton = ahocorasick.Automaton()
         for token, rank in self.rank.items():
-            self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
+            self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
+        self._sizes = [len(t) for t in self.tokens]
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._shorter: dict[int, int] = {}
-        self._apart: dict[tuple[int, int], bool] = {}
-        self._memo: dict[str, list[int]] = {}
+        self._apart: dict[int, bool] = {}
+        self._memo = _Memo(self)
+        self._token_array = pa.array([t or None for t in self.tokens], pa.binary())
 
     # --- one match -----------------------------------------------------------
 
@@ -94,7 +98,7 @@ class BytePairEncoder:
         earliest along their common edge.  A merge over the edge that ranks before
         the one just undone would have been made first, so the pair cannot stand.
         """
-        key = (left, right)
+        key = left << 32 | right
         known = self._apart.get(key)
         if known is None:
             if len(self._apart) >= PAIR_ENTRIES:
@@ -139,55 +143,90 @@ class BytePairEncoder:
         n = len(piece)
         if not n:
             return []
-        size, longest = [0] * n, [0] * n
-        for end, (length, token) in self.automaton.iter(piece.decode("latin-1")):
-            start = end - length + 1
-            if length > size[start]:
-                size[start], longest[start] = length, token
+        letters, sizes, pairs = piece.decode("latin-1"), self._sizes, self._apart
+        # Every single byte is a token, so the longest matches from an offset on begin
+        # right there and leave no gap; other offsets are looked up when stepped on.
+        longest, start = {}, 0
+        for end, token in self.automaton.iter_long(letters):
+            longest[start] = token
+            start = end + 1
         alive = bytearray(b"\x01") * (n + 1)
-        tokens, ids, at = self.tokens, [], 0
+        ids, at, before = [], 0, -1
         candidate = longest[0]
         while True:
-            end = at + len(tokens[candidate])
-            if alive[end] and (not ids or self.apart(ids[-1], candidate)):
-                ids.append(candidate)
-                at = end
-                if at == n:
-                    return ids
-                candidate = longest[at]
-                continue
+            end = at + sizes[candidate]
+            if alive[end]:
+                fits = before < 0 or pairs.get(before << 32 | candidate)
+                if fits is None:
+                    fits = self.apart(before, candidate)
+                if fits:
+                    ids.append(candidate)
+                    if end == n:
+                        return ids
+                    before, at = candidate, end
+                    candidate = longest.get(at)
+                    if candidate is None:
+                        candidate = longest[at] = next(self.automaton.iter_long(letters, at))[1]
+                    continue
             candidate = self.shorter(candidate)
             while candidate < 0:  # nothing fits here: give the previous token up
                 alive[at] = 0
                 last = ids.pop()
-                at -= len(tokens[last])
+                at -= sizes[last]
+                before = ids[-1] if ids else -1
                 candidate = self.shorter(last)
 
     # --- whole texts ---------------------------------------------------------
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a whole text."""
+    def encode_packed(self, text: str) -> bytes:
+        """Ids of a whole text, as 32-bit integers one after the other."""
         if len(text) > LONG_TEXT:
             pieces = (m.group() for m in self.pattern.finditer(text))
         else:
             pieces = self.pattern.findall(text)
-        ids: list[int] = []
-        memo = self._memo
-        for piece in pieces:
-            found = memo.get(piece)
-            if found is None:
-                raw = piece.encode("utf-8", "surrogatepass")
-                found = self.encode_bytes(raw)
-                if len(raw) <= MEMO_BYTES:
-                    if len(memo) >= MEMO_ENTRIES:
-                        memo.clear()
-                    memo[piece] = found
-            ids += found
-        return ids
+        return b"".join(map(self._memo.__getitem__, pieces))
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of a whole text."""
+        return np.frombuffer(self.encode_packed(text), np.int32).tolist()
+
+    def decode_lists(self, ids: pa.ListArray) -> pa.BinaryArray:
+        """The bytes of every list; null for null.  An id outside the vocabulary, or
+        a null one, is an error."""
+        flat = ids.flatten()
+        if flat.null_count:
+            raise ValueError("null token id")
+        found = self._token_array.take(flat)
+        if found.null_count:
+            raise ValueError("id without a token")
+        offsets = np.frombuffer(found.buffers()[1], np.int32)[found.offset : found.offset + len(found) + 1]
+        sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+        ends = offsets[np.concatenate([[0], np.cumsum(sizes)])]
+        whole = pa.BinaryArray.from_buffers(
+            pa.binary(), len(ids), [None, pa.py_buffer(np.ascontiguousarray(ends, np.int32)), found.buffers()[2]]
+        )
+        return pc.if_else(ids.is_valid(), whole, pa.scalar(None, pa.binary()))
 
     def decode(self, ids) -> bytes:
-        """The bytes of a list of ids; an id outside the vocabulary is an error."""
-        return b"".join(map(self.tokens.__getitem__, ids))
+        """The bytes of one list of ids."""
+        return self.decode_lists(pa.array([list(ids)], pa.list_(pa.int32())))[0].as_py()
+
+
+class _Memo(dict):
+    """Packed ids of the matches seen lately."""
+
+    def __init__(self, encoder: BytePairEncoder):
+        super().__init__()
+        self.encode_bytes = encoder.encode_bytes
+
+    def __missing__(self, piece: str) -> bytes:
+        raw = piece.encode("utf-8", "surrogatepass")
+        packed = array("i", self.encode_bytes(raw)).tobytes()
+        if len(raw) <= MEMO_BYTES:
+            if len(self) >= MEMO_ENTRIES:
+                self.clear()
+            self[piece] = packed
+        return packed
 
 
 _worker: dict[tuple[int, str], BytePairEncoder] = {}
@@ -235,12 +274,12 @@ def encode_texts(
         encoder = _encoder(ranks.value, pattern)
         for batch in _in_pieces(batches, text):
             lists = [
-                encoder.encode(t) if t is not None else []
+                encoder.encode_packed(t) if t is not None else b""
                 for t in batch.column(batch.schema.get_field_index(text)).to_pylist()
             ]
             offsets = np.zeros(len(lists) + 1, np.int32)
-            np.cumsum([len(x) for x in lists], out=offsets[1:])
-            flat = np.fromiter((i for x in lists for i in x), np.int32, int(offsets[-1]))
+            np.cumsum([len(x) // 4 for x in lists], out=offsets[1:])
+            flat = np.frombuffer(b"".join(lists), np.int32)
             yield _placed(batch, out, pa.ListArray.from_arrays(offsets, flat))
 
     return df.mapInArrow(run, with_fields(df, StructField(out, ArrayType(IntegerType()))))
@@ -258,7 +297,6 @@ def decode_ids(
         encoder = _encoder(ranks.value, pattern)
         for batch in _in_pieces(batches, ids):
             column = batch.column(batch.schema.get_field_index(ids))
-            values = [None if x is None else encoder.decode(x) for x in column.to_pylist()]
-            yield _placed(batch, out, pa.array(values, pa.binary()))
+            yield _placed(batch, out, encoder.decode_lists(column))
 
     return df.mapInArrow(run, with_fields(df, StructField(out, BinaryType())))
