@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .bpe import decode_ids, encode_texts
 from .common import crc_remainder, table
+from .decontaminate import contaminated_pairs
 from .langid import fit_language_model, identify_language
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -37,6 +38,11 @@ def _held_out(modulus: int, remainder: int):
     return F.coalesce(crc_remainder("doc_id", modulus) == remainder, F.lit(False))
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every occurrence of a test item in a document, with its edit distance."""
+    return contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from two thirds of them."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", _held_out(3, 1))
@@ -45,6 +51,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op10_language_id": op10_language_id,
     "op6_byte_bpe": op6_byte_bpe,
 }
