@@ -14,10 +14,20 @@ from .bpe import decode_ids, encode_texts
 from .common import crc_remainder, table
 from .decontaminate import contaminated_pairs
 from .langid import fit_language_model, identify_language
+from .simhash import simhash_groups
 
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    return simhash_groups(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document, encoded and decoded again."""
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
@@ -53,6 +63,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op10_language_id": op10_language_id,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_byte_bpe": op6_byte_bpe,
 }
 

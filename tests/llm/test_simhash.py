@@ -1,0 +1,115 @@
+import random
+
+import pytest
+import xxhash
+
+from loanframe.llm.components import components
+from loanframe.llm.simhash import fingerprint, keep_one_of_each, near_fingerprints, simhash_groups
+
+
+def slow_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    w = min(3, len(words))
+    hashes = [xxhash.xxh64_intdigest(b" ".join(words[i : i + w]), 42) for i in range(len(words) - w + 1)]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def roots_of(nodes, linked):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a in nodes:
+        for b in nodes:
+            if a < b and linked(a, b):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {n: find(n) for n in nodes}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_of_paths_and_stars(spark, seed):
+    r = random.Random(seed)
+    edges = [(i, i + 1) for i in range(0, 60)] + [(500, i) for i in range(100, 140)]
+    edges += [(r.randint(1000, 1100), r.randint(1000, 1100)) for _ in range(60)] + [(7, 7), (None, 3)]
+    r.shuffle(edges)
+    clean = [(a, b) for a, b in edges if a is not None]
+    nodes = {x for a, b in clean if a != b for x in (a, b)}
+    want = roots_of(nodes, lambda a, b: (a, b) in clean or (b, a) in clean)
+    got = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {x.node: x.root for x in got} == want and len(got) == len(want)
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_fingerprint_equals_the_definition(monkeypatch):
+    texts = [None, "", " \t\n", "One", "one TWO", "a b c", "a b c d", "É é Ünï x", "x y z\x0bw", "w " * 5000]
+    want = [slow_fingerprint(t) for t in texts]
+    assert [fingerprint(t) for t in texts] == want
+    monkeypatch.setattr("loanframe.llm.simhash.BLOCK", 7)
+    assert [fingerprint(t) for t in texts] == want
+
+
+def signed(n):
+    return n - (1 << 64) if n >> 63 else n
+
+
+def test_links_equal_brute_force_with_full_cells(spark):
+    r = random.Random(3)
+    fps = {r.getrandbits(64) for _ in range(150)}
+    for _ in range(4):  # chains of one to three changed bits
+        x = r.getrandbits(64)
+        for _ in range(25):
+            x ^= sum(1 << b for b in r.sample(range(64), r.randint(1, 3)))
+            fps.add(x)
+    center = r.getrandbits(64) | 1 << 63  # a crowd around one fingerprint
+    fps |= {center ^ 1 << a ^ 1 << b for a in range(64) for b in range(a)} | {0, 1 << 63, (1 << 64) - 1}
+    fps = sorted(map(signed, fps))
+    edges = near_fingerprints(spark.createDataFrame([(f,) for f in fps], "fp long"))
+    assert all(bin((e.a ^ e.b) & (1 << 64) - 1).count("1") <= 2 for e in edges.collect())
+    got = {x.node: x.root for x in components(edges).collect()}
+    want = roots_of(fps, lambda a, b: bin((a ^ b) & (1 << 64) - 1).count("1") <= 2)
+    assert {f: got.get(f, f) for f in fps} == want
+
+
+def test_rows_ids_and_nulls(spark):
+    base = " ".join(f"word{i}" for i in range(400))
+    rows = [
+        (5, base, "x"),
+        (3, base.replace("word7 ", "word8 "), "x"),
+        (3, base.replace("word7 ", "word8 "), "x"),
+        (None, base, "x"),
+        (8, None, "x"),
+        (9, "", "x"),
+        (10, "other words altogether " * 30_000, "x"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, FP string")
+    linked = bin(slow_fingerprint(rows[0][1]) ^ slow_fingerprint(rows[1][1])).count("1") <= 2
+    got = sorted((r.doc_id or -1, r.component_id) for r in simhash_groups(df).collect())
+    near = 3 if linked else 5
+    assert got == sorted([(5, near), (3, 3), (3, 3), (-1, near), (8, 8), (9, 8), (10, 10)])
+    kept = keep_one_of_each(df)
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect()) == ([3, 8, 10] if linked else [3, 5, 8, 10])
+    assert simhash_groups(df.filter("false")).count() == 0
+    assert keep_one_of_each(df.filter("false")).count() == 0
+    nulls = keep_one_of_each(df.filter("doc_id is null").union(df.filter("doc_id is null")))
+    assert nulls.count() == 1
+
+
+def test_query_equals_brute_force(spark):
+    from loanframe.llm.queries import op5_simhash_near_dedup
+
+    d = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{d}/documents.parquet").collect()}
+    fps = {i: slow_fingerprint(t) for i, t in docs.items()}
+    want = roots_of(sorted(docs), lambda a, b: bin(fps[a] ^ fps[b]).count("1") <= 2)
+    got = op5_simhash_near_dedup(spark, d).collect()
+    assert {(r.doc_id, r.fingerprint, r.component_id) for r in got} == {
+        (i, f"{fps[i]:016x}", want[i]) for i in docs
+    }
+    assert len(set(want.values())) < len(want)
