@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -48,14 +49,20 @@ def with_fields(df: DataFrame, *fields: StructField) -> StructType:
     return StructType([f for f in df.schema.fields if f.name.lower() not in names] + list(fields))
 
 
-def without(df: DataFrame, *names: str) -> DataFrame:
-    """``df`` without the named columns (in any case)."""
-    lower = {n.lower() for n in names}
-    return df.select(*[_quoted(c) for c in df.columns if c.lower() not in lower])
+def column(name: str) -> Column:
+    """The column of that very name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
-def _quoted(name: str):
-    return F.col("`" + name.replace("`", "``") + "`")
+def packed(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct ``row``, so that no column added beside it
+    can clash with theirs."""
+    return F.struct(*[column(c) for c in df.columns]).alias("row")
+
+
+def unpacked(columns: Sequence[str], **values: Column) -> list[Column]:
+    """The columns of ``row`` again, with those in ``values`` replaced."""
+    return [values.get(c, F.col("row").getField(c)).alias(c) for c in columns]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -75,6 +82,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def crc_remainder(column: str, modulus: int):
+def crc_remainder(name: str, modulus: int) -> Column:
     """``crc32(column as text) mod modulus``."""
-    return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
+    return F.crc32(F.col(name).cast("string").cast("binary")) % modulus

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _in_pieces
-from .common import ship_package, with_fields
+from .common import column, ship_package, with_fields
 
 #: Edits allowed per compared character of an item.
 ERROR_RATE = 0.08
@@ -253,4 +253,4 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows in which a test item occurs."""
     kept = find_contamination(docs, benchmark, **options).filter(F.size("matches") == 0)
-    return kept.select(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns if c.lower() != "matches"])
+    return kept.select(*[column(c) for c in docs.columns if c.lower() != "matches"])

@@ -14,6 +14,8 @@ from .bpe import decode_ids, encode_texts
 from .common import crc_remainder, table
 from .decontaminate import contaminated_pairs
 from .langid import fit_language_model, identify_language
+from .linededup import ORACLE as LINE_DEDUP_SQL
+from .linededup import remove_repeated_chunks
 from .simhash import simhash_groups
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -53,6 +55,16 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the chunks of lines that occur earlier: counts, and the
+    digest of the text that is left."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = remove_repeated_chunks(docs, report=True)
+    return left.select(
+        "doc_id", "n_lines", "n_lines_removed", "n_chunks_removed", F.md5(F.col("text").cast("binary")).alias("text_md5")
+    )
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from two thirds of them."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", _held_out(3, 1))
@@ -62,10 +74,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op7_line_dedup": op7_line_dedup,
     "op10_language_id": op10_language_id,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_byte_bpe": op6_byte_bpe,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_line_dedup": LINE_DEDUP_SQL,
+}

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
 from .bpe import _in_pieces, _placed
-from .common import ship_package, stored, with_fields, without
+from .common import column, packed, ship_package, stored, unpacked, with_fields
 from .components import components
 
 SHINGLE = 3
@@ -130,7 +130,7 @@ def least_of_components(rows: DataFrame, value) -> DataFrame:
 def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document row: doc_id, fingerprint (long) and component_id (the
     smallest doc_id that links lead to)."""
-    rows = with_fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), out="fp")
+    rows = with_fingerprints(docs.select(column(doc_id).alias("doc_id"), column(text).alias("text")), out="fp")
     rows = stored(rows.select("doc_id", "fp"), "simhash")
     found = rows.join(least_of_components(rows, F.col("doc_id")), "fp")
     return found.select("doc_id", F.col("fp").alias("fingerprint"), F.col("least").alias("component_id"))
@@ -139,14 +139,14 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of linked documents: that of the smallest
     id (among rows of one id that of the least text hash; of equal rows any one)."""
-    keys = {
-        "_null_id": F.col(doc_id).isNull(),
-        "_id": F.coalesce(F.col(doc_id), F.lit(0)).cast("bigint"),
-        "_text_hash": F.xxhash64(text),
-    }
-    columns = without(docs, *keys).columns
-    spread = docs.select(*columns, *[v.alias(k) for k, v in keys.items()])
-    rows = with_fingerprints(spread.select(F.col(text).alias("text"), *keys), out="fp")
+    keys = ("null_id", "id", "text_hash")
+    spread = docs.select(
+        packed(docs),
+        column(doc_id).isNull().alias("null_id"),
+        F.coalesce(column(doc_id), F.lit(0)).cast("bigint").alias("id"),
+        F.xxhash64(column(text)).alias("text_hash"),
+    )
+    rows = with_fingerprints(spread.select(F.col("row").getField(text).alias("text"), *keys), out="fp")
     rows = stored(rows.select(*keys, "fp"), "simhash")
     kept = least_of_components(rows, F.struct(*keys)).select("least.*").distinct()
-    return spread.join(kept, list(keys)).dropDuplicates(list(keys)).select(*columns)
+    return spread.join(kept, list(keys)).dropDuplicates(list(keys)).select(*unpacked(docs.columns))
