@@ -45,7 +45,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _held_out(modulus: int, remainder: int):
+def held_out(modulus: int, remainder: int):
     """The fixed split by document id; a null id is not held out."""
     return F.coalesce(crc_remainder("doc_id", modulus) == remainder, F.lit(False))
 
@@ -67,7 +67,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from two thirds of them."""
-    docs = table(spark, sf_dir, "documents").withColumn("held_out", _held_out(3, 1))
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(3, 1))
     model = fit_language_model(docs.filter("not held_out").select("text", "lang"))
     return identify_language(docs.select("doc_id", "text", "held_out"), model).drop("text")
 

@@ -138,7 +138,8 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of linked documents: that of the smallest
-    id (among rows of one id that of the least text hash; of equal rows any one)."""
+    id (among rows of one id that of the least text hash; of rows with equal id and
+    text any one)."""
     keys = ("null_id", "id", "text_hash")
     spread = docs.select(
         packed(docs),

@@ -1,0 +1,86 @@
+import random
+
+import public_tokenizers as P
+import pytest
+import tiktoken
+from test_decontaminate import edit_table
+from test_linededup import slow as slow_lines
+from test_simhash import roots_of, slow_fingerprint
+
+import corpus_pipeline
+from loanframe.llm.bpe import BytePairEncoder, read_ranks
+from loanframe.llm.decontaminate import ERROR_RATE, MIN_CHARS, compared
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def _rows():
+    r = random.Random(11)
+    words = {
+        "en": "the and of river stone walking under bright morning light with".split(),
+        "de": "der und fluß stein wandern unter hellem morgenlicht über straße zwölf".split(),
+    }
+    rows = []
+    for i in range(60):
+        lang = r.choice(["en", "de"])
+        lines = [" ".join(r.choice(words[lang]) for _ in range(r.randint(5, 30))) for _ in range(r.randint(1, 8))]
+        rows.append([i, "\n".join(lines), lang, "s"])
+    item = rows[3][1].split("\n")[0] + " an item that belongs to the test set and to nothing else"
+    rows[10][1] += "\n" + item
+    rows[11][1] += "\n" + item.replace("belongs", "belonged").upper()
+    rows += [[100, rows[5][1], "en", "t"], [101, rows[6][1] + " x", "de", "t"], [102, None, None, None]]
+    rows += [[103, "", "en", "s"], [104, "12 34 !!", "en", "s"], [105, "one line " * 5000, "en", "s"], [5, rows[5][1], rows[5][2], "s"]]
+    return [(*row, len(row[1] or "")) for row in rows], [(0, item), (1, "short"), (2, None)]
+
+
+def _write(spark, folder, rows, items):
+    docs = spark.createDataFrame(rows, COLUMNS)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return docs
+
+
+def test_stages_equal_brute_force(spark, tmp_path):
+    rows, items = _rows()
+    docs = _write(spark, tmp_path, rows, items)
+    steps, outs = dict(corpus_pipeline.STAGES), []
+    df = docs
+    for name, stage in corpus_pipeline.STAGES:
+        df = spark.createDataFrame(stage(spark, df, str(tmp_path)).collect(), stage(spark, df, str(tmp_path)).schema)
+        outs.append(df)
+        if name != "byte_bpe":
+            assert df.columns == docs.columns
+    told, cut, single, clean, tokens = [[tuple(x) for x in o.collect()] for o in outs]
+    assert list(steps) == ["language_id", "line_dedup", "simhash_near_dedup", "benchmark_decontamination", "byte_bpe"]
+
+    assert sorted(told) == sorted(x for x in rows if x[1] and any(c.isalpha() for c in x[1]))
+    want = slow_lines(told)
+    assert sorted(cut) == sorted((x[0], want[x[:2]], *x[2:]) for x in told)
+
+    fps = {x[:2]: slow_fingerprint(x[1]) for x in cut}
+    roots = roots_of(sorted(fps), lambda a, b: bin(fps[a] ^ fps[b]).count("1") <= 2)
+    assert sorted(x[:2] for x in single) == sorted(set(roots.values()))
+
+    def leaked(text):
+        for _, item in items:
+            f = compared(item or "")
+            if len(f) >= MIN_CHARS and min(edit_table(f, compared(text)), default=99) <= int(len(f) * ERROR_RATE):
+                return True
+        return False
+
+    assert sorted(clean) == sorted(x for x in single if not leaked(x[1]))
+    assert {10, 11}.isdisjoint(x[0] for x in clean)
+
+    rank = BytePairEncoder(read_ranks(P.path("byte_bpe_50k.tiktoken")), P.PATTERN).rank
+    theirs = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=rank, special_tokens={})
+    ids = {x[0]: theirs.encode_ordinary(x[1]) for x in clean}
+    assert {x[0]: x[4] for x in tokens} == ids and all(x[5] and x[3] == len(x[4]) for x in tokens)
+
+    whole = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, whole)) == sorted(tokens)
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None, None, None, None)] * 3])
+def test_empty_and_null_tables(spark, tmp_path, rows):
+    _write(spark, tmp_path, rows, [])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
