@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .bpe import decode_ids, encode_texts
 from .common import crc_remainder, table
 from .decontaminate import contaminated_pairs
+from .embeddings import embedding_groups
 from .langid import fit_language_model, identify_language
 from .linededup import ORACLE as LINE_DEDUP_SQL
 from .linededup import remove_repeated_chunks
@@ -21,6 +22,11 @@ from .simhash import simhash_groups
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate group of every embedding."""
+    return embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     return simhash_groups(table(spark, sf_dir, "documents")).select(
@@ -76,6 +82,7 @@ QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op7_line_dedup": op7_line_dedup,
     "op10_language_id": op10_language_id,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_byte_bpe": op6_byte_bpe,
 }
