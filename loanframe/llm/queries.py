@@ -14,6 +14,7 @@ from .bpe import decode_ids, encode_texts
 from .common import crc_remainder, table
 from .decontaminate import contaminated_pairs
 from .embeddings import embedding_groups
+from .htmltext import extract_main_text
 from .langid import fit_language_model, identify_language
 from .linededup import ORACLE as LINE_DEDUP_SQL
 from .linededup import remove_repeated_chunks
@@ -71,6 +72,12 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_main_text(pages).drop("html")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from two thirds of them."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(3, 1))
@@ -81,6 +88,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op7_line_dedup": op7_line_dedup,
+    "op9_html_extraction": op9_html_extraction,
     "op10_language_id": op10_language_id,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
