@@ -18,6 +18,7 @@ from .htmltext import extract_main_text
 from .langid import fit_language_model, identify_language
 from .linededup import ORACLE as LINE_DEDUP_SQL
 from .linededup import remove_repeated_chunks
+from .quality import fit_quality, score_quality
 from .simhash import simhash_groups
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -28,6 +29,14 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(table(spark, sf_dir, "embeddings"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; learned from labels of three quarters."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    field = fit_quality(docs, labels.filter(~held_out(4, 2)).select("doc_id", "quality"))
+    rows = docs.select("doc_id", "text", held_out(4, 2).alias("held_out"))
+    return score_quality(rows, field).drop("text")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     return simhash_groups(table(spark, sf_dir, "documents")).select(
@@ -91,6 +100,7 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_language_id": op10_language_id,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
+    "op3_quality_classifier": op3_quality_classifier,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_byte_bpe": op6_byte_bpe,
 }

@@ -1,0 +1,108 @@
+import itertools
+import random
+
+import numpy as np
+import pytest
+
+from loanframe.llm.quality import (
+    FEATURES,
+    LineField,
+    _forward_backward,
+    document_scores,
+    fit_line_field,
+    fit_quality,
+    line_features,
+    score_quality,
+)
+
+
+def test_marginals_and_normalisers_equal_enumeration():
+    r = np.random.default_rng(4)
+    move = r.normal(size=(2, 2))
+    sizes = [1, 3, 2, 5, 1]
+    lean = r.normal(size=sum(sizes))
+    ends = np.cumsum(sizes)
+    documents = [slice(e - n, e) for e, n in zip(ends, sizes)]
+    got, pairs, z = _forward_backward(lean, move, documents)
+    want, want_pairs = np.zeros(len(lean)), np.zeros((2, 2))
+    for d in documents:
+        weights, total = [], 0.0
+        for labels in itertools.product((0, 1), repeat=d.stop - d.start):
+            w = np.exp(sum(lean[d.start + i] for i, y in enumerate(labels) if y) + sum(move[a, b] for a, b in zip(labels, labels[1:])))
+            weights.append((labels, w))
+            total += w
+        for labels, w in weights:
+            for i, y in enumerate(labels):
+                want[d.start + i] += y * w / total
+            for a, b in zip(labels, labels[1:]):
+                want_pairs[a, b] += w / total
+    assert np.allclose(got, want) and np.allclose(pairs, want_pairs)
+
+
+def _docs(n, seed):
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdefg") for _ in range(r.randint(2, 8)))
+    rows = []
+    for i in range(n):
+        good = r.random() < 0.6
+        lines = []
+        for _ in range(r.randint(1, 9)):
+            words = [word() for _ in range(r.randint(3, 12))]
+            lines.append(" ".join(words).capitalize() + "." if good else " ".join(w.upper() + "!!" for w in words))
+        rows.append((i, "\n".join(lines), int(good)))
+    return rows
+
+
+def test_held_out_accuracy_and_odd_rows(spark):
+    train, test = _docs(200, 1), _docs(80, 2)
+    docs = spark.createDataFrame(train, "doc_id long, text string, quality int")
+    labels = docs.select("doc_id", "quality").union(spark.createDataFrame([(None, 1), (3, None), (99_999, 0)], "a long, b int"))
+    field = fit_quality(docs, labels)
+    odd = [(None, None, None), (901, "", None), (902, "\n\n", None), (903, "Word. " * 200_000, None), (903, "퟿" * 3, None)]
+    df = spark.createDataFrame(test + odd, "doc_id long, text string, SCORE int")
+    out = score_quality(df, field)
+    assert out.columns == ["doc_id", "text", "score", "predicted"]
+    rows = out.collect()
+    assert len(rows) == len(test) + len(odd)
+    assert np.mean([r.predicted == t[2] for r, t in zip(rows, test)]) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+    assert rows[len(test)].score == rows[len(test) + 1].score
+    assert score_quality(df.filter("false"), field).count() == 0
+
+
+def test_no_labels_and_one_kind(spark):
+    docs = spark.createDataFrame(_docs(10, 3), "doc_id long, text string, quality int")
+    none = fit_quality(docs, docs.filter("false"))
+    assert all(abs(r.score - 0.5) < 1e-9 for r in score_quality(docs, none).collect())
+    good = fit_quality(docs, docs.selectExpr("doc_id", "1 as quality"))
+    assert min(r.score for r in score_quality(docs, good).collect()) > 0.8
+
+
+def test_neighbouring_lines_matter():
+    base = line_features("One line here.\nX\nTwo words")[0]
+    other = line_features("ONE!! LINE!! HERE!!\nX\nTwo words")[0]
+    assert base.shape == (3, FEATURES)
+    assert (base[1] != other[1]).any() and (base[2] == other[2]).all()
+    field = LineField(np.zeros(FEATURES), np.array([[3.0, 0.0], [0.0, 3.0]]))
+    field.lean[2] = -6.0  # upper-case lines are bad
+    low, high = document_scores(field, ["Fine.\nFine.\nAAA BBB", "Fine.\nFine.\nFine."])
+    assert low < high
+
+
+def test_fit_does_not_depend_on_order():
+    sample = [(line_features(t)[0], y) for _, t, y in _docs(20, 5)]
+    a = fit_line_field(sample)
+    assert np.isfinite(a.lean).all()
+    assert np.allclose(a.lean, fit_line_field(sample[::-1]).lean, atol=1e-6)
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01"])
+def test_query_on_held_out_documents(spark, sf):
+    from loanframe.llm.queries import op3_quality_classifier
+
+    out = op3_quality_classifier(spark, sf)
+    assert out.columns == ["doc_id", "held_out", "score", "predicted"]
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = out.filter("held_out").join(labels, "doc_id").collect()
+    assert np.mean([r.predicted == r.quality for r in rows]) > 0.93
+    assert out.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
