@@ -18,6 +18,7 @@ from .htmltext import extract_main_text
 from .langid import fit_language_model, identify_language
 from .linededup import ORACLE as LINE_DEDUP_SQL
 from .linededup import remove_repeated_chunks
+from .pii import replace_pii
 from .quality import fit_quality, score_quality
 from .simhash import simhash_groups
 
@@ -37,6 +38,16 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(rows, field).drop("text")
 
 
+#: The key of the registered query; real jobs pass their own secret.
+SURROGATE_KEY = "op4 surrogates"
+
+
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates for its personal data."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_pii(docs, SURROGATE_KEY)
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     return simhash_groups(table(spark, sf_dir, "documents")).select(
@@ -101,6 +112,7 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_pii_surrogates": op4_pii_surrogates,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_byte_bpe": op6_byte_bpe,
 }
