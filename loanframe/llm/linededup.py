@@ -83,6 +83,12 @@ def _chunk_text(lines: str, chunk: Column) -> Column:
     return F.array_join(F.slice(lines, chunk["start"] + 1, chunk["size"]), "\n")
 
 
+def _each_chunk() -> Column:
+    # The outer form: for the inner one Spark adds a filter on the size of the array,
+    # pushes it below the projections and evaluates all of their expressions nested.
+    return F.explode_outer("chunks").alias("chunk")
+
+
 def _keyed(docs: DataFrame, doc_id: str, text: str, *kept: Column) -> DataFrame:
     return docs.select(
         *kept,
@@ -99,7 +105,7 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     place = F.struct(*KEYS, "start")
     seen = (
         with_chunks(keyed, F.col("text"))
-        .select(*KEYS, "lines", F.explode("chunks").alias("chunk"))
+        .select(*KEYS, "lines", _each_chunk())
         .filter("chunk.size > 1 or chunk.long")
         .select(F.xxhash64(_chunk_text("lines", F.col("chunk"))).alias("hash"), *KEYS, F.col("chunk.start").alias("start"))
     )
@@ -115,7 +121,7 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     found = (
         with_chunks(keyed.join(asked, list(KEYS)), F.col("text"))
-        .select(*KEYS, "lines", "asks", F.explode("chunks").alias("chunk"))
+        .select(*KEYS, "lines", "asks", _each_chunk())
         .withColumn("ask", F.get(F.filter("asks", lambda a: a["start"] == F.col("chunk.start")), F.lit(0)))
         .filter("ask is not null")
         .select(*KEYS, "ask.*", _chunk_text("lines", F.col("chunk")).alias("bytes"))
