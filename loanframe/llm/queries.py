@@ -15,6 +15,7 @@ from .common import crc_remainder, table
 from .decontaminate import contaminated_pairs
 from .embeddings import embedding_groups
 from .htmltext import extract_main_text
+from .katz import katz_scores
 from .langid import fit_language_model, identify_language
 from .linededup import ORACLE as LINE_DEDUP_SQL
 from .linededup import remove_repeated_chunks
@@ -92,6 +93,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of every document under a pair model learned from nine tenths."""
+    return katz_scores(table(spark, sf_dir, "documents"), held_out(10, 0))[0]
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -108,6 +114,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op7_line_dedup": op7_line_dedup,
+    "op8_katz_scores": op8_katz_scores,
     "op9_html_extraction": op9_html_extraction,
     "op10_language_id": op10_language_id,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
