@@ -2,22 +2,20 @@
 
 Equal vectors are merged first (with their number), so exact copies cost one row.
 Spherical k-means, fitted on a bounded sample of the distinct vectors, gives unit
-centroids.  Every vector belongs to the cell of its nearest centroid and also visits
-each cell whose border is near: the sine of its angle to the plane between the two
-centroids is at most ``REACH``.  Within a cell the cosines of members with members and
-with visitors are computed as blocked matrix products in double precision, and a pair
-is linked at cosine ``THRESHOLD`` or more.  A pair that meets in two cells counts once.
-
-Two vectors at cosine t are missed only when both lie further than ``REACH`` beyond the
-plane between their centroids.  ``reach=sqrt(1 - t*t)`` (0.312 at 0.95) makes that
-impossible, so that every link is found; the default 0.15 needs a difference of the two
-vectors that points straight at the other centroid by nearly half its length, which for
-64 components without such a bias is four standard deviations off.  Recall is measured
-against brute force in the tests.
-
-Large cells are split in blocks of ``BLOCK`` rows; every pair of blocks is a task group
-of its own, so no cell, however hot, is one task.  A group returns link counts and a
-spanning forest of its links, never the pairs themselves.
+centroids.  Every vector belongs to the cell of its nearest centroid, and visits each
+cell from which only a distance of at most ``reach`` to the plane between the two
+centroids parts it.  Within a cell the cosines of members with members and with visitors
+are computed as blocked matrix products in double precision, and a pair is linked at
+cosine ``THRESHOLD`` or more.  A pair that meets in two cells counts once.
+
+No link is missed: unit vectors at cosine t are sqrt(2 - 2t) apart, so when a plane
+parts them, one of the two is no further from it than half of that, which is the default
+``reach`` (0.158 at 0.95), and visits the other's cell.  A smaller ``reach`` is faster
+and misses only pairs whose difference points at the other centroid.
+
+The rows of a cell are split in blocks; every pair of blocks is a task group of its own,
+so no cell, however hot, is one task.  A group returns link counts and a spanning forest
+of its links, never the pairs themselves.
 
 Defined cases: a vector that is null, empty, zero or holds null, NaN or infinite
 components links with nothing; so do vectors of different lengths with each other.
@@ -29,9 +27,11 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,13 +39,13 @@ from .common import column, ship_package, stored
 from .components import components
 
 THRESHOLD = 0.95
-REACH = 0.15
 #: Distinct vectors that k-means is fitted on, and its rounds.
 SAMPLE, ROUNDS = 20_000, 8
 #: Most centroids; there are half the square root of the distinct vectors otherwise.
 MAX_CELLS = 4096
-#: Rows of a block.
-BLOCK = 2048
+#: Members of a block (a block of visitors has four times as many), and rows that are
+#: compared with a block at a time.
+BLOCK, CHUNK = 2048, 1024
 
 
 def _usable(v: Column) -> Column:
@@ -91,35 +91,45 @@ def fit_centroids(vectors: DataFrame, n: int) -> dict[int, np.ndarray]:
     return {size: spherical_kmeans(unit(v), cells) for size, v in by_size.items()}
 
 
-def _placed(vectors: DataFrame, centroids: dict[int, np.ndarray], reach: float) -> DataFrame:
-    """A row for the cell of every vector and for each cell that it visits."""
-    sent = vectors.sparkSession.sparkContext.broadcast(centroids)
-
-    def run(batches):
-        for pdf in batches:
-            for size, part in pdf.groupby(pdf["vector"].map(len), sort=True):
-                c = sent.value.get(size)
-                x = unit(part["vector"])
-                if c is None or len(c) < 2:
-                    yield part.assign(size=size, cell=0, home=0, visits=[[]] * len(part))
-                    continue
-                near = x @ c.T
-                home = near.argmax(1)
-                between = np.sqrt(np.maximum(2 - 2 * (c @ c.T), 1e-300))
-                behind = (near[np.arange(len(x)), home][:, None] - near) / between[home]
-                visit = behind <= reach
-                visit[np.arange(len(x)), home] = False
-                own = part.assign(size=size, home=home, visits=[np.flatnonzero(v).tolist() for v in visit])
-                yield own.assign(cell=home)[_COLUMNS]
-                at, cell = np.nonzero(visit)
-                yield own.iloc[at].assign(cell=cell, visits=[[]] * len(at))[_COLUMNS]
-
-    return vectors.select("node", "n", "vector").mapInPandas(
-        run, "node long, n long, vector array<float>, size int, cell int, home int, visits array<int>"
-    )
+def _matrix(vectors: pa.ListArray) -> np.ndarray:
+    """Unit rows of lists of one length."""
+    x = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _gaps(c: np.ndarray) -> np.ndarray:
+    """Distances between centroids."""
+    return np.sqrt(np.maximum(2 - 2 * (c @ c.T), 1e-300))
 
 
-_COLUMNS = ["node", "n", "vector", "size", "cell", "home", "visits"]
+def _in_cells(vectors: DataFrame, centroids, reach: float) -> DataFrame:
+    """A row for the cell of every vector and for each cell that it visits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.list_value_length(batch["vector"])
+            for size in pc.unique(sizes).to_pylist():
+                part = batch.filter(pc.equal(sizes, size))
+                c, at = centroids.value.get(size), np.arange(part.num_rows)
+                home, cell = np.zeros(len(at), np.int32), np.zeros(len(at), np.int32)
+                if c is not None and len(c) > 1:
+                    near = _matrix(part["vector"]) @ c.T
+                    home = near.argmax(1)
+                    behind = (near[at, home][:, None] - near) / _gaps(c)[home]
+                    goes = behind <= reach
+                    goes[at, home] = True
+                    at, cell = np.nonzero(goes)
+                    home = home[at]
+                rows = part.take(pa.array(at))
+                more = [np.full(len(at), size), cell, home]
+                yield pa.RecordBatch.from_arrays(
+                    rows.columns + [pa.array(x.astype(np.int32)) for x in more], rows.schema.names + ["size", "cell", "home"]
+                )
+
+    return vectors.select("node", "n", "vector").mapInArrow(
+        run, "node long, n long, vector array<float>, size int, cell int, home int"
+    )
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -139,87 +149,88 @@ def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.stack([nodes[moved], nodes[least[moved]]], 1)
 
 
-def _links(x: pd.DataFrame, y: pd.DataFrame, same: bool, threshold: float):
-    """Index pairs of linked rows: x are members, y members or visitors of the cell."""
-    near = unit(x["vector"]) @ unit(y["vector"]).T >= threshold
-    if same:
-        near = np.triu(near, 1)
-    i, j = np.nonzero(near)
-    return i, j
-
-
-def _compare(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Link counts (b is null) and connecting pairs of one pair of blocks."""
-    found_a, found_b, counts = [], [], defaultdict(int)
-    left, right = pdf["i"].iloc[0], pdf["j"].iloc[0]
-    member = pdf["home"] == pdf["cell"]
-    blocks = [left] if left == right else [left, right]
-    tasks = []
-    for p in blocks:
-        mine = pdf[member & (pdf["block"] == p)]
-        for q in blocks:
-            if left != right and p == q:
-                continue
-            if p <= q:
-                tasks.append((mine, pdf[member & (pdf["block"] == q)], p == q, False))
-            tasks.append((mine, pdf[~member & (pdf["block"] == q)], False, True))
-    for x, y, same, visiting in tasks:
-        if not len(x) or not len(y):
-            continue
-        i, j = _links(x, y, same, threshold)
-        if visiting and len(i):
-            # The pair also meets in the visitor's cell if the member goes there; it
-            # counts in the cell with the lower number.
-            home, cell = y["home"].to_numpy()[j], int(x["cell"].iloc[0])
-            goes = np.fromiter(
-                (h in set(v) for h, v in zip(home, (x["visits"].to_numpy()[k] for k in i))), bool, len(i)
-            )
-            once = ~goes | (cell < home)
-            i, j = i[once], j[once]
-        if not len(i):
-            continue
-        a, b = x["node"].to_numpy(), y["node"].to_numpy()
-        w, v = x["n"].to_numpy(), y["n"].to_numpy()
-        for node, links in zip(a, np.bincount(i, v[j], len(a))):
-            counts[node] += links
-        for node, links in zip(b, np.bincount(j, w[i], len(b))):
-            counts[node] += links
-        found_a.append(a[i])
-        found_b.append(b[j])
-    rows = [(k, None, int(n)) for k, n in counts.items() if n]
-    if found_a:
-        rows += [(a, b, 0) for a, b in _forest(np.concatenate(found_a), np.concatenate(found_b)).tolist()]
-    return pd.DataFrame(rows, columns=["a", "b", "links"]).astype({"a": "int64", "b": "Int64", "links": "int64"})
-
-
-def embedding_links(
-    vectors: DataFrame, threshold: float = THRESHOLD, reach: float = REACH
-) -> DataFrame:
+def _compare(rows: pa.Table, centroids: dict[int, np.ndarray], threshold: float, reach: float) -> pa.Table:
+    """Link counts (b is null) and connecting pairs of a block of members with another
+    block of members, or with one of visitors."""
+    rows = rows.combine_chunks()
+    cell, i, j = (rows[c][0].as_py() for c in ("cell", "i", "j"))
+    home, block = rows["home"].to_numpy(), rows["block"].to_numpy()
+    left = np.flatnonzero((home == cell) & (block == i))
+    right = left if i == j else np.flatnonzero(((home == cell) & (block == j)) | (home != cell))
+    node, n = rows["node"].to_numpy(), rows["n"].to_numpy()
+    found, links = [], np.zeros(len(rows), np.int64)
+    if len(left) and len(right):
+        unit_rows = _matrix(rows["vector"].chunk(0))
+        c = centroids.get(unit_rows.shape[1])
+        for start in range(0, len(right), CHUNK):
+            part = right[start : start + CHUNK]
+            x, y = np.nonzero(unit_rows[left] @ unit_rows[part].T >= threshold)
+            x, y = left[x], part[y]
+            if i == j:
+                x, y = x[x < y], y[x < y]
+            away = np.flatnonzero(home[y] != cell)
+            if len(away):
+                # The pair also meets in the visitor's cell if the member goes there;
+                # it counts in the cell with the lower number.
+                mine, other = unit_rows[x[away]], home[y[away]]
+                behind = ((mine * (c[cell] - c[other])).sum(1)) / _gaps(c)[cell, other]
+                twice = (behind <= reach) & (other < cell)
+                keep = np.ones(len(x), bool)
+                keep[away[twice]] = False
+                x, y = x[keep], y[keep]
+            np.add.at(links, x, n[y])
+            np.add.at(links, y, n[x])
+            if len(x):
+                found.append(_forest(node[x], node[y]))
+    told = np.flatnonzero(links)
+    pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+    return pa.table(
+        {
+            "a": np.concatenate([node[told], pairs[:, 0]]),
+            "b": pa.array(np.concatenate([node[told], pairs[:, 1]]), mask=np.arange(len(told) + len(pairs)) < len(told)),
+            "links": np.concatenate([links[told], np.zeros(len(pairs), np.int64)]),
+        }
+    )
+
+
+def embedding_links(vectors: DataFrame, threshold: float = THRESHOLD, reach: float | None = None) -> DataFrame:
     """``(a, b, links)`` over distinct ``vectors`` (node, n, vector): with b null, how
     many rows ``a`` is linked with; else that a and b are connected."""
-    ship_package(vectors.sparkSession)
-    n = vectors.count()
-    placed = _placed(vectors, fit_centroids(vectors, n), reach)
-    # At most one number a cell comes to the driver.
-    sizes = {(r["size"], r["cell"]): r["n"] for r in placed.groupBy("size", "cell").agg(F.count("*").alias("n")).collect()}
-    split = {k: math.ceil(v / BLOCK) for k, v in sizes.items() if v > BLOCK}
-    blocks = F.lit(1)
-    if split:
-        pairs = [F.struct(F.lit(s).alias("s"), F.lit(c).alias("c")) for s, c in split]
-        numbers = F.map_from_arrays(F.array(*pairs), F.array(*[F.lit(b) for b in split.values()]))
-        blocks = F.coalesce(numbers[F.struct(F.col("size").alias("s"), F.col("cell").alias("c"))], F.lit(1))
-    dealt = placed.withColumn("blocks", blocks).withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    )
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).alias("other")
-    dealt = dealt.select(*_COLUMNS, "block", other).select(
-        *_COLUMNS, "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+    spark = vectors.sparkSession
+    ship_package(spark)
+    reach = math.sqrt(max(0.0, 2 - 2 * threshold)) / 2 + 1e-9 if reach is None else reach
+    centroids = spark.sparkContext.broadcast(fit_centroids(vectors, vectors.count()))
+    placed = _in_cells(vectors, centroids, reach)
+    # Two numbers a cell come to the driver and go to the tasks, whatever the rows.
+    member = F.col("home") == F.col("cell")
+    sizes = placed.groupBy("size", "cell").agg(F.count_if(member).alias("members"), F.count_if(~member).alias("visitors"))
+    cells = [
+        (r["size"], r["cell"], math.ceil(r["members"] / BLOCK), math.ceil(r["visitors"] / (4 * BLOCK)))
+        for r in sizes.collect()
+    ]
+    blocks = spark.createDataFrame(cells, "size int, cell int, members int, visitors int")
+    own = F.pmod(F.xxhash64("node"), F.greatest("members", F.lit(1)))
+    other = F.pmod(F.xxhash64("node"), F.greatest("visitors", F.lit(1))) + F.col("members")
+
+    def pairs(count: str, left, right) -> Column:
+        numbers = F.filter(F.sequence(F.lit(0), F.col(count)), lambda k: k < F.col(count))
+        return F.transform(numbers, lambda k: F.struct(left(k).cast("int").alias("i"), right(k).cast("int").alias("j")))
+
+    here = F.col("block")
+    with_members = pairs("members", lambda k: F.least(here, k), lambda k: F.greatest(here, k))
+    with_visitors = pairs("visitors", lambda k: here, lambda k: k + F.col("members"))
+    as_visitor = pairs("members", lambda k: k, lambda k: here)
+    dealt = (
+        placed.join(F.broadcast(blocks), ["size", "cell"])
+        .withColumn("block", F.when(member, own).otherwise(other).cast("int"))
+        .withColumn("at", F.explode(F.when(member, F.concat(with_members, with_visitors)).otherwise(as_visitor)))
+        .select("node", "n", "vector", "size", "cell", "home", "block", "at.i", "at.j")
     )
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _compare(pdf, threshold)
+    def compare(rows: pa.Table) -> pa.Table:
+        return _compare(rows, centroids.value, threshold, reach)
 
-    return dealt.groupBy("size", "cell", "i", "j").applyInPandas(compare, "a long, b long, links long")
+    return dealt.groupBy("size", "cell", "i", "j").applyInArrow(compare, "a long, b long, links long")
 
 
 def embedding_groups(
@@ -227,7 +238,7 @@ def embedding_groups(
     vec_id: str = "vec_id",
     vector: str = "embedding",
     threshold: float = THRESHOLD,
-    reach: float = REACH,
+    reach: float | None = None,
 ) -> DataFrame:
     """One row per row of ``df``: vec_id, n_links, component_id, kept."""
     rows = df.select(column(vec_id).alias("vec_id"), column(vector).cast("array<float>").alias("vector"))

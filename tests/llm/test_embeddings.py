@@ -34,12 +34,12 @@ def test_exact_reach_equals_brute_force(spark, monkeypatch, block, cells):
     ids = list(range(1000, 1000 + len(v)))
     want, _ = brute(ids, v)
     df = spark.createDataFrame([(i, x.tolist(), 1) for i, x in zip(ids, v)], "vec_id long, embedding array<float>, label int")
-    got = embedding_groups(df, reach=0.3123).collect()
+    got = embedding_groups(df).collect()
     assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
-def test_recall_of_the_default_reach(spark):
+def test_recall_of_a_short_reach(spark):
     r = np.random.default_rng(7)
     x = r.normal(size=(1500, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
@@ -50,7 +50,7 @@ def test_recall_of_the_default_reach(spark):
     ids = list(range(len(v)))
     want, _ = brute(ids, v)
     df = spark.createDataFrame([(i, e.tolist()) for i, e in zip(ids, v)], "vec_id long, embedding array<float>")
-    got = {r.vec_id: r.n_links for r in embedding_groups(df).collect()}
+    got = {r.vec_id: r.n_links for r in embedding_groups(df, reach=0.06).collect()}
     assert all(got[i] <= want[i][0] for i in ids)
     assert sum(got.values()) / sum(w[0] for w in want.values()) >= 0.99
 
