@@ -27,7 +27,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -161,8 +160,10 @@ def fit_language_model(train: DataFrame, text: str = "text", lang: str = "lang")
         .agg(F.sum("n").alias("n"))
     )
     # At most BUCKETS rows a language come to the driver, whatever the corpus.
-    table = pd.DataFrame([r.asDict() for r in counted.limit(MAX_LANGUAGES * BUCKETS + 1).collect()], columns=["lang", "bucket", "n"])
-    languages = sorted(table["lang"].unique())
+    table = counted.limit(MAX_LANGUAGES * BUCKETS + 1).toArrow()
+    names = np.array(table["lang"].to_pylist(), object)
+    bucket, n = table["bucket"].to_numpy(), table["n"].to_numpy()
+    languages = sorted(set(names))
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     codes = codewords(len(languages))
@@ -170,8 +171,8 @@ def fit_language_model(train: DataFrame, text: str = "text", lang: str = "lang")
         return LanguageModel(languages, codes, np.zeros((BUCKETS, 0)), np.zeros(codes.shape), np.ones(0))
     share = np.zeros((len(languages), BUCKETS))
     for i, name in enumerate(languages):
-        own = table[table["lang"] == name]
-        share[i, own["bucket"].to_numpy()] = own["n"].to_numpy()
+        own = names == name
+        share[i, bucket[own]] = n[own]
     share = (share + 0.5) / (share.sum(1, keepdims=True) + 0.5 * BUCKETS)
     weights = np.stack(
         [np.log(share[codes[:, j] > 0].mean(0)) - np.log(share[codes[:, j] < 0].mean(0)) for j in range(codes.shape[1])],

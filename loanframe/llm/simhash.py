@@ -81,18 +81,40 @@ def with_fingerprints(df: DataFrame, text: str = "text", out: str = "fingerprint
 
 def _cells(fp: str = "fp"):
     """The grid points at distance 0 or 1 of a fingerprint's point, packed in longs."""
-    counts = [
-        F.bit_count(F.shiftrightunsigned(fp, s).bitwiseAND(F.lit((1 << _SEGMENT) - 1))).cast("bigint")
-        for s in range(0, 64, _SEGMENT)
-    ]
-    point = F.lit(0).cast("bigint")
-    for i, c in enumerate(counts):
-        point = point + c * F.lit(1 << _DIGIT * i)
-    near = [point]
-    for i, c in enumerate(counts):
-        near.append(F.when(c < _SEGMENT, point + F.lit(1 << _DIGIT * i)))
-        near.append(F.when(c > 0, point - F.lit(1 << _DIGIT * i)))
-    return F.array(*near)
+    one, segments = F.lit(1).cast("bigint"), F.sequence(F.lit(0), F.lit(64 // _SEGMENT - 1))
+    part = lambda k, width: F.call_function("shiftrightunsigned", k, width)
+    at = lambda k, width: F.call_function("shiftleft", k, width)
+    point = F.aggregate(
+        segments,
+        F.lit(0).cast("bigint"),
+        lambda sum_, i: sum_
+        + at(
+            F.bit_count(part(F.col(fp), i * _SEGMENT).bitwiseAND(F.lit((1 << _SEGMENT) - 1))).cast("bigint"),
+            i * _DIGIT,
+        ),
+    )
+
+    def near(p):
+        count = lambda i: part(p, i * _DIGIT).bitwiseAND(F.lit((1 << _DIGIT) - 1))
+        return F.transform(
+            segments,
+            lambda i: F.array(
+                F.when(count(i) < _SEGMENT, p + at(one, i * _DIGIT)),
+                F.when(count(i) > 0, p - at(one, i * _DIGIT)),
+            ),
+        )
+
+    # One element, so that the point is computed once.
+    return F.flatten(F.flatten(F.transform(F.array(point), lambda p: F.concat(F.array(F.array(p)), near(p)))))
+
+
+def _one_bit_off(fp: str = "fp"):
+    """A fingerprint and its 64 neighbours at one bit."""
+    bits = F.sequence(F.lit(0), F.lit(63))
+    flipped = F.transform(
+        bits, lambda i: F.col(fp).bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), i))
+    )
+    return F.concat(F.array(fp), flipped)
 
 
 def near_fingerprints(fingerprints: DataFrame) -> DataFrame:
@@ -102,11 +124,8 @@ def near_fingerprints(fingerprints: DataFrame) -> DataFrame:
     sizes = cells.groupBy("cell").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
     pairs = sizes.filter((F.col("n") == 2) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS))
     crowded = cells.join(sizes.filter("n > 2").select("cell"), "cell", "left_semi").select("fp").distinct()
-    flips = F.array(
-        F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(1 << i if i < 63 else -(1 << 63))) for i in range(64)]
-    )
     met = (
-        crowded.select("fp", F.explode(flips).alias("word"))
+        crowded.select("fp", F.explode(_one_bit_off()).alias("word"))
         .groupBy("word")
         .agg(F.collect_list("fp").alias("fps"))  # 65 at most
         .filter(F.size("fps") > 1)
