@@ -11,8 +11,8 @@ driver reads are the one-row results behind the raising checks.
     lf.operators.npl_ratio_by_dimensions(loans).show()
 """
 
-from loanframe import functions, operators, plans, rules, sources, streaming
+from loanframe import functions, operators, plans, rules, sources
 
 __version__ = "0.1.0"
 
-__all__ = ["functions", "operators", "plans", "rules", "sources", "streaming"]
+__all__ = ["functions", "operators", "plans", "rules", "sources", ]

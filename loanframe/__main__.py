@@ -26,6 +26,7 @@ if __package__ in (None, ""):
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from loanframe import rules  # noqa: E402
 from loanframe.operators.checks import require_non_empty  # noqa: E402
 from loanframe.operators.profile import dataset_profile, sample_rows  # noqa: E402
 from loanframe.plans import run_batch, run_profiling, run_quality  # noqa: E402
@@ -49,7 +50,7 @@ def _parser() -> argparse.ArgumentParser:
             "--partitions",
             type=int,
             default=None,
-            help="repartition the raw rows (a single .gz file is one split)",
+            help="repartition the raw rows (default: only compressed files that cannot be split)",
         )
 
     b = sub.add_parser("batch", help="clean, validate, label, checkpoint, aggregate")
@@ -78,6 +79,11 @@ def _parser() -> argparse.ArgumentParser:
         help="a baseline kept as a JSON object {column: {value: pct}}; converted into "
         "--baseline when that does not exist yet",
     )
+    q.add_argument(
+        "--refresh-baseline",
+        action="store_true",
+        help="compare with the stored baseline, then replace it by this run's shares",
+    )
     q.add_argument("--report", required=True)
     q.add_argument("--report-format", default="parquet", help="e.g. json for readable lines")
     q.add_argument("--threshold", type=float, default=None)
@@ -87,11 +93,11 @@ def _parser() -> argparse.ArgumentParser:
     k.add_argument("--out", default=None, help="also write the column profile here")
     k.add_argument("--sample", type=int, default=5)
 
-    f = sub.add_parser("profile", help="top values of purpose and state")
+    f = sub.add_parser("profile", help="values of purpose and state with their counts")
     common(f)
     f.add_argument("--out", required=True)
     f.add_argument("--columns", nargs="+", default=["purpose", "addr_state"])
-    f.add_argument("--top", type=int, default=None)
+    f.add_argument("--top", type=int, default=None, help="only so many values per column")
     return p
 
 
@@ -129,6 +135,7 @@ def main(argv: list[str] | None = None) -> int:
             if legacy is not None:
                 save_baseline(legacy, args.baseline)
         kwargs = {} if args.threshold is None else {"threshold_pct": args.threshold}
+        kwargs["refresh_baseline"] = args.refresh_baseline
         if args.stats:
             kwargs["batch_stats"] = spark.read.parquet(args.stats)
         res = run_quality(
@@ -141,6 +148,7 @@ def main(argv: list[str] | None = None) -> int:
         )
         write_table(res.report, args.report, args.report_format)
     elif args.job == "peek":
+        raw = raw.drop(rules.CORRUPT_COLUMN)
         profile = dataset_profile(raw)
         if args.out:
             write_table(profile, args.out)

@@ -9,6 +9,7 @@ from loanframe.operators.checks import (
     validate_categoricals,
 )
 from loanframe.operators.clean import (
+    cast_numbers,
     cast_sparse_numerics,
     clean_dates,
     clean_raw,
@@ -41,6 +42,7 @@ from loanframe.operators.profile import (
     status_profile,
     top_values,
     value_counts,
+    value_profile,
 )
 from loanframe.operators.quality import (
     batch_stats,

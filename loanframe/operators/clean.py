@@ -7,19 +7,19 @@ are parsed.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanframe import rules
-from loanframe.functions import first_int, month_year_date, safe_double
+from loanframe.functions import first_int, month_year_date, named, safe_double
 
 
 def require_columns(df: DataFrame, columns: Sequence[str], caller: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        raise ValueError(f"{caller}: missing expected column(s): {missing}")
+        raise ValueError(f"{caller} needs columns that the input lacks: {missing}")
 
 
 def drop_member_id(df: DataFrame, column: str = "member_id") -> DataFrame:
@@ -98,15 +98,26 @@ def preview(
     return df.select(*columns).limit(n)
 
 
+def cast_numbers(df: DataFrame, types: Mapping[str, str] = rules.NUMERIC_TYPES) -> DataFrame:
+    """Give the text columns named in ``types`` their number type; malformed text becomes
+    null.  Columns that are absent are skipped, so one map serves every subset."""
+    present = {c: named(c).try_cast(t) for c, t in types.items() if c in df.columns}
+    return df.withColumns(present) if present else df
+
+
 def clean_raw(
     df: DataFrame,
     date_columns: Sequence[str] = rules.DATE_COLUMNS,
     numeric_columns: Sequence[str] = rules.SPARSE_NUMERIC_COLUMNS,
     sparse_date_columns: Sequence[str] = rules.SPARSE_DATE_COLUMNS,
+    numeric_types: Mapping[str, str] = rules.NUMERIC_TYPES,
 ) -> DataFrame:
-    """Drop member id, parse term, dates and the sparse blocks (no row filter)."""
+    """Drop member id and the parser's column of malformed rows, type the numbers, parse
+    term, dates and the sparse blocks (no row filter, no inference pass)."""
     return (
         df.transform(drop_member_id)
+        .drop(rules.CORRUPT_COLUMN)
+        .transform(cast_numbers, numeric_types)
         .transform(clean_term)
         .transform(clean_dates, date_columns)
         .transform(clean_sparse, numeric_columns, sparse_date_columns)

@@ -29,20 +29,25 @@ def _ratio():
     return F.col("default_count") / F.col("total_count")
 
 
+def _bad_rates(long: DataFrame) -> DataFrame:
+    """Counts and ratio of rows ``(__target, dimension, dimension_value)``."""
+    return (
+        long.groupBy("dimension", "dimension_value")
+        .agg(*_counts("__target"))
+        .select(*RATIO_COLUMNS[:-1], _ratio().alias("npl_ratio"))
+    )
+
+
 def npl_ratio(df: DataFrame, dimension: str, target: str = "is_default") -> DataFrame:
     """Bad rate per value of one dimension; null is its own group (A1).
 
     ``dimension_value`` keeps the dimension's type.
     """
-    return (
-        df.groupBy(F.col(dimension).alias("dimension_value"))
-        .agg(*_counts(target))
-        .select(
+    return _bad_rates(
+        df.select(
+            F.col(target).alias("__target"),
             F.lit(dimension).alias("dimension"),
-            "dimension_value",
-            "default_count",
-            "total_count",
-            _ratio().alias("npl_ratio"),
+            F.col(dimension).alias("dimension_value"),
         )
     )
 
@@ -65,11 +70,7 @@ def npl_ratio_by_dimensions(
         *[F.col(d).cast("string").alias(d) for d in dimensions],
     )
     long = narrow.unpivot(["__target"], dimensions, "dimension", "dimension_value")
-    return (
-        long.groupBy("dimension", "dimension_value")
-        .agg(*_counts("__target"))
-        .select(*RATIO_COLUMNS[:-1], _ratio().alias("npl_ratio"))
-    )
+    return _bad_rates(long)
 
 
 def default_rate_curve(

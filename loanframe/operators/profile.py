@@ -44,21 +44,47 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def top_values(
-    df: DataFrame, columns: Sequence[str], k: int = rules.TOP_VALUES
-) -> DataFrame:
-    """The ``k`` most frequent values of each column, as ``(column, value,
-    row_count, rank)``; ties broken by value, nulls first (A6)."""
+def _value_groups(df: DataFrame, columns: Sequence[str], caller: str) -> DataFrame:
     columns = list(dict.fromkeys(columns))
-    require_columns(df, columns, "top_values")
+    require_columns(df, columns, caller)
     narrow = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
     long = narrow.unpivot([], list(columns), "column", "value")
-    grouped = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("row_count"))
+    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def value_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Every value of each column, as ``(column, value, row_count)``, by column and
+    then most frequent first (A6).  The order is a range-partitioned sort, so a column
+    with very many values is spread over tasks."""
+    return _value_groups(df, columns, "value_profile").orderBy(
+        "column", F.desc("row_count"), F.asc_nulls_first("value")
+    )
+
+
+def top_values(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
+    """The ``k`` most frequent values of each column, as ``(column, value, row_count,
+    rank)``, ties broken by value, nulls first, and what they leave out:
+    ``other_values`` and ``other_rows`` are the column's values and rows beyond them
+    (A6).  :func:`value_profile` has all values."""
+    grouped = _value_groups(df, columns, "top_values")
     order = Window.partitionBy("column").orderBy(
         F.desc("row_count"), F.asc_nulls_first("value")
     )
-    return grouped.withColumn("rank", F.row_number().over(order)).filter(
-        F.col("rank") <= k
+    top = grouped.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    # One row a column on either side: the join adds no shuffle of values.
+    whole = grouped.groupBy("column").agg(
+        F.count(F.lit(1)).alias("__values"), F.sum("row_count").alias("__rows")
+    )
+    shown = top.groupBy("column").agg(
+        F.count(F.lit(1)).alias("__shown"), F.sum("row_count").alias("__shown_rows")
+    )
+    left = whole.join(shown, "column").select(
+        "column",
+        (F.col("__values") - F.col("__shown")).alias("other_values"),
+        (F.col("__rows") - F.col("__shown_rows")).alias("other_rows"),
+    )
+    return top.join(left, "column").select(
+        "column", "value", "row_count", "rank", "other_values", "other_rows"
     )
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanframe import rules
@@ -169,17 +169,22 @@ def batch_stats(
 ) -> DataFrame:
     """One row of counts over the raw rows of the batch job, from one scan.
 
-    ``raw_rows``; ``aligned_rows`` kept by the shifted-row filter;
-    ``labelled_rows`` also resolved; ``domain_violations`` and
-    ``pattern_violations`` among the aligned rows (the category check, C7 and C8;
-    left out when ``domain_column`` is None); ``raw_columns``.  The batch job
+    ``raw_rows``; ``malformed_rows`` with a wrong field count (null when the reader kept
+    no such column); ``aligned_rows`` kept by the shifted-row filter; ``labelled_rows``
+    also resolved; ``domain_violations`` among the aligned rows, and
+    ``pattern_violations`` among all rows, which that filter drops (the category check,
+    C7 and C8; left out when ``domain_column`` is None); ``raw_columns``.  The batch job
     validates from this row and can save it, so the quality job need not read the
     raw input again for its count.
     """
     aligned = F.coalesce(state_ok(state_column, state_pattern), F.lit(False))
     resolved_ = F.coalesce(F.col(status).isin(*resolved), F.lit(False))
+    malformed = F.lit(None).cast("bigint")
+    if rules.CORRUPT_COLUMN in df.columns:
+        malformed = F.count(rules.CORRUPT_COLUMN)
     counts = [
         F.count(F.lit(1)).alias("raw_rows"),
+        malformed.alias("malformed_rows"),
         F.count_if(aligned).alias("aligned_rows"),
         F.count_if(aligned & resolved_).alias("labelled_rows"),
     ]
@@ -188,11 +193,10 @@ def batch_stats(
             F.count_if(aligned & ~F.col(domain_column).isin(*domain)).alias(
                 "domain_violations"
             ),
-            F.count_if(aligned & ~F.col(state_column).rlike(state_pattern)).alias(
-                "pattern_violations"
-            ),
+            F.count_if(~F.col(state_column).rlike(state_pattern)).alias("pattern_violations"),
         ]
-    return df.agg(*counts).withColumn("raw_columns", F.lit(len(df.columns)))
+    width = len([c for c in df.columns if c != rules.CORRUPT_COLUMN])
+    return df.agg(*counts).withColumn("raw_columns", F.lit(width))
 
 
 def funnel_rows(stats: DataFrame) -> DataFrame:
@@ -237,20 +241,30 @@ def stage_funnel(
     )
 
 
+def _metrics(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """``(column, value, metric, number)``: one row for each of ``metrics``."""
+    structs = [
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("number")) for m in metrics
+    ]
+    return df.select("column", "value", F.inline(F.array(*structs)))
+
+
 def report_rows(
     row_counts: DataFrame,
     output_counts: DataFrame,
     null_rate_rows: DataFrame,
     snapshot: DataFrame,
     drift_rows: DataFrame | None,
+    drift_note: str | None = None,
 ) -> DataFrame:
     """All report sections as one long table
     ``(section, column, value, metric, number, note)`` (Q6).
 
     Sections: ``row_counts`` (one row per count), ``output_counts``, ``null_rates``,
-    ``distribution`` (shares) and ``drift`` (flagged rows only).  Without a
-    baseline, or when nothing is flagged, ``drift`` holds one row whose ``note``
-    says so.
+    ``distribution`` (the share of every value and its rank within the column, largest
+    first) and ``drift`` (baseline share, current share and shift of the flagged values).
+    Without a baseline, or when nothing is flagged, ``drift`` holds one row whose
+    ``note`` says so; ``drift_note`` adds another such row.
     """
     null_str = F.lit(None).cast("string")
     null_num = F.lit(None).cast("double")
@@ -286,34 +300,29 @@ def report_rows(
     nr = null_rate_rows.select(
         *rows("null_rates", F.col("column"), null_str, F.lit("null_pct"), F.col("null_pct"))
     )
-    ds = snapshot.select(
-        *rows("distribution", F.col("column"), F.col("value"), F.lit("pct"), F.col("pct"))
+    by_share = Window.partitionBy("column").orderBy(
+        F.desc("row_count"), F.asc_nulls_first("value")
     )
-    if drift_rows is None:
+    ranked = snapshot.withColumn("rank", F.row_number().over(by_share))
+    ds = _metrics(ranked, ["pct", "rank"]).select(
+        *rows("distribution", F.col("column"), F.col("value"), F.col("metric"), F.col("number"))
+    )
+
+    def note(text):
         # A constant note: one local row, so no input is read for it.
-        dr = row_counts.sparkSession.createDataFrame(
-            [
-                (
-                    "drift",
-                    None,
-                    None,
-                    "status",
-                    None,
-                    "No baseline available; this run is saved as the new baseline.",
-                )
-            ],
+        return row_counts.sparkSession.createDataFrame(
+            [("drift", None, None, "status", None, text)],
             "section string, column string, value string, metric string, "
             "number double, note string",
         )
+
+    if drift_rows is None:
+        dr = note("There was nothing to compare with: the shares of this run become the baseline.")
     else:
-        flagged = drift_rows.filter(F.col("flagged")).select(
-            *rows(
-                "drift",
-                F.col("column"),
-                F.col("value"),
-                F.lit("shift_pct"),
-                F.col("shift_pct"),
-            )
+        flagged = _metrics(
+            drift_rows.filter(F.col("flagged")), ["baseline_pct", "current_pct", "shift_pct"]
+        ).select(
+            *rows("drift", F.col("column"), F.col("value"), F.col("metric"), F.col("number"))
         )
         none_flagged = (
             drift_rows.agg(F.count_if(F.col("flagged")).alias("n"))
@@ -325,9 +334,11 @@ def report_rows(
                     null_str,
                     F.lit("status"),
                     null_num,
-                    F.lit("No columns shifted beyond the flag threshold."),
+                    F.lit("All shares moved less than the threshold."),
                 )
             )
         )
         dr = flagged.unionByName(none_flagged)
+    if drift_note:
+        dr = dr.unionByName(note(drift_note))
     return rc.unionByName(oc).unionByName(nr).unionByName(ds).unionByName(dr)

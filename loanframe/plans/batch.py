@@ -1,8 +1,9 @@
 """Batch pipeline (P1): raw loans -> clean -> validate -> label and features ->
 Parquet checkpoint -> bad-rate table and default-rate curve.
 
-Passes over the raw input: one aggregate (both category checks, the raw row count
-and the row funnel) and one checkpoint write.  The two aggregate tables are
+Passes over the raw input: one aggregate (both category checks, the raw row count, the
+malformed rows and the row funnel) and one checkpoint write.  They stay two passes: the
+check must be over before anything is published.  The two aggregate tables are
 computed from the checkpoint, so they read only the columns they need from Parquet
 and do not re-run the cleaning chain; the bad-rate table is one scan and one
 shuffle for all its dimensions.
@@ -10,7 +11,7 @@ shuffle for all its dimensions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,11 +30,12 @@ def prepare_loans(
     date_columns: Sequence[str] = rules.DATE_COLUMNS,
     numeric_sparse: Sequence[str] = rules.SPARSE_NUMERIC_COLUMNS,
     date_sparse: Sequence[str] = rules.SPARSE_DATE_COLUMNS,
+    numeric_types: Mapping[str, str] = rules.NUMERIC_TYPES,
 ) -> DataFrame:
     """Clean, drop misaligned rows, label resolved loans and add the features
     (lazy; no validation)."""
     return (
-        raw.transform(clean_raw, date_columns, numeric_sparse, date_sparse)
+        raw.transform(clean_raw, date_columns, numeric_sparse, date_sparse, numeric_types)
         .transform(drop_shifted_rows)
         .transform(label_target)
         .transform(add_features)
@@ -83,9 +85,11 @@ def run_batch(
     if stage_raw:
         raw = read_checkpoint(spark, write_checkpoint(raw, stage_raw))
     cleaned = raw.transform(clean_raw, date_columns, numeric_sparse, date_sparse)
-    row = batch_stats(cleaned, domain=purposes).first()
-    raise_on_violations(row["domain_violations"], row["pattern_violations"], domain=purposes)
-    stats = spark.createDataFrame([row])
+    counted = batch_stats(raw.drop("member_id"), domain=purposes)
+    row = counted.first()
+    # Rows that fail the pattern are dropped below, so none is left to object to.
+    raise_on_violations(row["domain_violations"], 0, domain=purposes)
+    stats = spark.createDataFrame([row], counted.schema)
     if stats_path:
         write_table(stats, stats_path)
         stats = spark.read.parquet(stats_path)

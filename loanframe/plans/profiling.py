@@ -1,5 +1,5 @@
 """Profiling pipeline (P3): the shared cleaning, labelling and features, without
-the misaligned-row filter, then the most frequent values of chosen columns, so
+the misaligned-row filter, then the values of chosen columns with their counts, so
 rare values are visible before rules are chosen."""
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from loanframe import rules
 from loanframe.operators.clean import clean_raw
 from loanframe.operators.features import add_features, label_target
-from loanframe.operators.profile import top_values
+from loanframe.operators.profile import top_values, value_profile
 
 
 def profiled_loans(
@@ -30,11 +30,12 @@ def profiled_loans(
 def run_profiling(
     raw: DataFrame,
     columns: Sequence[str] = ("purpose", "addr_state"),
-    k: int = rules.TOP_VALUES,
+    k: int | None = None,
     date_columns: Sequence[str] = rules.DATE_COLUMNS,
     numeric_sparse: Sequence[str] = rules.SPARSE_NUMERIC_COLUMNS,
     date_sparse: Sequence[str] = rules.SPARSE_DATE_COLUMNS,
 ) -> DataFrame:
-    """Top ``k`` values with counts for each of ``columns``."""
+    """Values with counts for each of ``columns``: all of them, or with ``k`` the most
+    frequent ones and the counts of what they leave out."""
     loans = profiled_loans(raw, date_columns, numeric_sparse, date_sparse)
-    return top_values(loans, columns, k)
+    return value_profile(loans, columns) if k is None else top_values(loans, columns, k)

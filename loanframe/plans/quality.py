@@ -22,7 +22,13 @@ from loanframe.operators.quality import (
     row_count_delta,
     row_count_delta_from_stats,
 )
-from loanframe.sources.files import load_baseline, save_baseline
+from loanframe.sources.files import (
+    load_baseline,
+    read_checkpoint,
+    save_baseline,
+    scratch_path,
+    write_table,
+)
 
 
 @dataclass
@@ -49,7 +55,10 @@ def run_quality(
     batch_stats: DataFrame | None = None,
 ) -> QualityResult:
     """Build every quality metric.  Without a stored baseline at ``baseline_path``
-    the current snapshot is saved there (first run) and no drift is computed.
+    the current snapshot is saved there (first run) and no drift is computed.  With
+    ``refresh_baseline`` the drift against the old baseline is written out first; then
+    the current snapshot replaces it, and the report says so.  A checkpoint without rows
+    is not saved as a baseline.
 
     With ``batch_stats`` (the row the batch job saved) the raw row count comes from
     it and ``raw`` may be ``None``: the raw input is not read again.  ``outputs``
@@ -66,19 +75,25 @@ def run_quality(
     snap = distribution_snapshot(checkpoint, distribution_columns)
 
     baseline = load_baseline(spark, baseline_path) if baseline_path else None
-    saved = False
-    if baseline_path and (baseline is None or refresh_baseline):
-        save_baseline(snap, baseline_path, refresh=refresh_baseline)
-        snap = load_baseline(spark, baseline_path)
-        saved = True
-        baseline = None
+    saved, note = False, None
     dr = drift(snap, baseline, threshold_pct) if baseline is not None else None
+    if baseline_path and (baseline is None or refresh_baseline):
+        # A few rows per column; written, so that they are not derived again and do not
+        # read the baseline after it was replaced.
+        snap = read_checkpoint(spark, write_table(snap, scratch_path(spark, "snapshot")))
+        if dr is not None:
+            dr = drift(snap, baseline, threshold_pct)
+            dr = read_checkpoint(spark, write_table(dr, scratch_path(spark, "drift")))
+            note = "The baseline was replaced by the shares of this run after the comparison."
+        if not snap.isEmpty():
+            save_baseline(snap, baseline_path, refresh=refresh_baseline)
+            saved = True
     return QualityResult(
         row_counts=rc,
         output_counts=oc,
         null_rates=nr,
         snapshot=snap,
         drift=dr,
-        report=report_rows(rc, oc, nr, snap, dr),
+        report=report_rows(rc, oc, nr, snap, dr, note),
         baseline_saved=saved,
     )

@@ -154,8 +154,61 @@ DISTRIBUTION_COLUMNS = (
 # Percentage-point shift that flags drift.
 DRIFT_THRESHOLD_PCT = 2.0
 
-# Rows shown by previews and top-value profiles.
+# Column in which the CSV reader keeps the text of rows with a wrong field count.
+CORRUPT_COLUMN = "_corrupt_record"
+
+# Rows shown by previews.
 PREVIEW_ROWS = 10
-TOP_VALUES = 60
+
+# Raw columns that hold numbers, beside those that a cleaning step parses itself.
+NUMERIC_TYPES = {
+    "id": "bigint",
+    "loan_amnt": "double",
+    "funded_amnt": "double",
+    "funded_amnt_inv": "double",
+    "int_rate": "double",
+    "installment": "double",
+    "annual_inc": "double",
+    "fico_range_low": "double",
+    "fico_range_high": "double",
+    "inq_last_6mths": "double",
+    "mths_since_last_delinq": "double",
+    "mths_since_last_record": "double",
+    "open_acc": "double",
+    "pub_rec": "double",
+    "revol_bal": "double",
+    "revol_util": "double",
+    "total_acc": "double",
+    "out_prncp": "double",
+    "out_prncp_inv": "double",
+    "total_pymnt": "double",
+    "total_pymnt_inv": "double",
+    "total_rec_prncp": "double",
+    "total_rec_int": "double",
+    "total_rec_late_fee": "double",
+    "recoveries": "double",
+    "collection_recovery_fee": "double",
+    "last_pymnt_amnt": "double",
+    "last_fico_range_high": "double",
+    "last_fico_range_low": "double",
+    "collections_12_mths_ex_med": "double",
+    "acc_now_delinq": "double",
+    "tot_coll_amt": "double",
+    "tot_cur_bal": "double",
+    "total_rev_hi_lim": "double",
+    "acc_open_past_24mths": "double",
+    "avg_cur_bal": "double",
+    "bc_open_to_buy": "double",
+    "bc_util": "double",
+    "delinq_amnt": "double",
+    "mort_acc": "double",
+    "num_accts_ever_120_pd": "double",
+    "pct_tl_nvr_dlq": "double",
+    "pub_rec_bankruptcies": "double",
+    "tax_liens": "double",
+    "tot_hi_cred_lim": "double",
+    "total_bal_ex_mort": "double",
+    "total_bc_limit": "double",
+}
 
 # --- end of fixed values ------------------------------------------------------

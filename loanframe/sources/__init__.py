@@ -6,6 +6,7 @@ from loanframe.sources.files import (
     load_json_baseline,
     read_checkpoint,
     read_raw_csv,
+    remove_scratch,
     save_baseline,
     scratch_path,
     shared_dir,
@@ -22,6 +23,7 @@ __all__ = [
     "loan_view",
     "read_checkpoint",
     "read_raw_csv",
+    "remove_scratch",
     "save_baseline",
     "scratch_path",
     "shared_dir",

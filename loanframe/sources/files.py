@@ -11,60 +11,95 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from loanframe import rules
+from loanframe.functions import named
+
 
 def string_schema(columns: Sequence[str]) -> StructType:
     """All-string schema for the raw columns."""
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
+# Extensions of compressed text that cannot be split: one file is one task.
+_UNSPLITTABLE = (".gz", ".zst", ".lz4", ".snappy", ".deflate", ".xz")
+
+
+def _header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of the first file under ``path`` (only its header is read)."""
+    return spark.read.option("header", True).csv(path).columns
+
+
 def read_raw_csv(
     spark: SparkSession,
     path: str | Sequence[str],
     columns: Sequence[str] | None = None,
     partitions: int | None = None,
-    corrupt_column: str | None = None,
-    infer_schema: bool = False,
+    corrupt_column: str | None = rules.CORRUPT_COLUMN,
 ) -> DataFrame:
     """Read raw loan CSV with a header, every column as string.
 
-    With ``columns`` the schema is fixed; without, the names come from the header
-    line only (no inference pass over the data).  ``PERMISSIVE`` keeps rows with a
-    wrong field count (missing fields become null, extra ones are dropped); those
-    are the misaligned rows that :func:`loanframe.operators.drop_shifted_rows`
-    removes.  With ``corrupt_column`` (needs ``columns``) the parser also puts the
-    raw text of every such row into that column, and null elsewhere.
-
-    A single ``.gz`` file is not splittable and arrives as one partition; pass
-    ``partitions`` to spread it before the per-row work.
-
-    ``infer_schema=True`` (without ``columns``) types the columns the way an
-    inferring reader does, at the cost of one extra full pass over the input; the
-    cleaning operators accept either form.
+    Columns are found by their header name.  Each of several paths may have its own
+    column order; with ``columns`` the result is that subset, in that order, and a
+    column that a header lacks is an error; without, all headers must name the same
+    columns.  Files within one path (a folder, a glob) must share one header: Spark
+    compares every file's header with the schema and fails on another one, so values
+    never land under another column's name.
+
+    ``PERMISSIVE`` keeps rows with a wrong field count (missing fields become null,
+    extra ones are dropped); those are the misaligned rows that
+    :func:`loanframe.operators.drop_shifted_rows` removes.  Their raw text is kept in
+    ``corrupt_column`` (null on other rows; ``None`` leaves the column out), which
+    :func:`loanframe.operators.batch_stats` counts and the cleaning drops.
+
+    Compressed files that cannot be split (gzip and the like) arrive as one partition
+    each and are spread over ``partitions`` (default: the session's shuffle
+    partitions) before the per-row work; other input is repartitioned only when
+    ``partitions`` is given.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("multiLine", False)
-    )
-    if columns is not None:
-        schema = string_schema(columns)
+    paths = [path] if isinstance(path, str) else list(path)
+    if not paths:
+        raise ValueError("read_raw_csv: no path given")
+    parts, first = [], None
+    for one in paths:
+        header = _header(spark, one)
+        wanted = list(columns) if columns is not None else first or header
+        first = wanted
+        missing = [c for c in wanted if c not in header]
+        extra = [c for c in header if c not in wanted] if columns is None else []
+        if missing or extra:
+            raise ValueError(
+                f"read_raw_csv: the header of {one} lacks {missing} and adds {extra}"
+                if extra
+                else f"read_raw_csv: the header of {one} lacks {missing}"
+            )
+        if corrupt_column and corrupt_column in header:
+            raise ValueError(f"read_raw_csv: {one} has a column named {corrupt_column}")
+        schema = string_schema(header)
+        reader = (
+            spark.read.option("header", True)
+            .option("mode", "PERMISSIVE")
+            .option("multiLine", False)
+            .option("enforceSchema", False)
+        )
         if corrupt_column:
             schema = schema.add(corrupt_column, StringType(), True)
             reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-        reader = reader.schema(schema).option("enforceSchema", corrupt_column is None)
-    elif corrupt_column:
-        raise ValueError("read_raw_csv: corrupt_column needs the column list")
-    else:
-        reader = reader.option("inferSchema", infer_schema)
-    df = reader.csv(path if isinstance(path, str) else list(path))
-    if partitions:
-        df = df.repartition(partitions)
-    return df
+        df = reader.schema(schema).csv(one)
+        spread = partitions
+        if spread is None and any(f.lower().endswith(_UNSPLITTABLE) for f in df.inputFiles()):
+            spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.select(*[named(c) for c in wanted], *([corrupt_column] if corrupt_column else []))
+        parts.append(df.repartition(spread) if spread else df)
+    out = parts[0]
+    for df in parts[1:]:
+        out = out.unionByName(df)
+    return out
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -125,35 +160,54 @@ def write_table(
     return target
 
 
+SNAPSHOT_SCHEMA = "column string, value string, row_count bigint, pct double"
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path in its terms."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def _is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written there to the end (its writer's last act is to leave
+    the marker file)."""
+    fs, at = _file_system(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return fs.exists(at)
+
+
 def load_baseline(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored snapshot ``(column, value, row_count, pct)``, or ``None`` when no
-    baseline has been saved yet (S6)."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e).lower():
-            return None
-        raise
+    baseline has been saved yet (S6).  A folder that a failed write left unfinished
+    counts as none."""
+    if not _is_written(spark, path):
+        return None
+    return spark.read.schema(SNAPSHOT_SCHEMA).parquet(path)
+
+
+#: A JSON baseline holds one number per value of a few columns.
+JSON_BASELINE_BYTES = 64 << 20
 
 
 def load_json_baseline(spark: SparkSession, path: str) -> DataFrame | None:
     """A baseline kept as one JSON object ``{column: {value: pct}}`` (the form the
     source job stored), as snapshot rows ``(column, value, row_count, pct)``; ``None``
-    when the file is absent.
+    when the file is absent.  A damaged or empty file is a ``ValueError``, as is one
+    over ``JSON_BASELINE_BYTES`` (it is parsed as one value).
 
     Keys were Python ``str(value)``: ``"None"`` becomes null and ``"True"`` /
     ``"False"`` become ``"true"`` / ``"false"``, the text Spark gives those values,
     so the rows join with :func:`loanframe.operators.distribution_snapshot`.
-    ``row_count`` is null (the JSON form has none).  The file is parsed by Spark
-    (``from_json`` to a map, then ``explode``), not on the driver.
+    ``row_count`` is null (the JSON form has none).
     """
-    try:
-        text = spark.read.text(path, wholetext=True)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e).lower():
-            return None
-        raise
-    parsed = F.from_json("value", "map<string,map<string,double>>")
+    fs, at = _file_system(spark, path)
+    if not fs.exists(at):
+        return None
+    if fs.getFileStatus(at).getLen() > JSON_BASELINE_BYTES:
+        raise ValueError(f"load_json_baseline: {path} is larger than {JSON_BASELINE_BYTES} bytes")
+    text = spark.read.text(path, wholetext=True)
+    parsed = F.from_json("value", "map<string,map<string,double>>", {"mode": "FAILFAST"})
     pairs = text.select(F.explode(parsed).alias("column", "values")).select(
         "column", F.explode("values").alias("key", "pct")
     )
@@ -163,20 +217,43 @@ def load_json_baseline(spark: SparkSession, path: str) -> DataFrame | None:
         .when(F.col("key") == "False", F.lit("false"))
         .otherwise(F.col("key"))
     )
-    return pairs.select(
+    rows = pairs.select(
         "column",
         value.alias("value"),
         F.lit(None).cast("bigint").alias("row_count"),
         "pct",
     )
+    try:
+        usable = rows.agg(F.count(F.lit(1)), F.count("pct")).first()
+    except (PySparkException, Py4JJavaError) as e:
+        raise ValueError(f"load_json_baseline: {path} is not a JSON object of shares") from e
+    if usable[0] == 0 or usable[1] < usable[0]:
+        raise ValueError(f"load_json_baseline: {path} holds no usable shares")
+    return rows
 
 
 def save_baseline(snapshot: DataFrame, path: str, refresh: bool = False) -> str:
     """Save a snapshot as the baseline.
 
-    The baseline is written once and then kept; ``refresh=True`` replaces it.
+    The baseline is written once and then kept; ``refresh=True`` replaces it.  The rows
+    are written aside and then moved into place, so a write that dies leaves no
+    half-written baseline, and what such a write left earlier is replaced.  A snapshot
+    without rows is a ``ValueError``: it would flag every value of every later run.
     """
-    snapshot.write.mode("overwrite" if refresh else "errorifexists").parquet(path)
+    spark = snapshot.sparkSession
+    if not refresh and _is_written(spark, path):
+        raise ValueError(f"save_baseline: {path} already holds a baseline")
+    aside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    snapshot.select("column", "value", "row_count", "pct").write.parquet(aside)
+    fs, at = _file_system(spark, path)
+    _, from_ = _file_system(spark, aside)
+    if spark.read.schema(SNAPSHOT_SCHEMA).parquet(aside).isEmpty():
+        fs.delete(from_, True)
+        raise ValueError("save_baseline: the snapshot has no rows")
+    if fs.exists(at):
+        fs.delete(at, True)
+    if not fs.rename(from_, at):
+        raise OSError(f"save_baseline: cannot move {aside} to {path}")
     return path
 
 
@@ -202,16 +279,26 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
+def _scratch_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/loanframe/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under :func:`shared_dir` for one run's output."""
-    base = shared_dir(spark)
-    sep = "" if base.endswith("/") else "/"
-    return f"{base}{sep}loanframe/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete every scratch table of this application.  Call it when no result that
+    reads one is needed any more, such as after a job's outputs are written."""
+    fs, at = _file_system(spark, _scratch_dir(spark))
+    fs.delete(at, True)
 
 
 __all__ = [
     "load_baseline",
     "load_json_baseline",
+    "remove_scratch",
     "read_checkpoint",
     "read_raw_csv",
     "save_baseline",

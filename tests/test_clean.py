@@ -1,12 +1,17 @@
+"""Cleaning steps on own cases, and against plain Python."""
+
 import datetime as dt
+import random
+import re
 
 import pytest
-from pyspark.sql.types import StringType, StructField, StructType
 
 from loanframe import rules
 from loanframe.operators import (
+    cast_numbers,
     cast_sparse_numerics,
     clean_dates,
+    clean_raw,
     clean_sparse,
     clean_term,
     drop_member_id,
@@ -16,124 +21,81 @@ from loanframe.operators import (
 )
 
 
-def strings(*names):
-    return StructType([StructField(n, StringType(), True) for n in names])
+def one_column(spark, name, values):
+    return spark.createDataFrame([(v,) for v in values], f"{name} string")
 
 
 # C1
-def test_drop_member_id_removes_column(spark):
-    df = spark.createDataFrame([(1, None)], "loan_id int, member_id string")
-    assert drop_member_id(df).columns == ["loan_id"]
+def test_drop_is_optional(spark):
+    df = spark.range(2).selectExpr("id", "'q' AS code")
+    assert drop_member_id(df, "code").columns == ["id"] == drop_member_id(df.drop("code"), "code").columns
 
 
-def test_drop_member_id_noop_when_absent(spark):
-    df = spark.createDataFrame([(1,)], "loan_id int")
-    assert drop_member_id(df).columns == ["loan_id"]
+# C2
+def test_term_takes_the_first_number(spark):
+    r = random.Random(8)
+    texts = ["".join(r.choice("0123456789 abz-") for _ in range(r.randint(0, 9))) for _ in range(200)] + [None, "5" * 30]
+    out = clean_term(one_column(spark, "span", texts), "span", "n")
+    assert out.columns == ["n"] and dict(out.dtypes)["n"] == "int"
 
+    def plain(t):
+        m = re.search(r"\d+", t or "")
+        return int(m[0]) if m and int(m[0]) < 1 << 31 else None
 
-# C2
-@pytest.mark.parametrize(
-    "term, months",
-    [
-        (" 36 months", 36),
-        (" 60 months", 60),
-        (None, None),
-        ("not a term", None),
-        ("99999999999 months", None),
-        ("12 to 36", 12),
-    ],
-)
-def test_clean_term(spark, term, months):
-    df = spark.createDataFrame([(term,)], strings("term"))
-    out = clean_term(df)
-    assert out.columns == ["term_months"]
-    assert dict(out.dtypes)["term_months"] == "int"
-    assert out.first()["term_months"] == months
+    assert [x.n for x in out.collect()] == [plain(t) for t in texts]
 
 
 # C3
-def test_clean_dates_parses_month_year(spark):
-    df = spark.createDataFrame([tuple(["Dec-2015"] * 5)], strings(*rules.DATE_COLUMNS))
-    row = clean_dates(df).first()
-    for c in rules.DATE_COLUMNS:
-        assert row[c] == dt.date(2015, 12, 1)
-
-
-@pytest.mark.parametrize(
-    "text, expected",
-    [
-        (None, None),
-        ("", None),
-        ("not a date", None),
-        ("Foo-2015", None),
-        ("\tDec-2015", None),
-        ("  Mar-2019 ", dt.date(2019, 3, 1)),
-        ("dec-2015", dt.date(2015, 12, 1)),
-        ("DEC-2015", dt.date(2015, 12, 1)),
-        ("Dec-15", None),
-    ],
-)
-def test_clean_dates_edge_values(spark, text, expected):
-    df = spark.createDataFrame([(text,)], strings("issue_d"))
-    out = clean_dates(df, ["issue_d"])
-    assert dict(out.dtypes)["issue_d"] == "date"
-    assert out.first()["issue_d"] == expected
+def test_dates_of_every_month_and_odd_text(spark):
+    names = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
+    good = {f" {m}-{1999 + i} ": dt.date(1999 + i, i + 1, 1) for i, m in enumerate(names)}
+    odd = ["Abc-2001", "13-2001", "Jan 2001", "Jan-201", "Jan-20011", "1-Jan-2001", "Jan-2001\n", "", None]
+    df = one_column(spark, "d", [*good, *odd])
+    out = clean_dates(df, ["d"])
+    assert dict(out.dtypes)["d"] == "date"
+    assert [x.d for x in out.collect()] == [*good.values(), *[None] * len(odd)]
+    with pytest.raises(ValueError, match="absent_one"):
+        clean_dates(df, ["d", "absent_one"])
 
 
-def test_clean_dates_missing_column_raises(spark):
-    df = spark.createDataFrame([("Dec-2015",)], strings("issue_d"))
-    with pytest.raises(ValueError, match="last_pymnt_d"):
-        clean_dates(df)
+# C4, C5
+def test_sparse_numbers_and_dates(spark):
+    df = spark.createDataFrame([("7.25", "Jul-2003", "keep"), ("7,25", "July-2003", "it"), (None, None, None)], "n string, d string, s string")
+    out = clean_sparse(df, ["n"], ["d"])
+    assert out.dtypes == [("n", "double"), ("d", "date"), ("s", "string")]
+    assert [tuple(r) for r in out.collect()] == [(7.25, dt.date(2003, 7, 1), "keep"), (None, None, "it"), (None, None, None)]
+    assert [r.n for r in cast_sparse_numerics(df, ["n"]).collect()] == [7.25, None, None]
+    with pytest.raises(ValueError, match="nowhere"):
+        cast_sparse_numerics(df, ["nowhere"])
 
 
-# C4, C5
-def test_cast_sparse_numerics(spark):
-    cols = rules.SPARSE_NUMERIC_COLUMNS
-    df = spark.createDataFrame([tuple(["1.5"] * len(cols)), tuple([None] * len(cols))], strings(*cols))
-    out = cast_sparse_numerics(df)
-    assert all(t == "double" for _, t in out.dtypes)
-    rows = out.collect()
-    assert all(rows[0][c] == 1.5 for c in cols)
-    assert all(rows[1][c] is None for c in cols)
-
-
-def test_cast_sparse_numerics_malformed_is_null(spark):
-    df = spark.createDataFrame([("abc",)], strings("hardship_amount"))
-    out = cast_sparse_numerics(df, ["hardship_amount"])
-    assert out.first()["hardship_amount"] is None
-
-
-def test_clean_sparse_numbers_and_dates_others_untouched(spark):
-    cols = list(rules.SPARSE_NUMERIC_COLUMNS) + list(rules.SPARSE_DATE_COLUMNS) + ["hardship_status"]
-    row = ["100.0"] * len(rules.SPARSE_NUMERIC_COLUMNS) + ["Mar-2019"] * len(rules.SPARSE_DATE_COLUMNS) + ["ACTIVE"]
-    bad = list(row)
-    bad[len(rules.SPARSE_NUMERIC_COLUMNS)] = "not-a-date"
-    out = clean_sparse(spark.createDataFrame([tuple(row), tuple(bad)], strings(*cols))).collect()
-    assert out[0]["hardship_amount"] == 100.0
-    assert out[0]["settlement_date"] == dt.date(2019, 3, 1)
-    assert out[0]["hardship_status"] == "ACTIVE"
-    assert out[1][rules.SPARSE_DATE_COLUMNS[0]] is None
+def test_numbers_are_typed_by_name(spark):
+    df = spark.createDataFrame([("12", "3.5", "x"), ("twelve", "", None)], "id string, loan_amnt string, `a.b` string")
+    out = cast_numbers(df)
+    assert out.dtypes == [("id", "bigint"), ("loan_amnt", "double"), ("a.b", "string")]
+    assert [tuple(r) for r in out.collect()] == [(12, 3.5, "x"), (None, None, None)]
+    assert cast_numbers(df, {"a.b": "int"}).dtypes[2] == ("a.b", "int")
+    assert cast_numbers(df, {"other": "int"}).dtypes == df.dtypes
 
 
-# C6
-def test_drop_shifted_rows(spark):
-    df = spark.createDataFrame(
-        [(1, "TX"), (2, "credit_card"), (3, "NY"), (4, "941xx"), (5, "ca"), (6, None), (7, "CA\n"), (8, "CAL")],
-        "id bigint, addr_state string",
-    )
-    assert sorted(r.id for r in drop_shifted_rows(df).collect()) == [1, 3]
+def test_the_whole_cleaning_drops_what_only_the_reader_needs(spark):
+    df = spark.createDataFrame([("1", None, " 7 months", None)], f"id string, member_id string, term string, {rules.CORRUPT_COLUMN} string")
+    out = clean_raw(df, [], [], [])
+    assert out.dtypes == [("id", "bigint"), ("term_months", "int")] and out.first() == (1, 7)
 
 
-def test_split_shifted_rows_partitions_all_rows(spark):
-    df = spark.createDataFrame([(1, "TX"), (2, None), (3, "ca")], "id bigint, addr_state string")
-    kept, rejected = split_shifted_rows(df)
-    assert sorted(r.id for r in kept.collect()) == [1]
-    assert sorted(r.id for r in rejected.collect()) == [2, 3]
+# C6
+def test_rows_are_kept_or_rejected_by_the_pattern(spark):
+    r = random.Random(9)
+    codes = ["".join(r.choice("QZq9 ") for _ in range(r.randint(0, 4))) for _ in range(300)] + [None, "ZQ\n", "ÄÖ"]
+    df = spark.createDataFrame(list(enumerate(codes)), "n int, code string")
+    want = [i for i, c in enumerate(codes) if c is not None and re.fullmatch("[A-Z]{2}", c)]
+    kept, rejected = split_shifted_rows(df, "code")
+    assert [x.n for x in kept.collect()] == [x.n for x in drop_shifted_rows(df, "code").collect()] == want
+    assert sorted(want + [x.n for x in rejected.collect()]) == list(range(len(codes)))
 
 
 # C16
-def test_preview_limits_rows_and_columns(spark):
-    df = spark.range(100).selectExpr("id", "id * 2 AS x", "id * 3 AS y")
-    out = preview(df, ["id", "x"])
-    assert out.columns == ["id", "x"]
-    assert out.count() == 10
+def test_preview_is_short(spark):
+    out = preview(spark.range(37).selectExpr("id AS a", "id AS b"), ["b"], 4)
+    assert out.columns == ["b"] and out.count() == 4

@@ -59,14 +59,17 @@ def test_batch_quality_profile(spark, raw_path, tmp_out):
               paths["curve"], "--baseline", paths["baseline"]]
     assert main(["quality", *common, "--report", paths["report"]]) == 0
     first = spark.read.parquet(paths["report"])
-    assert first.filter("section = 'drift' AND note LIKE 'No baseline%'").count() == 1
+    assert first.filter("section = 'drift' AND note LIKE 'There was nothing%'").count() == 1
     no_raw = [a for a in common if a != raw_path and a != "--raw"]
     assert main(["quality", *no_raw, "--stats", paths["stats"], "--report", paths["report2"],
                  "--report-format", "json"]) == 0
     second = spark.read.json(paths["report2"])
-    assert second.filter("section = 'drift' AND note LIKE 'No columns shifted%'").count() == 1
+    assert second.filter("section = 'drift' AND note LIKE 'All shares moved less%'").count() == 1
     rc = {r.metric: r.number for r in second.filter("section = 'row_counts'").collect()}
     assert rc["raw_row_count"] == 400.0 and rc["checkpoint_row_count"] == float(n)
+    third = tmp_out("report3")
+    assert main(["quality", *common, "--refresh-baseline", "--report", third]) == 0
+    assert spark.read.parquet(third).filter("section = 'drift' AND note LIKE '%replaced%'").count() == 1
     assert main(["profile", "--raw", raw_path, "--out", paths["profile"]]) == 0
     top = spark.read.parquet(paths["profile"])
     assert {r.column for r in top.collect()} == {"purpose", "addr_state"}

@@ -13,7 +13,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", list(E.queries()))
+@pytest.mark.parametrize("name", list(E.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     sqls = E.oracle_sql()
     assert name in sqls, f"{name} has no oracle"
@@ -22,7 +22,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_names_what_it_covers():
-    assert set(E.COVERS) == set(E.queries()) == set(E.oracle_sql())
+    assert set(E.COVERS) == set(E.QUERIES) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):

@@ -51,7 +51,7 @@ def test_snapshot_total_reuses_the_shuffle(checkpoint, capsys):
 
 
 def test_top_values_limits_before_the_shuffle(checkpoint, capsys):
-    p = plan(top_values(checkpoint, ["purpose", "addr_state"]), capsys, "simple")
+    p = plan(top_values(checkpoint, ["purpose", "addr_state"], 60), capsys, "simple")
     assert re.search(r"WindowGroupLimit .* Partial", p)
     assert re.search(r"WindowGroupLimit .* Final", p)
 
@@ -61,7 +61,7 @@ def test_status_filter_reaches_the_parquet_scan(checkpoint, capsys):
     assert re.search(r"PushedFilters: \[[^\]]*In\(loan_status", p)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.QUERIES))
 def test_no_python_udf_no_cartesian(spark, capsys, name):
     p = plan(E.queries()[name](spark, SF), capsys, "simple")
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):

@@ -58,7 +58,7 @@ def test_quality_first_run_saves_baseline_second_compares(spark, raw_csv, tmp_ou
     first = run_quality(spark, raw, res.checkpoint, outputs, base)
     assert first.baseline_saved and first.drift is None
     notes = [r.note for r in first.report.filter("section = 'drift'").collect()]
-    assert len(notes) == 1 and "No baseline" in notes[0]
+    assert len(notes) == 1 and "nothing to compare" in notes[0]
     second = run_quality(spark, raw, res.checkpoint, outputs, base)
     assert not second.baseline_saved
     assert second.drift.filter("flagged").count() == 0
@@ -74,10 +74,15 @@ def test_quality_refresh_replaces_the_baseline(spark, raw_csv, tmp_out):
     first = run_quality(spark, None, old, outputs, base, batch_stats=res.stats)
     assert first.baseline_saved
     drifted = run_quality(spark, None, res.checkpoint, outputs, base, batch_stats=res.stats)
-    assert not drifted.baseline_saved and drifted.drift.count() > 0
+    order = ["column", "value"]
+    shifts = drifted.drift.orderBy(*order).collect()
+    assert not drifted.baseline_saved and any(r.flagged for r in shifts)
     refreshed = run_quality(spark, None, res.checkpoint, outputs, base, batch_stats=res.stats,
                             refresh_baseline=True)
-    assert refreshed.baseline_saved and refreshed.drift is None
+    assert refreshed.baseline_saved
+    assert refreshed.drift.orderBy(*order).collect() == shifts
+    told = [r.note for r in refreshed.report.filter("section = 'drift' and note is not null").collect()]
+    assert any("replaced" in n for n in told)
     again = run_quality(spark, None, res.checkpoint, outputs, base, batch_stats=res.stats)
     assert again.drift.filter("flagged").count() == 0
 
@@ -115,6 +120,30 @@ def test_batch_outputs_as_catalog_tables_and_other_formats(spark, raw_csv, tmp_o
 
 
 def test_profiling(spark, raw_csv):
-    out = run_profiling(_raw(spark, raw_csv), **VIEW_RULES)
-    assert {r.column for r in out.collect()} == {"purpose", "addr_state"}
-    assert out.filter("rank > 60").count() == 0
+    raw = _raw(spark, raw_csv).withColumn("branch", (F.col("id") % 97).cast("int").cast("string"))
+    whole = run_profiling(raw, ["branch", "addr_state"], **VIEW_RULES)
+    assert whole.columns == ["column", "value", "row_count"]
+    n = whole.filter("column = 'branch'").count()
+    assert n > 60
+    top = run_profiling(raw, ["branch", "addr_state"], k=5, **VIEW_RULES).filter("column = 'branch'").collect()
+    assert len(top) == 5 and {r.other_values for r in top} == {n - 5}
+
+
+def test_an_empty_checkpoint_is_no_baseline(spark, raw_csv, tmp_out):
+    res = _batch(spark, raw_csv, tmp_out)
+    base = tmp_out("baseline")
+    out = run_quality(spark, None, res.checkpoint.limit(0), {}, base, batch_stats=res.stats)
+    assert not out.baseline_saved and out.drift is None
+    from loanframe.sources import load_baseline
+
+    assert load_baseline(spark, base) is None
+
+
+def test_saved_and_returned_stats_have_one_schema(spark, raw_csv, tmp_out):
+    raw = _raw(spark, raw_csv).filter(F.coalesce(F.col("purpose") != "bogus", F.lit(True)))
+    path = tmp_out("stats")
+    args = (tmp_out("ckpt"), tmp_out("ratio"), tmp_out("curve"))
+    saved = run_batch(spark, raw, *args, purposes=lv.PURPOSE_DOMAIN, stats_path=path, **VIEW_RULES)
+    kept = run_batch(spark, raw, *args, purposes=lv.PURPOSE_DOMAIN, **VIEW_RULES)
+    assert spark.read.parquet(path).dtypes == saved.stats.dtypes == kept.stats.dtypes
+    assert dict(saved.checkpoint.dtypes)["id"] == "bigint"

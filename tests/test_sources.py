@@ -2,6 +2,7 @@ import os
 
 import pytest
 
+from loanframe.rules import CORRUPT_COLUMN
 from loanframe.sources import (
     load_baseline,
     read_checkpoint,
@@ -21,45 +22,78 @@ def _write_text(path, text):
 
 
 # S1
-def test_read_raw_csv_all_strings_from_header(spark, tmp_out):
+def _texts(df):
+    return sorted(tuple(r) for r in df.drop(CORRUPT_COLUMN).collect())
+
+
+def test_columns_are_strings_named_by_the_header(spark, tmp_out):
     path = tmp_out("csv") + "/part.csv"
-    _write_text(path, 'id,term,dti\n1, 36 months,12.5\n2,"60 months, fixed",n/a\n')
+    _write_text(path, 'id,note,weight\n1, two  words,12.5\n2,"a, b",n/a\n')
     df = read_raw_csv(spark, path)
-    assert df.dtypes == [("id", "string"), ("term", "string"), ("dti", "string")]
-    rows = df.orderBy("id").collect()
-    assert rows[0].term == " 36 months" and rows[1].term == "60 months, fixed"
+    assert df.dtypes == [(c, "string") for c in ("id", "note", "weight", CORRUPT_COLUMN)]
+    assert _texts(df) == [("1", " two  words", "12.5"), ("2", "a, b", "n/a")]
 
 
-def test_read_raw_csv_inferred_types_feed_the_same_operators(spark, tmp_out):
-    from loanframe.operators import add_delinquency_flag, add_dti_bucket
-
+def test_subsets_are_taken_by_name_not_by_place(spark, tmp_out):
     path = tmp_out("csv") + "/part.csv"
-    _write_text(path, "id,dti,delinq_2yrs\n1,12.5,0\n2,45.0,3\n")
-    df = read_raw_csv(spark, path, infer_schema=True)
-    assert dict(df.dtypes)["dti"] == "double"
-    out = add_delinquency_flag(add_dti_bucket(df)).orderBy("id").collect()
-    assert [(r.dti_bucket, r.has_prior_delinquency) for r in out] == [("Low", False), ("High", True)]
+    _write_text(path, "id,url,amount,grade,state\n7,u,1000,B,QZ\n8,v,2000,C,ZQ\n")
+    assert _texts(read_raw_csv(spark, path, columns=["state", "id", "grade"])) == [("QZ", "7", "B"), ("ZQ", "8", "C")]
+    with pytest.raises(ValueError, match="rate"):
+        read_raw_csv(spark, path, columns=["id", "rate"])
+
+
+def test_files_with_other_column_orders(spark, tmp_out):
+    one, two, three = (tmp_out("csv") + "/part.csv" for _ in range(3))
+    _write_text(one, "id,grade,state\n1,A,QQ\n")
+    _write_text(two, "state,id,grade\nZZ,2,B\n")
+    _write_text(three, "id,grade\n3,C\n")
+    assert _texts(read_raw_csv(spark, [one, two])) == [("1", "A", "QQ"), ("2", "B", "ZZ")]
+    with pytest.raises(ValueError, match="state"):
+        read_raw_csv(spark, [one, three])
+    with pytest.raises(ValueError, match="adds"):
+        read_raw_csv(spark, [three, one])
+    assert _texts(read_raw_csv(spark, [one, three], columns=["id"])) == [("1",), ("3",)]
+    with pytest.raises(ValueError):
+        read_raw_csv(spark, [])
 
 
-def test_read_raw_csv_fixed_schema_and_short_rows(spark, tmp_out):
-    path = tmp_out("csv") + "/part.csv"
-    _write_text(path, "id,addr_state,purpose\n1,CA,car\n2,NY\n")
-    df = read_raw_csv(spark, path, columns=["id", "addr_state", "purpose"], partitions=4)
-    assert df.rdd.getNumPartitions() == 4
-    rows = {r.id: r for r in df.collect()}
-    assert rows["2"].purpose is None
+def test_one_folder_must_hold_one_header(spark, tmp_out):
+    folder = tmp_out("csv")
+    _write_text(f"{folder}/a.csv", "id,grade\n1,A\n")
+    _write_text(f"{folder}/b.csv", "grade,id\nB,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw_csv(spark, folder).collect()
+
 
+def test_rows_with_another_field_count_are_counted(spark, tmp_out):
+    from loanframe.operators import batch_stats
 
-def test_read_raw_csv_corrupt_column(spark, tmp_out):
     path = tmp_out("csv") + "/part.csv"
-    _write_text(path, "id,addr_state,purpose\n1,CA,car\n2,NY\n3,free text, with comma,TX,car\n")
-    df = read_raw_csv(spark, path, columns=["id", "addr_state", "purpose"], corrupt_column="_corrupt")
-    rows = {r.id: r for r in df.collect()}
-    assert rows["1"]._corrupt is None
-    assert rows["2"]._corrupt == "2,NY"
-    assert rows["3"]._corrupt.startswith("3,free text")
-    with pytest.raises(ValueError):
-        read_raw_csv(spark, path, corrupt_column="_corrupt")
+    _write_text(path, "addr_state,loan_status,purpose\nQQ,Fully Paid,car\nZZ,Current\nfree, text,QZ,car\n")
+    df = read_raw_csv(spark, path)
+    assert sorted(r[CORRUPT_COLUMN] for r in df.filter(f"{CORRUPT_COLUMN} is not null").collect()) == [
+        "ZZ,Current", "free, text,QZ,car"]
+    assert batch_stats(df).first().malformed_rows == 2
+    assert CORRUPT_COLUMN not in read_raw_csv(spark, path, corrupt_column=None).columns
+    _write_text(path, f"id,{CORRUPT_COLUMN}\n1,x\n")
+    with pytest.raises(ValueError, match=CORRUPT_COLUMN):
+        read_raw_csv(spark, path)
+
+
+def test_unsplittable_files_are_spread(spark, tmp_out):
+    import gzip
+
+    folder = tmp_out("csv")
+    _write_text(f"{folder}/plain.csv", "id,x\n" + "".join(f"{i},a\n" for i in range(90)))
+    assert read_raw_csv(spark, f"{folder}/plain.csv").rdd.getNumPartitions() == 1
+    assert read_raw_csv(spark, f"{folder}/plain.csv", partitions=3).rdd.getNumPartitions() == 3
+    with gzip.open(f"{folder}/packed.csv.gz", "wt") as f:
+        f.write("id,x\n" + "".join(f"{i},a\n" for i in range(90)))
+    df = read_raw_csv(spark, f"{folder}/packed.csv.gz")
+    assert df.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    written = write_checkpoint(df, tmp_out("ckpt"))
+    assert len([f for f in os.listdir(written) if f.endswith(".parquet")]) > 1
+    assert read_checkpoint(spark, written).count() == 90
 
 
 def test_write_csv_keeps_spaces(spark, tmp_out):
@@ -94,18 +128,54 @@ def test_write_table_path_and_catalog(spark, tmp_out):
 
 
 # S6, S7
-def test_baseline_absent_then_saved_once(spark, tmp_out):
+SNAP = "column string, value string, row_count bigint, pct double"
+
+
+def test_baseline_life_cycle(spark, tmp_out):
     path = tmp_out("baseline")
     assert load_baseline(spark, path) is None
-    snap = spark.createDataFrame([("grade", "A", 1, 100.0)], "column string, value string, row_count bigint, pct double")
-    save_baseline(snap, path)
-    assert load_baseline(spark, path).count() == 1
-    with pytest.raises(Exception):
-        save_baseline(snap, path)
-    save_baseline(snap.union(snap), path, refresh=True)
+    one = spark.createDataFrame([("hue", "teal", 4, 100.0)], SNAP)
+    two = spark.createDataFrame([("hue", "teal", 1, 50.0), ("hue", None, 1, 50.0)], SNAP)
+    with pytest.raises(ValueError, match="no rows"):
+        save_baseline(one.limit(0), path)
+    assert load_baseline(spark, path) is None
+    save_baseline(one, path)
+    with pytest.raises(ValueError, match="already"):
+        save_baseline(two, path)
+    assert [tuple(r) for r in load_baseline(spark, path).collect()] == [("hue", "teal", 4, 100.0)]
+    save_baseline(two, path, refresh=True)
     assert load_baseline(spark, path).count() == 2
 
 
+def test_a_half_written_baseline_counts_as_none(spark, tmp_out):
+    path = tmp_out("baseline")
+    _write_text(f"{path}/_temporary/0/part-00000", "half")
+    assert load_baseline(spark, path) is None
+    save_baseline(spark.createDataFrame([("hue", "teal", 4, 100.0)], SNAP), path)
+    assert load_baseline(spark, path).count() == 1
+
+
+@pytest.mark.parametrize("text", ['{"hue": {"teal": 1', "[]", "{}", "", '{"hue": {"teal": "much"}}', '{"hue": 3}', "null"])
+def test_a_damaged_json_baseline_is_an_error(spark, tmp_out, text):
+    from loanframe.sources import load_json_baseline
+
+    path = tmp_out("json") + "/b.json"
+    _write_text(path, text)
+    with pytest.raises(ValueError):
+        load_json_baseline(spark, path)
+
+
+def test_scratch_tables_can_be_removed(spark, tmp_out):
+    from loanframe.sources import remove_scratch
+
+    path = tmp_out("gone")
+    write_table(spark.range(3), path)
+    folder = os.path.dirname(path.removeprefix("file:"))
+    assert os.path.isdir(folder) and spark.sparkContext.applicationId in folder
+    remove_scratch(spark)
+    assert not os.path.isdir(folder)
+
+
 def test_shared_dir_comes_from_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert configured and shared_dir(spark) == configured
@@ -139,21 +209,6 @@ def test_partitioned_checkpoint_splits_a_hot_value(spark, tmp_out):
     assert read_checkpoint(spark, path).count() == 2_000_000
 
 
-def test_read_raw_csv_header_schema_with_partitions(spark, tmp_out):
-    path = tmp_out("csv") + "/part.csv"
-    _write_text(path, "id,addr_state\n" + "".join(f"{i},CA\n" for i in range(50)))
-    df = read_raw_csv(spark, path, partitions=3)
-    assert df.rdd.getNumPartitions() == 3 and df.count() == 50
-
-
-def test_load_baseline_reraises_other_errors(spark, tmp_out):
-    path = tmp_out("not-parquet")
-    _write_text(path + "/part.txt", "plain text\n")
-    with pytest.raises(Exception) as err:
-        load_baseline(spark, path)
-    assert "PATH_NOT_FOUND" not in str(err.value)
-
-
 def test_shared_dir_is_required_on_a_cluster():
     class Conf:
         def get(self, key, default=None):
