@@ -127,7 +127,8 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .select(*KEYS, "ask.*", _chunk_text("lines", F.col("chunk")).alias("bytes"))
     )
     found = stored(found, "repeated")
-    kept = found.filter("is_first").select("hash", F.col("bytes").alias("first_bytes")).distinct()
+    # Stored, so that the join below reads two plain tables and can split a hot chunk.
+    kept = stored(found.filter("is_first").select("hash", F.col("bytes").alias("first_bytes")).distinct(), "first")
     equal = found.filter("not is_first").join(kept, "hash").filter("bytes = first_bytes")
     return equal.groupBy(*KEYS).agg(F.collect_set("start").alias("starts"))
 
