@@ -85,7 +85,7 @@ def unpack(value: bytes) -> list[np.ndarray]:
         planes = np.frombuffer(raw, np.uint8, n * width, at + 9).reshape(width, n)
         kind = np.float64 if code == b"f" else {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.uint64}[width]
         a = np.ascontiguousarray(planes.T).view(kind).reshape(n)
-        out.append(a if code == b"f" else a.astype(np.int64))
+        out.append(a if code == b"f" else a.astype(np.int64 if a.max(initial=0) >> 31 else np.int32))
         at += 9 + n * width
     return out
 
@@ -357,14 +357,15 @@ def _ask_pairs(block: pa.Table, answers: pa.Table, uni: Unigrams, buckets: int,
 
     splits = np.maximum(1, -(-c1 // hot)).astype(np.uint64)
     bucket = ((_mix(a) + _mix(b) % splits) % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((b * _DOCS + doc, bucket << 40 | a))
+    order = np.lexsort((b.astype(np.int64) * _DOCS + doc, bucket << 40 | a))
+    del stream, scored, at, opens, splits
     a, b, c1, c2, doc, bucket = (x[order] for x in (a, b, c1, c2, doc, bucket))
     new_pair = _changes(bucket, a, b)
     new_ask = new_pair | _changes(doc)
     pair, ask = np.flatnonzero(new_pair), np.flatnonzero(new_ask)
     times = np.diff(np.append(ask, len(a)))
-    trained = np.add.reduceat((held_out[doc] == 0).astype(np.int64), pair)
-    asks = np.add.reduceat(new_ask.astype(np.int64), pair)
+    trained = np.add.reduceat(held_out[doc] == 0, pair, dtype=np.int64)
+    asks = np.add.reduceat(new_ask, pair, dtype=np.int64)
     cut = np.flatnonzero(_changes(bucket[pair]))
     asked = np.searchsorted(ask, pair[cut])
     for s, e, x, y in zip(cut, np.append(cut[1:], len(pair)), asked, np.append(asked[1:], len(ask))):
@@ -390,20 +391,21 @@ def _answer_pairs(rows: pa.Table, uni: Unigrams, hot: int, tables: bool) -> pa.T
     if not len(asked):
         return pa.Table.from_pylist(out, _ASKED_ARROW)
     columns: list[list[np.ndarray]] = [[] for _ in range(8)]
-    for k, value in enumerate(asked["value"].to_pylist()):
-        step, size, c1, b, c2, trained, asks, doc, times = unpack(value)
-        a = np.repeat(np.cumsum(step), size)
-        for part, x in zip(columns, (a, np.repeat(c1, size), b, c2, trained, asks, doc + k * _DOCS, times)):
+    for k, value in enumerate(asked["value"]):
+        step, size, c1, b, c2, trained, asks, doc, times = unpack(value.as_py())
+        a = np.repeat(np.cumsum(step).astype(b.dtype if step.dtype == b.dtype else np.int64), size)
+        doc = doc.astype(np.int64) + k * _DOCS
+        for part, x in zip(columns, (a, np.repeat(c1, size), b, c2, trained, asks, doc, times)):
             part.append(x)
-    a, c1, b, c2, trained, asks, doc, times = (np.concatenate(x) for x in columns)
+    a, c1, b, c2, trained, asks, doc, times = (np.concatenate(columns.pop(0)) for _ in range(8))
 
     # Distinct pairs, and their contexts.
     order = np.lexsort((b, a))
     new = _changes(a[order], b[order])
     first = np.flatnonzero(new)
-    which = np.empty(len(a), np.int64)
+    which = np.empty(len(a), np.int32)
     which[order] = np.cumsum(new) - 1
-    count = np.add.reduceat(trained[order], first)
+    count = np.add.reduceat(trained[order], first, dtype=np.int64)
     a, b, c1, c2 = (x[order][first] for x in (a, b, c1, c2))
     new = _changes(a)
     context = np.cumsum(new) - 1
@@ -417,6 +419,7 @@ def _answer_pairs(rows: pa.Table, uni: Unigrams, hot: int, tables: bool) -> pa.T
 
     # Every asking document, pair by pair.
     pair = np.repeat(which, asks)
+    del order, trained, which, asks
     seen = count[pair] > 0
     value = times * np.log10(np.where(seen, count[pair] / np.maximum(total[context[pair]], 1), own[pair]))
     docs, place = np.unique(doc, return_inverse=True)
@@ -473,8 +476,8 @@ def _complete(rows: pa.Table, factors: np.ndarray, weights: dict[int, float]) ->
             "row": pa.array(told["rows"], pa.int64()),
             "doc_id": pa.array(told["ids"], pa.int64()),
             "held_out": pa.array(held_out == 1),
-            "n_tokens": n_tokens,
-            "n_known": n_known,
+            "n_tokens": n_tokens.astype(np.int64),
+            "n_known": n_known.astype(np.int64),
             "base_score": base,
             "score": score,
         }
