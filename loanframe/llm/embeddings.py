@@ -127,8 +127,9 @@ def _in_cells(vectors: DataFrame, centroids, reach: float) -> DataFrame:
                     rows.columns + [pa.array(x.astype(np.int32)) for x in more], rows.schema.names + ["size", "cell", "home"]
                 )
 
+    kind = vectors.schema["vector"].dataType.simpleString()
     return vectors.select("node", "n", "vector").mapInArrow(
-        run, "node long, n long, vector array<float>, size int, cell int, home int"
+        run, f"node long, n long, vector {kind}, size int, cell int, home int"
     )
 
 
@@ -241,7 +242,9 @@ def embedding_groups(
     reach: float | None = None,
 ) -> DataFrame:
     """One row per row of ``df``: vec_id, n_links, component_id, kept."""
-    rows = df.select(column(vec_id).alias("vec_id"), column(vector).cast("array<float>").alias("vector"))
+    kind = df.schema[vector].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
+    rows = df.select(column(vec_id).alias("vec_id"), column(vector).cast(kind).alias("vector"))
     rows = rows.withColumn("vector", F.when(_usable(F.col("vector")), F.col("vector")))
     distinct = stored(
         rows.filter("vector is not null")

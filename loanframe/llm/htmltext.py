@@ -84,6 +84,7 @@ _WORDS = frozenset(
     login share sharing social comment comments commentlist disqus respond replies related recommended
     recommendations teaser widget copyright legal disclaimer skip search form""".split()
 )
+_OF_ARTICLE = frozenset("article post entry content story title headline".split())
 _COMMENTS = frozenset("comment comments commentlist disqus respond replies related".split())
 
 _TOKEN = re.compile(
@@ -133,6 +134,8 @@ def _no_article(name: str, attributes: dict[str, str], in_article: bool) -> tupl
     if attributes.get("role", "").lower() in _ROLES:
         return True, True
     words = {w.lower() for k in ("class", "id") for w in _CAMEL.split(attributes.get(k, ""))}
+    if "header" in words and not in_article and name in _CONTAINERS and not words & _OF_ARTICLE:
+        return True, False
     return bool(words & _WORDS), bool(words & _COMMENTS)
 
 

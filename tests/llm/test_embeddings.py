@@ -70,6 +70,15 @@ def test_odd_vectors(spark):
     assert embedding_groups(df.filter("false")).count() == 0
 
 
+def test_double_components_keep_their_precision(spark):
+    # At cosine 0.95 and a hair below it, which single precision cannot tell apart.
+    t = 0.95
+    rows = [(0, [1.0, 0.0]), (1, [t * 3, (1 - t * t) ** 0.5 * 3 * (1 - 1e-12)]), (2, [t, -((1 - t * t) ** 0.5) * (1 + 1e-9)])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_groups(df).collect()}
+    assert got == {0: (1, 0), 1: (1, 0), 2: (0, 2)}
+
+
 def test_kmeans_gives_unit_centroids():
     x = unit(np.random.default_rng(0).normal(size=(200, 8)))
     c = spherical_kmeans(np.concatenate([x, np.repeat(x[:1], 100, 0)]), 20)

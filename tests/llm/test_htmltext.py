@@ -25,6 +25,7 @@ def page(body):
         "<article><h1>Head</h1><p>{L}</p><!-- <p>{M}</p> --><p>Yes.</p><div style='display: none'>{M}</div><footer>{M}",
         "<div class=sidebar><ul><li><a href=1>{M}</a></li></ul></div><article><h1>Head</h1><p>{L}</p><p>Yes.</p></article>",
         "<div class='layout has_sidebar'><main><h1>Head</h1><p>{L}</p><p>Yes.</p></main><div id=newsletterBox>{M}</div></div>",
+        "<div id=site-header><p>{M}</p></div><div class=entry-header><h1>Head</h1></div><p>{L}</p><p>Yes.</p><p>{L}</p>",
         "<nav><a href=/>x</a><div><article><h1>Head</h1><p>{L}</p><p>Yes.</p></article></div>",
     ],
 )
