@@ -4,12 +4,14 @@ A document's lines are cut into chunks where the content says so: a rolling hash
 the hashes of the last two lines decides whether a chunk ends after a line, and a line
 of over ``LONG_WORDS`` words always is a chunk of its own.  A boundary depends on its
 neighbouring lines alone, so a passage is cut alike wherever it stands, whatever was
-inserted before it.  Chunks of several lines (and the long lines) that occur more than
-once in the whole table are removed, all but the first occurrence, in the order of
-document id and place.  Chunks are matched by hash first; a chunk is only removed after
-its bytes were compared with those of the first occurrence.
-
-What is shuffled: a hash and a place for every chunk; the text of the documents once to
+inserted before it.  Compared are the chunks of several lines (and the long lines), and
+every two neighbouring chunks together, so that a short chunk inside a repeated passage
+goes with its neighbour.  What occurs more than once in the whole table is removed, all
+but the first occurrence, in the order of document id and place; the first occurrence of
+a chunk always stays.  Chunks are matched by hash first; one is only removed after its
+bytes were compared with those of the first occurrence.
+
+What is shuffled: a hash and a place for every chunk and pair; the text of the documents once to
 fetch the chunks that repeat, and once to rewrite; the text of repeated chunks.  Counts
 are summed before the shuffle, and a chunk held by very many documents is spread over
 tasks by the skew handling of the joins.
@@ -45,9 +47,25 @@ def _is_long(line: Column) -> Column:
     return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) >= LONG_WORDS
 
 
+#: A chunk as one number: its first line times this, plus its number of lines.
+_SIZES = 1 << 31
+
+
+def _start(chunk: Column) -> Column:
+    return F.shiftright(chunk, 31).cast("int")
+
+
+def _size(chunk: Column) -> Column:
+    return chunk.bitwiseAND(F.lit(_SIZES - 1)).cast("int")
+
+
+def _chunk_text(lines: Column, chunk: Column) -> Column:
+    return F.array_join(F.slice(lines, _start(chunk) + 1, _size(chunk)), "\n")
+
+
 def with_chunks(df: DataFrame, text: Column) -> DataFrame:
-    """``df`` with ``lines`` and ``chunks``: an array of (start, size, long) that covers
-    all lines in order.  No shuffle."""
+    """``df`` with ``lines`` and ``marks`` (hash and length of each line) and ``chunks``,
+    which cover all lines in order.  No shuffle."""
     marked = df.withColumn("lines", F.split(text, "\n", -1)).withColumn(
         "marks",
         F.transform("lines", lambda x: F.struct(_line_hash(x).alias("hash"), _is_long(x).alias("long"))),
@@ -64,29 +82,32 @@ def with_chunks(df: DataFrame, text: Column) -> DataFrame:
             | (F.shiftright(rolled, 16) % MEAN_LINES == 0)
         )
 
-    cut = marked.withColumn("is_end", F.transform("marks", ends)).withColumn(
-        "ends", F.filter(F.transform("is_end", lambda e, i: F.when(e, i)), lambda i: i.isNotNull())
+    is_end = F.transform("marks", ends)
+    cut = marked.withColumn(
+        "ends", F.filter(F.transform(is_end, lambda e, i: F.when(e, i)), lambda i: i.isNotNull())
     )
 
     def chunk(end: Column, k: Column) -> Column:
-        start = F.when(k > 0, F.get("ends", k - 1) + 1).otherwise(0)
-        return F.struct(
-            start.alias("start"),
-            (end - start + 1).alias("size"),
-            F.get("marks", end)["long"].alias("long"),
-        )
-
-    return cut.withColumn("chunks", F.transform("ends", chunk)).drop("marks", "is_end", "ends")
+        start = F.when(k > 0, F.get("ends", k - 1) + 1).otherwise(0).cast("bigint")
+        return start * _SIZES + (end - start + 1)
 
+    return cut.withColumn("chunks", F.transform("ends", chunk)).drop("ends")
 
-def _chunk_text(lines: str, chunk: Column) -> Column:
-    return F.array_join(F.slice(lines, chunk["start"] + 1, chunk["size"]), "\n")
 
-
-def _each_chunk() -> Column:
-    # The outer form: for the inner one Spark adds a filter on the size of the array,
-    # pushes it below the projections and evaluates all of their expressions nested.
-    return F.explode_outer("chunks").alias("chunk")
+def _units() -> Column:
+    """What is compared of a document: (span, chunks), the span being numbered like a
+    chunk."""
+    alone = F.transform(
+        F.filter("chunks", lambda c: (_size(c) > 1) | F.get("marks", _start(c))["long"]),
+        lambda c: F.struct(c.alias("span"), F.array(c).alias("chunks")),
+    )
+    pairs = F.transform(
+        "chunks",
+        lambda c, k: F.struct(
+            (c + _size(F.get("chunks", k + 1))).alias("span"), F.array(c, F.get("chunks", k + 1)).alias("chunks")
+        ),
+    )
+    return F.concat(alone, F.filter(pairs, lambda u: u["span"].isNotNull()))
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str, *kept: Column) -> DataFrame:
@@ -99,15 +120,17 @@ def _keyed(docs: DataFrame, doc_id: str, text: str, *kept: Column) -> DataFrame:
 
 
 def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(null_id, id, text_hash, starts)``: the first lines of the chunks to remove
-    from a document, which occur earlier byte by byte."""
+    """``(null_id, id, text_hash, removed)``: the chunks to remove from a document, which
+    occur earlier byte by byte."""
     keyed = _keyed(docs, doc_id, text, column(text).alias("text"))
-    place = F.struct(*KEYS, "start")
+    place = F.struct(*KEYS, "span")
+    # The outer form: for the inner one Spark adds a filter on the size of the array,
+    # pushes it below the projections and evaluates all of their expressions nested.
+    units = with_chunks(keyed, F.col("text")).withColumn("units", _units())
     seen = (
-        with_chunks(keyed, F.col("text"))
-        .select(*KEYS, "lines", _each_chunk())
-        .filter("chunk.size > 1 or chunk.long")
-        .select(F.xxhash64(_chunk_text("lines", F.col("chunk"))).alias("hash"), *KEYS, F.col("chunk.start").alias("start"))
+        units.select(*KEYS, "lines", F.explode_outer("units").alias("unit"))
+        .filter("unit is not null")
+        .select(F.xxhash64(_chunk_text(F.col("lines"), F.col("unit.span"))).alias("hash"), *KEYS, "unit.*")
     )
     seen = stored(seen, "chunks")
     first = (
@@ -115,22 +138,20 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     asked = (
         seen.join(first, "hash")
-        .select(*KEYS, F.struct("start", "hash", (place == F.col("first")).alias("is_first")).alias("ask"))
+        .select(*KEYS, F.struct("span", "chunks", "hash", (place == F.col("first")).alias("is_first")).alias("ask"))
         .groupBy(*KEYS)
         .agg(F.collect_set("ask").alias("asks"))  # chunks of one document
     )
     found = (
-        with_chunks(keyed.join(asked, list(KEYS)), F.col("text"))
-        .select(*KEYS, "lines", "asks", _each_chunk())
-        .withColumn("ask", F.get(F.filter("asks", lambda a: a["start"] == F.col("chunk.start")), F.lit(0)))
-        .filter("ask is not null")
-        .select(*KEYS, "ask.*", _chunk_text("lines", F.col("chunk")).alias("bytes"))
+        keyed.join(asked, list(KEYS))
+        .select(*KEYS, F.split("text", "\n", -1).alias("lines"), F.explode_outer("asks").alias("ask"))
+        .select(*KEYS, "ask.*", _chunk_text(F.col("lines"), F.col("ask.span")).alias("bytes"))
     )
     found = stored(found, "repeated")
     # Stored, so that the join below reads two plain tables and can split a hot chunk.
     kept = stored(found.filter("is_first").select("hash", F.col("bytes").alias("first_bytes")).distinct(), "first")
     equal = found.filter("not is_first").join(kept, "hash").filter("bytes = first_bytes")
-    return equal.groupBy(*KEYS).agg(F.collect_set("start").alias("starts"))
+    return equal.groupBy(*KEYS).agg(F.array_distinct(F.flatten(F.collect_set("chunks"))).alias("removed"))
 
 
 def remove_repeated_chunks(
@@ -144,16 +165,15 @@ def remove_repeated_chunks(
         repeated_chunks(docs, doc_id, text), list(KEYS), "left"
     )
     cut = with_chunks(joined, whole).withColumn(
-        "kept", F.filter("chunks", lambda c: ~F.coalesce(F.array_contains("starts", c["start"]), F.lit(False)))
+        "kept", F.when(F.col("removed").isNull(), F.col("chunks")).otherwise(F.array_except("chunks", "removed"))
     )
-    rest = F.array_join(F.transform("kept", lambda c: _chunk_text("lines", c)), "\n")
-    rest = F.when(F.col("starts").isNull(), whole).otherwise(rest)
-    size = F.size("lines")
-    kept_size = F.aggregate("kept", F.lit(0), lambda n, c: n + c["size"])
+    rest = F.array_join(F.transform("kept", lambda c: _chunk_text(F.col("lines"), c)), "\n")
+    rest = F.when(F.col("removed").isNull(), whole).otherwise(rest)
+    kept_size = F.aggregate("kept", F.lit(0), lambda n, c: n + _size(c))
     counts = {
-        "n_lines": F.when(whole.isNotNull(), size),
-        "n_lines_removed": F.when(whole.isNotNull(), size - kept_size),
-        "n_chunks_removed": F.when(F.col("starts").isNotNull(), F.size("starts")),
+        "n_lines": F.when(whole.isNotNull(), F.size("lines")),
+        "n_lines_removed": F.when(whole.isNotNull(), F.size("lines") - kept_size),
+        "n_chunks_removed": F.when(F.col("removed").isNotNull(), F.size("removed")),
     }
     if not report:
         counts = {}
@@ -189,14 +209,27 @@ numbered AS (
   SELECT *, sum(is_end) OVER (PARTITION BY doc_id, text ORDER BY i) - is_end AS k FROM ends
 ),
 chunks AS (
-  SELECT doc_id, text, k, count(*) AS size, string_agg(line, chr(10) ORDER BY i) AS bytes,
-    bool_or(long) AS long
+  SELECT doc_id, text, k, dense_rank() OVER (PARTITION BY doc_id, text ORDER BY k) AS place,
+    count(*) AS size, string_agg(line, chr(10) ORDER BY i) AS bytes, bool_or(long) AS long
   FROM numbered GROUP BY doc_id, text, k
 ),
+units AS (
+  SELECT doc_id, text, place, 0 AS more, bytes FROM chunks WHERE size > 1 OR long
+  UNION ALL
+  SELECT doc_id, text, place, 1, bytes || chr(10) || after FROM (
+    SELECT *, lead(bytes) OVER (PARTITION BY doc_id, text ORDER BY k) AS after FROM chunks
+  ) c WHERE after IS NOT NULL
+),
+again AS (
+  SELECT doc_id, text, place, more FROM units
+  QUALIFY row_number() OVER (PARTITION BY bytes ORDER BY doc_id NULLS LAST, text, place) > 1
+),
+gone AS (
+  SELECT doc_id, text, place FROM again UNION SELECT doc_id, text, place + 1 FROM again WHERE more = 1
+),
 ranked AS (
-  SELECT *, (size > 1 OR long) AND row_number() OVER (
-      PARTITION BY bytes, size > 1 OR long ORDER BY doc_id NULLS LAST, text, k) > 1 AS removed
-  FROM chunks
+  SELECT c.*, g.place IS NOT NULL AS removed FROM chunks c LEFT JOIN gone g
+  ON c.doc_id IS NOT DISTINCT FROM g.doc_id AND c.text = g.text AND c.place = g.place
 ),
 rewritten AS (
   SELECT doc_id, text, CAST(sum(size) AS BIGINT) AS n_lines,

@@ -27,14 +27,15 @@ def slow(rows):
         if t is None:
             out[i, t] = None
             continue
-        kept = []
-        for lines, whole in chunks_of(t):
-            key = tuple(lines)
-            if not whole or key not in seen:
-                kept += lines if lines else []
-            if whole:
-                seen.add(key)
-        out[i, t] = "\n".join(kept)
+        chunks = chunks_of(t)
+        gone = [False] * len(chunks)
+        for k, (lines, whole) in enumerate(chunks):
+            for size, unit in ((1, lines if whole else None), (2, lines + chunks[k + 1][0] if k + 1 < len(chunks) else None)):
+                if unit is not None and tuple(unit) in seen:
+                    gone[k : k + size] = [True] * size
+                elif unit is not None:
+                    seen.add(tuple(unit))
+        out[i, t] = "\n".join(x for (lines, _), g in zip(chunks, gone) if not g for x in lines)
     return out
 
 
