@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanframe.llm.bpe import decode_ids, encode_texts
-from loanframe.llm.common import packed, stored, table, unpacked
+from loanframe.llm.common import stored, table
 from loanframe.llm.decontaminate import drop_contaminated
-from loanframe.llm.langid import UNDETERMINED, fit_language_model, identify_language
+from loanframe.llm.langid import drop_unidentified, fit_language_model
 from loanframe.llm.linededup import remove_repeated_chunks
 from loanframe.llm.queries import RANKS, held_out
 from loanframe.llm.simhash import keep_one_of_each
@@ -34,10 +34,7 @@ from loanframe.llm.simhash import keep_one_of_each
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told, without ambiguity (operator 10)."""
     model = fit_language_model(docs.filter(~held_out(3, 1)).select("text", "lang"))
-    rows = docs.select(packed(docs), F.col("text"))
-    told = identify_language(rows, model)
-    kept = told.filter((F.col("lang_pred") != UNDETERMINED) & ~F.col("ambiguous"))
-    return kept.select(*unpacked(docs.columns))
+    return drop_unidentified(docs, model)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,6 +54,14 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def packed(df: DataFrame) -> Column:
     """All columns of ``df`` as one struct ``row``, so that no column added beside it
     can clash with theirs."""

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _in_pieces
-from .common import column, ship_package, with_fields
+from .common import column, ship_package, unused, with_fields
 
 #: Edits allowed per compared character of an item.
 ERROR_RATE = 0.08
@@ -203,9 +203,10 @@ def find_contamination(
     error_rate: float = ERROR_RATE,
     min_chars: int = MIN_CHARS,
     block_chars: int = BLOCK_CHARS,
+    out: str = "matches",
 ) -> DataFrame:
-    """``docs`` with ``matches``: where test items of ``benchmark`` (item_id, text)
-    occur in ``text`` within their error budget."""
+    """``docs`` with ``matches`` (or another name ``out``): where test items of
+    ``benchmark`` (item_id, text) occur in ``text`` within their error budget."""
     if not 0 <= error_rate < 1:
         raise ValueError("error_rate must be at least 0 and below 1")
     spark = docs.sparkSession
@@ -213,16 +214,16 @@ def find_contamination(
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter("text is not null")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(chars / block_chars))
-    out = docs.withColumn("matches", F.array().cast(MATCHES))
+    found = docs.withColumn(out, F.array().cast(MATCHES))
     for b in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b) if blocks > 1 else items
         rows = [(r["item_id"], r["text"]) for r in own.collect()]
-        out = _matched(out, spark.sparkContext.broadcast(rows), text, error_rate, min_chars)
-    return out
+        found = _matched(found, spark.sparkContext.broadcast(rows), text, error_rate, min_chars, out)
+    return found
 
 
-def _matched(df: DataFrame, rows, text: str, error_rate: float, min_chars: int) -> DataFrame:
-    schema = with_fields(df, df.schema["matches"])
+def _matched(df: DataFrame, rows, text: str, error_rate: float, min_chars: int, out: str) -> DataFrame:
+    schema = with_fields(df, df.schema[out])
     key = uuid.uuid4().hex  # a Python worker builds the automaton once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,10 +233,10 @@ def _matched(df: DataFrame, rows, text: str, error_rate: float, min_chars: int)
             matcher = _worker[key] = Matcher(rows.value, error_rate, min_chars)
         names = ("item_id", "distance", "start", "end")
         for batch in _in_pieces(batches, text):
-            before = batch.column(batch.schema.get_field_index("matches")).to_pylist()
+            before = batch.column(batch.schema.get_field_index(out)).to_pylist()
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
             values = [old + [dict(zip(names, x)) for x in matcher.find(t)] for old, t in zip(before, texts)]
-            keep = [i for i, c in enumerate(batch.schema.names) if c != "matches"]
+            keep = [i for i, c in enumerate(batch.schema.names) if c != out]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in keep] + [pa.array(values, _ARROW)], schema.names
             )
@@ -252,5 +253,6 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows in which a test item occurs."""
-    kept = find_contamination(docs, benchmark, **options).filter(F.size("matches") == 0)
-    return kept.select(*[column(c) for c in docs.columns if c.lower() != "matches"])
+    out = unused(docs, "matches")
+    kept = find_contamination(docs, benchmark, out=out, **options).filter(F.size(out) == 0)
+    return kept.select(*[column(c) for c in docs.columns])

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField
 
 from .bpe import _in_pieces
-from .common import ship_package, with_fields
+from .common import column, ship_package, unused, with_fields
 
 UNDETERMINED = "und"
 #: N-grams of 1 to 3 letters or word borders are hashed to so many buckets.
@@ -220,14 +220,20 @@ def _calibrated(rows: DataFrame, languages: list[str], codes: np.ndarray, weight
     return LanguageModel(languages, codes, weights, bit_weights, np.maximum(size.mean(0), 1e-9))
 
 
-def identify_language(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """``df`` with ``lang_pred``, ``score`` and ``ambiguous``; no shuffle."""
+OUTPUTS = ("lang_pred", "score", "ambiguous")
+
+
+def identify_language(
+    df: DataFrame, model: LanguageModel, text: str = "text", names: tuple[str, str, str] = OUTPUTS
+) -> DataFrame:
+    """``df`` with ``lang_pred``, ``score`` and ``ambiguous`` (or other ``names``); no
+    shuffle."""
     spark = df.sparkSession
     ship_package(spark)
     sent = spark.sparkContext.broadcast(model)
-    names = ("lang_pred", "score", "ambiguous")
     kinds = (StringType(), DoubleType(), BooleanType())
     schema = with_fields(df, *(StructField(n, k) for n, k in zip(names, kinds)))
+    lower = {n.lower() for n in names}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
@@ -236,9 +242,17 @@ def identify_language(df: DataFrame, model: LanguageModel, text: str = "text") -
             for t in texts:
                 c = ngram_counts(t) if model.languages else None
                 found.append((UNDETERMINED, 0.0, False) if c is None else decode(model, c))
-            keep = [i for i, c in enumerate(batch.schema.names) if c.lower() not in names]
+            keep = [i for i, c in enumerate(batch.schema.names) if c.lower() not in lower]
             columns = [batch.column(i) for i in keep]
             columns += [pa.array([x[k] for x in found], t) for k, t in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return df.mapInArrow(run, schema)
+
+
+def drop_unidentified(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """``df`` without the rows whose language is undetermined or ambiguous."""
+    names = tuple(unused(df, n) for n in OUTPUTS)
+    told = identify_language(df, model, text, names)
+    kept = told.filter((F.col(names[0]) != UNDETERMINED) & ~F.col(names[2]))
+    return kept.select(*[column(c) for c in df.columns])

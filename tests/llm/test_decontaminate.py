@@ -112,7 +112,8 @@ def test_odd_rows_and_blocks(spark):
         rows = [(r.doc_id, [m.item_id for m in r.matches]) for r in out.collect()]
         assert [x[1] for x in rows] == [[7, 7], [7, 7], [7, 7], [], [], [7, 7], []]
     kept = drop_contaminated(d, b)
-    assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 6]
+    assert kept.columns == d.columns
+    assert sorted((r.doc_id, r.MATCHES) for r in kept.collect()) == [(3, "c"), (4, "d"), (6, "f")]
     m = find_contamination(d.limit(1), b).collect()[0]
     assert m.text[m.matches[0].start : m.matches[0].end].lower().startswith("the \nquick")
     assert drop_contaminated(d, b.filter("false")).count() == 7

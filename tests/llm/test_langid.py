@@ -6,6 +6,7 @@ import pytest
 from loanframe.llm.langid import (
     BUCKETS,
     codewords,
+    drop_unidentified,
     fit_language_model,
     identify_language,
     ngram_counts,
@@ -54,6 +55,8 @@ def test_no_and_one_language(spark):
     one = _fit(spark, [(1, "abc", "aa")])
     assert [(r.lang_pred, r.score) for r in identify_language(df, one).collect()] == [("aa", 1.0), ("und", 0.0)]
     assert identify_language(df.filter("false"), one).count() == 0
+    clash = spark.createDataFrame([(1, "abc", "own"), (2, "7", "own")], "doc_id long, text string, Score string")
+    assert [tuple(r) for r in drop_unidentified(clash, one).collect()] == [(1, "abc", "own")]
 
 
 def test_ambiguity_is_flagged(spark):
