@@ -33,9 +33,9 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField
 from .common import ship_package, with_fields
 
 #: Matches up to this many bytes are kept in a worker's memo, and so many of them.
-MEMO_BYTES, MEMO_ENTRIES = 64, 300_000
+MEMO_BYTES, MEMO_ENTRIES = 64, 200_000
 #: So many pair checks are kept before the memo starts anew.
-PAIR_ENTRIES = 500_000
+PAIR_ENTRIES = 250_000
 #: Texts over so many characters are matched one match at a time.
 LONG_TEXT = 1_000_000
 
