@@ -84,6 +84,8 @@ _WORDS = frozenset(
     login share sharing social comment comments commentlist disqus respond replies related recommended
     recommendations teaser widget copyright legal disclaimer skip search form""".split()
 )
+_ADVERTS = frozenset("ad ads adv advert adverts advertisement advertising sponsored share sharing social".split())
+_INLINE = frozenset("span a ins i em small".split())
 _OF_ARTICLE = frozenset("article post entry content story title headline".split())
 _COMMENTS = frozenset("comment comments commentlist disqus respond replies related".split())
 
@@ -136,6 +138,8 @@ def _no_article(name: str, attributes: dict[str, str], in_article: bool) -> tupl
     words = {w.lower() for k in ("class", "id") for w in _CAMEL.split(attributes.get(k, ""))}
     if "header" in words and not in_article and name in _CONTAINERS and not words & _OF_ARTICLE:
         return True, False
+    if name in _INLINE:
+        return bool(words & _ADVERTS), False
     return bool(words & _WORDS), bool(words & _COMMENTS)
 
 
@@ -200,13 +204,11 @@ def blocks(page: str) -> list[Block]:
                 parts.append(" ")
             elif name == "a":
                 in_link = 0 if closing else 1
-            if closing and skip and skip[-1] == name:
-                skip.pop()
-            elif not closing and (rest := m["rest"] or m["rest2"]) and name in ("span", "a", "ins", "i", "em", "small"):
-                if skip and skip[-1] == name:
-                    skip.append(name)
-                elif not skip and not rest.rstrip().endswith("/") and _no_article(name, _attributes(rest), True)[0]:
-                    skip.append(name)
+            if skip:
+                if name == skip[-1]:
+                    skip.pop() if closing else skip.append(name)
+            elif name in _INLINE and not closing and _no_article(name, _attributes(m["rest"] or m["rest2"] or ""), True)[0]:
+                skip.append(name)
             continue
         end()
         skip.clear()

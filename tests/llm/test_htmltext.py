@@ -51,6 +51,11 @@ def test_references_white_space_and_inline_tags():
     assert main_text(page(body)) == "a <b> &amp; café! xyz w &am"
 
 
+def test_inline_adverts_go_and_links_stay():
+    body = "<article><p>One <a class='related' href=x>two</a> <span class=ad>buy <span>now</span> cheap</span>three "
+    assert main_text(page(body + "<em hidden>x</em>four.</p></article>")) == "One two three four."
+
+
 @pytest.mark.parametrize("text", [None, "", " ", "<", "<p", "<!--", "<script>x", "<a href='x", "</article>", "<p><p><p>"])
 def test_odd_pages(text):
     assert isinstance(main_text(text), str)
