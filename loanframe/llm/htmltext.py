@@ -17,6 +17,11 @@ without a decided neighbour there is good; elsewhere it is bad.
 The good blocks' texts, with character references decoded and white space turned into
 single blanks, are joined by line feeds in page order.
 
+A page marks its article by an ``article`` or ``main`` element or, failing those, by a
+container whose class or id says so.  The share of stop words is not used on a page that
+has next to none, whose language is none of those listed.  Where no block at all is long
+enough to be good, paragraphs and headings outside the parts named above are.
+
 Defined cases: null, empty and letterless pages give an empty text when nothing in them
 is an article; unclosed tags, comments and quotes are read to the end of the page;
 unclosed containers of menus and the like end at the next container; repeated rows are
@@ -87,6 +92,7 @@ _WORDS = frozenset(
 _ADVERTS = frozenset("ad ads adv advert adverts advertisement advertising sponsored share sharing social".split())
 _INLINE = frozenset("span a ins i em small".split())
 _OF_ARTICLE = frozenset("article post entry content story title headline".split())
+_PLAIN = frozenset("div section".split())
 _COMMENTS = frozenset("comment comments commentlist disqus respond replies related".split())
 
 _TOKEN = re.compile(
@@ -103,16 +109,17 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 class Block:
-    __slots__ = ("text", "link_chars", "never", "article", "main", "tag", "good")
+    __slots__ = ("text", "link_chars", "never", "article", "main", "content", "tag", "good", "words", "stops")
 
-    def __init__(self, text, link_chars, never, article, main, tag):
+    def __init__(self, text, link_chars, never, article, main, content, tag):
         self.text, self.link_chars, self.tag = text, link_chars, tag
-        self.never, self.article, self.main = never, article, main
+        self.never, self.article, self.main, self.content = never, article, main, content
         self.good: bool | None = None
+        words = _WORD.findall(text.lower())
+        self.words, self.stops = len(words), sum(w in STOP_WORDS for w in words)
 
     def stop_share(self) -> float:
-        words = _WORD.findall(self.text.lower())
-        return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+        return self.stops / self.words if self.words else 0.0
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -122,6 +129,10 @@ def _attributes(rest: str) -> dict[str, str]:
     return found
 
 
+def _words(attributes: dict[str, str]) -> set[str]:
+    return {w.lower() for k in ("class", "id") for w in _CAMEL.split(attributes.get(k, ""))}
+
+
 def _no_article(name: str, attributes: dict[str, str], in_article: bool) -> tuple[bool, bool]:
     """Whether an element is no article text, and whether it surely is none even around
     the page's main part."""
@@ -135,7 +146,7 @@ def _no_article(name: str, attributes: dict[str, str], in_article: bool) -> tupl
         return True, True
     if attributes.get("role", "").lower() in _ROLES:
         return True, True
-    words = {w.lower() for k in ("class", "id") for w in _CAMEL.split(attributes.get(k, ""))}
+    words = _words(attributes)
     if "header" in words and not in_article and name in _CONTAINERS and not words & _OF_ARTICLE:
         return True, False
     if name in _INLINE:
@@ -176,7 +187,7 @@ def blocks(page: str) -> list[Block]:
             linked = len(" ".join(html.unescape("".join(links)).split()))
             names = {x[0] for x in open_at}
             never = any(x[1] for x in open_at)
-            found.append(Block(text, linked, never, "article" in names, "main" in names, tag))
+            found.append(Block(text, linked, never, "article" in names, "main" in names, "content" in names, tag))
         parts.clear()
         links.clear()
 
@@ -245,6 +256,8 @@ def blocks(page: str) -> list[Block]:
         open_at.append([name, no, sure, m.start() in closed])
         if kind == "main" and name != "main":
             open_at.append(["main", False, False, True])
+        elif name in _PLAIN and _words(attributes) & _OF_ARTICLE:
+            open_at.append(["content", False, False, True])
     end()
     return found
 
@@ -256,10 +269,10 @@ def _marked(found: list[Block]) -> list[bool] | None:
     if not total:
         return None
     sizes = {}
-    for kind in ("article", "main"):
+    for kind in ("article", "main", "content"):
         sizes[kind] = sum(len(b.text) for b, u in zip(found, usable) if u and getattr(b, kind))
     order = ["article", "main"] if sizes["article"] * 2 >= sizes["main"] else ["main", "article"]
-    for kind in order:
+    for kind in [*order, "content"]:
         if sizes[kind] and sizes[kind] >= ARTICLE_SHARE * total:
             return [u and getattr(b, kind) for b, u in zip(found, usable)]
     return None
@@ -268,9 +281,12 @@ def _marked(found: list[Block]) -> list[bool] | None:
 def classify(found: list[Block]) -> None:
     """Both passes; sets ``good`` of every block."""
     marked = _marked(found)
+    # In a language without listed stop words their share tells nothing.
+    words, stops = (sum(x) for x in zip((0, 0), *((b.words, b.stops) for b in found if not b.never)))
+    told = stops >= STOP_BAD * words
     for k, b in enumerate(found):
         linked = b.link_chars > LINKS * len(b.text)
-        long, stop = len(b.text) >= LONG, b.stop_share()
+        long, stop = len(b.text) >= LONG, b.stop_share() if told else 1.0
         if b.never or (linked and b.tag in _LISTED):
             b.good = False
         elif marked is not None:
@@ -279,6 +295,11 @@ def classify(found: list[Block]) -> None:
             b.good = False
         elif long and stop >= STOP_GOOD:
             b.good = True
+    if marked is None and not any(b.good for b in found):
+        # Nothing long enough to go by: paragraphs and headings are all there is.
+        for b in found:
+            if b.good is None and (b.tag in _HEADINGS or b.tag in ("p", "blockquote", "pre")):
+                b.good = True
     # In a marked article the neighbours are its own blocks.
     own = [k for k in range(len(found)) if marked is None or marked[k]]
     last, before = None, {}
