@@ -70,6 +70,7 @@ _CONTAINERS = frozenset(
     """html body div section article main nav header footer aside form fieldset ul ol dl table tbody
     thead tfoot figure details blockquote center dialog menu""".split()
 )
+_KEPT_OPEN = _CONTAINERS | {"content"}
 _BLOCKS = _CONTAINERS | frozenset(
     """p h1 h2 h3 h4 h5 h6 li dt dd tr td th caption figcaption pre hr address summary head legend
     optgroup option label""".split()
@@ -235,10 +236,10 @@ def blocks(page: str) -> list[Block]:
                     open_at.append([name, True, sure, False])
                     continue
             if closing or name not in _NEVER:
-                while open_at and open_at[-1][0] not in _CONTAINERS:
+                while open_at and open_at[-1][0] not in _KEPT_OPEN:
                     open_at.pop()
             continue
-        while open_at and (open_at[-1][0] not in _CONTAINERS or (open_at[-1][1] and not open_at[-1][3])):
+        while open_at and (open_at[-1][0] not in _KEPT_OPEN or (open_at[-1][1] and not open_at[-1][3])):
             open_at.pop()  # an unclosed menu or the like ends here
         if closing:
             for k in range(len(open_at) - 1, -1, -1):
