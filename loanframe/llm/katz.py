@@ -37,7 +37,6 @@ token is unknown and has probability one.
 
 from __future__ import annotations
 
-import math
 import re
 import zlib
 from collections.abc import Iterator, Sequence
