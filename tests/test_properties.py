@@ -10,7 +10,6 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from loanframe.functions import (
     first_int,
