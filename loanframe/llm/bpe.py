@@ -33,7 +33,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField
 from .common import ship_package, with_fields
 
 #: Matches up to this many bytes are kept in a worker's memo, and so many of them.
-MEMO_BYTES, MEMO_ENTRIES = 64, 200_000
+MEMO_BYTES, MEMO_ENTRIES = 64, 150_000
 #: So many pair checks are kept before the memo starts anew.
 PAIR_ENTRIES = 250_000
 #: Texts over so many characters are matched one match at a time.
@@ -248,13 +248,15 @@ def _placed(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatc
     )
 
 
-def _in_pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20):
+def _in_pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20):
     """The batches cut so that ``column`` holds about ``most`` bytes in each."""
     for batch in batches:
         values = batch.column(batch.schema.get_field_index(column))
         step = max(1, int(batch.num_rows * min(1.0, most / max(1, values.nbytes))))
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
+        del batch, values
+        pa.default_memory_pool().release_unused()
 
 
 def encode_texts(

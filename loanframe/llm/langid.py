@@ -39,7 +39,7 @@ UNDETERMINED = "und"
 #: N-grams of 1 to 3 letters or word borders are hashed to so many buckets.
 BUCKETS = 1 << 15
 #: Texts are read in blocks of so many characters.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Codes with one bit for every split of the languages, up to so many languages.
 EXHAUSTIVE = 7
 #: The model holds BUCKETS weights a bit, so the number of languages is bounded: more
