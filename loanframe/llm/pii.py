@@ -6,8 +6,8 @@ passwords) and persons named with a form of address.  Every entity of the corpus
 one surrogate, derived from a secret key by SHA-256, of its own type and format:
 
 - digits stay digits, letters letters of their case, hexadecimal tokens hexadecimal;
-  punctuation stays, and so do a phone's country code, a domain's last label and an
-  IBAN's country.  Card numbers keep passing, or failing, the check digit;
+  punctuation stays, and so do a phone's country code (told by its digits, so alike with
+  and without separators), a domain's last label and an IBAN's country.  Card numbers keep passing, or failing, the check digit;
 - a person's given name turns into one of the same gender (told by the form of address)
   and script, a surname into one of the same script.
 
@@ -15,7 +15,8 @@ The same entity gets the same surrogate wherever and in whatever layout it occur
 phone number with or without blanks, an address in capitals, a person with or without
 given name).  Different entities get different surrogates, and no surrogate is an entity
 of the corpus: surrogates that clash are drawn again, in rounds over the distinct
-entities, until none does.
+entities, until none does.  Phones are compared by the digits that are written.  Where
+a country's numbers of one length run out, surrogates get further digits at the end.
 
 What is shuffled: the distinct entities, one row for each document and entity, and the
 texts of documents that hold one; texts without any pass through.
@@ -57,6 +58,11 @@ _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Found in every text in which a pattern is; it is much faster, and looked for first.
 _HINT = rf"[0-9@]|[=:]\s{{0,3}}[\"']|sk-|gh[pousr]_|AKIA|ASIA|(?<![\p{{L}}\p{{N}}])(?:{_ADDRESS})\.? \p{{Lu}}"
 
+#: The calling code at the beginning of an international number: no code begins another.
+_COUNTRY = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+#: Draws of a phone number until it gets one more digit.
+_PHONE_DRAWS = 16
+
 # Syllables of made-up names, by script.
 _SYLLABLES = {
     "latin": "ba be bo da de do fa fe ga ka ke la le li lo ma me mi mo na ne no pa ra re ri ro sa se so ta te ti to va ve vi".split(),
@@ -149,7 +155,8 @@ def _parts(value: Column, kind: Column) -> Column:
         ),
     )
     norm = (
-        F.when(kind.isin("phone", "card", "ssn"), F.regexp_replace(value, r"\D", ""))
+        F.when(kind == "phone", F.regexp_replace(value, r"(?!^\+)\D", ""))
+        .when(kind.isin("card", "ssn"), F.regexp_replace(value, r"\D", ""))
         .when(kind == "email", F.lower(value))
         .when(kind == "iban", F.replace(value, F.lit(" "), F.lit("")))
         .otherwise(value)
@@ -182,6 +189,10 @@ def _drawn(key: str) -> Column:
         F.concat(F.regexp_extract(norm, r"^(?:AKIA|ASIA|gh[pousr]_|sk-)?", 0), _like(F.regexp_replace(norm, r"^(?:AKIA|ASIA|gh[pousr]_|sk-)", ""), stream))
     )
     iban = F.concat(F.substring(norm, F.lit(1), F.lit(2)), _like(F.substring(norm, F.lit(3), F.length(norm)), stream))
+    country = F.regexp_extract(norm, _COUNTRY, 0)
+    further = F.repeat(F.lit("0"), F.floor(attempt / _PHONE_DRAWS).cast("int"))
+    national = F.concat(F.substring(norm, F.length(country) + 1, F.length(norm)), further)
+    phone = F.concat(country, _like(national, _stream(key, kind, norm, attempt.cast("string"), size=F.length(national) * 4 + 64)))
     name = F.lit(None).cast("string")
     for script, syllables in _SYLLABLES.items():
         parts = _literals(syllables)
@@ -203,25 +214,33 @@ def _drawn(key: str) -> Column:
         .when(kind == "secret", secret)
         .when(kind == "iban", iban)
         .when(kind == "name", name)
+        .when(kind == "phone", phone)
         .otherwise(_like(norm, stream))
     )
 
 
+def _written(core: Column) -> Column:
+    """What must differ between the cores, or norms, of one kind: of phones the digits,
+    whether a plus comes before them or not."""
+    return F.when(F.col("kind") == "phone", F.regexp_replace(core, r"^\+", "")).otherwise(core)
+
+
 def draw_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """``(kind, norm, core)`` for distinct entities (kind, norm, gender, script): cores
     differ from one another and from every norm of their kind."""
     state = stored(entities.withColumn("attempt", F.lit(0)), "entities")
     while True:
-        drawn = stored(state.withColumn("core", _drawn(key)), "surrogates")
-        best = drawn.groupBy("kind", "core").agg(F.min(F.struct("attempt", "norm")).alias("best"), F.count("*").alias("n"))
-        lost = best.filter("n > 1").join(drawn, ["kind", "core"]).filter("best.norm != norm").select("kind", "norm")
-        real = drawn.select("kind", F.col("norm").alias("core"))
-        lost = lost.union(drawn.join(real, ["kind", "core"], "left_semi").select("kind", "norm")).distinct()
+        drawn = state.withColumn("core", _drawn(key)).withColumn("written", _written(F.col("core")))
+        drawn = stored(drawn, "surrogates")
+        best = drawn.groupBy("kind", "written").agg(F.min(F.struct("attempt", "norm")).alias("best"), F.count("*").alias("n"))
+        lost = best.filter("n > 1").join(drawn, ["kind", "written"]).filter("best.norm != norm").select("kind", "norm")
+        real = drawn.select("kind", _written(F.col("norm")).alias("written"))
+        lost = lost.union(drawn.join(real, ["kind", "written"], "left_semi").select("kind", "norm")).distinct()
         lost = stored(lost.withColumn("clash", F.lit(True)), "clashes")
         if lost.isEmpty():
             return drawn.select("kind", "norm", "core")
         state = stored(
-            drawn.drop("core")
+            drawn.drop("core", "written")
             .join(lost, ["kind", "norm"], "left")
             .withColumn("attempt", F.col("attempt") + F.when(F.col("clash"), 1).otherwise(0))
             .drop("clash"),
@@ -232,10 +251,9 @@ def draw_surrogates(entities: DataFrame, key: str) -> DataFrame:
 def _replaced(value: Column, kind: Column, cores: Column) -> Column:
     """A found value with the surrogates of its parts, in its own layout."""
     core = F.get(cores, F.lit(0))
-    country = F.regexp_extract(value, r"^\+\d{1,3}(?=[ .\-(])", 0)
-    digits = F.length(F.regexp_replace(country, r"\D", ""))
-    rest = F.substring(value, F.length(country) + 1, F.length(value))
-    phone = F.concat(country, _filled(rest, F.substring(core, digits + 1, F.length(core)), r"\d"))
+    digits = F.regexp_replace(core, r"^\+", "")
+    further = F.substring(digits, F.length(F.regexp_replace(value, r"\D", "")) + 1, F.length(digits))
+    phone = F.concat(_filled(value, digits, r"\d"), further)
     address = F.regexp_extract(value, rf"^(?:{_ADDRESS})\.? ", 0)
     names = F.substring(value, F.length(address) + 1, F.length(value))
     joints = F.split(F.regexp_replace(names, r"[^ \-]+", "x"), "x")

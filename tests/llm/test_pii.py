@@ -85,6 +85,33 @@ def test_clashes_are_drawn_again(spark):
     assert other != {r.core for r in rows}
 
 
+def test_phones_of_one_country_stay_apart_and_together(spark):
+    # 1500 of the 10,000 numbers +1 dd dd: their country's digits are no place to differ.
+    r = random.Random(3)
+    numbers = [f"{n:04d}" for n in r.sample(range(10_000), 1500)]
+    texts = [f"+1 {n[:2]} {n[2:]}|+1{n}" for n in numbers]
+    out = [t.split("|") for t in run(spark, texts)]
+    assert all(re.fullmatch(r"\+1 \d\d \d\d", a) and a.replace(" ", "") == b for a, b in out)
+    new = {b[2:] for _, b in out}
+    assert len(new) == 1500 and not new & set(numbers)
+
+
+def test_country_code_is_told_without_separators(spark):
+    texts = ["+1 (743) 555-3824", "+17435553824", "+49 30 1234567", "+49301234567", "+380 44 123 4567", "+380441234567"]
+    a, b, c, d, e, f = run(spark, texts)
+    assert [shape(t) for t in texts] == [shape(t) for t in (a, b, c, d, e, f)]
+    for spaced, plain, code in ((a, b, "+1"), (c, d, "+49"), (e, f, "+380")):
+        assert re.sub(r"[ ()\-]", "", spaced) == plain and plain.startswith(code) and plain not in texts
+
+
+def test_phones_that_run_out_get_longer(spark, monkeypatch):
+    # All numbers +380 dd occur, so none of them can stand for another.
+    monkeypatch.setattr("loanframe.llm.pii._PHONE_DRAWS", 1)
+    out = run(spark, [f"+380{n:02d} and +380 {n // 10}{n % 10} 00" for n in range(100)])
+    short = [t.split(" and ")[0] for t in out]
+    assert len(set(short)) == 100 and all(re.fullmatch(r"\+380\d{3,}", t) for t in short)
+
+
 def test_rows_nulls_and_other_columns(spark):
     hit = "mail x@y.org"
     rows = [(1, hit, "a"), (1, hit, "b"), (None, hit, "c"), (2, None, "d"), (3, "", "e"), (4, "no data", "f")]
