@@ -9,8 +9,9 @@ document's score.
 
 The weights are fitted by gradient ascent on the conditional likelihood of a bounded
 sample of labelled documents, whose label stands for all of their lines: at most
-``SAMPLE`` documents, spread over the table by a hash, of at most ``SAMPLE_LINES``
-lines each.  Scoring reads every document whole, where its row is, without a shuffle.
+``SAMPLE`` documents, spread over the table by a hash, with up to ``SAMPLE_LINES``
+neighbouring lines of each, whose place in a longer document a hash of its text tells.
+Scoring reads every document whole, where its row is, without a shuffle.
 
 Defined cases: a null or empty text is one empty line and gets its marginal; a document
 without any characters to weigh by takes the plain mean.  Labels that are null are not
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import math
 import unicodedata
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
@@ -37,7 +39,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField
 from .bpe import _in_pieces, _placed
 from .common import column, ship_package, with_fields
 
-#: Labelled documents that the weights are fitted on, and their lines at most.
+#: Labelled documents that the weights are fitted on, and lines of each at most.
 SAMPLE, SAMPLE_LINES = 4000, 400
 #: Score from which a document counts as good.
 GOOD = 0.7
@@ -233,6 +235,14 @@ def document_scores(field: LineField, texts: list[str | None]) -> list[float]:
     return [float(x) for x in np.clip(means, 0, 1)]
 
 
+def _sampled(text: str | None) -> np.ndarray:
+    """Features, read in the whole document, of the lines that are fitted on."""
+    features = line_features(text)[0]
+    spare = max(0, len(features) - SAMPLE_LINES)
+    start = zlib.crc32((text or "").encode("utf-8", "surrogatepass")) % (spare + 1)
+    return features[start : start + SAMPLE_LINES]
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> LineField:
     """Fit on documents whose id has a label in ``labels`` (doc_id, label)."""
     ship_package(docs.sparkSession)
@@ -248,8 +258,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text
         for batch in _in_pieces(batches, "text"):
             kept = []
             for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if (t or "").count("\n") < SAMPLE_LINES:
-                    kept.append((line_features(t)[0].astype(np.float32).tobytes(), y))
+                kept.append((_sampled(t).astype(np.float32).tobytes(), y))
             columns = [pa.array([k[0] for k in kept], pa.binary()), pa.array([k[1] for k in kept], pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, ["features", "label"])
 

@@ -78,6 +78,16 @@ def test_no_labels_and_one_kind(spark):
     assert min(r.score for r in score_quality(docs, good).collect()) > 0.8
 
 
+def test_long_documents_are_learned_from(spark):
+    rows = [(i, "\n".join([text] * 60), y) for i, text, y in _docs(40, 6)]
+    rows = [(i, text + "\n" + "\n".join(text.split("\n")[0] for _ in range(400)), y) for i, text, y in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    assert min(text.count("\n") for _, text, _ in rows) > 400
+    out = score_quality(docs, fit_quality(docs, docs.select("doc_id", "quality"))).collect()
+    assert np.mean([r.predicted == t[2] for r, t in zip(out, rows)]) > 0.95
+    assert {t[2] for t in rows} == {0, 1}
+
+
 def test_neighbouring_lines_matter():
     base = line_features("One line here.\nX\nTwo words")[0]
     other = line_features("ONE!! LINE!! HERE!!\nX\nTwo words")[0]
