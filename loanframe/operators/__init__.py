@@ -55,5 +55,6 @@ from loanframe.operators.quality import (
     row_count_delta_from_stats,
     stage_funnel,
 )
+from loanframe.operators.ranking import ranked
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -9,6 +9,7 @@ from loanframe.sources.files import (
     remove_scratch,
     save_baseline,
     scratch_path,
+    scratch_table,
     shared_dir,
     string_schema,
     write_checkpoint,
@@ -26,6 +27,7 @@ __all__ = [
     "remove_scratch",
     "save_baseline",
     "scratch_path",
+    "scratch_table",
     "shared_dir",
     "string_schema",
     "write_checkpoint",

@@ -288,6 +288,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new scratch table and read back: its lineage ends there, and
+    its size is known to the planner."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove_scratch(spark: SparkSession) -> None:
     """Delete every scratch table of this application.  Call it when no result that
     reads one is needed any more, such as after a job's outputs are written."""
@@ -303,6 +311,7 @@ __all__ = [
     "read_raw_csv",
     "save_baseline",
     "scratch_path",
+    "scratch_table",
     "shared_dir",
     "string_schema",
     "write_checkpoint",
