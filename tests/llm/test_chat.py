@@ -1,0 +1,112 @@
+import hashlib
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from loanframe.llm.chat import INSTRUCT, Template, Turn, check_order, conversation_digests, format_turns, formatted, read_turns
+
+PIECES = ["</s>", "[INST]", " [/INST]", "<<SYS>>", "\n<</SYS>>\n\n", "[TURN]", "[/TURN] ", "[END]", "\\", "<", "[", "s>", "/", " ", "\n", "ä", "<s> ", ""]
+TEXTS = st.lists(st.sampled_from(PIECES), max_size=8).map("".join) | st.text(max_size=20)
+ROLES = st.sampled_from(["system", "user", "assistant", "tool", "", "[/TURN] ", "\\"])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.tuples(ROLES, TEXTS), max_size=6))
+def test_formatted_turns_are_read_back(turns):
+    parts = [s for r, t in turns for s in INSTRUCT.segments(r, t)]
+    assert list(read_turns(INSTRUCT, "".join(t for t, _ in parts))) == turns
+    learned = "".join(INSTRUCT.unescaped(t) for t, loss in parts if loss)
+    assert learned == "".join(t for r, t in turns if r == "assistant")
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS)
+def test_no_control_string_stays_in_a_text(text):
+    out = INSTRUCT.escaped(text)
+    assert not any(c in out for c in INSTRUCT.controls)
+    assert INSTRUCT.unescaped(out) == text
+
+
+def test_templates_that_text_could_forge_are_refused():
+    with pytest.raises(ValueError):
+        Template((Turn("a", "<a", ">", ("",)), Turn("b", "<ab", ">>", ("a",))))
+    with pytest.raises(ValueError):
+        Template((Turn("a", "{x}", "x}", ("",)),))
+    with pytest.raises(ValueError):
+        Template((Turn("a", "#", "%%", ("",)),))
+    with pytest.raises(ValueError):
+        Template((Turn("a", "<a>", "<e>", ("",)), Turn("a", "<b>", "<e>", ("",))))
+
+
+def plain_order(roles):
+    """What may follow what, spelled out: valid, complete, first wrong turn."""
+    may = {"": "system user", "system": "user", "user": "assistant", "assistant": "user"}
+    last = ""
+    for i, r in enumerate(roles):
+        if r not in may[last].split():
+            return False, False, i
+        last = r
+    return True, last == "assistant", None
+
+
+def plain_digests(turns):
+    read = hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+    loss = "".join(t for r, t in turns if r == "assistant")
+    return len(turns), read, len(loss), hashlib.sha256(loss.encode()).hexdigest()
+
+
+def _conversations(seed, n):
+    r = random.Random(seed)
+    rows = []
+    for c in [None, *range(n)]:
+        size = 2000 if c == 0 else r.randint(1, 9)
+        roles = ["system"] * r.randint(0, 1)
+        while len(roles) < size:
+            roles += ["user", "assistant"]
+        if r.random() < 0.4:
+            roles[r.randrange(len(roles))] = r.choice(["system", "user", "tool", None])
+        rows += [(c, i, x, r.choice([None, "", "so </s>[INST]", f"text {i} \\ é"])) for i, x in enumerate(roles)]
+    r.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("merged", ["true", "false"])
+def test_conversations_equal_a_plain_reading(spark, merged):
+    rows = _conversations(12, 60)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merged)
+    try:
+        df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+        turns = format_turns(df)
+        got = {r.conv_id: r for r in conversation_digests(turns).collect()}
+        order = {r.conv_id: r for r in check_order(df).collect()}
+        sizes = {r.conv_id: r.n for r in turns.groupBy("conv_id").agg({"segments": "count"}).toDF("conv_id", "n").collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    by = {}
+    for c, i, role, text in sorted(rows, key=lambda r: r[1]):
+        by.setdefault(c, []).append((role or "", text or ""))
+    assert set(got) == set(order) == set(by) == set(sizes)
+    for c, own in by.items():
+        assert tuple(got[c])[1:5] == plain_digests(own)
+        assert got[c].formatted_chars == sum(len(t) for r, x in own for t, _ in INSTRUCT.segments(r, x))
+        assert (order[c].valid, order[c].complete, order[c].first_wrong) == plain_order([r for r, _ in own])
+        assert order[c].n_turns == len(own) == sizes[c]
+
+
+def test_odd_rows(spark):
+    schema = "conv_id string, turn int, role string, text string, Segments int, kept string"
+    empty = spark.createDataFrame([], schema)
+    assert format_turns(empty).count() == check_order(empty).count() == conversation_digests(format_turns(empty)).count() == 0
+    long = "x </s> " * 300_000
+    rows = [("a", 1, "user", "q", 7, "k"), ("a", 2, "assistant", long, 7, "k"), ("a", 2, "assistant", long, 7, "k"), ("b", None, None, None, 7, None)]
+    out = format_turns(spark.createDataFrame(rows, schema))
+    assert out.columns == ["conv_id", "turn", "role", "kept", "segments"]
+    texts = {(r.conv_id, r.role): r.f for r in out.select("conv_id", "role", formatted().alias("f")).collect()}
+    assert texts["b", None] == "[TURN][/TURN] [END]" and texts["a", "user"] == "[INST] q [/INST]"
+    got = {r.conv_id: r for r in conversation_digests(out).collect()}
+    assert tuple(got["a"])[1:5] == plain_digests([("user", "q"), ("assistant", long), ("assistant", long)])
+    assert {(r.conv_id, r.valid, r.first_wrong) for r in check_order(spark.createDataFrame(rows, schema)).collect()} == {
+        ("a", False, 2), ("b", False, 0)
+    }
