@@ -16,9 +16,23 @@ from loanframe.sources.files import (
     write_csv,
     write_table,
 )
+from loanframe.sources.releases import (
+    Release,
+    all_releases,
+    discard_run,
+    latest_release,
+    publish_run,
+    stage_run,
+)
 from loanframe.sources.tpch_loans import loan_view
 
 __all__ = [
+    "Release",
+    "all_releases",
+    "discard_run",
+    "latest_release",
+    "publish_run",
+    "stage_run",
     "load_baseline",
     "load_json_baseline",
     "loan_view",

@@ -19,6 +19,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from loanframe import rules
 from loanframe.functions import named
+from loanframe.sources.releases import (
+    discard_run,
+    file_system,
+    latest_release,
+    publish_run,
+    stage_run,
+)
 
 
 def string_schema(columns: Sequence[str]) -> StructType:
@@ -163,27 +170,23 @@ def write_table(
 SNAPSHOT_SCHEMA = "column string, value string, row_count bigint, pct double"
 
 
-def _file_system(spark: SparkSession, path: str):
-    """The Hadoop file system of ``path`` and the path in its terms."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
-
-
-def _is_written(spark: SparkSession, path: str) -> bool:
-    """Whether a table was written there to the end (its writer's last act is to leave
-    the marker file)."""
-    fs, at = _file_system(spark, f"{path.rstrip('/')}/_SUCCESS")
+def _is_plain_baseline(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` itself is a finished Parquet table: how baselines were kept
+    before they had generations."""
+    fs, at = file_system(spark, f"{path.rstrip('/')}/_SUCCESS")
     return fs.exists(at)
 
 
 def load_baseline(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored snapshot ``(column, value, row_count, pct)``, or ``None`` when no
-    baseline has been saved yet (S6).  A folder that a failed write left unfinished
-    counts as none."""
-    if not _is_written(spark, path):
-        return None
-    return spark.read.schema(SNAPSHOT_SCHEMA).parquet(path)
+    """The stored snapshot ``(column, value, row_count, pct)``: the newest generation that
+    was saved to its end, or ``None`` when there is none yet (S6).  What a failed save left
+    is not seen."""
+    newest = latest_release(spark, path)
+    if newest is not None:
+        return spark.read.schema(SNAPSHOT_SCHEMA).parquet(newest.path("snapshot"))
+    if _is_plain_baseline(spark, path):
+        return spark.read.schema(SNAPSHOT_SCHEMA).parquet(path)
+    return None
 
 
 #: A JSON baseline holds one number per value of a few columns.
@@ -201,7 +204,7 @@ def load_json_baseline(spark: SparkSession, path: str) -> DataFrame | None:
     so the rows join with :func:`loanframe.operators.distribution_snapshot`.
     ``row_count`` is null (the JSON form has none).
     """
-    fs, at = _file_system(spark, path)
+    fs, at = file_system(spark, path)
     if not fs.exists(at):
         return None
     if fs.getFileStatus(at).getLen() > JSON_BASELINE_BYTES:
@@ -235,25 +238,23 @@ def load_json_baseline(spark: SparkSession, path: str) -> DataFrame | None:
 def save_baseline(snapshot: DataFrame, path: str, refresh: bool = False) -> str:
     """Save a snapshot as the baseline.
 
-    The baseline is written once and then kept; ``refresh=True`` replaces it.  The rows
-    are written aside and then moved into place, so a write that dies leaves no
-    half-written baseline, and what such a write left earlier is replaced.  A snapshot
-    without rows is a ``ValueError``: it would flag every value of every later run.
+    The baseline is written once and then kept; ``refresh=True`` adds a newer generation,
+    and the older ones stay readable (:func:`loanframe.sources.all_releases`).  A generation
+    counts from the moment its manifest appears, so a save that dies at any point leaves
+    the baseline as it was.  Of two first saves at once one is kept and the other one is a
+    ``ValueError``.  So is a snapshot without rows: it would flag every value of every
+    later run.
     """
     spark = snapshot.sparkSession
-    if not refresh and _is_written(spark, path):
+    if not refresh and load_baseline(spark, path) is not None:
         raise ValueError(f"save_baseline: {path} already holds a baseline")
-    aside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
-    snapshot.select("column", "value", "row_count", "pct").write.parquet(aside)
-    fs, at = _file_system(spark, path)
-    _, from_ = _file_system(spark, aside)
-    if spark.read.schema(SNAPSHOT_SCHEMA).parquet(aside).isEmpty():
-        fs.delete(from_, True)
+    run = stage_run(path)
+    snapshot.select("column", "value", "row_count", "pct").write.parquet(f"{run}/snapshot")
+    rows = spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{run}/snapshot").count()
+    if rows == 0:
+        discard_run(spark, run)
         raise ValueError("save_baseline: the snapshot has no rows")
-    if fs.exists(at):
-        fs.delete(at, True)
-    if not fs.rename(from_, at):
-        raise OSError(f"save_baseline: cannot move {aside} to {path}")
+    publish_run(spark, run, {"snapshot": "snapshot"}, {"rows": rows}, first_only=not refresh)
     return path
 
 
@@ -299,7 +300,7 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
 def remove_scratch(spark: SparkSession) -> None:
     """Delete every scratch table of this application.  Call it when no result that
     reads one is needed any more, such as after a job's outputs are written."""
-    fs, at = _file_system(spark, _scratch_dir(spark))
+    fs, at = file_system(spark, _scratch_dir(spark))
     fs.delete(at, True)
 
 
