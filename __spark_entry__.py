@@ -30,6 +30,7 @@ from loanframe.operators import (
     batch_stats,
     cast_numbers,
     category_violations,
+    checkpoint_metrics,
     clean_raw,
     dataset_profile,
     default_rate_curve,
@@ -56,9 +57,12 @@ from loanframe.operators import (
 )
 from loanframe.operators.clean import clean_dates, clean_sparse, clean_term
 from loanframe.plans import (
+    malformed_lines,
     prepare_loans,
     profiled_loans,
-    run_batch,
+    publish_batch,
+    rejected_rows,
+    row_audit,
     run_profiling,
     run_quality,
 )
@@ -138,18 +142,23 @@ def _outputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     }
 
 
-def _batch(spark: SparkSession, d: str):
-    """P1 over the loans with a known or missing purpose: the job refuses others, and
-    the view holds some."""
-    known = _raw(spark, d).filter(
+def _known(raw: DataFrame) -> DataFrame:
+    return raw.filter(
         F.col("purpose").isin(*lv.PURPOSE_DOMAIN) | F.col("purpose").isNull()
         | ~F.coalesce(F.col("addr_state").rlike(rules.STATE_PATTERN), F.lit(False))
     )
-    path = {k: scratch_path(spark, k) for k in ("checkpoint", "ratio", "curve", "stats")}
-    return run_batch(
-        spark, known, path["checkpoint"], path["ratio"], path["curve"],
+
+
+def _batch(spark: SparkSession, d: str):
+    """P1 over the loans with a known or missing purpose: the job refuses others, and
+    the view holds some."""
+    return _published(spark, _known(_raw(spark, d)))
+
+
+def _published(spark: SparkSession, raw: DataFrame):
+    return publish_batch(
+        spark, raw, scratch_path(spark, "release"),
         lv.DATE_COLUMNS, lv.NUMERIC_SPARSE, lv.DATE_SPARSE, lv.PURPOSE_DOMAIN,
-        stats_path=path["stats"],
     )
 
 
@@ -371,6 +380,59 @@ def q_batch_stats_saved(spark, d):
     return _batch(spark, d).stats
 
 
+def q_batch_rejected_rows(spark, d):
+    """The raw rows that are no loans of the published checkpoint, and why."""
+    rejected = rejected_rows(spark, _batch(spark, d).release)
+    return rejected.select("id", "removed_by", "addr_state", "purpose", "loan_status")
+
+
+def q_batch_row_audit(spark, d):
+    """Q8: rows kept and rejected as counted in the job's one pass, and as found."""
+    return row_audit(spark, _batch(spark, d).release)
+
+
+def q_csv_malformed_lines(spark, d):
+    """S1 + P1: raw CSV text in which some lines have a field too many and some lack their
+    last two; the lines as the release keeps them."""
+    raw = _known(_as_text(spark, d))
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in lv.RAW_COLUMNS]
+    number = F.col("id").cast("bigint")
+    line = (
+        F.when(number % 37 == 0, F.concat_ws(",", *fields, F.lit("surplus")))
+        .when(number % 41 == 0, F.concat_ws(",", *fields[:-2]))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    # One column whose name is the whole header: lines are written as they are.
+    text = raw.select(line.alias(",".join(lv.RAW_COLUMNS)))
+    path = scratch_path(spark, "raw-lines")
+    text.write.option("header", True).option("sep", "\u0001").csv(path)
+    released = _published(spark, read_raw_csv(spark, path, file_column=rules.FILE_COLUMN)).release
+    return malformed_lines(spark, released).select(
+        F.split_part("raw_line", F.lit(","), F.lit(1)).alias("id"),
+        F.size(F.split("raw_line", ",")).alias("n_fields"),
+        F.col("raw_file").contains("raw-lines").alias("has_file"),
+        "reason",
+        "removed_by",
+    )
+
+
+def q_catalog_outputs(spark, d):
+    """S5 + Q2: both output tables as catalog tables, counted by their names."""
+    loans = _checkpoint(spark, _loans(spark, d))
+    tables = {"npl_ratio": npl_ratio_by_dimensions(loans), "vintage_curve": default_rate_curve(loans)}
+    names = {}
+    for label, df in tables.items():
+        path = scratch_path(spark, label)
+        names[label] = f"loanframe_{path.rsplit('-', 1)[1]}"
+        write_table(df, names[label], as_table=True, path=path)
+    return output_row_counts(spark, names)
+
+
+def q_checkpoint_metrics(spark, d):
+    """Q1, Q3, Q4 of the checkpoint from one scan."""
+    return checkpoint_metrics(_checkpoint(spark, _loans(spark, d)))
+
+
 def q_checkpoint_roundtrip(spark, d):
     """S3 + S4: write the labelled loans as the Parquet checkpoint, read it back,
     and compute the default-rate curve from the checkpoint."""
@@ -444,6 +506,11 @@ COVERS = {
     "batch_ratio": "S3 S4 S5 C7 A2 P1",
     "batch_curve": "S3 S4 S5 A3 P1",
     "batch_stats_saved": "C7 C8 Q8 P1",
+    "batch_rejected_rows": "C6 C9 P1",
+    "batch_row_audit": "C6 C9 Q8 P1",
+    "csv_malformed_lines": "S1 P1",
+    "catalog_outputs": "S5 Q2",
+    "checkpoint_metrics": "Q1 Q3 Q4",
     "checkpoint_roundtrip": "S3 S4 A3",
     "csv_source_ratio": "S1 S3 S4 S5 A2",
     "csv_source_by_name": "S1 S3 S4",
@@ -745,6 +812,28 @@ _QUOTE_COLUMN = re.compile(r'(?<!["\w])column(?!["\w])')
 _KNOWN = f"(purpose IN ({_DOMAIN}) OR purpose IS NULL OR NOT {_ALIGNED})"
 
 
+# The rows that P1 accepts, with the stage that removes them.
+_REMOVED_CTE = f"""
+removed AS (
+  SELECT *, CASE WHEN NOT {_ALIGNED} THEN 'drop_shifted_rows'
+    WHEN NOT coalesce(loan_status IN ('Fully Paid', 'Charged Off'), false) THEN 'label_target' END AS removed_by
+  FROM cleaned WHERE {_KNOWN}
+)"""
+
+
+def _metrics_sql() -> str:
+    parts = ["SELECT 'rows' AS kind, '' AS column, '' AS value, count(*) AS row_count FROM loans HAVING count(*) > 0"]
+    parts += [
+        f"SELECT 'nulls', '{c}', CASE WHEN {c} IS NULL THEN 'null' ELSE '' END, count(*) FROM loans GROUP BY {c} IS NULL"
+        for c in rules.NULL_CHECK_COLUMNS
+    ]
+    parts += [
+        f"SELECT 'values', '{c}', CAST({c} AS VARCHAR), count(*) FROM loans GROUP BY {c}"
+        for c in rules.DISTRIBUTION_COLUMNS
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
 def _stats_sql(source: str) -> str:
     return f"""SELECT count(*) AS raw_rows,
   CAST(NULL AS BIGINT) AS malformed_rows,
@@ -886,6 +975,22 @@ FROM aged""",
   SELECT 'branch' AS column, CAST(id % 499 AS VARCHAR) AS value FROM profiled
   UNION ALL SELECT 'addr_state', addr_state FROM profiled
 ) u GROUP BY column, value""",
+        "batch_rejected_rows": _with(_REMOVED_CTE)
+        + "SELECT id, removed_by, addr_state, purpose, loan_status FROM removed WHERE removed_by IS NOT NULL",
+        "batch_row_audit": _with(_REMOVED_CTE)
+        + """SELECT CAST(step AS INTEGER) AS step, stage, n AS rows_counted, n AS rows_found, true AS ties_out FROM (
+  SELECT 1 AS step, 'drop_shifted_rows' AS stage, count(*) FILTER (WHERE removed_by = 'drop_shifted_rows') AS n FROM removed
+  UNION ALL SELECT 2, 'label_target', count(*) FILTER (WHERE removed_by = 'label_target') FROM removed
+  UNION ALL SELECT 3, 'kept', count(*) FILTER (WHERE removed_by IS NULL) FROM removed
+  UNION ALL SELECT 4, 'raw', count(*) FROM removed
+) s""",
+        "csv_malformed_lines": _with(_REMOVED_CTE)
+        + f"""SELECT CAST(id AS VARCHAR) AS id,
+  CAST(CASE WHEN id % 37 = 0 THEN {len(lv.RAW_COLUMNS) + 1} ELSE {len(lv.RAW_COLUMNS) - 2} END AS INTEGER) AS n_fields,
+  true AS has_file, 'wrong number of fields' AS reason, removed_by
+FROM removed WHERE id % 37 = 0 OR id % 41 = 0""",
+        "catalog_outputs": _with(_OUTPUT_COUNTS_CTE) + "SELECT * FROM output_counts",
+        "checkpoint_metrics": w + _metrics_sql(),
         "checkpoint_roundtrip": w + _CURVE,
         "csv_source_ratio": w + ratio_dims,
     }

@@ -1,6 +1,8 @@
 """Command-line jobs: ``spark-submit loanframe/__main__.py JOB ...`` or
 ``python -m loanframe JOB ...``.
 
+    python -m loanframe batch   --raw RAW.csv[.gz] --release DIR
+    python -m loanframe quality --release DIR --baseline DIR --report DIR
     python -m loanframe batch   --raw RAW.csv[.gz] --checkpoint DIR --ratio DIR --curve DIR
                                 [--stats DIR]
     python -m loanframe quality (--raw RAW.csv[.gz] | --stats DIR) --checkpoint DIR
@@ -29,7 +31,13 @@ from pyspark.sql import SparkSession  # noqa: E402
 from loanframe import rules  # noqa: E402
 from loanframe.operators.checks import require_non_empty  # noqa: E402
 from loanframe.operators.profile import dataset_profile, sample_rows  # noqa: E402
-from loanframe.plans import run_batch, run_profiling, run_quality  # noqa: E402
+from loanframe.plans import (  # noqa: E402
+    publish_batch,
+    read_release,
+    run_batch,
+    run_profiling,
+    run_quality,
+)
 from loanframe.sources import (  # noqa: E402
     load_baseline,
     load_json_baseline,
@@ -55,9 +63,15 @@ def _parser() -> argparse.ArgumentParser:
 
     b = sub.add_parser("batch", help="clean, validate, label, checkpoint, aggregate")
     common(b)
-    b.add_argument("--checkpoint", required=True)
-    b.add_argument("--ratio", required=True)
-    b.add_argument("--curve", required=True)
+    b.add_argument(
+        "--release",
+        default=None,
+        help="publish checkpoint, rejected rows and outputs as one release under this folder, "
+        "from one pass over the raw rows (instead of --checkpoint, --ratio and --curve)",
+    )
+    b.add_argument("--checkpoint", default=None)
+    b.add_argument("--ratio", default=None)
+    b.add_argument("--curve", default=None)
     b.add_argument("--format", default="parquet")
     b.add_argument("--as-tables", action="store_true", help="--ratio/--curve are table names")
     b.add_argument("--partition-by", nargs="*", default=None)
@@ -67,9 +81,10 @@ def _parser() -> argparse.ArgumentParser:
     q = sub.add_parser("quality", help="counts, null rates, snapshot, drift, report rows")
     common(q, raw_required=False)
     q.add_argument("--stats", default=None, help="the batch job's stats (instead of --raw)")
-    q.add_argument("--checkpoint", required=True)
-    q.add_argument("--ratio", required=True)
-    q.add_argument("--curve", required=True)
+    q.add_argument("--release", default=None, help="check the newest release in this folder")
+    q.add_argument("--checkpoint", default=None)
+    q.add_argument("--ratio", default=None)
+    q.add_argument("--curve", default=None)
     q.add_argument("--format", default="parquet")
     q.add_argument("--as-tables", action="store_true", help="--ratio/--curve are table names")
     q.add_argument("--baseline", required=True)
@@ -104,8 +119,18 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"loanframe-{args.job}").getOrCreate()
-    raw = read_raw_csv(spark, args.raw, partitions=args.partitions) if args.raw else None
-    if args.job == "batch":
+    if args.job in ("batch", "quality"):
+        targets = (args.checkpoint, args.ratio, args.curve)
+        if (any(targets) if args.release else not all(targets)):
+            raise SystemExit(f"{args.job}: pass either --release or --checkpoint, --ratio and --curve")
+    released = args.job == "batch" and args.release
+    raw = None
+    if args.raw:
+        files = {"file_column": rules.FILE_COLUMN} if released else {}
+        raw = read_raw_csv(spark, args.raw, partitions=args.partitions, **files)
+    if released:
+        publish_batch(spark, raw, args.release, checkpoint_partition_by=args.partition_by)
+    elif args.job == "batch":
         res = run_batch(
             spark,
             raw,
@@ -122,14 +147,23 @@ def main(argv: list[str] | None = None) -> int:
             spark, {"npl_ratio": res.npl_ratio, "vintage_curve": res.default_rate_curve}
         )
     elif args.job == "quality":
-        if not args.stats and raw is None:
-            raise SystemExit("quality: pass --raw or --stats")
+        newest = read_release(spark, args.release) if args.release else None
+        if args.release and newest is None:
+            raise SystemExit(f"quality: no release under {args.release}")
+        if not args.stats and raw is None and newest is None:
+            raise SystemExit("quality: pass --raw, --stats or --release")
+
         def output(target):
             if args.as_tables:
                 return target  # a catalog table name, counted by output_row_counts
             return spark.read.format(args.format).load(target)
 
-        outputs = {"npl_ratio": output(args.ratio), "vintage_curve": output(args.curve)}
+        if newest is not None:
+            checkpoint = newest.checkpoint
+            outputs = {"npl_ratio": newest.npl_ratio, "vintage_curve": newest.default_rate_curve}
+        else:
+            checkpoint = read_checkpoint(spark, args.checkpoint)
+            outputs = {"npl_ratio": output(args.ratio), "vintage_curve": output(args.curve)}
         if args.baseline_json and load_baseline(spark, args.baseline) is None:
             legacy = load_json_baseline(spark, args.baseline_json)
             if legacy is not None:
@@ -138,10 +172,12 @@ def main(argv: list[str] | None = None) -> int:
         kwargs["refresh_baseline"] = args.refresh_baseline
         if args.stats:
             kwargs["batch_stats"] = spark.read.parquet(args.stats)
+        elif newest is not None and raw is None:
+            kwargs["batch_stats"] = newest.stats
         res = run_quality(
             spark,
             raw,
-            read_checkpoint(spark, args.checkpoint),
+            checkpoint,
             outputs,
             args.baseline,
             **kwargs,

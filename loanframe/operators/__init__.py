@@ -26,6 +26,8 @@ from loanframe.operators.features import (
     add_features,
     add_loan_age,
     add_vintage_year,
+    default_label,
+    is_resolved,
     label_target,
 )
 from loanframe.operators.metrics import (
@@ -45,14 +47,21 @@ from loanframe.operators.profile import (
     value_profile,
 )
 from loanframe.operators.quality import (
+    batch_counts,
     batch_stats,
+    checkpoint_metrics,
     distribution_snapshot,
     drift,
     funnel_rows,
     null_rates,
+    null_rates_of,
+    raw_width,
     report_rows,
     row_count_delta,
     row_count_delta_from_stats,
+    row_count_delta_of,
+    row_count_of,
+    snapshot_of,
     stage_funnel,
 )
 from loanframe.operators.ranking import ranked

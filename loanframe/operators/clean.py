@@ -112,11 +112,11 @@ def clean_raw(
     sparse_date_columns: Sequence[str] = rules.SPARSE_DATE_COLUMNS,
     numeric_types: Mapping[str, str] = rules.NUMERIC_TYPES,
 ) -> DataFrame:
-    """Drop member id and the parser's column of malformed rows, type the numbers, parse
+    """Drop member id and the reader's own columns (malformed rows, file), type the numbers, parse
     term, dates and the sparse blocks (no row filter, no inference pass)."""
     return (
         df.transform(drop_member_id)
-        .drop(rules.CORRUPT_COLUMN)
+        .drop(rules.CORRUPT_COLUMN, rules.FILE_COLUMN)
         .transform(cast_numbers, numeric_types)
         .transform(clean_term)
         .transform(clean_dates, date_columns)

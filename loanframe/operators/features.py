@@ -9,13 +9,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanframe import rules
 from loanframe.functions import positive_flag, safe_double, threshold_bucket
 
 
+def is_resolved(
+    status: str = "loan_status", resolved: Sequence[str] = rules.RESOLVED_STATUSES
+) -> Column:
+    """Predicate of a resolved loan; false for a null status."""
+    return F.coalesce(F.col(status).isin(*resolved), F.lit(False))
+
+
+def default_label(
+    status: str = "loan_status", default_status: str = rules.DEFAULT_STATUS
+) -> Column:
+    """1 for a default, else 0."""
+    return F.when(F.col(status) == default_status, 1).otherwise(0)
+
+
 def label_target(
     df: DataFrame,
     status: str = "loan_status",
@@ -25,7 +39,7 @@ def label_target(
 ) -> DataFrame:
     """Keep resolved loans; ``target`` is int 1 for a default, else 0."""
     return df.filter(F.col(status).isin(*resolved)).withColumn(
-        target, F.when(F.col(status) == default_status, 1).otherwise(0)
+        target, default_label(status, default_status)
     )
 
 

@@ -7,21 +7,21 @@ Shape rules:
 * shares divide by a total that is a scalar subquery over the already grouped
   rows, never by a window over all groups (which would pull every group into one
   task);
-* top values per column use ``row_number() <= k``, which Spark plans as a partial
-  ``WindowGroupLimit`` before the shuffle, so a high-cardinality column sends at
-  most ``k`` rows per task to the final ranking.
+* top values per column are ranked over range partitions (:func:`ranked`), so a column
+  of any number of values, with any ``k``, is spread over tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanframe import rules
 from loanframe.functions import half_up_pct, named
 from loanframe.operators.clean import require_columns
+from loanframe.operators.ranking import ranked
 
 
 def status_profile(df: DataFrame, column: str = "loan_status") -> DataFrame:
@@ -67,10 +67,10 @@ def top_values(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
     ``other_values`` and ``other_rows`` are the column's values and rows beyond them
     (A6).  :func:`value_profile` has all values."""
     grouped = _value_groups(df, columns, "top_values")
-    order = Window.partitionBy("column").orderBy(
-        F.desc("row_count"), F.asc_nulls_first("value")
-    )
-    top = grouped.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    # All values are ranked over ranges, in many tasks, whatever k is.
+    order = [F.desc("row_count"), F.asc_nulls_first("value")]
+    grouped = ranked(grouped, order, ["column"])
+    top = grouped.filter(F.col("rank") <= k)
     # One row a column on either side: the join adds no shuffle of values.
     whole = grouped.groupBy("column").agg(
         F.count(F.lit(1)).alias("__values"), F.sum("row_count").alias("__rows")
@@ -84,7 +84,7 @@ def top_values(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
         (F.col("__rows") - F.col("__shown_rows")).alias("other_rows"),
     )
     return top.join(left, "column").select(
-        "column", "value", "row_count", "rank", "other_values", "other_rows"
+        "column", "value", "row_count", F.col("rank").cast("int").alias("rank"), "other_values", "other_rows"
     )
 
 

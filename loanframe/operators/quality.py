@@ -12,12 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanframe import rules
 from loanframe.functions import half_up_pct, named, signed_half_up_pct
 from loanframe.operators.clean import require_columns, state_ok
+from loanframe.operators.ranking import ranked
 
 SNAPSHOT_COLUMNS = ("column", "value", "row_count", "pct")
 DRIFT_COLUMNS = ("column", "value", "current_pct", "baseline_pct", "shift_pct", "flagged")
@@ -45,6 +46,12 @@ def row_count_delta(raw: DataFrame, checkpoint: DataFrame) -> DataFrame:
     )
 
 
+def row_count_delta_of(raw_rows: DataFrame, checkpoint_rows: DataFrame) -> DataFrame:
+    """:func:`row_count_delta` from two one-row tables that hold the counts
+    ``raw_row_count`` and ``checkpoint_row_count``."""
+    return _delta(raw_rows.withColumn("checkpoint_row_count", checkpoint_rows.scalar()))
+
+
 def row_count_delta_from_stats(stats: DataFrame, checkpoint: DataFrame) -> DataFrame:
     """:func:`row_count_delta` with the raw count taken from :func:`batch_stats`
     (saved by the batch job), so the raw input is not read again."""
@@ -113,6 +120,80 @@ def distribution_snapshot(
     )
 
 
+def checkpoint_metrics(
+    df: DataFrame,
+    null_columns: Sequence[str] = rules.NULL_CHECK_COLUMNS,
+    distribution_columns: Sequence[str] = rules.DISTRIBUTION_COLUMNS,
+) -> DataFrame:
+    """Everything that the report counts in the checkpoint (Q1, Q3, Q4), as
+    ``(kind, column, value, row_count)`` from one scan and one shuffle.
+
+    One ``Expand`` stacks three kinds of rows, and one grouping counts them: ``rows`` (one
+    group), ``nulls`` (of a checked column only whether it is null, so a column of any
+    number of values makes two groups) and ``values`` (a distribution column's values as
+    text; null is a value).  Read by :func:`row_count_of`, :func:`null_rates_of` and
+    :func:`snapshot_of`.
+    """
+    null_columns = list(dict.fromkeys(null_columns))
+    distribution_columns = list(dict.fromkeys(distribution_columns))
+    require_columns(df, null_columns + distribution_columns, "checkpoint_metrics")
+    stacked = [F.lit("").alias("rows")]
+    stacked += [
+        F.when(named(c).isNull(), F.lit("null")).otherwise(F.lit("")).alias(f"nulls {c}")
+        for c in null_columns
+    ]
+    stacked += [named(c).cast("string").alias(f"values {c}") for c in distribution_columns]
+    narrow = df.select(*stacked)
+    long = narrow.unpivot([], [named(c) for c in narrow.columns], "name", "value")
+    grouped = long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("row_count"))
+    kind = F.split_part("name", F.lit(" "), F.lit(1))
+    return grouped.select(
+        kind.alias("kind"),
+        F.substring("name", F.length(kind) + 2, F.length("name")).alias("column"),
+        "value",
+        "row_count",
+    )
+
+
+def row_count_of(metrics: DataFrame) -> DataFrame:
+    """``checkpoint_row_count``, one row, from :func:`checkpoint_metrics`."""
+    rows = F.coalesce(F.sum(F.when(F.col("kind") == "rows", F.col("row_count"))), F.lit(0))
+    return metrics.agg(rows.alias("checkpoint_row_count"))
+
+
+def null_rates_of(
+    metrics: DataFrame, columns: Sequence[str] = rules.NULL_CHECK_COLUMNS
+) -> DataFrame:
+    """:func:`null_rates` from :func:`checkpoint_metrics`."""
+    columns = list(dict.fromkeys(columns))
+    nulls = (F.col("kind") == "nulls") & (F.col("value") == "null")
+    counts = metrics.agg(
+        F.coalesce(F.sum(F.when(F.col("kind") == "rows", F.col("row_count"))), F.lit(0)).alias("total"),
+        *[
+            F.coalesce(F.sum(F.when(nulls & (F.col("column") == c), F.col("row_count"))), F.lit(0)).alias(f"n{i}")
+            for i, c in enumerate(columns)
+        ],
+    )
+    rows = [
+        F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("null_count"), "total")
+        for i, c in enumerate(columns)
+    ]
+    long = counts.select(F.inline(F.array(*rows)))
+    return long.select(
+        "column", "null_count", half_up_pct("null_count", "total").alias("null_pct")
+    )
+
+
+def snapshot_of(metrics: DataFrame) -> DataFrame:
+    """:func:`distribution_snapshot` from :func:`checkpoint_metrics`."""
+    total = row_count_of(metrics).scalar()
+    return (
+        metrics.filter(F.col("kind") == "values")
+        .withColumn("__total", total)
+        .select("column", "value", "row_count", half_up_pct("row_count", "__total").alias("pct"))
+    )
+
+
 def _hundredths(c: Column) -> Column:
     return F.round(F.coalesce(c, F.lit(0.0)) * F.lit(100)).cast("bigint")
 
@@ -158,7 +239,7 @@ def drift(
     )
 
 
-def batch_stats(
+def batch_counts(
     df: DataFrame,
     status: str = "loan_status",
     resolved: Sequence[str] = rules.RESOLVED_STATUSES,
@@ -166,20 +247,12 @@ def batch_stats(
     state_pattern: str = rules.STATE_PATTERN,
     domain_column: str | None = "purpose",
     domain: Sequence[str] = rules.PURPOSES,
-) -> DataFrame:
-    """One row of counts over the raw rows of the batch job, from one scan.
-
-    ``raw_rows``; ``malformed_rows`` with a wrong field count (null when the reader kept
-    no such column); ``aligned_rows`` kept by the shifted-row filter; ``labelled_rows``
-    also resolved; ``domain_violations`` among the aligned rows, and
-    ``pattern_violations`` among all rows, which that filter drops (the category check,
-    C7 and C8; left out when ``domain_column`` is None); ``raw_columns``.  The batch job
-    validates from this row and can save it, so the quality job need not read the
-    raw input again for its count.
-    """
+) -> list[Column]:
+    """The aggregates of :func:`batch_stats` over raw rows ``df``, to be computed by
+    ``agg`` or, while the rows are written, by ``observe``."""
     aligned = F.coalesce(state_ok(state_column, state_pattern), F.lit(False))
     resolved_ = F.coalesce(F.col(status).isin(*resolved), F.lit(False))
-    malformed = F.lit(None).cast("bigint")
+    malformed = F.max(F.lit(None).cast("bigint"))
     if rules.CORRUPT_COLUMN in df.columns:
         malformed = F.count(rules.CORRUPT_COLUMN)
     counts = [
@@ -195,8 +268,37 @@ def batch_stats(
             ),
             F.count_if(~F.col(state_column).rlike(state_pattern)).alias("pattern_violations"),
         ]
-    width = len([c for c in df.columns if c != rules.CORRUPT_COLUMN])
-    return df.agg(*counts).withColumn("raw_columns", F.lit(width))
+    return counts
+
+
+def raw_width(df: DataFrame) -> int:
+    """The number of raw columns, without those that the reader adds."""
+    return len([c for c in df.columns if c not in (rules.CORRUPT_COLUMN, rules.FILE_COLUMN)])
+
+
+def batch_stats(
+    df: DataFrame,
+    status: str = "loan_status",
+    resolved: Sequence[str] = rules.RESOLVED_STATUSES,
+    state_column: str = "addr_state",
+    state_pattern: str = rules.STATE_PATTERN,
+    domain_column: str | None = "purpose",
+    domain: Sequence[str] = rules.PURPOSES,
+) -> DataFrame:
+    """One row of counts over the raw rows of the batch job, from one scan.
+
+    ``raw_rows``; ``malformed_rows`` with a wrong field count (null when the reader kept
+    no such column); ``aligned_rows`` kept by the shifted-row filter; ``labelled_rows``
+    also resolved; ``domain_violations`` among the aligned rows, and
+    ``pattern_violations`` among all rows, which that filter drops (the category check,
+    C7 and C8; left out when ``domain_column`` is None); ``raw_columns``.  The batch job
+    validates from this row and can save it, so the quality job need not read the
+    raw input again for its count.
+    """
+    counts = batch_counts(
+        df, status, resolved, state_column, state_pattern, domain_column, domain
+    )
+    return df.agg(*counts).withColumn("raw_columns", F.lit(raw_width(df)))
 
 
 def funnel_rows(stats: DataFrame) -> DataFrame:
@@ -300,11 +402,9 @@ def report_rows(
     nr = null_rate_rows.select(
         *rows("null_rates", F.col("column"), null_str, F.lit("null_pct"), F.col("null_pct"))
     )
-    by_share = Window.partitionBy("column").orderBy(
-        F.desc("row_count"), F.asc_nulls_first("value")
-    )
-    ranked = snapshot.withColumn("rank", F.row_number().over(by_share))
-    ds = _metrics(ranked, ["pct", "rank"]).select(
+    # By ranges: a column may have very many values.
+    by_share = [F.desc("row_count"), F.asc_nulls_first("value")]
+    ds = _metrics(ranked(snapshot, by_share, ["column"]), ["pct", "rank"]).select(
         *rows("distribution", F.col("column"), F.col("value"), F.col("metric"), F.col("number"))
     )
 

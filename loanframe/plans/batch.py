@@ -2,8 +2,9 @@
 Parquet checkpoint -> bad-rate table and default-rate curve.
 
 Passes over the raw input: one aggregate (both category checks, the raw row count, the
-malformed rows and the row funnel) and one checkpoint write.  They stay two passes: the
-check must be over before anything is published.  The two aggregate tables are
+malformed rows and the row funnel) and one checkpoint write.  They are two passes here, as
+this job writes straight to the paths or catalog tables it is given and must check before;
+:func:`loanframe.plans.publish_batch` needs one.  The two aggregate tables are
 computed from the checkpoint, so they read only the columns they need from Parquet
 and do not re-run the cleaning chain; the bad-rate table is one scan and one
 shuffle for all its dimensions.
@@ -23,6 +24,7 @@ from loanframe.operators.features import add_features, label_target
 from loanframe.operators.metrics import default_rate_curve, npl_ratio_by_dimensions
 from loanframe.operators.quality import batch_stats
 from loanframe.sources.files import read_checkpoint, write_checkpoint, write_table
+from loanframe.sources.releases import Release
 
 
 def prepare_loans(
@@ -49,6 +51,8 @@ class BatchResult:
     default_rate_curve: DataFrame
     stats: DataFrame
     paths: dict
+    #: The release that holds all of them, where the job published one.
+    release: Release | None = None
 
 
 def run_batch(

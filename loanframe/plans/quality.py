@@ -1,8 +1,9 @@
 """Quality pipeline (P2): raw + checkpoint + outputs -> counts, null rates,
 distribution snapshot, drift against the stored baseline, report rows.
 
-Every metric stays a DataFrame; the only actions are the baseline save on the
-first run and whatever the caller does with the report rows.
+The checkpoint is scanned once: rows, nulls and shares are counted by one grouping.
+Every metric stays a DataFrame; the only actions are the write of those counts, the
+baseline save on the first run and whatever the caller does with the report rows.
 """
 
 from __future__ import annotations
@@ -11,22 +12,25 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loanframe import rules
 from loanframe.operators.checks import output_row_counts
 from loanframe.operators.quality import (
-    distribution_snapshot,
+    checkpoint_metrics,
     drift,
-    null_rates,
+    null_rates_of,
     report_rows,
-    row_count_delta,
-    row_count_delta_from_stats,
+    row_count_delta_of,
+    row_count_of,
+    snapshot_of,
 )
 from loanframe.sources.files import (
     load_baseline,
     read_checkpoint,
     save_baseline,
     scratch_path,
+    scratch_table,
     write_table,
 )
 
@@ -65,14 +69,19 @@ def run_quality(
     maps labels to output DataFrames or catalog table names.
     """
     if batch_stats is not None:
-        rc = row_count_delta_from_stats(batch_stats, checkpoint)
+        raw_rows = batch_stats.select(F.col("raw_rows").alias("raw_row_count"))
     elif raw is not None:
-        rc = row_count_delta(raw, checkpoint)
+        raw_rows = raw.agg(F.count(F.lit(1)).alias("raw_row_count"))
     else:
         raise ValueError("run_quality: pass the raw rows or the batch job's stats")
+    # The one scan of the checkpoint; written, since all sections below read it.
+    metrics = scratch_table(
+        checkpoint_metrics(checkpoint, null_columns, distribution_columns), "metrics"
+    )
+    rc = row_count_delta_of(raw_rows, row_count_of(metrics))
     oc = output_row_counts(spark, outputs)
-    nr = null_rates(checkpoint, null_columns)
-    snap = distribution_snapshot(checkpoint, distribution_columns)
+    nr = null_rates_of(metrics, null_columns)
+    snap = snapshot_of(metrics)
 
     baseline = load_baseline(spark, baseline_path) if baseline_path else None
     saved, note = False, None

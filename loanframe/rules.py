@@ -156,6 +156,8 @@ DRIFT_THRESHOLD_PCT = 2.0
 
 # Column in which the CSV reader keeps the text of rows with a wrong field count.
 CORRUPT_COLUMN = "_corrupt_record"
+#: The file a raw row was read from, where the reader was asked for it.
+FILE_COLUMN = "_source_file"
 
 # Rows shown by previews.
 PREVIEW_ROWS = 10

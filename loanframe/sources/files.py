@@ -48,6 +48,7 @@ def read_raw_csv(
     columns: Sequence[str] | None = None,
     partitions: int | None = None,
     corrupt_column: str | None = rules.CORRUPT_COLUMN,
+    file_column: str | None = None,
 ) -> DataFrame:
     """Read raw loan CSV with a header, every column as string.
 
@@ -62,7 +63,9 @@ def read_raw_csv(
     extra ones are dropped); those are the misaligned rows that
     :func:`loanframe.operators.drop_shifted_rows` removes.  Their raw text is kept in
     ``corrupt_column`` (null on other rows; ``None`` leaves the column out), which
-    :func:`loanframe.operators.batch_stats` counts and the cleaning drops.
+    :func:`loanframe.operators.batch_stats` counts, the published batch job keeps
+    (:func:`loanframe.plans.publish_batch`) and the cleaning drops.  With ``file_column``
+    (``rules.FILE_COLUMN`` for that job) every row also names its file.
 
     Compressed files that cannot be split (gzip and the like) arrive as one partition
     each and are spread over ``partitions`` (default: the session's shuffle
@@ -85,8 +88,9 @@ def read_raw_csv(
                 if extra
                 else f"read_raw_csv: the header of {one} lacks {missing}"
             )
-        if corrupt_column and corrupt_column in header:
-            raise ValueError(f"read_raw_csv: {one} has a column named {corrupt_column}")
+        for taken in (corrupt_column, file_column):
+            if taken and taken in header:
+                raise ValueError(f"read_raw_csv: {one} has a column named {taken}")
         schema = string_schema(header)
         reader = (
             spark.read.option("header", True)
@@ -96,12 +100,15 @@ def read_raw_csv(
         )
         if corrupt_column:
             schema = schema.add(corrupt_column, StringType(), True)
-            reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+            # A parser that skips columns does not see how many fields a line has.
+            reader = reader.option("columnNameOfCorruptRecord", corrupt_column).option("columnPruning", False)
         df = reader.schema(schema).csv(one)
         spread = partitions
         if spread is None and any(f.lower().endswith(_UNSPLITTABLE) for f in df.inputFiles()):
             spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        df = df.select(*[named(c) for c in wanted], *([corrupt_column] if corrupt_column else []))
+        added = [F.col(corrupt_column)] if corrupt_column else []
+        added += [F.col("_metadata.file_path").alias(file_column)] if file_column else []
+        df = df.select(*[named(c) for c in wanted], *added)
         parts.append(df.repartition(spread) if spread else df)
     out = parts[0]
     for df in parts[1:]:
@@ -157,10 +164,14 @@ def write_table(
     target: str,
     fmt: str = "parquet",
     as_table: bool = False,
+    path: str | None = None,
 ) -> str:
-    """Overwrite a curated output, at a path or as a catalog table."""
+    """Overwrite a curated output, at a path or as a catalog table (S5); a table's files
+    lie in the warehouse, or with ``path`` there."""
     writer = df.write.mode("overwrite").format(fmt)
     if as_table:
+        if path:
+            writer = writer.option("path", path)
         writer.saveAsTable(target)
     else:
         writer.save(target)

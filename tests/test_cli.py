@@ -163,3 +163,22 @@ def test_batch_reads_a_single_gzip_file(spark, raw_path, tmp_out):
                       key=lambda t: tuple((x is None, str(x)) for x in t))
 
     assert rows(plain) == rows(zipped)
+
+
+def test_batch_and_quality_over_a_release(spark, raw_path, tmp_out):
+    from loanframe.plans import read_release
+
+    root, baseline, report = tmp_out("release"), tmp_out("baseline"), tmp_out("report")
+    for _ in range(2):
+        assert main(["batch", "--raw", raw_path, "--release", root]) == 0
+        assert main(["quality", "--release", root, "--baseline", baseline, "--report", report]) == 0
+    newest = read_release(spark, root)
+    assert newest.release.number == 2
+    counts = {r.metric: r.number for r in spark.read.parquet(report).filter("section = 'row_counts'").collect()}
+    assert counts["checkpoint_row_count"] == newest.checkpoint.count()
+    assert counts["raw_row_count"] == newest.stats.first().raw_rows
+    for wrong in (["--release", root, "--ratio", "x"], ["--ratio", "x"]):
+        with pytest.raises(SystemExit):
+            main(["batch", "--raw", raw_path, *wrong])
+    with pytest.raises(SystemExit):
+        main(["quality", "--release", tmp_out("none"), "--baseline", baseline, "--report", report])
