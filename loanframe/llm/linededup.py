@@ -1,20 +1,28 @@
-"""Line dedup by content-defined chunks (operator 7), in DataFrame expressions only.
-
-A document's lines are cut into chunks where the content says so: a rolling hash over
-the hashes of the last two lines decides whether a chunk ends after a line, and a line
-of over ``LONG_WORDS`` words always is a chunk of its own.  A boundary depends on its
-neighbouring lines alone, so a passage is cut alike wherever it stands, whatever was
-inserted before it.  Compared are the chunks of several lines (and the long lines), and
-every two neighbouring chunks together, so that a short chunk inside a repeated passage
-goes with its neighbour.  What occurs more than once in the whole table is removed, all
-but the first occurrence, in the order of document id and place; the first occurrence of
-a chunk always stays.  Chunks are matched by hash first; one is only removed after its
-bytes were compared with those of the first occurrence.
-
-What is shuffled: a hash and a place for every chunk and pair; the text of the documents once to
-fetch the chunks that repeat, and once to rewrite; the text of repeated chunks.  Counts
-are summed before the shuffle, and a chunk held by very many documents is spread over
-tasks by the skew handling of the joins.
+"""Line dedup by content-defined line chunks (operator 7), in DataFrame expressions only.
+
+Only lines that occur more than once in the table can be part of a repeated passage.  In
+every document the runs of such lines are cut into chunks: a run's ends are borders, a
+line of over ``LONG_WORDS`` words always is a chunk of its own, and within a run a rolling
+hash over the hashes of the last two lines decides whether a chunk ends after a line.  So
+a passage is cut alike wherever it stands: the foreign lines around it are borders, not
+parts of its first and last chunk, and inside it a border depends on the lines next to it.
+Compared are the chunks of several lines (and the long lines), and every two neighbouring
+chunks together, so that a short chunk inside a repeated passage goes with its neighbour.
+What occurs more than once in the whole table is removed, all but the first occurrence, in
+the order of document id and place; an occurrence that overlaps the first one in its own
+document is none.  Chunks are matched by hash first; one is only removed after its bytes
+were compared with those of the first occurrence, and where hashes collide, with those of
+the first one of its own bytes.
+
+Empty lines are no lines: they go, or stay, with the line before them (at the beginning of
+a text, with the first line).  A text from which something was removed loses line ends at
+its end.
+
+What is shuffled: a hash, a place and a flag for every line, once; those of repeated lines
+by document; a hash and a place for every chunk and pair of repeated lines; the text of the
+documents that hold such, once to fetch the chunks that repeat, and the text of all once to
+rewrite; the text of repeated chunks.  Counts are summed before the shuffle, and a line or
+chunk held by very many documents is spread over tasks by the skew handling of the joins.
 
 Defined cases: a null text stays null, an empty one empty; a text that consists of
 repeated chunks only becomes empty; its row stays.  Rows with equal id and text are one
@@ -38,9 +46,21 @@ _FACTOR, _MODULUS = 65_599, 1 << 32
 
 KEYS = ("null_id", "id", "text_hash")
 
+#: A line with the empty lines after it; the first one also with those before it.
+_PIECE = r"\n*[^\n]+\n*"
+
+
+def _pieces(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0))
+
+
+def _line(piece: Column) -> Column:
+    return F.btrim(piece, F.lit("\n"))
+
 
 def _line_hash(line: Column) -> Column:
-    return F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("bigint")
+    """60 bits of the line's MD5."""
+    return F.conv(F.substring(F.md5(line.cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 
 def _is_long(line: Column) -> Column:
@@ -59,24 +79,22 @@ def _size(chunk: Column) -> Column:
     return chunk.bitwiseAND(F.lit(_SIZES - 1)).cast("int")
 
 
-def _chunk_text(lines: Column, chunk: Column) -> Column:
-    return F.array_join(F.slice(lines, _start(chunk) + 1, _size(chunk)), "\n")
+def _numbered(start: Column, size: Column) -> Column:
+    return start.cast("bigint") * _SIZES + size
 
 
-def with_chunks(df: DataFrame, text: Column) -> DataFrame:
-    """``df`` with ``lines`` and ``marks`` (hash and length of each line) and ``chunks``,
-    which cover all lines in order.  No shuffle."""
-    marked = df.withColumn("lines", F.split(text, "\n", -1)).withColumn(
-        "marks",
-        F.transform("lines", lambda x: F.struct(_line_hash(x).alias("hash"), _is_long(x).alias("long"))),
-    )
+def with_units(marked: DataFrame) -> DataFrame:
+    """``marked`` with ``units``, what is compared of a document: (span, hash, chunks),
+    chunks and spans being numbered alike.  ``marks`` are its repeated lines in order,
+    ``(at, hash, long)``.  No shuffle."""
 
     def ends(mark: Column, i: Column) -> Column:
-        before = F.when(i > 0, F.get("marks", i - 1)["hash"]).otherwise(F.lit(0).cast("bigint"))
-        rolled = (mark["hash"] + before * _FACTOR) % _MODULUS
-        after = F.get("marks", i + 1)
+        last, after = F.get("marks", i - 1), F.get("marks", i + 1)
+        before = F.when(last["at"] == mark["at"] - 1, F.shiftright(last["hash"], 28))
+        rolled = (F.shiftright(mark["hash"], 28) + F.coalesce(before, F.lit(0)) * _FACTOR) % _MODULUS
         return (
             after.isNull()
+            | (after["at"] != mark["at"] + 1)
             | mark["long"]
             | after["long"]
             | (F.shiftright(rolled, 16) % MEAN_LINES == 0)
@@ -88,26 +106,28 @@ def with_chunks(df: DataFrame, text: Column) -> DataFrame:
     )
 
     def chunk(end: Column, k: Column) -> Column:
-        start = F.when(k > 0, F.get("ends", k - 1) + 1).otherwise(0).cast("bigint")
-        return start * _SIZES + (end - start + 1)
+        first = F.when(k > 0, F.get("ends", k - 1) + 1).otherwise(0)
+        start, size = F.get("marks", first)["at"], end - first + 1
+        return F.struct(first.alias("first"), size.alias("size"), start.alias("start"), _numbered(start, size).alias("chunk"))
 
-    return cut.withColumn("chunks", F.transform("ends", chunk)).drop("ends")
+    cut = cut.withColumn("cuts", F.transform("ends", chunk))
 
+    def unit(first: Column, start: Column, size: Column, chunks: Column) -> Column:
+        hashes = F.transform(F.slice("marks", first + 1, size), lambda m: m["hash"])
+        return F.struct(_numbered(start, size).alias("span"), F.xxhash64(hashes).alias("hash"), chunks.alias("chunks"))
 
-def _units() -> Column:
-    """What is compared of a document: (span, chunks), the span being numbered like a
-    chunk."""
     alone = F.transform(
-        F.filter("chunks", lambda c: (_size(c) > 1) | F.get("marks", _start(c))["long"]),
-        lambda c: F.struct(c.alias("span"), F.array(c).alias("chunks")),
-    )
-    pairs = F.transform(
-        "chunks",
-        lambda c, k: F.struct(
-            (c + _size(F.get("chunks", k + 1))).alias("span"), F.array(c, F.get("chunks", k + 1)).alias("chunks")
-        ),
+        F.filter("cuts", lambda c: (c["size"] > 1) | F.get("marks", c["first"])["long"]),
+        lambda c: unit(c["first"], c["start"], c["size"], F.array(c["chunk"])),
     )
-    return F.concat(alone, F.filter(pairs, lambda u: u["span"].isNotNull()))
+
+    def pair(c: Column, k: Column) -> Column:
+        after = F.get("cuts", k + 1)
+        both = unit(c["first"], c["start"], c["size"] + after["size"], F.array(c["chunk"], after["chunk"]))
+        return F.when(after["start"] == c["start"] + c["size"], both)
+
+    pairs = F.filter(F.transform("cuts", pair), lambda u: u.isNotNull())
+    return cut.withColumn("units", F.concat(alone, pairs)).drop("ends", "cuts")
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str, *kept: Column) -> DataFrame:
@@ -119,38 +139,58 @@ def _keyed(docs: DataFrame, doc_id: str, text: str, *kept: Column) -> DataFrame:
     )
 
 
+def repeated_lines(keyed: DataFrame) -> DataFrame:
+    """``(null_id, id, text_hash, marks)``: the lines of every document that occur again,
+    there or in another one, in order."""
+    # The outer form: for the inner one Spark adds a filter on the size of the array,
+    # pushes it below the projections and evaluates all of their expressions nested.
+    lines = keyed.select(*KEYS, F.posexplode_outer(_pieces(F.col("text"))).alias("at", "piece"))
+    lines = lines.filter("piece is not null").withColumn("line", _line(F.col("piece")))
+    lines = stored(lines.select(*KEYS, "at", _line_hash(F.col("line")).alias("hash"), _is_long(F.col("line")).alias("long")), "lines")
+    # Rows of one document hold their lines at equal places.
+    place = F.struct(*KEYS, "at")
+    again = lines.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    again = again.filter("first != last").select("hash")
+    marks = F.array_sort(F.collect_set(F.struct("at", "hash", "long")))  # lines of one document
+    return lines.join(again, "hash", "left_semi").groupBy(*KEYS).agg(marks.alias("marks"))
+
+
 def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(null_id, id, text_hash, removed)``: the chunks to remove from a document, which
     occur earlier byte by byte."""
     keyed = _keyed(docs, doc_id, text, column(text).alias("text"))
     place = F.struct(*KEYS, "span")
-    # The outer form: for the inner one Spark adds a filter on the size of the array,
-    # pushes it below the projections and evaluates all of their expressions nested.
-    units = with_chunks(keyed, F.col("text")).withColumn("units", _units())
-    seen = (
-        units.select(*KEYS, "lines", F.explode_outer("units").alias("unit"))
-        .filter("unit is not null")
-        .select(F.xxhash64(_chunk_text(F.col("lines"), F.col("unit.span"))).alias("hash"), *KEYS, "unit.*")
-    )
-    seen = stored(seen, "chunks")
+    units = with_units(repeated_lines(keyed)).select(*KEYS, F.explode_outer("units").alias("unit"))
+    seen = stored(units.filter("unit is not null").select(*KEYS, "unit.*"), "chunks")
     first = (
-        seen.groupBy("hash").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
+        seen.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last")
+    ).drop("last")
+    here = F.struct(*KEYS)
+    overlaps = (here == F.struct(*[F.col("first")[k].alias(k) for k in KEYS])) & (
+        _start(F.col("span")) < _start(F.col("first.span")) + _size(F.col("first.span"))
     )
     asked = (
         seen.join(first, "hash")
+        .filter((place == F.col("first")) | ~overlaps)
         .select(*KEYS, F.struct("span", "chunks", "hash", (place == F.col("first")).alias("is_first")).alias("ask"))
         .groupBy(*KEYS)
         .agg(F.collect_set("ask").alias("asks"))  # chunks of one document
     )
+    span = F.slice("lines", _start(F.col("ask.span")) + 1, _size(F.col("ask.span")))
     found = (
         keyed.join(asked, list(KEYS))
-        .select(*KEYS, F.split("text", "\n", -1).alias("lines"), F.explode_outer("asks").alias("ask"))
-        .select(*KEYS, "ask.*", _chunk_text(F.col("lines"), F.col("ask.span")).alias("bytes"))
+        .select(*KEYS, F.transform(_pieces(F.col("text")), _line).alias("lines"), F.explode_outer("asks").alias("ask"))
+        .select(*KEYS, "ask.*", F.array_join(span, "\n").alias("bytes"))
     )
     found = stored(found, "repeated")
     # Stored, so that the join below reads two plain tables and can split a hot chunk.
     kept = stored(found.filter("is_first").select("hash", F.col("bytes").alias("first_bytes")).distinct(), "first")
-    equal = found.filter("not is_first").join(kept, "hash").filter("bytes = first_bytes")
+    compared = found.filter("not is_first").join(kept, "hash")
+    # Where hashes collide, the first of equal bytes stays.
+    other = compared.filter("bytes != first_bytes")
+    other_first = other.groupBy("hash", "bytes").agg(F.min(place).alias("first"))
+    repeated = other.join(other_first, ["hash", "bytes"]).filter(place != F.col("first"))
+    equal = compared.filter("bytes = first_bytes").select(*KEYS, "chunks").union(repeated.select(*KEYS, "chunks"))
     return equal.groupBy(*KEYS).agg(F.array_distinct(F.flatten(F.collect_set("chunks"))).alias("removed"))
 
 
@@ -164,15 +204,14 @@ def remove_repeated_chunks(
     joined = _keyed(docs, doc_id, text, packed(docs)).join(
         repeated_chunks(docs, doc_id, text), list(KEYS), "left"
     )
-    cut = with_chunks(joined, whole).withColumn(
-        "kept", F.when(F.col("removed").isNull(), F.col("chunks")).otherwise(F.array_except("chunks", "removed"))
-    )
-    rest = F.array_join(F.transform("kept", lambda c: _chunk_text(F.col("lines"), c)), "\n")
+    gone = F.flatten(F.transform("removed", lambda c: F.sequence(_start(c), _start(c) + _size(c) - 1)))
+    left = F.array_except(F.sequence(F.lit(0), F.size("pieces") - 1), gone)
+    rest = F.rtrim(F.array_join(F.transform(left, lambda i: F.get("pieces", i)), ""), F.lit("\n"))
+    cut = joined.withColumn("pieces", F.when(F.col("removed").isNotNull() | F.lit(report), _pieces(whole)))
     rest = F.when(F.col("removed").isNull(), whole).otherwise(rest)
-    kept_size = F.aggregate("kept", F.lit(0), lambda n, c: n + _size(c))
     counts = {
-        "n_lines": F.when(whole.isNotNull(), F.size("lines")),
-        "n_lines_removed": F.when(whole.isNotNull(), F.size("lines") - kept_size),
+        "n_lines": F.when(whole.isNotNull(), F.size("pieces")),
+        "n_lines_removed": F.when(F.col("removed").isNotNull(), F.aggregate("removed", F.lit(0), lambda n, c: n + _size(c))),
         "n_chunks_removed": F.when(F.col("removed").isNotNull(), F.size("removed")),
     }
     if not report:
@@ -186,22 +225,24 @@ def remove_repeated_chunks(
 
 ORACLE = f"""
 WITH docs AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
+pieces AS (SELECT doc_id, text, regexp_extract_all(text, '\\n*[^\\n]+\\n*') AS ps FROM docs),
 lines AS (
-  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
-    generate_subscripts(string_split(text, chr(10)), 1) AS i
-  FROM docs
+  SELECT *, trim(piece, chr(10)) AS line FROM (
+    SELECT doc_id, text, unnest(ps) AS piece, generate_subscripts(ps, 1) AS i FROM pieces
+  )
 ),
 marks AS (
   SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h,
     length(line) - length(replace(line, ' ', '')) >= {LONG_WORDS} AS long
-  FROM lines
+  FROM lines SEMI JOIN (SELECT line FROM lines GROUP BY line HAVING count(*) > 1) USING (line)
 ),
 near AS (
-  SELECT *, lag(h, 1, 0) OVER w AS before, lead(long) OVER w AS next_long
+  SELECT *, CASE WHEN lag(i) OVER w = i - 1 THEN lag(h) OVER w ELSE 0 END AS before,
+    lead(i) OVER w AS next_i, lead(long) OVER w AS next_long
   FROM marks WINDOW w AS (PARTITION BY doc_id, text ORDER BY i)
 ),
 ends AS (
-  SELECT *, CASE WHEN next_long IS NULL OR long OR next_long
+  SELECT *, CASE WHEN next_i IS NULL OR next_i <> i + 1 OR long OR next_long
       OR (((h + before * {_FACTOR}) % {_MODULUS}) // 65536) % {MEAN_LINES} = 0 THEN 1 ELSE 0 END AS is_end
   FROM near
 ),
@@ -209,37 +250,41 @@ numbered AS (
   SELECT *, sum(is_end) OVER (PARTITION BY doc_id, text ORDER BY i) - is_end AS k FROM ends
 ),
 chunks AS (
-  SELECT doc_id, text, k, dense_rank() OVER (PARTITION BY doc_id, text ORDER BY k) AS place,
-    count(*) AS size, string_agg(line, chr(10) ORDER BY i) AS bytes, bool_or(long) AS long
+  SELECT doc_id, text, min(i) AS start, count(*) AS size, string_agg(line, chr(10) ORDER BY i) AS bytes, bool_or(long) AS long
   FROM numbered GROUP BY doc_id, text, k
 ),
 units AS (
-  SELECT doc_id, text, place, 0 AS more, bytes FROM chunks WHERE size > 1 OR long
+  SELECT doc_id, text, start, size, bytes, start AS last FROM chunks WHERE size > 1 OR long
   UNION ALL
-  SELECT doc_id, text, place, 1, bytes || chr(10) || after FROM (
-    SELECT *, lead(bytes) OVER (PARTITION BY doc_id, text ORDER BY k) AS after FROM chunks
-  ) c WHERE after IS NOT NULL
+  SELECT doc_id, text, start, size + next_size, bytes || chr(10) || next_bytes, next_start FROM (
+    SELECT *, lead(bytes) OVER w AS next_bytes, lead(start) OVER w AS next_start, lead(size) OVER w AS next_size
+    FROM chunks WINDOW w AS (PARTITION BY doc_id, text ORDER BY start)
+  ) WHERE next_start = start + size
 ),
-again AS (
-  SELECT doc_id, text, place, more FROM units
-  QUALIFY row_number() OVER (PARTITION BY bytes ORDER BY doc_id NULLS LAST, text, place) > 1
+ordered AS (
+  SELECT *, row_number() OVER w AS place, first_value(doc_id) OVER w AS first_id, first_value(text) OVER w AS first_text,
+    first_value(start) OVER w AS first_start
+  FROM units WINDOW w AS (PARTITION BY bytes ORDER BY doc_id NULLS LAST, text, start)
 ),
-gone AS (
-  SELECT doc_id, text, place FROM again UNION SELECT doc_id, text, place + 1 FROM again WHERE more = 1
+again AS (
+  SELECT * FROM ordered WHERE place > 1
+  AND NOT (doc_id IS NOT DISTINCT FROM first_id AND text = first_text AND start < first_start + size)
 ),
-ranked AS (
-  SELECT c.*, g.place IS NOT NULL AS removed FROM chunks c LEFT JOIN gone g
-  ON c.doc_id IS NOT DISTINCT FROM g.doc_id AND c.text = g.text AND c.place = g.place
+gone AS (SELECT doc_id, text, start FROM again UNION SELECT doc_id, text, last FROM again),
+removed AS (
+  SELECT g.doc_id, g.text, c.start, c.size FROM gone g JOIN chunks c
+  ON g.doc_id IS NOT DISTINCT FROM c.doc_id AND g.text = c.text AND g.start = c.start
 ),
-rewritten AS (
-  SELECT doc_id, text, CAST(sum(size) AS BIGINT) AS n_lines,
-    CAST(coalesce(sum(size) FILTER (WHERE removed), 0) AS BIGINT) AS n_lines_removed,
-    count(*) FILTER (WHERE removed) AS n_chunks_removed,
-    coalesce(string_agg(bytes, chr(10) ORDER BY k) FILTER (WHERE NOT removed), '') AS rest
-  FROM ranked GROUP BY doc_id, text
+per AS (
+  SELECT doc_id, text, count(*) AS chunks, CAST(sum(size) AS BIGINT) AS lines,
+    flatten(list(range(start, start + size))) AS at
+  FROM removed GROUP BY doc_id, text
 )
-SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_lines_removed, 0) AS n_lines_removed,
-  coalesce(n_chunks_removed, 0) AS n_chunks_removed, md5(rest) AS text_md5
-FROM documents d LEFT JOIN rewritten r
-  ON d.doc_id IS NOT DISTINCT FROM r.doc_id AND d.text = r.text
+SELECT d.doc_id, CAST(coalesce(len(p.ps), 0) AS BIGINT) AS n_lines, coalesce(r.lines, 0) AS n_lines_removed,
+  coalesce(r.chunks, 0) AS n_chunks_removed,
+  md5(CASE WHEN r.at IS NULL THEN d.text ELSE rtrim(array_to_string(
+    list_filter(p.ps, lambda x, i: NOT list_contains(r.at, i)), ''), chr(10)) END) AS text_md5
+FROM documents d
+LEFT JOIN pieces p ON d.doc_id IS NOT DISTINCT FROM p.doc_id AND d.text = p.text
+LEFT JOIN per r ON d.doc_id IS NOT DISTINCT FROM r.doc_id AND d.text = r.text
 """

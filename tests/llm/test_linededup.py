@@ -1,5 +1,7 @@
 import hashlib
 import random
+import re
+from collections import Counter
 
 import pytest
 from oracle_check import compare, duck
@@ -7,35 +9,48 @@ from oracle_check import compare, duck
 from loanframe.llm.linededup import LONG_WORDS, ORACLE, remove_repeated_chunks
 
 
-def chunks_of(text):
-    lines = text.split("\n")
+def pieces_of(text):
+    return re.findall(r"\n*[^\n]+\n*", text)
+
+
+def units_of(lines, again):
+    """(first line, size, chunks) of what is compared, chunks being (first, size)."""
     h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
     long = [x.count(" ") >= LONG_WORDS for x in lines]
-    out, start = [], 0
-    for i in range(len(lines)):
-        rolled = (h[i] + (h[i - 1] if i else 0) * 65_599) % (1 << 32)
-        if i + 1 == len(lines) or long[i] or long[i + 1] or (rolled >> 16) % 2 == 0:
-            out.append((lines[start : i + 1], i > start or long[i]))
-            start = i + 1
-    return out
+    cuts, start = [], None
+    for i, x in enumerate(lines):
+        if x not in again:
+            continue
+        start = i if start is None else start
+        goes_on = i + 1 < len(lines) and lines[i + 1] in again
+        rolled = (h[i] + (h[i - 1] if i and lines[i - 1] in again else 0) * 65_599) % (1 << 32)
+        if not goes_on or long[i] or long[i + 1] or (rolled >> 16) % 2 == 0:
+            cuts.append((start, i + 1 - start))
+            start = None
+    alone = [(a, n, [(a, n)]) for a, n in cuts if n > 1 or long[a]]
+    return alone + [(a, n + m, [(a, n), (b, m)]) for (a, n), (b, m) in zip(cuts, cuts[1:]) if b == a + n]
 
 
 def slow(rows):
     """Expected text of each distinct (id, text), by plain comparison."""
-    seen, out = set(), {}
-    for i, t in sorted({r[:2] for r in rows}, key=lambda r: (r[0] is None, r[0] or 0)):
-        if t is None:
-            out[i, t] = None
-            continue
-        chunks = chunks_of(t)
-        gone = [False] * len(chunks)
-        for k, (lines, whole) in enumerate(chunks):
-            for size, unit in ((1, lines if whole else None), (2, lines + chunks[k + 1][0] if k + 1 < len(chunks) else None)):
-                if unit is not None and tuple(unit) in seen:
-                    gone[k : k + size] = [True] * size
-                elif unit is not None:
-                    seen.add(tuple(unit))
-        out[i, t] = "\n".join(x for (lines, _), g in zip(chunks, gone) if not g for x in lines)
+    docs = sorted({r[:2] for r in rows}, key=lambda r: (r[0] is None, r[0] or 0))
+    lines = {d: [p.strip("\n") for p in pieces_of(d[1] or "")] for d in docs}
+    counts = Counter(x for own in lines.values() for x in own)
+    again = {x for x, n in counts.items() if n > 1}
+    units = {d: sorted(units_of(lines[d], again)) for d in docs}
+    first = {}
+    for d in docs:
+        for a, n, _ in units[d]:
+            first.setdefault(tuple(lines[d][a : a + n]), (d, a))
+    out = {}
+    for d in docs:
+        gone = set()
+        for a, n, chunks in units[d]:
+            whose, at = first[tuple(lines[d][a : a + n])]
+            if (whose, at) != (d, a) and not (whose == d and a < at + n):
+                gone.update(i for b, m in chunks for i in range(b, b + m))
+        rest = "".join(p for i, p in enumerate(pieces_of(d[1] or "")) if i not in gone)
+        out[d] = rest.rstrip("\n") if gone else d[1]
     return out
 
 
@@ -52,7 +67,7 @@ def _rows():
             own[at:at] = passage
         if d % 7 == 0:
             own.append(wide)
-        rows.append((d, "\n".join(own), "s"))
+        rows.append((d, "\n".join(own).replace("a b", "a b\n\n"), "s"))
     rows += [(100, rows[5][1], "s"), (5, rows[5][1], "other"), (101, None, None), (102, "", "s"), (103, "\n\n", "s")]
     rows += [(None, rows[0][1], "s"), (104, "\n".join(["x y"] * 3000), "s"), (104, "second text\nof one id", "s")]
     return rows
@@ -69,6 +84,45 @@ def test_equals_plain_comparison(spark):
     assert sum(w != t for (_, t), w in want.items()) > 20
 
 
+@pytest.mark.parametrize("shape", [(2, 30), (3, 20), (4, 15), (6, 10), (12, 10), (2, 26), (1, 60)])
+def test_passages_go_whatever_stands_around_them(spark, shape):
+    """Of passages of over 50 words between lines of their own, two and five copies."""
+    n, size = shape
+    r = random.Random(n)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(5))
+    line = lambda: " ".join(word() for _ in range(size))
+    passages = [[line() for _ in range(n)] for _ in range(12)]
+    rows, planted = [], Counter()
+    for k, p in enumerate(passages):
+        for _ in range(2 if k % 2 else 5):
+            own = [line() for _ in range(r.randint(0, 3))] + p + [line() for _ in range(r.randint(0, 3))]
+            rows.append((len(rows), "\n".join(own)))
+            planted.update(p)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = remove_repeated_chunks(df).collect()
+    left = Counter(x for r in out for x in r.text.split("\n"))
+    assert {x: left[x] for x in planted} == dict.fromkeys(planted, 1)
+    # All other lines stay.
+    before = Counter(x for _, t in rows for x in t.split("\n"))
+    assert all(left[x] == c for x, c in before.items() if x not in planted)
+
+
+def test_first_occurrence_stays_whole_and_collisions_are_told_apart(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from loanframe.llm import linededup
+
+    same = "\n".join(["x y z"] * 40)
+    out = remove_repeated_chunks(spark.createDataFrame([(1, same), (2, same)], "doc_id long, text string")).collect()
+    left = {r.doc_id: r.text for r in out}
+    assert left[1].startswith("x y z\nx y z") and left[2] == ""
+    # All hashes of units are equal: bytes decide.
+    monkeypatch.setattr(linededup.F, "xxhash64", lambda *c: F.lit(7).cast("bigint"))
+    rows = [(i, f"own {i}\nalpha {i % 3}\nbeta {i % 3}\nown too {i}") for i in range(9)]
+    out = remove_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum("alpha" in r.text for r in out) == 3 and sum("beta" in r.text for r in out) == 3
+
+
 def test_report_and_empty_table(spark):
     df = spark.createDataFrame([(1, "a\nb\nc"), (2, None)], "doc_id long, text string")
     rows = remove_repeated_chunks(df, report=True).orderBy("doc_id").collect()
