@@ -13,13 +13,20 @@ one surrogate, derived from a secret key by SHA-256, of its own type and format:
 
 The same entity gets the same surrogate wherever and in whatever layout it occurs (a
 phone number with or without blanks, an address in capitals, a person with or without
-given name).  Different entities get different surrogates, and no surrogate is an entity
+given name; a name that a document uses again without a form of address, in possessives
+too).  Different entities get different surrogates, and no surrogate is an entity
 of the corpus: surrogates that clash are drawn again, in rounds over the distinct
 entities, until none does.  Phones are compared by the digits that are written.  Where
-a country's numbers of one length run out, surrogates get further digits at the end.
+a country's numbers of one length run out, surrogates get further digits at the end;
+secrets without any letter or digit to draw anew get further letters.
+
+Not found: persons never named with a form of address, initials before a name, postal
+addresses, IPv6 addresses, numbers of ten digits in another grouping than 3-3-4, secrets
+neither of a known prefix, nor of 32 hexadecimal digits, nor quoted after a key word.
 
 What is shuffled: the distinct entities, one row for each document and entity, and the
-texts of documents that hold one; texts without any pass through.
+texts of documents that hold one; texts without any pass through.  The patterns run over
+each text once, and what they find is written with the rows to the shared folder.
 
 Defined cases: null and empty texts stay.  Rows with equal id and text get equal
 results; null ids are ids like others.  An empty key is an error.  ``n_entities`` counts
@@ -41,6 +48,9 @@ _FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Señorita", "Sra", "Srta", "
 _NEUTRAL = ("Dr", "Prof")
 _ADDRESS = "|".join(sorted(_MALE + _FEMALE + _NEUTRAL, key=len, reverse=True))
 
+#: A name: apostrophes belong to it (O'Brien) unless they begin an ending (Smith's, he'll).
+_NAME = r"\p{Lu}\p{L}*+(?:['’](?!(?:ll|re|ve)(?!\p{L}))\p{L}{2,}+)*+"
+
 #: Patterns by type, in the order in which they are tried.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++)*+(?<=\.[A-Za-z]{2,24})",
@@ -51,8 +61,9 @@ PATTERNS = {
     "card": r"(?<!\d)(?:\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4}|\d{13,19})(?!\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?\d{3}[ .\-]?\d{3,4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)"
-    r"|(?<![\w+])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,5}(?!\d)",
-    "person": rf"(?<![\p{{L}}\p{{N}}])(?:{_ADDRESS})\.? \p{{Lu}}[\p{{L}}'’]++(?:[ \-]\p{{Lu}}[\p{{L}}'’]++){{0,2}}",
+    r"|(?<![\w+])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,5}(?!\d)"
+    r"|(?<![\w+])(?<!\d )\d{3} \d{3} \d{4}(?! ?\d)",
+    "person": rf"(?<![\p{{L}}\p{{N}}])(?:{_ADDRESS})\.? {_NAME}(?:[ \-]{_NAME}){{0,2}}",
 }
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Found in every text in which a pattern is; it is much faster, and looked for first.
@@ -60,6 +71,8 @@ _HINT = rf"[0-9@]|[=:]\s{{0,3}}[\"']|sk-|gh[pousr]_|AKIA|ASIA|(?<![\p{{L}}\p{{N}
 
 #: The calling code at the beginning of an international number: no code begins another.
 _COUNTRY = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+#: Rounds of drawing; a type whose format has no room for so many entities is an error.
+MAX_DRAWS = 64
 #: Draws of a phone number until it gets one more digit.
 _PHONE_DRAWS = 16
 
@@ -98,17 +111,24 @@ def _number(stream: Column, i: Column, below: int) -> Column:
     return (F.conv(F.substring(stream, i * 4 + 1, F.lit(4)), 16, 10).cast("int") % below).cast("int")
 
 
+#: Alphabets whose letters are redrawn: first letter, number of letters.
+_ALPHABETS = (("0", 10), ("a", 26), ("A", 26), ("а", 32), ("А", 32), ("α", 17), ("Α", 17))
+
+
 def _like(value: Column, stream: Column) -> Column:
-    """``value`` with digits and letters drawn anew, of the same kinds."""
+    """``value`` with digits and letters drawn anew, of the same kinds; characters outside
+    ``_ALPHABETS`` stay."""
     chars = F.filter(F.split(value, ""), lambda c: c != "")
-    drawn = F.transform(
-        chars,
-        lambda c, i: F.when(c.between("0", "9"), _number(stream, i, 10).cast("string"))
-        .when(c.between("a", "z"), F.char(_number(stream, i, 26) + 97))
-        .when(c.between("A", "Z"), F.char(_number(stream, i, 26) + 65))
-        .otherwise(c),
-    )
-    return F.array_join(drawn, "")
+
+    def redrawn(c: Column, i: Column) -> Column:
+        out = c
+        for first, n in _ALPHABETS:
+            drawn = F.substring(F.lit("".join(chr(ord(first) + k) for k in range(n))), _number(stream, i, n) + 1, F.lit(1))
+            # Greek capitals and small letters are cut before the final sigma.
+            out = F.when(c.between(first, chr(ord(first) + n - 1)), drawn).otherwise(out)
+        return out
+
+    return F.array_join(F.transform(chars, redrawn), "")
 
 
 def _filled(layout: Column, core: Column, kind: str) -> Column:
@@ -185,8 +205,10 @@ def _drawn(key: str) -> Column:
     )
     card = F.concat(body, F.get(checks, F.lit(0)).cast("string"))
     hexed = F.substring(stream, F.lit(1), F.length(norm))
-    secret = F.when(norm.rlike("^[0-9a-f]+$"), hexed).otherwise(
-        F.concat(F.regexp_extract(norm, r"^(?:AKIA|ASIA|gh[pousr]_|sk-)?", 0), _like(F.regexp_replace(norm, r"^(?:AKIA|ASIA|gh[pousr]_|sk-)", ""), stream))
+    # A secret that cannot be drawn otherwise (****** has no letter) gets further letters.
+    grown = F.substring(F.translate(stream, "0123456789", "ghijklmnop"), F.lit(3), F.floor((attempt + 1) / 2).cast("int"))
+    secret = F.when(norm.rlike("^(?=.*[a-f])(?=.*[0-9])[0-9a-f]+$"), F.concat(hexed, F.when(attempt > 8, grown).otherwise(""))).otherwise(
+        F.concat(F.regexp_extract(norm, r"^(?:AKIA|ASIA|gh[pousr]_|sk-)?", 0), _like(F.regexp_replace(norm, r"^(?:AKIA|ASIA|gh[pousr]_|sk-)", ""), stream), grown)
     )
     iban = F.concat(F.substring(norm, F.lit(1), F.lit(2)), _like(F.substring(norm, F.lit(3), F.length(norm)), stream))
     country = F.regexp_extract(norm, _COUNTRY, 0)
@@ -227,9 +249,10 @@ def _written(core: Column) -> Column:
 
 def draw_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """``(kind, norm, core)`` for distinct entities (kind, norm, gender, script): cores
-    differ from one another and from every norm of their kind."""
+    differ from one another and from every norm of their kind.  After ``MAX_DRAWS`` rounds
+    that is an error."""
     state = stored(entities.withColumn("attempt", F.lit(0)), "entities")
-    while True:
+    for _ in range(MAX_DRAWS):
         drawn = state.withColumn("core", _drawn(key)).withColumn("written", _written(F.col("core")))
         drawn = stored(drawn, "surrogates")
         best = drawn.groupBy("kind", "written").agg(F.min(F.struct("attempt", "norm")).alias("best"), F.count("*").alias("n"))
@@ -246,6 +269,8 @@ def draw_surrogates(entities: DataFrame, key: str) -> DataFrame:
             .drop("clash"),
             "entities",
         )
+    kinds = [r[0] for r in lost.select("kind").distinct().orderBy("kind").limit(len(PATTERNS)).collect()]
+    raise ValueError(f"no distinct surrogates after {MAX_DRAWS} draws for entities of type {', '.join(kinds)}")
 
 
 def _replaced(value: Column, kind: Column, cores: Column) -> Column:
@@ -292,22 +317,45 @@ def found_values(text: Column) -> Column:
 KEYS = ("null_id", "id", "text_hash")
 
 
+def _with_bare_names(piece: Column, names: Column) -> Column:
+    """A stretch of text with the names that a document names with a form of address
+    elsewhere; ``names`` maps them, in small letters, to their surrogates."""
+    pattern = rf"(?<![\p{{L}}\p{{N}}]){_NAME}"
+    found = F.regexp_extract_all(piece, F.lit(pattern), F.lit(0))
+    gaps = F.split(piece, pattern, -1)
+
+    def written(name: Column, i: Column) -> Column:
+        core = F.try_element_at(names, F.lower(name))
+        shouted = (F.length(name) > 1) & (name == F.upper(name))
+        new = F.coalesce(F.when(shouted, F.upper(core)).otherwise(F.initcap(core)), name)
+        return F.concat(F.get(gaps, i), new)
+
+    return F.concat(F.array_join(F.transform(found, written), ""), F.element_at(gaps, -1))
+
+
 def replace_pii(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with surrogates in ``text``, and ``n_entities``, the values replaced."""
+    """``docs`` with surrogates in ``text``, and ``n_entities``, the values replaced (bare
+    names that follow from them are not counted)."""
     if not key:
         raise ValueError("surrogates need a secret key")
     columns = [c for c in docs.columns if c.lower() != "n_entities"]
     rows = docs.select(packed(docs), column(text).alias("text"))
-    holds = F.coalesce(F.col("text").rlike(_HINT) & F.col("text").rlike(_ANY), F.lit(False))
-    keyed = rows.filter(holds).select(
-        "row",
-        F.col("row").getField(doc_id).isNull().alias("null_id"),
-        F.coalesce(F.col("row").getField(doc_id), F.lit(0)).cast("bigint").alias("id"),
-        F.xxhash64("text").alias("text_hash"),
+    values_of = F.when(F.col("text").rlike(_HINT), found_values(F.col("text")))
+    # The one pass of the patterns over the texts; all below reads what it found.
+    searched = stored(
+        rows.select(
+            "row",
+            F.col("row").getField(doc_id).isNull().alias("null_id"),
+            F.coalesce(F.col("row").getField(doc_id), F.lit(0)).cast("bigint").alias("id"),
+            F.xxhash64("text").alias("text_hash"),
+            F.coalesce(values_of, F.array().cast("array<string>")).alias("found"),
+        ).withColumn("n", F.size("found").cast("bigint")),
+        "searched",
     )
+    keyed = searched.filter("n > 0")
     whole = F.col("row").getField(text)
-    occurring = keyed.select(*KEYS, F.explode_outer(F.array_distinct(found_values(whole))).alias("value"))
-    occurring = stored(occurring.filter("value is not null").distinct(), "found")
+    occurring = keyed.select(*KEYS, F.explode("found").alias("value"))
+    occurring = stored(occurring.distinct(), "found")
 
     values = occurring.select("value").distinct().withColumn("kind", _type_of(F.col("value")))
     values = values.withColumn("parts", _parts(F.col("value"), F.col("kind")))
@@ -323,20 +371,33 @@ def replace_pii(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "
         .select("value", "type", "at", "part.kind", "part.norm")
         .join(cores, ["kind", "norm"])
         .groupBy("value", "type")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "core"))).alias("cores"))
-        .select("value", _replaced(F.col("value"), F.col("type"), F.col("cores.core")).alias("surrogate"))
+        .agg(F.array_sort(F.collect_list(F.struct("at", "core", "norm"))).alias("cores"))
+        .select(
+            "value",
+            _replaced(F.col("value"), F.col("type"), F.col("cores.core")).alias("surrogate"),
+            F.when(
+                F.col("type") == "person", F.transform("cores", lambda c: F.struct(c["norm"].alias("name"), c["core"].alias("core")))
+            ).alias("names"),
+        )
     )
     by_row = occurring.join(replaced, "value").groupBy(*KEYS).agg(
-        F.map_from_entries(F.collect_list(F.struct("value", "surrogate"))).alias("surrogates")
+        F.map_from_entries(F.collect_list(F.struct("value", "surrogate"))).alias("surrogates"),
+        F.map_from_entries(F.array_distinct(F.flatten(F.collect_list("names")))).alias("names"),
+    )
+    parts = keyed.join(by_row, list(KEYS)).withColumn("between", F.split(whole, _ANY, -1))
+    # Later mentions of a name, in documents that hold one with a form of address.
+    parts = parts.withColumn(
+        "between",
+        F.when(F.size("names") == 0, F.col("between")).otherwise(
+            F.transform("between", lambda p: _with_bare_names(p, F.col("names")))
+        ),
     )
-    joined = keyed.join(by_row, list(KEYS))
-    parts = joined.withColumn("between", F.split(whole, _ANY, -1)).withColumn("found", found_values(whole))
     changed = F.concat(
         F.array_join(
             F.transform("found", lambda v, i: F.concat(F.get("between", i), F.element_at("surrogates", v))), ""
         ),
         F.element_at("between", -1),
     )
-    done = parts.select(*unpacked(columns, **{text: changed}), F.size("found").cast("bigint").alias("n_entities"))
-    plain = rows.filter(~holds).select(*unpacked(columns), F.lit(0).cast("bigint").alias("n_entities"))
+    done = parts.select(*unpacked(columns, **{text: changed}), F.col("n").alias("n_entities"))
+    plain = searched.filter("n = 0").select(*unpacked(columns), F.col("n").alias("n_entities"))
     return done.unionByName(plain)

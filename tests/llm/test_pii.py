@@ -68,6 +68,36 @@ def test_persons_by_gender_script_and_coreference(spark):
     assert c == f"Mr. {anna}"
 
 
+def test_secrets_without_anything_to_draw_anew(spark):
+    hidden = ["******", "пароль", "ΚΩΔΙΚΟΣ", "κωδικοι", "密码密码密码", "aaaaaa", "......", "111111", "a" * 6 + "1" * 40]
+    out = run(spark, [f"password = \"{h}\"" for h in hidden])
+    new = [re.fullmatch(r"password = \"([^\"]+)\"", t)[1] for t in out]
+    assert len(set(new)) == len(new) and not set(new) & set(hidden)
+    assert re.fullmatch(r"[а-я]{6}\w?", new[1]) and re.fullmatch(r"[Α-Ω]{7}\w?", new[2]) and re.fullmatch(r"\d{6}", new[7])
+
+
+def test_a_format_without_room_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr("loanframe.llm.pii.MAX_DRAWS", 3)
+    df = spark.createDataFrame([("ssn", str(i), "", "") for i in range(10)], "kind string, norm string, gender string, script string")
+    with pytest.raises(ValueError, match="ssn"):
+        draw_surrogates(df, "k")
+
+
+def test_possessives_bare_names_and_spaced_phones(spark):
+    texts = [
+        "Mr. John Smith came. Later Smith said: Smith's car, JOHN, not Smithson; smith",
+        "Mr. Smith's car and Ms. O'Brien, O'Brien’s hat; Mr. Smith'll go",
+        "Smith and John here are other people; call 743 555 3824, not 1 743 555 3824 5",
+    ]
+    a, b, c = run(spark, texts)
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) came\. Later (\w+) said: (\w+)'s car, ([A-Z]+), not Smithson; smith", a)
+    john, smith = m[1], m[2]
+    assert m[3] == m[4] == smith != "Smith" and m[5] == john.upper() != "JOHN"
+    m = re.fullmatch(r"Mr\. (\w+)'s car and Ms\. (\w+), (\w+)’s hat; Mr\. (\w+)'ll go", b)
+    assert m[1] == m[4] == smith and m[2] == m[3] != "O'Brien"
+    assert re.fullmatch(r"Smith and John here are other people; call \d{3} \d{3} \d{4}, not 1 743 555 3824 5", c) and "call 743" not in c
+
+
 def test_clashes_are_drawn_again(spark):
     # Six hundred names of one script and gender leave much fewer first draws.
     names = [("name", f"{a}{b}{c}", "n", "latin") for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyz1234"]
