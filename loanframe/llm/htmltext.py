@@ -5,8 +5,12 @@ of it is link text, its share of stop words, whether it lies in a part that is n
 article text (menus, page headers, footers, sidebars, notices, adverts, forms, reader
 comments, by element, role, class or id) and whether it lies in the page's article.
 
-First pass: blocks in such parts, list items and cells that are mostly links, and, where
-the page marks an article, blocks outside it are bad; long blocks with enough stop words
+A word in a class or id alone does not overrule what the page is about: it counts for an
+``article`` and for single paragraphs only if all words say so, and for no part that holds
+most of the page's text.
+
+First pass: blocks in such parts, list items and cells that are mostly links outside a
+marked article, and, where the page marks an article, blocks outside it are bad; long blocks with enough stop words
 are good; long blocks of mostly links or almost without stop words are bad unless the
 page marks them as its article; all others are ambiguous.  Second pass: an ambiguous block takes the
 label of the nearest decided block on either side.  Where the two sides disagree, the
@@ -24,7 +28,8 @@ enough to be good, paragraphs and headings outside the parts named above are.
 
 Defined cases: null, empty and letterless pages give an empty text when nothing in them
 is an article; unclosed tags, comments and quotes are read to the end of the page;
-unclosed containers of menus and the like end at the next container; repeated rows are
+unclosed containers of menus and the like end at the next container; raw elements that
+close themselves (``<svg/>``) end at once; pages of any depth take linear time; repeated rows are
 read each.  Existing columns of the outputs' names are replaced; others pass through.
 """
 
@@ -49,6 +54,8 @@ LINKS = 0.5
 STOP_GOOD, STOP_BAD = 0.2, 0.05
 #: Share of a page's text that a marked article must hold to be taken as such.
 ARTICLE_SHARE = 0.25
+#: A part that holds more than this share of the text is not dropped for a word in its class.
+MOST = 0.5
 
 # Frequent function words of some languages.
 STOP_WORDS = frozenset(
@@ -94,11 +101,11 @@ _ADVERTS = frozenset("ad ads adv advert adverts advertisement advertising sponso
 _INLINE = frozenset("span a ins i em small".split())
 _OF_ARTICLE = frozenset("article post entry content story title headline".split())
 _PLAIN = frozenset("div section".split())
-_COMMENTS = frozenset("comment comments commentlist disqus respond replies related".split())
+_COMMENTS = frozenset("comment comments commentlist disqus respond replies".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{_RAW})(?=[\s>/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*+>|\Z)"
+    rf"|<(?P<raw>{_RAW})(?=[\s>/])(?:[^>\"'/]|\"[^\"]*\"|'[^']*'|/(?!>))*+(?:/>|>.*?(?:</(?P=raw)\s*+>|\Z))"
     r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<close2>/?)(?P<name2>[a-z][a-z0-9:-]*)(?P<rest2>[^>]*)(?:>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)",
@@ -110,11 +117,12 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 class Block:
-    __slots__ = ("text", "link_chars", "never", "article", "main", "content", "tag", "good", "words", "stops")
+    __slots__ = ("text", "link_chars", "never", "doubt", "article", "main", "content", "tag", "good", "words", "stops")
 
-    def __init__(self, text, link_chars, never, article, main, content, tag):
+    def __init__(self, text, link_chars, never, doubt, article, main, content, tag):
         self.text, self.link_chars, self.tag = text, link_chars, tag
-        self.never, self.article, self.main, self.content = never, article, main, content
+        self.never, self.doubt = never, doubt
+        self.article, self.main, self.content = article, main, content
         self.good: bool | None = None
         words = _WORD.findall(text.lower())
         self.words, self.stops = len(words), sum(w in STOP_WORDS for w in words)
@@ -131,44 +139,113 @@ def _attributes(rest: str) -> dict[str, str]:
 
 
 def _words(attributes: dict[str, str]) -> set[str]:
-    return {w.lower() for k in ("class", "id") for w in _CAMEL.split(attributes.get(k, ""))}
+    return {w.lower() for k in ("class", "id") for w in _CAMEL.split(attributes.get(k, "")) if w}
+
+
+#: What an element says about its text: article text or not told, no article text by a word
+#: in its class or id, no article text by what it is; the last also inside the main part.
+_FREE, _DOUBT, _NO, _SURE = range(4)
 
 
-def _no_article(name: str, attributes: dict[str, str], in_article: bool) -> tuple[bool, bool]:
-    """Whether an element is no article text, and whether it surely is none even around
-    the page's main part."""
+def _judged(name: str, attributes: dict[str, str], in_article: bool) -> int:
     if name in _NEVER or (name == "header" and not in_article):
-        return True, name != "header"
+        return _NO if name == "header" else _SURE
     if name in ("html", "body", "main"):
-        return False, False
+        return _FREE
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
-        return True, True
+        return _SURE
     if "none" in re.findall(r"display\s*:\s*(\w+)", attributes.get("style", "").lower()):
-        return True, True
+        return _SURE
     if attributes.get("role", "").lower() in _ROLES:
-        return True, True
+        return _SURE
     words = _words(attributes)
     if "header" in words and not in_article and name in _CONTAINERS and not words & _OF_ARTICLE:
-        return True, False
+        return _NO
     if name in _INLINE:
-        return bool(words & _ADVERTS), False
-    return bool(words & _WORDS), bool(words & _COMMENTS)
+        return _NO if words & _ADVERTS else _FREE
+    if words & _COMMENTS:
+        return _SURE
+    # Articles and single paragraphs may be about a word of the list.
+    if name == "article" or name not in _CONTAINERS:
+        return _DOUBT if words and words <= _WORDS or words & _ADVERTS - {"social"} and name != "article" else _FREE
+    return _DOUBT if words & _WORDS else _FREE
+
+
+class _Open:
+    """The open elements, with what a block needs to know of them at hand: nothing below
+    walks through the stack for a block or a tag."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int, int, bool]] = []  # name, judgement, number, has an end tag
+        self.places: dict[str, list[int]] = {}
+        self.count = [0, 0, 0, 0]
+        self.doubts: list[int] = []
+        self.around: dict[int, int | None] = {}  # the doubtful part that a doubtful part lies in
+        self.cleared = 0  # elements below this place are not judged _NO any more
+        self.made = 0
+
+    def push(self, name: str, judged: int, closed: bool) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        self.stack.append((name, judged, self.made, closed))
+        self.count[judged] += 1
+        if judged == _DOUBT:
+            self.around[self.made] = self.doubt()
+            self.doubts.append(self.made)
+        self.made += 1
+
+    def pop(self) -> None:
+        name, judged, number, _ = self.stack.pop()
+        self.places[name].pop()
+        if judged == _NO and len(self.stack) < self.cleared:
+            judged = _FREE
+        self.count[judged] -= 1
+        if judged == _DOUBT and self.doubts and self.doubts[-1] == number:
+            self.doubts.pop()
+        self.cleared = min(self.cleared, len(self.stack))
+
+    def close(self, name: str) -> None:
+        """Close the innermost element of that name, if there is one, and all in it."""
+        if self.places.get(name):
+            for _ in range(len(self.stack) - self.places[name][-1]):
+                self.pop()
+
+    def doubt(self) -> int | None:
+        """The innermost part that a word speaks against."""
+        return self.doubts[-1] if self.doubts else None
+
+    def has(self, name: str) -> bool:
+        return bool(self.places.get(name))
+
+    def begin_main(self) -> None:
+        """The page's main part begins: headers, and doubts, around it do not hold for it."""
+        self.count[_FREE] += self.count[_NO]
+        self.count[_NO] = 0
+        self.cleared = len(self.stack)
+        self.doubts = []
+
+    def drops(self) -> bool:
+        """Whether the innermost element is an unclosed part of no article text."""
+        name, judged, _, closed = self.stack[-1]
+        freed = judged == _NO and len(self.stack) <= self.cleared
+        return judged != _FREE and not freed and not closed
 
 
 def _closed(tokens: list[re.Match]) -> set[int]:
     """Offsets of the container tags that have an end tag of their own."""
-    closed, open_at = set(), []
+    closed, stack = set(), []
+    places: dict[str, list[int]] = {}
     for m in tokens:
         name = (m["name"] or m["name2"] or "").lower()
-        if name in _CONTAINERS:
-            if not (m["close"] or m["close2"]):
-                open_at.append((name, m.start()))
-            else:
-                for k in range(len(open_at) - 1, -1, -1):
-                    if open_at[k][0] == name:
-                        closed.add(open_at[k][1])
-                        del open_at[k:]
-                        break
+        if name not in _CONTAINERS:
+            continue
+        if not (m["close"] or m["close2"]):
+            places.setdefault(name, []).append(len(stack))
+            stack.append((name, m.start()))
+        elif places.get(name):
+            k = places[name][-1]
+            closed.add(stack[k][1])
+            while len(stack) > k:
+                places[stack.pop()[0]].pop()
     return closed
 
 
@@ -177,18 +254,18 @@ def blocks(page: str) -> list[Block]:
     tokens = list(_TOKEN.finditer(page))
     closed = _closed(tokens)
     found: list[Block] = []
-    open_at: list[list] = []  # name, never, surely, whether it has an end tag
+    stack = _Open()
     parts: list[str] = []
     links: list[str] = []
-    in_link, inline_never, tag = 0, 0, ""
+    in_link, tag = 0, ""
 
     def end() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             linked = len(" ".join(html.unescape("".join(links)).split()))
-            names = {x[0] for x in open_at}
-            never = any(x[1] for x in open_at)
-            found.append(Block(text, linked, never, "article" in names, "main" in names, "content" in names, tag))
+            never = bool(stack.count[_NO] or stack.count[_SURE])
+            kinds = (stack.has(k) for k in ("article", "main", "content"))
+            found.append(Block(text, linked, never, stack.doubt(), *kinds, tag))
         parts.clear()
         links.clear()
 
@@ -219,50 +296,64 @@ def blocks(page: str) -> list[Block]:
             if skip:
                 if name == skip[-1]:
                     skip.pop() if closing else skip.append(name)
-            elif name in _INLINE and not closing and _no_article(name, _attributes(m["rest"] or m["rest2"] or ""), True)[0]:
+            elif name in _INLINE and not closing and _judged(name, _attributes(m["rest"] or m["rest2"] or ""), True):
                 skip.append(name)
             continue
         end()
         skip.clear()
         in_link = 0
         tag = "" if closing else name
+        inside = stack.has("article") or stack.has("main")
         if name not in _CONTAINERS:
             if not closing and name in _NEVER:
-                open_at.append([name, True, True, False])
+                stack.push(name, _SURE, False)
             elif not closing and (rest := m["rest"] or m["rest2"]):
-                inside = any(x[0] in ("article", "main") for x in open_at)
-                no, sure = _no_article(name, _attributes(rest), inside)
-                if no:
-                    open_at.append([name, True, sure, False])
+                judged = _judged(name, _attributes(rest), inside)
+                if judged:
+                    stack.push(name, judged, False)
                     continue
             if closing or name not in _NEVER:
-                while open_at and open_at[-1][0] not in _KEPT_OPEN:
-                    open_at.pop()
+                while stack.stack and stack.stack[-1][0] not in _KEPT_OPEN:
+                    stack.pop()
             continue
-        while open_at and (open_at[-1][0] not in _KEPT_OPEN or (open_at[-1][1] and not open_at[-1][3])):
-            open_at.pop()  # an unclosed menu or the like ends here
+        while stack.stack and (stack.stack[-1][0] not in _KEPT_OPEN or stack.drops()):
+            stack.pop()  # an unclosed menu or the like ends here
         if closing:
-            for k in range(len(open_at) - 1, -1, -1):
-                if open_at[k][0] == name:
-                    del open_at[k:]
-                    break
+            stack.close(name)
             continue
-        inside = any(x[0] in ("article", "main") for x in open_at)
         attributes = _attributes(m["rest"] or m["rest2"] or "")
-        no, sure = _no_article(name, attributes, inside)
+        judged = _judged(name, attributes, inside)
         kind = "main" if attributes.get("role", "").lower() == "main" else name
         if kind == "main":
-            for x in open_at:
-                x[1] = x[1] and x[2]
-        open_at.append([name, no, sure, m.start() in closed])
+            stack.begin_main()
+        stack.push(name, judged, m.start() in closed)
         if kind == "main" and name != "main":
-            open_at.append(["main", False, False, True])
+            stack.push("main", _FREE, True)
         elif name in _PLAIN and _words(attributes) & _OF_ARTICLE:
-            open_at.append(["content", False, False, True])
+            stack.push("content", _FREE, True)
     end()
+    _settle_doubts(found, stack.around)
     return found
 
 
+def _settle_doubts(found: list[Block], around: dict[int, int | None]) -> None:
+    """Parts that a word in their class speaks against are no article text, unless they
+    hold most of what is left of the page.  A part within a part holds no more than that,
+    so a block's innermost one decides."""
+    sizes = dict.fromkeys(around, 0)
+    total = 0
+    for b in found:
+        if not b.never:
+            total += len(b.text)
+            if b.doubt is not None:
+                sizes[b.doubt] += len(b.text)
+    for k in sorted(around, reverse=True):
+        if around[k] is not None:
+            sizes[around[k]] += sizes[k]
+    for b in found:
+        b.never = b.never or (b.doubt is not None and sizes[b.doubt] <= MOST * total)
+
+
 def _marked(found: list[Block]) -> list[bool] | None:
     """Which blocks the page marks as its article, if it does."""
     usable = [not b.never for b in found]
@@ -288,7 +379,8 @@ def classify(found: list[Block]) -> None:
     for k, b in enumerate(found):
         linked = b.link_chars > LINKS * len(b.text)
         long, stop = len(b.text) >= LONG, b.stop_share() if told else 1.0
-        if b.never or (linked and b.tag in _LISTED):
+        in_article = marked is not None and marked[k]
+        if b.never or (linked and b.tag in _LISTED and not in_article):
             b.good = False
         elif marked is not None:
             b.good = False if not marked[k] else True if long and stop >= STOP_GOOD and not linked else None

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -67,6 +68,43 @@ def test_inline_adverts_go_and_links_stay():
     assert main_text(page(body + "<em hidden>x</em>four.</p></article>")) == "One two three four."
 
 
+def test_raw_elements_that_close_themselves():
+    body = f"<article><p>{LONG}</p><svg class=\"i\"/><p>Yes.</p><iframe src='/a/b' /><p>{MORE}</p><svg><text>no</text></svg></article>"
+    assert main_text(page(body)).split("\n") == [LONG, "Yes.", MORE]
+
+
+@pytest.mark.parametrize(
+    "opening",
+    [
+        "<article class='post category-legal tag-search'>",
+        "<div class='post-content has-share'>",
+        "<div id=related-work-section>",
+        "<main class=search-page><article class='type-form'>",
+        "<div class=layout-with-sidebar><section class='banner-large'>",
+    ],
+)
+def test_a_word_does_not_overrule_what_holds_the_text(opening):
+    body = f"<nav>{MORE}</nav>{opening}<h1>Head</h1><p>{LONG}</p><p class=legal-case>Yes.</p><p>{LONG}</p>"
+    after = f"</section></article></main></div><div class=promo-box>{MORE}</div><article class=teaser><p>{MORE}</p></article>"
+    got = main_text(page(body + after)).split("\n")
+    assert got == ["Head", LONG, "Yes.", LONG]
+    assert MORE not in main_text(page(body + f"<p class=copyright>{MORE}</p>" + after)) or "div" in opening
+
+
+def test_lists_of_links_in_an_article_stay():
+    items = "<ul><li><a href=/1>The first of the links</a></li><li>A plain one</li><li><a href=/2>The second</a></li></ul>"
+    body = f"<ul><li><a href=/>Home</a></li></ul><article><p>{LONG}</p>{items}<p>{MORE}</p></article>{items}"
+    assert main_text(page(body)).split("\n") == [LONG, "The first of the links", "A plain one", "The second", MORE]
+
+
+@pytest.mark.parametrize("tags", ["<div>", "<div class=menu>", "<div></section>", "<main><header>", "<article><p>x", "<div>x</div><div>", "<p class=ad>x<div>"])
+def test_deep_pages_take_linear_time(tags):
+    start = time.process_time()
+    main_text(tags * 100_000)
+    main_text("<div class=menu>x" * 20_000 + "</div>" * 20_000)
+    assert time.process_time() - start < 20
+
+
 @pytest.mark.parametrize("text", [None, "", " ", "<", "<p", "<!--", "<script>x", "<a href='x", "</article>", "<p><p><p>"])
 def test_odd_pages(text):
     assert isinstance(main_text(text), str)
