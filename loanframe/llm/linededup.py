@@ -147,10 +147,10 @@ def repeated_lines(keyed: DataFrame) -> DataFrame:
     lines = keyed.select(*KEYS, F.posexplode_outer(_pieces(F.col("text"))).alias("at", "piece"))
     lines = lines.filter("piece is not null").withColumn("line", _line(F.col("piece")))
     lines = stored(lines.select(*KEYS, "at", _line_hash(F.col("line")).alias("hash"), _is_long(F.col("line")).alias("long")), "lines")
-    # Rows of one document hold their lines at equal places.
-    place = F.struct(*KEYS, "at")
-    again = lines.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    again = again.filter("first != last").select("hash")
+    # Rows of one document hold their lines at equal places, which count once.
+    place = F.xxhash64(*KEYS, "at")
+    again = lines.groupBy("hash").agg(F.min(place).alias("least"), F.max(place).alias("most"))
+    again = again.filter("least != most").select("hash")
     marks = F.array_sort(F.collect_set(F.struct("at", "hash", "long")))  # lines of one document
     return lines.join(again, "hash", "left_semi").groupBy(*KEYS).agg(marks.alias("marks"))
 
@@ -159,12 +159,15 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """``(null_id, id, text_hash, removed)``: the chunks to remove from a document, which
     occur earlier byte by byte."""
     keyed = _keyed(docs, doc_id, text, column(text).alias("text"))
-    place = F.struct(*KEYS, "span")
+    place, numbered = F.struct(*KEYS, "span"), F.xxhash64(*KEYS, "span")
     units = with_units(repeated_lines(keyed)).select(*KEYS, F.explode_outer("units").alias("unit"))
     seen = stored(units.filter("unit is not null").select(*KEYS, "unit.*"), "chunks")
     first = (
-        seen.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last")
-    ).drop("last")
+        seen.groupBy("hash")
+        .agg(F.min(place).alias("first"), F.min(numbered).alias("least"), F.max(numbered).alias("most"))
+        .filter("least != most")
+        .select("hash", "first")
+    )
     here = F.struct(*KEYS)
     overlaps = (here == F.struct(*[F.col("first")[k].alias(k) for k in KEYS])) & (
         _start(F.col("span")) < _start(F.col("first.span")) + _size(F.col("first.span"))
