@@ -11,9 +11,11 @@ so exactly the occurrences within the budget are reported.
 The items are a query set read in blocks of at most ``BLOCK_CHARS`` characters (or one
 item), each block broadcast and matched against all rows; there is no shuffle.
 
-Defined cases: items that are null or shorter than ``min_chars`` compared characters
-match nothing (a few words are no evidence of a leak); items that occur twice in the
-table are reported twice.  A null or empty text has no matches.  Repeated rows are
+Items of fewer than ``min_chars`` compared characters, in which one edit can make another
+word, have no budget: they match where they occur exactly and as whole words.
+
+Defined cases: items that are null or hold no letter or digit match nothing; items that
+occur twice in the table are reported twice.  A null or empty text has no matches.  Repeated rows are
 matched each.  The column ``matches`` replaces one of that name; others pass through.
 """
 
@@ -34,7 +36,7 @@ from .common import column, ship_package, unused, with_fields
 
 #: Edits allowed per compared character of an item.
 ERROR_RATE = 0.08
-#: Compared characters an item needs.
+#: Compared characters from which an item may occur with edits.
 MIN_CHARS = 25
 #: Item characters matched in one pass.
 BLOCK_CHARS = 1_000_000
@@ -74,8 +76,8 @@ def positions(text: str) -> list[int]:
 class Item:
     """One test item, ready to be searched."""
 
-    def __init__(self, item_id: int | None, form: str, budget: int):
-        self.item_id, self.form, self.budget = item_id, form, budget
+    def __init__(self, item_id: int | None, form: str, budget: int, whole_words: bool = False):
+        self.item_id, self.form, self.budget, self.whole_words = item_id, form, budget, whole_words
         self.masks = self._masks(form)
         self.backwards = self._masks(form[::-1])
 
@@ -144,8 +146,9 @@ class Matcher:
         self.items, where = [], {}
         for item_id, text in items:
             form = compared(text or "")
-            if len(form) >= max(1, min_chars):
-                item = Item(item_id, form, math.floor(len(form) * error_rate))
+            if form:
+                short = len(form) < min_chars
+                item = Item(item_id, form, 0 if short else math.floor(len(form) * error_rate), short)
                 for piece, offset in item.pieces():
                     where.setdefault(piece, []).append((len(self.items), offset))
                 self.items.append(item)
@@ -171,7 +174,11 @@ class Matcher:
             for first, last in _runs(begins):
                 start = max(0, first * wide - item.budget)
                 end = (last + 1) * wide + len(item.form) + item.budget
-                found += [(i, *x) for x in item.occurrences(form, start, end)]
+                found += [
+                    (i, d, s, e)
+                    for d, s, e in item.occurrences(form, start, end)
+                    if not item.whole_words or (form[s - 1 : s] in ("", " ") and form[e : e + 1] in ("", " "))
+                ]
         if not found:
             return []
         at = positions(text)
