@@ -40,7 +40,7 @@ from .bpe import _in_pieces, _placed
 from .common import column, ship_package, with_fields
 
 #: Labelled documents that the weights are fitted on, and lines of each at most.
-SAMPLE, SAMPLE_LINES = 4000, 400
+SAMPLE, SAMPLE_LINES = 4000, 100
 #: Score from which a document counts as good.
 GOOD = 0.7
 ROUNDS, STEP, RIDGE = 300, 0.05, 1e-3
@@ -249,9 +249,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text
     known = labels.select(column("doc_id").alias("id"), (column(label) == 1).cast("int").alias("label")).filter(
         "id is not null and label is not null"
     )
-    share = max(1, math.ceil(known.count() / SAMPLE))
-    # SAMPLE rows of two numbers at most: small enough to send to every task.
-    asked = known.filter(F.pmod(F.xxhash64("id"), F.lit(share)) == 0).limit(SAMPLE)
+    # The least hashes, whatever the order of tasks.  SAMPLE rows of two numbers at most:
+    # small enough to send to every task.
+    asked = known.orderBy(F.xxhash64("id"), "id", "label").limit(SAMPLE)
     rows = docs.select(column(doc_id).alias("id"), column(text).alias("text")).join(F.broadcast(asked), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +262,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text
             columns = [pa.array([k[0] for k in kept], pa.binary()), pa.array([k[1] for k in kept], pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, ["features", "label"])
 
-    made = rows.select("text", "label").mapInArrow(run, "features binary, label int").limit(SAMPLE).collect()
+    made = rows.select("text", "label").mapInArrow(run, "features binary, label int")
+    # Ids that occur in several rows may give more; the bound holds all the same.
+    made = made.orderBy(F.xxhash64("features", "label"), "label").limit(SAMPLE).collect()
     sample = [(np.frombuffer(bytes(r["features"]), np.float32).reshape(-1, FEATURES).astype(float), r["label"]) for r in made]
     sample.sort(key=lambda s: (len(s[0]), s[1], s[0].tobytes()))  # the same sums in any order of arrival
     return fit_line_field(sample)

@@ -116,3 +116,14 @@ def test_query_on_held_out_documents(spark, sf):
     rows = out.filter("held_out").join(labels, "doc_id").collect()
     assert np.mean([r.predicted == r.quality for r in rows]) > 0.93
     assert out.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+
+
+def test_weights_do_not_depend_on_partitions(spark, monkeypatch):
+    from loanframe.llm import quality
+
+    monkeypatch.setattr(quality, "SAMPLE", 15)
+    docs = _docs(40, 6)
+    df = spark.createDataFrame([(i, t) for i, t, _ in docs], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in docs], "doc_id long, quality int")
+    a, b = (quality.fit_quality(df.repartition(n), labels.repartition(n)) for n in (1, 7))
+    assert (a.lean == b.lean).all()
