@@ -5,18 +5,18 @@ its word shingles have it set.  Two documents are linked when their fingerprints
 differ in at most two bits.
 
 The links are found without comparing all pairs.  A fingerprint is mapped to the bit
-counts of its sixteen 4-bit segments.  The Manhattan distance of two such points is
-never more than the number of differing bits, so linked fingerprints lie at most two
-apart, and two points that far apart share a grid point at distance one or less from
-both.  Every distinct fingerprint is therefore put in the cell of its own point and of
-the neighbouring grid points, and fingerprints that share a cell are verified exactly:
-
-- a cell with two fingerprints gives one pair, whose differing bits are counted;
-- members of fuller cells (near copies in bulk) are not paired.  Each is put, again,
-  under itself and its 64 one-bit neighbours as 64-bit words.  All that meet under one
-  word differ in at most two bits, at most 65 can meet there, and every two that
-  differ in at most two bits do meet; each is linked with the least of them.  This
-  keeps every component and costs 65 rows a member, however full the cell.
+counts of its 32 two-bit segments.  The Manhattan distance of two such points is never
+more than the number of differing bits, so linked fingerprints lie at most two apart,
+and two points that far apart share a grid point at distance one or less from both.
+Every distinct fingerprint is therefore put in the cell of its own point and of the
+neighbouring grid points (49 on average, 65 at most), and all that share a cell are
+compared bit by bit.  A cell is so narrow that two random fingerprints meet with a
+chance of about 1e-11, so what meets are nearly always near copies, at all sizes.
+
+The rows of the cells are shuffled and sorted by cell and compared as they stream by.  A
+cell of more than ``CELL`` rows is passed on instead and compared in pairs of blocks,
+each a task group of its own, so no cell is held by one task.  Only links that connect
+something new leave a comparison, never all pairs of a cell.
 
 Defined cases: a null text or one without words has fingerprint zero, linked like any
 other; fewer words than the shingle length give one shingle of all words.  Repeated
@@ -45,7 +45,9 @@ SHINGLE = 3
 MAX_BITS = 2
 #: Hashes counted at a time.
 BLOCK = 1 << 18
-_SEGMENT, _DIGIT = 4, 3  # bits of a segment; bits that hold its count
+#: Rows of a cell that are compared by one task.
+CELL = 2048
+_SEGMENT = 2  # bits of a segment, and those that hold its count
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -80,27 +82,22 @@ def with_fingerprints(df: DataFrame, text: str = "text", out: str = "fingerprint
 
 
 def _cells(fp: str = "fp"):
-    """The grid points at distance 0 or 1 of a fingerprint's point, packed in longs."""
-    one, segments = F.lit(1).cast("bigint"), F.sequence(F.lit(0), F.lit(64 // _SEGMENT - 1))
-    part = lambda k, width: F.call_function("shiftrightunsigned", k, width)
+    """The grid points at distance 0 or 1 of a fingerprint's point: two bits a segment
+    hold its bit count."""
+    odd = F.lit(0x5555555555555555).cast("bigint")
     at = lambda k, width: F.call_function("shiftleft", k, width)
-    point = F.aggregate(
-        segments,
-        F.lit(0).cast("bigint"),
-        lambda sum_, i: sum_
-        + at(
-            F.bit_count(part(F.col(fp), i * _SEGMENT).bitwiseAND(F.lit((1 << _SEGMENT) - 1))).cast("bigint"),
-            i * _DIGIT,
-        ),
-    )
+    half = F.call_function("shiftrightunsigned", F.col(fp), F.lit(1))
+    point = F.col(fp).bitwiseXOR(half).bitwiseAND(odd).bitwiseOR(at(F.col(fp).bitwiseAND(half).bitwiseAND(odd), F.lit(1)))
+    number = lambda k: F.lit(k).cast("bigint")
 
     def near(p):
-        count = lambda i: part(p, i * _DIGIT).bitwiseAND(F.lit((1 << _DIGIT) - 1))
+        # 0 <-> 1 changes the lower bit of a count, 1 <-> 2 both; no sum can overflow.
+        count = lambda i: F.call_function("shiftrightunsigned", p, i).bitwiseAND(number(3))
         return F.transform(
-            segments,
+            F.sequence(F.lit(0), F.lit(62), F.lit(_SEGMENT)),
             lambda i: F.array(
-                F.when(count(i) < _SEGMENT, p + at(one, i * _DIGIT)),
-                F.when(count(i) > 0, p - at(one, i * _DIGIT)),
+                F.when(count(i) <= 1, p.bitwiseXOR(at(number(1), i))),
+                F.when(count(i) >= 1, p.bitwiseXOR(at(number(3), i))),
             ),
         )
 
@@ -108,30 +105,129 @@ def _cells(fp: str = "fp"):
     return F.flatten(F.flatten(F.transform(F.array(point), lambda p: F.concat(F.array(F.array(p)), near(p)))))
 
 
-def _one_bit_off(fp: str = "fp"):
-    """A fingerprint and its 64 neighbours at one bit."""
-    bits = F.sequence(F.lit(0), F.lit(63))
-    flipped = F.transform(
-        bits, lambda i: F.col(fp).bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), i))
-    )
-    return F.concat(F.array(fp), flipped)
+def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs (a, b) that connect all that the pairs connect, without
+    circles: in rounds, every component takes its first pair to another one."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j = at[: len(a)], at[len(a) :]
+    label, live, kept = np.arange(len(nodes)), np.arange(len(a)), np.zeros(len(a), bool)
+    while True:
+        live = live[label[i[live]] != label[j[live]]]
+        if not len(live):
+            return a[kept], b[kept]
+        first = np.full(len(nodes), len(a))
+        np.minimum.at(first, label[i[live]], live)
+        np.minimum.at(first, label[j[live]], live)
+        used = np.unique(first[first < len(a)])
+        kept[used] = True
+        while True:
+            x, y = label[i[used]], label[j[used]]
+            if (x == y).all():
+                break
+            into = np.arange(len(nodes))
+            np.minimum.at(into, np.maximum(x, y), np.minimum(x, y))
+            label = into[label]
+
+
+class _Links:
+    """Verified pairs, thinned whenever they are many."""
+
+    def __init__(self):
+        self.a = self.b = np.zeros(0, np.int64)
+
+    def add(self, x: np.ndarray, y: np.ndarray) -> None:
+        near = np.bitwise_count((x ^ y).view(np.uint64)) <= MAX_BITS  # of signed numbers it counts the absolute value's
+        if near.any():
+            self.a, self.b = np.append(self.a, x[near]), np.append(self.b, y[near])
+            if len(self.a) > CELL * 64:
+                self.a, self.b = spanning(self.a, self.b)
+
+    def rows(self) -> pa.RecordBatch:
+        a, b = spanning(self.a, self.b)
+        none = pa.nulls(len(a), pa.int64())
+        return pa.RecordBatch.from_arrays([none, pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["cell", "a", "b"])
+
 
+def _full(cell: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+    """Rows of cells that are too full for one task."""
+    return pa.RecordBatch.from_arrays([pa.array(cell), pa.array(fp), pa.nulls(len(fp), pa.int64())], ["cell", "a", "b"])
 
-def near_fingerprints(fingerprints: DataFrame) -> DataFrame:
+
+def _compare_sorted(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
+    """Links within each cell of rows (cell, fp) sorted by cell; the rows of cells with
+    more than ``block`` rows as they are."""
+    cell, fp, full = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+
+    def done(cell: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+        _, start, size = np.unique(cell, return_index=True, return_counts=True)
+        many = np.repeat(size > block, size)
+        if many.any():
+            yield _full(cell[many], fp[many])
+            cell, fp = cell[~many], fp[~many]
+        links, one, step = _Links(), np.arange(len(cell)), 1
+        while len(one := one[one + step < len(cell)]):
+            one = one[cell[one] == cell[one + step]]
+            links.add(fp[one], fp[one + step])
+            step += 1
+        yield links.rows()
+
+    for batch in batches:
+        new_cell, new_fp = batch["cell"].to_numpy(), batch["fp"].to_numpy()
+        if full is not None:
+            same = new_cell == full
+            if same.any():
+                yield _full(new_cell[same], new_fp[same])
+            new_cell, new_fp = new_cell[~same], new_fp[~same]
+            if not len(new_cell):
+                continue
+            full = None
+        cell, fp = np.append(cell, new_cell), np.append(fp, new_fp)
+        if not len(cell):
+            continue
+        # Sorted as signed numbers, so the last cell's rows are all at the end.
+        open_at = int(np.searchsorted(cell, cell[-1]))
+        yield from done(cell[:open_at], fp[:open_at])
+        cell, fp = cell[open_at:], fp[open_at:]
+        if len(cell) > block:
+            yield _full(cell, fp)
+            full, cell, fp = cell[0], cell[:0], fp[:0]
+    yield from done(cell, fp)
+
+
+def _compare_blocks(rows: pa.Table) -> pa.Table:
+    """Links between two blocks of a cell, or within one."""
+    i, j, block, fp = (rows[c].to_numpy() for c in ("i", "j", "block", "fp"))
+    left, right, links = fp[block == i[0]], fp[block == j[0]], _Links()
+    for k in range(0, len(left), 64):
+        x = np.repeat(left[k : k + 64], len(right))
+        y = np.tile(right, len(left[k : k + 64]))
+        once = x < y if i[0] == j[0] else slice(None)
+        links.add(x[once], y[once])
+    return pa.Table.from_batches([links.rows()])
+
+
+def near_fingerprints(fingerprints: DataFrame, block: int = CELL) -> DataFrame:
     """Edges ``(a, b)`` between distinct fingerprints ``fp`` that differ in at most
     two bits; as many as connect all that such links connect."""
+    ship_package(fingerprints.sparkSession)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _compare_sorted(batches, block)
+
     cells = fingerprints.select("fp", F.explode(_cells()).alias("cell")).filter("cell is not null")
-    sizes = cells.groupBy("cell").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
-    pairs = sizes.filter((F.col("n") == 2) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS))
-    crowded = cells.join(sizes.filter("n > 2").select("cell"), "cell", "left_semi").select("fp").distinct()
-    met = (
-        crowded.select("fp", F.explode(_one_bit_off()).alias("word"))
-        .groupBy("word")
-        .agg(F.collect_list("fp").alias("fps"))  # 65 at most
-        .filter(F.size("fps") > 1)
+    schema = "cell long, a long, b long"
+    found = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(compare, schema)
+    found = stored(found, "cells")
+    full = found.filter("cell is not null").select("cell", F.col("a").alias("fp"))
+    sizes = full.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    here = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    others = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda k: F.struct(F.least(here, k).alias("i"), F.greatest(here, k).alias("j")),
     )
-    stars = met.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).filter("a != b")
-    return pairs.select("a", "b").union(stars)
+    met = full.join(sizes, "cell").select("cell", "fp", here.alias("block"), F.inline(others))
+    more = met.groupBy("cell", "i", "j").applyInArrow(_compare_blocks, schema)
+    return found.filter("cell is null").union(more).select("a", "b")
 
 
 def least_of_components(rows: DataFrame, value) -> DataFrame:

@@ -1,10 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 import xxhash
 
 from loanframe.llm.components import components
-from loanframe.llm.simhash import fingerprint, keep_one_of_each, near_fingerprints, simhash_groups
+from loanframe.llm.simhash import fingerprint, keep_one_of_each, near_fingerprints, simhash_groups, spanning
 
 
 def slow_fingerprint(text):
@@ -76,6 +77,33 @@ def test_links_equal_brute_force_with_full_cells(spark):
     assert {f: got.get(f, f) for f in fps} == want
 
 
+@pytest.mark.parametrize("block", [3, 40])
+def test_cells_compared_in_blocks_give_the_same_groups(spark, block):
+    r = random.Random(block)
+    center = r.getrandbits(64)
+    fps = {center ^ 1 << a ^ 1 << b for a in range(0, 64, 3) for b in range(a + 1)} | {r.getrandbits(64) for _ in range(40)}
+    fps = sorted(map(signed, fps))
+    edges = near_fingerprints(spark.createDataFrame([(f,) for f in fps], "fp long"), block)
+    assert all(bin((e.a ^ e.b) & (1 << 64) - 1).count("1") <= 2 for e in edges.collect())
+    got = {x.node: x.root for x in components(edges).collect()}
+    want = roots_of(fps, lambda a, b: bin((a ^ b) & (1 << 64) - 1).count("1") <= 2)
+    assert {f: got.get(f, f) for f in fps} == want
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_spanning_pairs_connect_all_without_circles(seed):
+    r = random.Random(seed)
+    pairs = [(r.randint(0, 80), r.randint(0, 80)) for _ in range(90)]
+    pairs = [(a, b) for a, b in pairs if a != b]
+    a, b = spanning(*np.array(pairs, np.int64).T)
+    kept = list(zip(a.tolist(), b.tolist()))
+    nodes = sorted({x for p in pairs for x in p})
+    linked = lambda ps: lambda x, y: (x, y) in ps or (y, x) in ps
+    want = roots_of(nodes, linked(set(pairs)))
+    assert roots_of(nodes, linked(set(kept))) == want and set(kept) <= set(pairs)
+    assert len(kept) == len(nodes) - len(set(want.values()))
+
+
 def test_rows_ids_and_nulls(spark):
     base = " ".join(f"word{i}" for i in range(400))
     rows = [
