@@ -1,34 +1,40 @@
 """N-gram language model with Katz backoff (operator 8).
 
 Tokens are the white-space separated words of a text in lower case (A-Z), then one end.
-A token is predicted from the one before it (a start symbol at the beginning).  The
-probability of a pair seen in training is its Good-Turing discounted relative
-frequency; else the model backs off to the token's own probability times the context's
-backoff weight, which makes the probabilities of all tokens after that context sum to
-exactly one; and from there, recursively, to the mass that the discounted single counts
-leave to unknown tokens (one class beside the known tokens).  Counts up to ``K`` are
-discounted by Good-Turing with Katz's renormalisation, or by half a count where the
-counts of counts do not allow it.  Contexts seen over ``SURE`` times, and those whose
-pairs all occur more than ``K`` times, count one more occurrence in the denominator, so
-that some mass is always left for what was not seen.
-
-How it runs.  Single tokens and pairs of the whole corpus are counted and looked up in
-partitions, and never gathered in one place:
+A token is predicted from the ``order`` - 1 tokens before it, among them a start symbol
+at the beginning (fewer where the text begins).  The probability of an n-gram seen in
+training is its Good-Turing discounted relative frequency; else the model backs off to
+the probability after the context without its first token, times the context's backoff
+weight, which makes the probabilities of all tokens after that context sum to exactly
+one; and so on, recursively, down to single tokens and the mass that their discounted
+counts leave to unknown tokens (one class beside the known tokens).  Counts up to ``K``
+are discounted by Good-Turing with Katz's renormalisation, for each order by itself, or
+by half a count where the counts of counts do not allow it.  Contexts seen over ``SURE``
+times, and those whose n-grams all occur more than ``K`` times, count one more
+occurrence in the denominator, so that some mass is always left for what was not seen.
+
+How it runs.  N-grams of the whole corpus are counted and looked up in partitions, and
+never gathered in one place:
 
 1. texts are cut into blocks of about ``BLOCK_TOKENS`` tokens, coded by the block's own
    word list (a long text spans several blocks);
-2. the word lists are shuffled by word: each partition adds up its words, numbers them
-   and answers every block with the numbers and training counts of its words;
-3. each block shuffles its pairs, grouped by document, by context.  Contexts that hold
-   a large share of all tokens are split over several partitions by the second word;
-4. a partition thus holds all that concerns a context: pair counts, the sums that its
-   backoff weight needs, and the documents asking.  It answers with sums per document,
-   in which the discounts, known only once the counts of counts of all partitions are
-   added up, are left open as small integer counts;
-5. the sums are shuffled back by block and completed.
-
-With ``tables`` the pair counts and unigram counts are also written there, partitioned
-like the shuffles.
+2. the word lists are shuffled by word: each bucket adds up its words, numbers them and
+   answers every block with the numbers and training counts of its words;
+3. then level by level, from pairs to ``order``: each block sends each of its distinct
+   n-grams once, with its number of occurrences, to the bucket of its context (the number
+   of the n-gram one shorter).  Contexts that hold a large share of all tokens are split
+   over several buckets by the last word.  A bucket adds up and numbers its n-grams, and
+   answers every block with their counts and with the sums that the backoff weights of
+   their contexts need; the level's discounts follow from the counts of counts of all
+   buckets;
+4. each block completes the probabilities of its tokens, level by level from the answers,
+   and adds them up by document.
+
+The number of buckets grows with the bytes of the texts, and what a bucket gets for an
+n-gram is one entry a block, however many documents hold it.
+
+With ``tables`` the model is also written there, partitioned by bucket: the counts of
+each order, the backoff weights of the contexts, and the discounts.
 
 Defined cases: a null text counts as empty and consists of the end only.  Repeated rows
 are read (and learned from) each; a null id is an id.  Without training tokens every
@@ -39,7 +45,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -54,6 +60,11 @@ from .common import column, partitions, ship_package, stored
 K, SURE = 5, 1000
 #: Tokens of a block, and bytes of a text that are split into words at a time.
 BLOCK_TOKENS, SEGMENT = 1_500_000, 4 << 20
+#: Default order of the model, and bytes of text for which there is a bucket.
+ORDER, BUCKET_BYTES = 3, 24 << 20
+#: Contexts are split where they hold more than a quarter of a bucket's share of tokens;
+#: beyond this many buckets that share stays the same, which bounds their number.
+SPLIT_BUCKETS = 1 << 15
 #: Symbols of the beginning and the end of a text, and what parts words in word lists;
 #: words hold no white space, so none of them can be a word.
 _START, _END, _PART = b"\t", b"\x0b", b"\n"
@@ -109,10 +120,10 @@ def discounts(n: Sequence[int]) -> np.ndarray:
 
 class Unigrams:
     """What every task knows of the single tokens: numbers of training tokens, distinct
-    tokens and texts, and of tokens with count 1 to ``K`` + 1."""
+    tokens, texts, and tokens with count 1 to ``K`` + 1; the start symbol's number."""
 
-    def __init__(self, tokens: int, types: int, texts: int, n: Sequence[int]):
-        self.tokens, self.types, self.texts = tokens, types, texts
+    def __init__(self, tokens: int, types: int, texts: int, n: Sequence[int], start: int = -1):
+        self.tokens, self.types, self.texts, self.start = tokens, types, texts, start
         self.factors = discounts(n)
         left = float((np.asarray(n[:K]) * np.arange(1, K + 1) * (1 - self.factors[1:])).sum())
         self.total = max(1, tokens + (left <= 0))
@@ -183,13 +194,15 @@ class _Block:
         self.rows: list[int] = []
         self.ids: list[int | None] = []
         self.held_out: list[bool] = []
+        self.lead: list[int] = []
 
-    def add(self, row: int, doc_id: int | None, held_out: bool, before: bytes, tokens: list[bytes]) -> None:
+    def add(self, row: int, doc_id: int | None, held_out: bool, before: list[bytes], tokens: list[bytes]) -> None:
         self.starts.append(len(self.stream))
         self.rows.append(row)
         self.ids.append(doc_id)
         self.held_out.append(held_out)
-        self.stream.append(before)
+        self.lead.append(len(before))
+        self.stream += before
         self.stream += tokens
 
     def coded(self, block: int, buckets: int) -> pa.RecordBatch:
@@ -203,9 +216,8 @@ class _Block:
         starts = np.array(self.starts)
         sizes = np.diff(np.append(starts, len(stream)))
         held_out = np.array(self.held_out, np.int64)
-        opening = np.array([self.stream[s] == _START for s in self.starts], np.int64)
-        counted = np.repeat(held_out == 0, sizes)
-        counted[starts] = False
+        lead = np.array(self.lead, np.int64)
+        counted = np.repeat(held_out == 0, sizes) & (_offsets(sizes) >= np.repeat(lead, sizes))
         counts = np.bincount(stream[counted], minlength=len(words))
         cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
         lists = [
@@ -219,14 +231,19 @@ class _Block:
         value = {
             "block": block,
             "lists": lists,
-            "stream": pack(stream, sizes, held_out, opening),
+            "stream": pack(stream, sizes, held_out, lead),
             "rows": self.rows,
             "ids": self.ids,
         }
         return pa.RecordBatch.from_pylist([value], _BLOCKS_ARROW)
 
 
-def _blocks(docs: DataFrame, buckets: int, block_tokens: int) -> DataFrame:
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, 2 ... in each of runs of these sizes."""
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def _blocks(docs: DataFrame, buckets: int, block_tokens: int, order: int) -> DataFrame:
     """Coded blocks of rows (row, doc_id, text, held_out).  ``row`` numbers the rows by
     partition, in its upper bits, and place; blocks are numbered alike."""
 
@@ -234,10 +251,10 @@ def _blocks(docs: DataFrame, buckets: int, block_tokens: int) -> DataFrame:
         block, done = _Block(), 0
         for batch in batches:
             for row, doc_id, text, held_out in zip(*(batch[c] for c in ("row", "doc_id", "text", "held_out"))):
-                before = _START
+                before = [_START]
                 for tokens in segments(text.as_py()):
                     block.add(row.as_py(), doc_id.as_py(), held_out.as_py(), before, tokens)
-                    before = tokens[-1]
+                    before = [*before, *tokens[-order + 1 :]][-order + 1 :]
                     if len(block.stream) >= block_tokens:
                         yield block.coded((block.rows[0] >> 33 << 33) + done, buckets)
                         block, done = _Block(), done + 1
@@ -282,30 +299,31 @@ def _answer_words(rows: pa.Table, buckets: int, tables: bool) -> pa.Table:
     end = coded.dictionary.index(_END).as_py()
     texts = int(total[end]) if end >= 0 else 0
     small = [int((total == r).sum()) for r in range(1, K + 2)]
-    own_sums = {"block": None, "bucket": bucket, "sums": [int(total.sum()), int((total > 0).sum()), texts, *small]}
+    start = coded.dictionary.index(_START).as_py()
+    start = int(start * buckets + bucket) if start >= 0 else -1
+    own_sums = {"block": None, "bucket": bucket, "sums": [int(total.sum()), int((total > 0).sum()), texts, *small, start]}
     if tables:
         own_sums |= {"words": zstandard.compress(_PART.join(coded.dictionary.to_pylist()), 3), "counts": pack(total)}
     return pa.Table.from_pylist([*out, own_sums], _ANSWERS_ARROW)
 
 
-# --- 3: pairs --------------------------------------------------------------------
+# --- 3: n-grams, level by level --------------------------------------------------
 
-#: Kinds of rows: what single tokens tell of a block's documents; pairs, and answers to
-#: them; sums over a bucket; pair counts.
-_TOLD, _PAIRS, _SUMS, _COUNTS = range(4)
-_ASKED = "kind int, bucket int, block long, value binary, rows array<long>, ids array<long>"
-_ASKED_ARROW = pa.schema(
+_ASKED = "bucket int, block long, value binary"
+_ASKED_ARROW = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("value", pa.binary())])
+#: Rows for a block have its answer; those without a block a bucket's sums: how many
+#: n-grams have count 1 to ``K`` + 1, its parts of split contexts, and the model's rows.
+_FOUND = "level int, bucket int, block long, answer binary, sums array<long>, split binary, grams binary, ids binary, contexts binary"
+_FOUND_ARROW = pa.schema(
     [
-        ("kind", pa.int32()),
+        ("level", pa.int32()),
         ("bucket", pa.int32()),
         ("block", pa.int64()),
-        ("value", pa.binary()),
-        ("rows", pa.list_(pa.int64())),
-        ("ids", pa.list_(pa.int64())),
+        ("answer", pa.binary()),
+        ("sums", pa.list_(pa.int64())),
+        *((name, pa.binary()) for name in ("split", "grams", "ids", "contexts")),
     ]
 )
-#: Parts of texts in a block have numbers below this.
-_DOCS = 1 << 22
 
 
 def _mix(a: np.ndarray) -> np.ndarray:
@@ -321,174 +339,248 @@ def _changes(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def _ask_pairs(block: pa.Table, answers: pa.Table, uni: Unigrams, buckets: int, hot: int) -> pa.Table:
-    """The pairs of one block, dealt by context, and what the single tokens tell of its
-    documents."""
-    answers = answers.sort_by("bucket")
-    parts = [unpack(v) for v in answers["answer"].to_pylist()]
-    number = np.concatenate([p[0] for p in parts])
-    count = np.concatenate([p[1] for p in parts])
-    stream, sizes, held_out, opening = unpack(block["stream"][0].as_py())
-    starts = np.cumsum(sizes) - sizes
-    scored = np.ones(len(stream), bool)
-    scored[starts] = False
-    at = np.flatnonzero(scored)
-    doc = np.repeat(np.arange(len(sizes)), sizes)[at]
-    block_id = block["block"][0].as_py()
-
-    c2 = count[stream[at]]
-    # The start symbol is no training token; it comes before every training text.
-    opens = (at - 1 == starts[doc]) & (opening[doc] == 1)
-    c1 = np.where(opens, uni.texts, count[stream[at - 1]])
-    a, b = number[stream[at - 1]], number[stream[at]]
-    told = [np.bincount(doc, w, len(sizes)) for w in (None, c2 > 0, uni.base(c2))]
-    told = pack(held_out, told[0], told[1].astype(np.int64), told[2])
-    out = [
-        {
-            "kind": _TOLD,
-            "bucket": int(_mix(np.array([block_id]))[0] % np.uint64(buckets)),
-            "block": block_id,
-            "value": told,
-            "rows": block["rows"][0].as_py(),
-            "ids": block["ids"][0].as_py(),
-        }
-    ]
-
-    splits = np.maximum(1, -(-c1 // hot)).astype(np.uint64)
-    bucket = ((_mix(a) + _mix(b) % splits) % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((b.astype(np.int64) * _DOCS + doc, bucket << 40 | a))
-    del stream, scored, at, opens, splits
-    a, b, c1, c2, doc, bucket = (x[order] for x in (a, b, c1, c2, doc, bucket))
-    new_pair = _changes(bucket, a, b)
-    new_ask = new_pair | _changes(doc)
-    pair, ask = np.flatnonzero(new_pair), np.flatnonzero(new_ask)
-    times = np.diff(np.append(ask, len(a)))
-    trained = np.add.reduceat(held_out[doc] == 0, pair, dtype=np.int64)
-    asks = np.add.reduceat(new_ask, pair, dtype=np.int64)
-    cut = np.flatnonzero(_changes(bucket[pair]))
-    asked = np.searchsorted(ask, pair[cut])
-    for s, e, x, y in zip(cut, np.append(cut[1:], len(pair)), asked, np.append(asked[1:], len(ask))):
-        own = pair[s:e]
-        new = np.flatnonzero(_changes(a[own]))
-        value = pack(
-            np.diff(a[own][new], prepend=0), np.diff(np.append(new, len(own))), c1[own][new],
-            b[own], c2[own], trained[s:e], asks[s:e], doc[ask[x:y]], times[x:y],
-        )
-        out.append({"kind": _PAIRS, "bucket": int(bucket[own[0]]), "block": block_id, "value": value})
-    return pa.Table.from_pylist(out, _ASKED_ARROW)
+@dataclass
+class Level:
+    """What every task knows of the n-grams of one length: the discounts, and numbers
+    (sorted) and backoff weights of the split contexts."""
 
+    factors: np.ndarray
+    split: np.ndarray
+    weights: np.ndarray
 
-# --- 4: counts of pairs, and answers to the blocks -------------------------------
 
+@dataclass
+class Sizes:
+    """Numbers of buckets, and the context count from which contexts are split."""
+
+    buckets: int
+    hot: int
+
+
+class _Walk:
+    """The tokens of a block, with the numbers, counts and probabilities of the n-grams
+    that end at each, level by level."""
+
+    def __init__(self, block: pa.Table, answers: list[list[bytes]], uni: Unigrams):
+        self.stream, self.sizes, self.held_out, lead = unpack(block["stream"][0].as_py())
+        self.offset = _offsets(self.sizes)
+        self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.scored = self.offset >= lead[self.doc]
+        self.counted = self.scored & (self.held_out[self.doc] == 0)
+        parts = [unpack(v) for v in answers[0]]
+        self.number = np.concatenate([p[0] for p in parts])[self.stream].astype(np.int64)
+        self.known = np.concatenate([p[1] for p in parts])[self.stream].astype(np.int64)
+        self.id, self.level = self.number, 1
+        self.p = uni.probability(self.known)
+        # The start symbol is no training token; it comes before every training text.
+        self.count = np.where(self.number == uni.start, uni.texts, self.known)
+
+    def ask(self, sizes: Sizes) -> None:
+        """Gather the distinct n-grams of the next level, by bucket, context and word."""
+        self.level += 1
+        self.at = np.flatnonzero(self.offset >= self.level - 1)
+        a, b, c = self.id[self.at - 1], self.number[self.at], self.count[self.at - 1]
+        splits = np.maximum(1, -(-c // sizes.hot)).astype(np.uint64)
+        bucket = ((_mix(a) + _mix(b) % splits) % np.uint64(sizes.buckets)).astype(np.int64)
+        order = np.lexsort((b, a, bucket))
+        new = _changes(bucket[order], a[order], b[order])
+        self.place = np.empty(len(order), np.int64)
+        self.place[order] = np.cumsum(new) - 1
+        first = order[new]
+        self.a, self.b, self.c, self.bucket = a[first], b[first], c[first], bucket[first]
+        self.lower = self.p[self.at[first]]
+        self.trained = np.bincount(self.place[self.counted[self.at]], minlength=len(first))
+        self.context = _changes(self.bucket, self.a)
+
+    def asked(self, block: int) -> pa.Table:
+        out, cut = [], np.flatnonzero(_changes(self.bucket))
+        for s, e in zip(cut, np.append(cut[1:], len(self.a))):
+            new = np.flatnonzero(self.context[s:e])
+            # Few different values, as n-grams that were seen have small counts.
+            values, which = np.unique(np.where(self.trained[s:e] > 0, self.lower[s:e], 0.0), return_inverse=True)
+            value = pack(
+                np.diff(self.a[s:e][new], prepend=0), np.diff(np.append(new, e - s)), self.c[s:e][new],
+                self.b[s:e], self.trained[s:e], values, which,
+            )
+            out.append({"bucket": int(self.bucket[s]), "block": block, "value": value})
+        return pa.Table.from_pylist(out, _ASKED_ARROW)
 
-def _answer_pairs(rows: pa.Table, uni: Unigrams, hot: int, tables: bool) -> pa.Table:
-    """All that one bucket of contexts tells."""
+    def learn(self, answers: list[bytes], level: Level, sizes: Sizes) -> None:
+        """Take in the answers (by bucket) to what was asked."""
+        if not len(self.a):
+            return
+        parts = [unpack(v) for v in answers]
+        count = np.concatenate([p[0] for p in parts]).astype(np.int64)
+        low = np.concatenate([np.stack(p[2 : 2 + K], 1) for p in parts])
+        high, total, mass = (np.concatenate([p[k] for p in parts]) for k in (2 + K, 3 + K, 4 + K))
+        own = self.a[self.context]
+        with np.errstate(invalid="ignore", divide="ignore"):
+            weight = backoff_weights(level.factors, low, high, total, mass)
+        split = np.flatnonzero(self.c[self.context] > sizes.hot)
+        if len(split):
+            weight[split] = level.weights[np.searchsorted(level.split, own[split])]
+        weight[self.c[self.context] == 0] = 1.0
+        context = np.cumsum(self.context) - 1
+        seen = level.factors[np.where(count <= K, count, 0)] * count / np.maximum(total[context], 1)
+        p = np.where(count > 0, seen, weight[context] * self.lower)
+        self.p[self.at] = p[self.place]
+        if len(parts[0][1]):
+            bucket = self.bucket[np.flatnonzero(_changes(self.bucket))]
+            ids = np.concatenate([np.cumsum(p[1]) * sizes.buckets + k for p, k in zip(parts, bucket)])
+            self.id, self.count = np.zeros(len(self.p), np.int64), np.zeros(len(self.p), np.int64)
+            self.id[self.at], self.count[self.at] = ids[self.place], count[self.place]
+
+
+def _walked(block: pa.Table, answers: pa.Table, uni: Unigrams, levels: list[Level], sizes: Sizes) -> _Walk:
+    """The block with all levels so far taken in."""
+    answers = answers.sort_by([("level", "ascending"), ("bucket", "ascending")])
+    level, values = answers["level"].to_numpy(), answers["answer"].to_pylist()
+    by_level = [[values[k] for k in np.flatnonzero(level == n)] for n in range(1, len(levels) + 2)]
+    walk = _Walk(block, by_level, uni)
+    for own, known in zip(by_level[1:], levels):
+        walk.ask(sizes)
+        walk.learn(own, known, sizes)
+    return walk
+
+
+def _answer_grams(rows: pa.Table, level: int, sizes: Sizes, last: bool, tables: bool) -> pa.Table:
+    """Counts of the n-grams of one bucket of contexts, for each block, and its sums."""
+    rows = rows.sort_by("block")
     bucket = rows["bucket"][0].as_py()
-    kinds = rows["kind"].to_numpy()
-    out = rows.filter(pa.array(kinds == _TOLD)).to_pylist()
-    asked = rows.filter(pa.array(kinds == _PAIRS)).sort_by("block")
-    if not len(asked):
-        return pa.Table.from_pylist(out, _ASKED_ARROW)
-    columns: list[list[np.ndarray]] = [[] for _ in range(8)]
-    for k, value in enumerate(asked["value"]):
-        step, size, c1, b, c2, trained, asks, doc, times = unpack(value.as_py())
-        a = np.repeat(np.cumsum(step).astype(b.dtype if step.dtype == b.dtype else np.int64), size)
-        doc = doc.astype(np.int64) + k * _DOCS
-        for part, x in zip(columns, (a, np.repeat(c1, size), b, c2, trained, asks, doc, times)):
+    columns: list[list[np.ndarray]] = [[] for _ in range(5)]
+    edges, contexts_of = [0], []
+    for value in rows["value"]:
+        step, size, c, b, trained, values, which = unpack(value.as_py())
+        a = np.repeat(np.cumsum(step.astype(np.int64)), size)
+        for part, x in zip(columns, (a, np.repeat(c, size), b, trained, values[which])):
             part.append(x)
-    a, c1, b, c2, trained, asks, doc, times = (np.concatenate(columns.pop(0)) for _ in range(8))
+        edges.append(edges[-1] + len(b))
+        contexts_of.append(size)
+    a, c, b, trained, lower = (np.concatenate(columns.pop(0)) for _ in range(5))
 
-    # Distinct pairs, and their contexts.
     order = np.lexsort((b, a))
     new = _changes(a[order], b[order])
     first = np.flatnonzero(new)
-    which = np.empty(len(a), np.int32)
+    which = np.empty(len(a), np.int64)
     which[order] = np.cumsum(new) - 1
     count = np.add.reduceat(trained[order], first, dtype=np.int64)
-    a, b, c1, c2 = (x[order][first] for x in (a, b, c1, c2))
+    own = np.maximum.reduceat(lower[order], first)
+    a, b, c = (x[order][first] for x in (a, b, c))
+    del order, trained, lower
     new = _changes(a)
     context = np.cumsum(new) - 1
     n = int(context[-1]) + 1
-    a1, c1 = a[new], c1[new]
+    a1, c1 = a[new], c[new]
     low = np.stack([np.bincount(context[count == r], minlength=n) for r in range(1, K + 1)], 1)
     high = np.bincount(context, np.where(count > K, count, 0), n).astype(np.int64)
-    own = uni.probability(c2)
     mass = np.bincount(context, np.where(count > 0, own, 0.0), n)
     total = denominators(c1, low.any(1))  # of split contexts too: they are over SURE
-
-    # Every asking document, pair by pair.
-    pair = np.repeat(which, asks)
-    del order, trained, which, asks
-    seen = count[pair] > 0
-    value = times * np.log10(np.where(seen, count[pair] / np.maximum(total[context[pair]], 1), own[pair]))
-    docs, place = np.unique(doc, return_inverse=True)
-    sums = np.bincount(place, value)
-    small = [np.bincount(place, times * (count[pair] == r)).astype(np.int64) for r in range(1, K + 1)]
-    back = np.flatnonzero(~seen & (c1[context[pair]] > 0))
-    split = c1 > hot
-    edges = np.searchsorted(docs, np.arange(len(asked) + 1) * _DOCS)
-    back = back[np.argsort(doc[back], kind="stable")]
-    back_edges = np.searchsorted(doc[back], np.arange(len(asked) + 1) * _DOCS)
-    for k, block in enumerate(asked["block"].to_pylist()):
-        mine, ours = slice(edges[k], edges[k + 1]), back[back_edges[k] : back_edges[k + 1]]
-        used, ref = np.unique(context[pair[ours]], return_inverse=True)
+    split, out = c1 > sizes.hot, []
+    for k, (block, size) in enumerate(zip(rows["block"].to_pylist(), contexts_of)):
+        mine = which[edges[k] : edges[k + 1]]
+        start = np.cumsum(size) - size
+        used = context[mine[start]]
+        # The sums are needed where the block backs off.
+        backs = np.add.reduceat(count[mine] == 0, start) > 0
+        backs &= ~split[used]
+        ids = np.zeros(0, np.int64) if last else np.diff(mine, prepend=0)
         value = pack(
-            docs[mine] - k * _DOCS, sums[mine], *(x[mine] for x in small),
-            doc[ours] - k * _DOCS, times[ours], ref,
-            np.where(split[used], a1[used] + 1, 0), *low[used].T, high[used], total[used], mass[used],
-        )
-        out.append({"kind": _PAIRS, "bucket": bucket, "block": block, "value": value})
-    r = [int((count == r).sum()) for r in range(1, K + 2)]
-    value = pack(np.array(r), a1[split], *low[split].T, high[split], total[split], mass[split])
-    out.append({"kind": _SUMS, "bucket": bucket, "block": None, "value": value})
+            count[mine], ids, *(low[used] * backs[:, None]).T, high[used] * backs, total[used], mass[used] * backs
+        )
+        out.append({"level": level, "bucket": bucket, "block": block, "answer": value})
+    sums = {"level": level, "bucket": bucket, "sums": [int((count == r).sum()) for r in range(1, K + 2)]}
+    if split.any():
+        sums["split"] = pack(a1[split], *low[split].T, high[split], total[split], mass[split])
     if tables:
-        known = count > 0
-        out.append({"kind": _COUNTS, "bucket": bucket, "block": None, "value": pack(a[known], b[known], count[known])})
-    return pa.Table.from_pylist(out, _ASKED_ARROW)
+        known, full = count > 0, (c1 > 0) & ~split
+        sums["grams"] = pack(a[known], b[known], count[known])
+        sums["ids"] = pack(np.flatnonzero(known) * sizes.buckets + bucket)
+        sums["contexts"] = pack(a1[full], *low[full].T, high[full], total[full], mass[full])
+    return pa.Table.from_pylist([*out, sums], _FOUND_ARROW)
+
+
+def _asker(uni: Unigrams, levels: list[Level], sizes: Sizes) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def ask(block: pa.Table, answers: pa.Table) -> pa.Table:
+        walk = _walked(block, answers, uni, levels, sizes)
+        walk.ask(sizes)
+        return walk.asked(block["block"][0].as_py())
+
+    return ask
 
 
-# --- 5: sums of the documents ----------------------------------------------------
+def _answerer(level: int, sizes: Sizes, last: bool, tables: bool) -> Callable[[pa.Table], pa.Table]:
+    def answer(rows: pa.Table) -> pa.Table:
+        return _answer_grams(rows, level, sizes, last, tables)
+
+    return answer
+
+
+def _fit_level(found: DataFrame) -> Level:
+    """Discounts, from the sums of all buckets, and the weights of the split contexts;
+    their parts, which come to the driver, are less than ``SPLIT_BUCKETS`` times 16."""
+    sums = found.filter("block is null").select([F.sum(F.col("sums")[k]) for k in range(K + 1)]).first()
+    factors, parts = discounts([int(x or 0) for x in sums]), {}
+    for r in found.filter("split is not null").select("bucket", "split").orderBy("bucket").collect():
+        a1, *rest = unpack(bytes(r["split"]))
+        for k, a in enumerate(a1.tolist()):
+            own = np.array([x[k] for x in rest], np.float64)
+            if a in parts:
+                own[[*range(K + 1), K + 2]] += parts[a][[*range(K + 1), K + 2]]
+            parts[a] = own
+    split = np.array(sorted(parts), np.int64)
+    x = np.array([parts[a] for a in split.tolist()]).reshape(len(split), K + 3)
+    return Level(factors, split, backoff_weights(factors, x[:, :K], x[:, K], x[:, K + 1], x[:, K + 2]))
+
+
+# --- 4: sums of the documents ----------------------------------------------------
 
 _SCORES = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def _complete(rows: pa.Table, factors: np.ndarray, weights: dict[int, float]) -> pa.Table:
-    """The documents of one block, with the discounts of the pairs and the backoff
-    weights of split contexts."""
-    rows = rows.sort_by([("kind", "ascending"), ("bucket", "ascending")])
-    told = rows.slice(0, 1).to_pylist()[0]
-    held_out, n_tokens, n_known, base = unpack(told["value"])
-    score, logs = np.zeros(len(base)), np.log10(factors[1:])
-    for value in rows["value"].to_pylist()[1:]:
-        parts = unpack(value)
-        docs, sums, small = parts[0], parts[1], parts[2 : 2 + K]
-        score[docs] += sums + sum(n * log for n, log in zip(small, logs))
-        doc, times, ref, split = parts[2 + K : 6 + K]
-        low, (high, total, mass) = np.stack(parts[6 + K : 6 + 2 * K], 1), parts[6 + 2 * K :]
-        if len(doc):
-            with np.errstate(invalid="ignore", divide="ignore"):
-                weight = backoff_weights(factors, low, high, total, mass)
-            weight = np.array([weights[s - 1] if s else w for s, w in zip(split.tolist(), weight.tolist())])
-            np.add.at(score, doc, times * np.log10(weight[ref]))
+def _complete(block: pa.Table, walk: _Walk, uni: Unigrams) -> pa.Table:
+    """Sums of the documents, or parts of documents, of one block."""
+    doc, n = walk.doc[walk.scored], len(walk.sizes)
+    known = walk.known[walk.scored]
     return pa.table(
         {
-            "row": pa.array(told["rows"], pa.int64()),
-            "doc_id": pa.array(told["ids"], pa.int64()),
-            "held_out": pa.array(held_out == 1),
-            "n_tokens": n_tokens.astype(np.int64),
-            "n_known": n_known.astype(np.int64),
-            "base_score": base,
-            "score": score,
+            "row": pa.array(block["rows"][0].as_py(), pa.int64()),
+            "doc_id": pa.array(block["ids"][0].as_py(), pa.int64()),
+            "held_out": pa.array(walk.held_out == 1),
+            "n_tokens": np.bincount(doc, minlength=n).astype(np.int64),
+            "n_known": np.bincount(doc[known > 0], minlength=n).astype(np.int64),
+            "base_score": np.bincount(doc, uni.base(known), n),
+            "score": np.bincount(doc, np.log10(walk.p[walk.scored]), n),
         }
     )
 
 
 @dataclass
 class KatzModel:
-    """Fitted sums, beside the tables."""
+    """Fitted sums, beside the tables; ``levels`` begins with the pairs."""
 
     unigrams: Unigrams
-    factors: np.ndarray
+    levels: list[Level]
+    buckets: int
+
+
+def _write_level(found: DataFrame, n: int, level: Level, tables: str) -> None:
+    spark = found.sparkSession
+    name = "pairs" if n == 2 else f"grams_{n}"
+    rows = found.filter("grams is not null")
+    rows.select("bucket", F.col("grams").alias("value"), "ids").write.partitionBy("bucket").parquet(f"{tables}/{name}")
+
+    def weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for value in batch["contexts"]:
+                a, *rest = unpack(value.as_py())
+                out.append(pack(a, backoff_weights(level.factors, np.stack(rest[:K], 1), *rest[K:])))
+            yield pa.RecordBatch.from_arrays([batch["bucket"], pa.array(out, pa.binary())], ["bucket", "value"])
+
+    kept = rows.select("bucket", "contexts").mapInArrow(weights, "bucket int, value binary")
+    split = spark.createDataFrame([(-1, bytearray(pack(level.split, level.weights)))], "bucket int, value binary")
+    kept.union(split).write.partitionBy("bucket").parquet(f"{tables}/contexts_{n}")
+    spark.createDataFrame([(level.factors.tolist(),)], "factors array<double>").write.parquet(f"{tables}/discounts_{n}")
 
 
 def katz_scores(
@@ -498,79 +590,68 @@ def katz_scores(
     text: str = "text",
     tables: str | None = None,
     block_tokens: int = BLOCK_TOKENS,
+    order: int = ORDER,
 ) -> tuple[DataFrame, KatzModel]:
-    """Scores of all rows of ``docs``, learned from those that are not ``held_out``, and
-    the fitted sums.
+    """Scores of all rows of ``docs``, learned from those that are not ``held_out`` with
+    n-grams of up to ``order`` (2 or more) tokens, and the fitted sums.
 
     One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score and score (logarithms to base 10).  ``tables`` names a folder for the
-    counts: ``unigrams`` (bucket, words, counts) and ``pairs`` (bucket, value), both
-    partitioned by bucket and packed; a word's number is its place times the number of
-    buckets plus its bucket.
+    model, partitioned by bucket and packed: ``unigrams`` (bucket, words, counts; a
+    word's number is its place times the number of buckets plus its bucket), ``pairs``,
+    ``grams_3`` and so on (bucket; value: numbers of context and word, and counts; ids:
+    the n-grams' own numbers, by which longer ones name them as contexts),
+    ``contexts_2`` and so on (bucket, value: numbers and backoff weights; those of split
+    contexts with bucket -1), and ``discounts_2`` and so on.
     """
+    if order < 2:
+        raise ValueError("the order must be 2 or more")
     spark = docs.sparkSession
     ship_package(spark)
-    buckets, keep = 2 * partitions(spark), tables is not None
+    size = docs.agg(F.sum(F.octet_length(column(text)))).first()[0] or 0
+    buckets, keep = max(2 * partitions(spark), -(-size // BUCKET_BYTES)), tables is not None
+    tasks = max(partitions(spark), -(-size // BUCKET_BYTES))
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         column(doc_id).cast("bigint").alias("doc_id"),
         column(text).alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
     )
-    blocks = stored(_blocks(rows, buckets, block_tokens), "blocks")
+    blocks = stored(_blocks(rows, buckets, block_tokens, order), "blocks")
 
     def answer_words(table: pa.Table) -> pa.Table:
         return _answer_words(table, buckets, keep)
 
-    words = blocks.select("block", F.inline("lists")).groupBy("bucket").applyInArrow(answer_words, _ANSWERS)
-    words = stored(words, "words")
-    sums = words.filter("block is null").select([F.sum(F.col("sums")[k]) for k in range(3 + K + 1)]).first()
+    lists = blocks.select("block", F.inline("lists")).repartition(tasks, "bucket")
+    words = stored(lists.groupBy("bucket").applyInArrow(answer_words, _ANSWERS), "words")
+    own = words.filter("block is null")
+    sums = own.select(*[F.sum(F.col("sums")[k]) for k in range(4 + K)], F.max(F.col("sums")[4 + K])).first()
     sums = [int(x or 0) for x in sums]
-    uni = Unigrams(sums[0], sums[1], sums[2], sums[3:])
-    hot = max(SURE, -(-uni.tokens // (4 * buckets)))
-
-    def ask_pairs(block: pa.Table, answers: pa.Table) -> pa.Table:
-        return _ask_pairs(block, answers, uni, buckets, hot)
-
-    def answer_pairs(table: pa.Table) -> pa.Table:
-        return _answer_pairs(table, uni, hot, keep)
-
-    asked = (
-        blocks.select("block", "stream", "rows", "ids")
-        .groupBy("block")
-        .cogroup(words.filter("block is not null").select("block", "bucket", "answer").groupBy("block"))
-        .applyInArrow(ask_pairs, _ASKED)
-    )
-    answered = stored(asked.groupBy("bucket").applyInArrow(answer_pairs, _ASKED), "pairs")
-
-    # One row a bucket; the split contexts are fewer than eight a bucket.
-    n, split = np.zeros(K + 1, np.int64), {}
-    for r in answered.filter(F.col("kind") == _SUMS).select("bucket", "value").orderBy("bucket").collect():
-        small, a1, *rest = unpack(bytes(r["value"]))
-        n += small
-        for k, a in enumerate(a1.tolist()):
-            own = np.array([x[k] for x in rest], np.float64)
-            if a in split:
-                own[[*range(K + 1), K + 2]] += split[a][[*range(K + 1), K + 2]]
-            split[a] = own
-    factors = discounts(n)
-    weights = {
-        a: float(backoff_weights(factors, x[None, :K], x[K : K + 1], x[K + 1 : K + 2], x[K + 2 :])[0])
-        for a, x in split.items()
-    }
-
-    def complete(table: pa.Table) -> pa.Table:
-        return _complete(table, factors, weights)
-
-    if tables is not None:
-        words.filter("block is null").select("bucket", "words", "counts").write.partitionBy("bucket").parquet(f"{tables}/unigrams")
-        counts = answered.filter(F.col("kind") == _COUNTS).select("bucket", "value")
-        counts.write.partitionBy("bucket").parquet(f"{tables}/pairs")
-    done = answered.filter(F.col("kind").isin(_TOLD, _PAIRS)).groupBy("block").applyInArrow(complete, _SCORES)
+    uni = Unigrams(sums[0], sums[1], sums[2], sums[3 : 4 + K], sums[4 + K])
+    sizes = Sizes(buckets, max(SURE, -(-uni.tokens // (4 * min(buckets, SPLIT_BUCKETS)))))
+    if keep:
+        own.select("bucket", "words", "counts").write.partitionBy("bucket").parquet(f"{tables}/unigrams")
+
+    told = words.filter("block is not null").select("block", F.lit(1).alias("level"), "bucket", "answer")
+    left = blocks.select("block", "stream", "rows", "ids").repartition(tasks, "block").groupBy("block")
+    levels: list[Level] = []
+    for n in range(2, order + 1):
+        asked = left.cogroup(told.repartition(tasks, "block").groupBy("block")).applyInArrow(_asker(uni, list(levels), sizes), _ASKED)
+        found = asked.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_answerer(n, sizes, n == order, keep), _FOUND)
+        found = stored(found, f"grams_{n}")
+        levels.append(_fit_level(found))
+        if keep:
+            _write_level(found, n, levels[-1], tables)
+        told = told.union(found.filter("block is not null").select("block", "level", "bucket", "answer"))
+
+    def complete(block: pa.Table, answers: pa.Table) -> pa.Table:
+        return _complete(block, _walked(block, answers, uni, levels, sizes), uni)
+
+    done = left.cogroup(told.repartition(tasks, "block").groupBy("block")).applyInArrow(complete, _SCORES)
     done = done.groupBy("row", "doc_id", "held_out").agg(
         *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
     )
     scores = done.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(uni.tokens).cast("bigint").alias("train_tokens"), "base_score", "score"
     )
-    return scores, KatzModel(uni, factors)
+    return scores, KatzModel(uni, levels, buckets)

@@ -10,6 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanframe.sources import scratch_path
+
 from .bpe import decode_ids, encode_texts
 from .chat import ORACLE as CHAT_SQL
 from .chat import check_order, conversation_digests, format_turns
@@ -100,8 +102,9 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Probability of every document under a pair model learned from nine tenths."""
-    return katz_scores(table(spark, sf_dir, "documents"), held_out(10, 0))[0]
+    """Probability of every document under a model of three tokens learned from nine
+    tenths; the model's tables go to the shared folder."""
+    return katz_scores(table(spark, sf_dir, "documents"), held_out(10, 0), tables=scratch_path(spark, "katz"))[0]
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,11 +4,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from loanframe.llm.katz import K, SURE, discounts, katz_scores, pack, segments, unpack
+from loanframe.llm.katz import K, SURE, Sizes, Unigrams, discounts, katz_scores, pack, segments, unpack
 
 
 def tokens_of(text):
@@ -16,44 +17,58 @@ def tokens_of(text):
 
 
 class Plain:
-    """The model in dictionaries."""
+    """The model in dictionaries, by the definition."""
 
-    def __init__(self, texts):
-        self.uni, self.pairs, self.contexts = Counter(), Counter(), Counter()
+    def __init__(self, texts, order=2):
+        self.order, self.uni = order, Counter()
+        self.after = defaultdict(Counter)  # context -> token -> count
         for t in texts:
             tokens = tokens_of(t)
             self.uni.update(tokens)
-            for a, b in zip(["<s>", *tokens], tokens):
-                self.pairs[a, b] += 1
-                self.contexts[a] += 1
+            all_ = ["<s>", *tokens]
+            for i in range(1, len(all_)):
+                for n in range(1, min(order - 1, i) + 1):
+                    self.after[tuple(all_[i - n : i])][all_[i]] += 1
+        self.contexts = {c: sum(x.values()) for c, x in self.after.items()}
+        self.pairs = Counter({(c[0], w): n for c, x in self.after.items() if len(c) == 1 for w, n in x.items()})
         self.n = sum(self.uni.values())
         self.d1 = discounts([sum(c == r for c in self.uni.values()) for r in range(1, K + 2)])
-        self.d2 = discounts([sum(c == r for c in self.pairs.values()) for r in range(1, K + 2)])
+        self.d = {}
+        for n in range(1, order):
+            counts = Counter(v for c, x in self.after.items() if len(c) == n for v in x.values())
+            self.d[n] = discounts([counts[r] for r in range(1, K + 2)])
         left = sum(c * (1 - self.d1[c]) for c in self.uni.values() if c <= K)
         self.total = self.n if left > 0 else self.n + 1
         self.left = (left or 1) / self.total if self.n else 1.0
-        self.after = defaultdict(dict)
-        for (a, b), c in self.pairs.items():
-            self.after[a][b] = c
+        self.weights = {}
 
     def single(self, w):
         c = self.uni[w]
         return (self.d1[c] if c <= K else 1) * c / self.total if c else self.left
 
-    def probability(self, a, b):
-        seen, c1 = self.after.get(a), self.contexts[a]
-        if not seen:
+    def probability(self, *gram):
+        *context, b = gram
+        context = tuple(context)
+        if not context:
             return self.single(b)
+        seen = self.after.get(context)
+        if not seen:
+            return self.probability(*context[1:], b)
+        c1 = self.contexts[context]
         total = c1 + (c1 > SURE or all(c > K for c in seen.values()))
-        of = lambda c: (self.d2[c] if c <= K else 1) * c / total
+        of = lambda c: (self.d[len(context)][c] if c <= K else 1) * c / total
         if b in seen:
             return of(seen[b])
-        return self.single(b) * (1 - sum(map(of, seen.values()))) / (1 - sum(map(self.single, seen)))
+        if context not in self.weights:
+            rest = sum(self.probability(*context[1:], w) for w in seen)
+            self.weights[context] = (1 - sum(map(of, seen.values()))) / (1 - rest)
+        return self.weights[context] * self.probability(*context[1:], b)
 
     def scores(self, text):
         tokens = tokens_of(text)
         base = sum(math.log10((self.uni[t] + 0.1) / (self.n + 0.1 * (len(self.uni) + 1))) for t in tokens)
-        model = sum(math.log10(self.probability(a, b)) for a, b in zip(["<s>", *tokens], tokens))
+        all_ = ["<s>", *tokens]
+        model = sum(math.log10(self.probability(*all_[max(0, i - self.order + 1) : i + 1])) for i in range(1, len(all_)))
         return len(tokens), sum(self.uni[t] > 0 for t in tokens), base, model
 
 
@@ -75,7 +90,7 @@ def _check(spark, rows, **options):
     out, model = katz_scores(df, held, **options)
     got = out.collect()
     is_held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 4 == 0
-    plain = Plain([t for i, t in rows if not is_held(i)])
+    plain = Plain([t for i, t in rows if not is_held(i)], options.get("order", 3))
     want = sorted((i or 0, is_held(i), *plain.scores(t)) for i, t in rows)
     got = sorted((r.doc_id or 0, r.held_out, r.n_tokens, r.n_known, r.base_score, r.score) for r in got)
     assert [w[:4] for w in want] == [g[:4] for g in got]
@@ -84,16 +99,38 @@ def _check(spark, rows, **options):
     return plain, model
 
 
-@pytest.mark.parametrize("block", [1_500_000, 200])
-def test_scores_equal_the_plain_model(spark, block):
-    plain, _ = _check(spark, _docs(1), block_tokens=block)
-    assert plain.contexts["the"] > 4 * SURE  # its pairs are split over several buckets
+@pytest.mark.parametrize("order, block", [(2, 1_500_000), (2, 200), (3, 1_500_000), (3, 200), (4, 200)])
+def test_scores_equal_the_plain_model(spark, order, block):
+    plain, model = _check(spark, _docs(1), block_tokens=block, order=order)
+    assert plain.contexts["the",] > 4 * SURE  # its pairs are split over several buckets
+    assert [len(x.split) > 0 for x in model.levels] == [True] * (order - 1)
+    for n, level in enumerate(model.levels, 1):
+        assert np.allclose(level.factors, plain.d[n])
+
+
+def test_grams_go_on_over_pieces_of_a_text():
+    from loanframe.llm.katz import _Block, _Walk
 
+    block = _Block()
+    block.add(0, 7, False, [b"\t"], [b"a", b"b"])
+    block.add(0, 7, False, [b"a", b"b"], [b"c", b"\x0b"])
+    coded = pa.Table.from_batches([block.coded(0, 1)])
+    words = zstandard.decompress(coded["lists"][0][0]["words"].as_py()).split(b"\n")
+    assert unpack(coded["lists"][0][0]["counts"].as_py())[0].tolist() == [int(w != b"\t") for w in words]
+    answer = pack(np.arange(len(words)), np.ones(len(words), np.int64))
+    walk = _Walk(coded, [[answer]], Unigrams(4, 4, 1, [4, 0, 0, 0, 0, 0]))
+    walk.level = 2
+    walk.ask(Sizes(1, 1000))
+    got = [(words[b], int(n)) for b, n in zip(walk.b, walk.trained)]
+    assert sorted(got) == [(b"\x0b", 1), (b"b", 1), (b"c", 1)]
 
-def test_plain_model_sums_to_one():
-    plain = Plain([t for _, t in _docs(2)])
-    for a in ["<s>", "the", "w1", "w7", "never seen"]:
-        assert sum(plain.probability(a, b) for b in [*plain.uni, "an unknown token"]) == pytest.approx(1, abs=1e-12)
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_plain_model_sums_to_one(order):
+    plain = Plain([t for _, t in _docs(2)], order)
+    for a in [["<s>"], ["the"], ["w1"], ["w7"], ["never seen"], ["<s>", "the"], ["the", "the"], ["w1", "the"], ["the", "w1", "the"]]:
+        given = a[-order + 1 :]
+        assert sum(plain.probability(*given, b) for b in [*plain.uni, "an unknown token"]) == pytest.approx(1, abs=1e-9)
 
 
 def test_no_training_rows_and_empty_table(spark):
@@ -139,6 +176,23 @@ def test_tables_hold_all_counts(spark, tmp_out):
         for a, b, c in zip(*(x.tolist() for x in unpack(bytes(r.value)))):
             pairs[words[a], words[b]] += c
     assert pairs == plain.pairs
+    ids, triples, weights = {}, Counter(), {}
+    for r in spark.read.parquet(f"{folder}/pairs").collect():
+        a, b, _ = unpack(bytes(r.value))
+        ids |= {i: (words[x], words[y]) for i, x, y in zip(unpack(bytes(r.ids))[0].tolist(), a.tolist(), b.tolist())}
+    for r in spark.read.parquet(f"{folder}/grams_3").collect():
+        for a, b, c in zip(*(x.tolist() for x in unpack(bytes(r.value)))):
+            triples[*ids[a], words[b]] += c
+    assert triples == Counter({(*c, w): n for c, x in plain.after.items() if len(c) == 2 for w, n in x.items()})
+    for n, names in ((2, lambda a: (words[a],)), (3, ids.get)):
+        for r in spark.read.parquet(f"{folder}/contexts_{n}").collect():
+            a, w = unpack(bytes(r.value))
+            weights |= {names(k): v for k, v in zip(a.tolist(), w.tolist())}
+    assert set(weights) == set(plain.after)
+    for context, w in plain.weights.items():
+        assert weights[context] == pytest.approx(w, rel=1e-9)
+    factors = spark.read.parquet(f"{folder}/discounts_3").first().factors
+    assert np.allclose(factors, plain.d[2])
 
 
 def test_query(spark):
