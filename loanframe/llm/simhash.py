@@ -11,7 +11,7 @@ and two points that far apart share a grid point at distance one or less from bo
 Every distinct fingerprint is therefore put in the cell of its own point and of the
 neighbouring grid points (49 on average, 65 at most), and all that share a cell are
 compared bit by bit.  A cell is so narrow that two random fingerprints meet with a
-chance of about 1e-11, so what meets are nearly always near copies, at all sizes.
+chance of about 2e-11, so what meets are nearly always near copies, at all sizes.
 
 The rows of the cells are shuffled and sorted by cell and compared as they stream by.  A
 cell of more than ``CELL`` rows is passed on instead and compared in pairs of blocks,
