@@ -8,8 +8,13 @@ Aho-Corasick automaton over the pieces of all items finds every exact piece hit;
 stretches of text that the hits allow are verified with Myers' bit-parallel distance,
 so exactly the occurrences within the budget are reported.
 
-The items are a query set read in blocks of at most ``BLOCK_CHARS`` characters (or one
-item), each block broadcast and matched against all rows; there is no shuffle.
+The items are a query set.  Up to ``BLOCK_CHARS`` characters of them are broadcast and
+matched against all rows where those are read, without a shuffle.  More items are merged
+by equal texts and dealt to blocks of about so many characters (or one item); one pass
+over the documents for each block writes the matches found to the shared folder, and the
+next block takes its place in the driver and the tasks.  The matches then join the
+documents by a digest of the text.  The documents are read once a block, so a plan that
+is costly to compute is better stored first.
 
 Items of fewer than ``min_chars`` compared characters, in which one edit can make another
 word, have no budget: they match where they occur exactly and as whole words.
@@ -31,8 +36,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanframe.sources import scratch_path
+
 from .bpe import _in_pieces
-from .common import column, ship_package, unused, with_fields
+from .common import column, ship_package, stored, unused, with_fields
 
 #: Edits allowed per compared character of an item.
 ERROR_RATE = 0.08
@@ -219,36 +226,83 @@ def find_contamination(
     spark = docs.sparkSession
     ship_package(spark)
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter("text is not null")
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(chars / block_chars))
-    found = docs.withColumn(out, F.array().cast(MATCHES))
-    for b in range(blocks):
-        own = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b) if blocks > 1 else items
-        rows = [(r["item_id"], r["text"]) for r in own.collect()]
-        found = _matched(found, spark.sparkContext.broadcast(rows), text, error_rate, min_chars, out)
-    return found
-
-
-def _matched(df: DataFrame, rows, text: str, error_rate: float, min_chars: int, out: str) -> DataFrame:
-    schema = with_fields(df, df.schema[out])
-    key = uuid.uuid4().hex  # a Python worker builds the automaton once
+    if (items.agg(F.sum(F.length("text"))).first()[0] or 0) > block_chars:
+        return _found_in_passes(docs, items, text, error_rate, min_chars, block_chars, out)
+    # In the order of ids and texts, whatever the order of tasks.
+    rows = sorted(((r["item_id"], r["text"]) for r in items.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    sent, key = spark.sparkContext.broadcast(rows), uuid.uuid4().hex
+    schema = with_fields(docs, docs.select(F.array().cast(MATCHES).alias(out)).schema[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = _worker.get(key)
-        if matcher is None:
-            _worker.clear()
-            matcher = _worker[key] = Matcher(rows.value, error_rate, min_chars)
+        matcher = _matcher(key, sent, error_rate, min_chars)
         names = ("item_id", "distance", "start", "end")
         for batch in _in_pieces(batches, text):
-            before = batch.column(batch.schema.get_field_index(out)).to_pylist()
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            values = [old + [dict(zip(names, x)) for x in matcher.find(t)] for old, t in zip(before, texts)]
-            keep = [i for i, c in enumerate(batch.schema.names) if c != out]
+            values = [[dict(zip(names, x)) for x in matcher.find(t)] for t in texts]
+            keep = [i for i, c in enumerate(batch.schema.names) if c.lower() != out.lower()]
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in keep] + [pa.array(values, _ARROW)], schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def _matcher(key: str, rows, error_rate: float, min_chars: int) -> Matcher:
+    """The matcher of the items in the broadcast ``rows``, built once in a Python worker."""
+    if key not in _worker:
+        _worker.clear()
+        _worker[key] = Matcher(rows.value, error_rate, min_chars)
+    return _worker[key]
+
+
+def _found_in_passes(
+    docs: DataFrame, items: DataFrame, text: str, error_rate: float, min_chars: int, block_chars: int, out: str
+) -> DataFrame:
+    """As ``find_contamination``, for items of more than one block."""
+    spark = docs.sparkSession
+    different = stored(items.select("text").distinct().withColumn("text_id", F.monotonically_increasing_id()), "items")
+    chars = different.agg(F.sum(F.length("text"))).first()[0]
+    blocks = math.ceil(chars / block_chars)
+    # What is found depends on the text alone, so its digest tells which rows it is of.
+    key = unused(docs, "text_key")
+    keyed = docs.withColumn(key, F.sha2(column(text).cast("binary"), 256))
+    read = keyed.select(F.col(key).alias("key"), column(text).alias("text")).filter("text is not null")
+    path = scratch_path(spark, "matches")
+    schema = "key string, text_id bigint, distance int, start int, end int"
+    for b in range(blocks):
+        own = different.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b)
+        sent = spark.sparkContext.broadcast([(r["text_id"], r["text"]) for r in own.collect()])
+        passed = read.mapInArrow(_hits(sent, error_rate, min_chars), schema)
+        passed.distinct().write.mode("overwrite").parquet(f"{path}/block={b}")
+        sent.destroy()
+    found = spark.read.schema(schema).parquet(*[f"{path}/block={b}" for b in range(blocks)])
+    # An item's text can stand in the table more than once.
+    named = items.join(different, "text").select("text_id", "item_id")
+    match = F.struct("start", "end", "item_id", "distance")
+    ordered = F.array_sort(F.collect_list(match))
+    matches = F.transform(ordered, lambda m: F.struct(m["item_id"], m["distance"], m["start"], m["end"])).cast(MATCHES)
+    value = unused(keyed, "found")
+    made = found.join(named, "text_id").groupBy(F.col("key").alias(key)).agg(matches.alias(value))
+    joined = keyed.join(made, key, "left")
+    return joined.select(
+        *[column(c) for c in docs.columns if c.lower() != out.lower()],
+        F.coalesce(F.col(value), F.array().cast(MATCHES)).alias(out),
+    )
+
+
+def _hits(rows, error_rate: float, min_chars: int):
+    key = uuid.uuid4().hex
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = _matcher(key, rows, error_rate, min_chars)
+        for batch in _in_pieces(batches, "text"):
+            keys, texts = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("key", "text"))
+            hits = [(k, *match) for k, t in zip(keys, texts) for match in matcher.find(t)]
+            columns = list(zip(*hits)) or [()] * 5
+            kinds = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in keep] + [pa.array(values, _ARROW)], schema.names
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["key", "text_id", "distance", "start", "end"]
             )
 
-    return df.mapInArrow(run, schema)
+    return run
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:

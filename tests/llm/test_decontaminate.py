@@ -161,3 +161,39 @@ def test_recall_of_planted_copies_by_edit_rate():
     print(share)
     assert share[0.05] == share[0.08] == 1
     assert share[0.15] < share[0.10] < 1
+
+
+def test_passes_over_blocks_find_the_same(spark):
+    """Many blocks: equal items, equal documents, odd rows and clashing names."""
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randint(2, 7)))
+    items = [(i, " ".join(word() for _ in range(r.randint(1, 12)))) for i in range(30)]
+    items[3] = (3, " ".join(word() for _ in range(9)))
+    items += [(100 + i, items[3][1]) for i in range(5)] + [(None, items[4][1]), (7, None), (8, ""), (9, "...")]
+    docs = []
+    for d in range(60):
+        inner = edited(r, items[d % 30][1], r.randint(0, 1))
+        docs.append((d, f"{word()}, {word()} {inner}; {word()}", "x", 1))
+    docs += [(None, docs[0][1], "y", 2)] * 3 + [(61, None, "z", None), (62, "", None, 3)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, text_key string, found int").repartition(5)
+    b = spark.createDataFrame(items, "item_id long, text string")
+
+    def told(block_chars):
+        out = find_contamination(d, b, block_chars=block_chars)
+        assert out.columns == ["doc_id", "text", "text_key", "found", "matches"]
+        rows = [(*r[:4], sorted(map(tuple, r.matches), key=str)) for r in out.collect()]
+        return sorted(rows, key=str)
+
+    whole = told(1_000_000)
+    assert sum(len(r[4]) for r in whole) > 60
+    assert told(300) == whole and told(20) == whole
+    kept = drop_contaminated(d, b, block_chars=100)
+    assert kept.columns == d.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted((r[:4] for r in whole if not r[4]), key=str)
+
+
+def test_blocks_do_not_chain_python_steps(spark):
+    d = spark.createDataFrame([(1, ITEM), (2, "x")], "doc_id long, text string")
+    b = spark.createDataFrame([(i, f"{i} {ITEM}") for i in range(9)], "item_id long, text string")
+    plan = find_contamination(d, b, block_chars=100)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan
