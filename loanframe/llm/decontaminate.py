@@ -225,7 +225,7 @@ def find_contamination(
         raise ValueError("error_rate must be at least 0 and below 1")
     spark = docs.sparkSession
     ship_package(spark)
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter("text is not null")
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter("text != ''")
     if (items.agg(F.sum(F.length("text"))).first()[0] or 0) > block_chars:
         return _found_in_passes(docs, items, text, error_rate, min_chars, block_chars, out)
     # In the order of ids and texts, whatever the order of tasks.
