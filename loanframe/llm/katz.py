@@ -18,8 +18,9 @@ never gathered in one place:
 
 1. texts are cut into blocks of about ``BLOCK_TOKENS`` tokens, coded by the block's own
    word list (a long text spans several blocks);
-2. the word lists are shuffled by word: each bucket adds up its words, numbers them and
-   answers every block with the numbers and training counts of its words;
+2. the word lists are shuffled by word: each bucket adds up its words, numbers them
+   (frequent ones first, which packs better) and answers every block with the numbers and
+   training counts of its words;
 3. then level by level, from pairs to ``order``: each block sends each of its distinct
    n-grams once, with its number of occurrences, to the bucket of its context (the number
    of the n-gram one shorter).  Contexts that hold a large share of all tokens are split
@@ -30,6 +31,9 @@ never gathered in one place:
 4. each block completes the probabilities of its tokens, level by level from the answers,
    and adds them up by document.
 
+After each level the blocks are written anew with the answers so far, and the tables and
+shuffles that led there are deleted, so the disk holds one level's work at a time.
+
 The number of buckets grows with the bytes of the texts, and what a bucket gets for an
 n-gram is one entry a block, however many documents hold it.
 
@@ -50,11 +54,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column, partitions, ship_package, stored
+from loanframe.sources import scratch_path
+from loanframe.sources.releases import file_system
+
+from .common import column, partitions, ship_package
 
 #: Counts that are discounted, and the context count from which one is added.
 K, SURE = 5, 1000
@@ -75,31 +83,67 @@ _GAP = re.compile(rb"[\x20\x09-\x0d]")
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Integer or float arrays as one compressed value, bytes of equal weight together."""
-    out = []
-    for a in arrays:
-        if a.dtype.kind != "f":
-            top = int(a.max(initial=0))
-            a = a.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
-        code = "f" if a.dtype.kind == "f" else str(a.dtype.itemsize)
-        planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes()
-        out.append(code.encode() + len(a).to_bytes(8, "little") + planes)
-    return zstandard.compress(b"".join(out), 3)
+    """Integer (0 or more) or float arrays as one compressed value."""
+    return zstandard.compress(b"".join(map(_laid_out, arrays)), 3)
+
+
+def _laid_out(a: np.ndarray) -> bytes:
+    """One array, bytes of equal weight together: rising integers by their steps, floats
+    with many repeats by their distinct values."""
+    size, rising = len(a).to_bytes(8, "little"), False
+    if a.dtype.kind == "f":
+        values, which = np.unique(a, return_inverse=True) if len(a) > 64 else (a, None)
+        if len(values) * 2 < len(a):
+            return b"v" + size + _laid_out(values) + _laid_out(which)
+        code = b"f"
+    else:
+        rising = len(a) > 1 and bool((a[1:] >= a[:-1]).all())
+        if rising:
+            a = np.diff(a, prepend=a.dtype.type(0))
+        top = int(a.max(initial=0))
+        a = a.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
+        code = bytes([(b"a" if rising else b"0")[0] + a.dtype.itemsize])
+    return code + size + np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes()
 
 
 def unpack(value: bytes) -> list[np.ndarray]:
     raw, at, out = zstandard.decompress(value), 0, []
     while at < len(raw):
-        code, n = raw[at : at + 1], int.from_bytes(raw[at + 1 : at + 9], "little")
-        width = 8 if code == b"f" else int(code)
-        planes = np.frombuffer(raw, np.uint8, n * width, at + 9).reshape(width, n)
-        kind = np.float64 if code == b"f" else {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.uint64}[width]
-        a = np.ascontiguousarray(planes.T).view(kind).reshape(n)
-        out.append(a if code == b"f" else a.astype(np.int64 if a.max(initial=0) >> 31 else np.int32))
-        at += 9 + n * width
+        a, at = _read(raw, at)
+        out.append(a)
     return out
 
 
+def _read(raw: bytes, at: int) -> tuple[np.ndarray, int]:
+    """The array that begins at a place of ``raw``, and where the next begins."""
+    code, n = raw[at], int.from_bytes(raw[at + 1 : at + 9], "little")
+    at += 9
+    if code == b"v"[0]:
+        values, at = _read(raw, at)
+        which, at = _read(raw, at)
+        return values[which], at
+    rising = b"a"[0] < code <= b"a"[0] + 8 and code != b"f"[0]
+    width = 8 if code == b"f"[0] else code - (b"a" if rising else b"0")[0]
+    planes = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n)
+    kind = np.float64 if code == b"f"[0] else {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.uint64}[width]
+    a = np.ascontiguousarray(planes.T).view(kind).reshape(n)
+    if rising:
+        a = np.cumsum(a, dtype=np.int64)
+    return a if code == b"f"[0] else a.astype(np.int64 if a.max(initial=0) >> 31 else np.int32), at + n * width
+
+
+def _order(*keys: np.ndarray) -> np.ndarray:
+    """The order of rows by the keys, the first above all: sorted as one number where
+    their bits fit into one."""
+    bits = [int(k.max(initial=0)).bit_length() for k in keys]
+    if sum(bits) > 63:
+        return np.lexsort(keys[::-1])
+    whole = keys[0].astype(np.int64)
+    for k, n in zip(keys[1:], bits[1:]):
+        whole = whole << n | k
+    return np.argsort(whole)
+
+
 # --- the model -------------------------------------------------------------------
 
 
@@ -189,30 +233,35 @@ class _Block:
     """Tokens of texts, or of parts of long texts."""
 
     def __init__(self):
-        self.stream: list[bytes] = []
+        self.stream: list[pa.Array] = []
         self.starts: list[int] = []
+        self.size = 0
         self.rows: list[int] = []
         self.ids: list[int | None] = []
         self.held_out: list[bool] = []
         self.lead: list[int] = []
 
     def add(self, row: int, doc_id: int | None, held_out: bool, before: list[bytes], tokens: list[bytes]) -> None:
-        self.starts.append(len(self.stream))
+        self.starts.append(self.size)
         self.rows.append(row)
         self.ids.append(doc_id)
         self.held_out.append(held_out)
         self.lead.append(len(before))
-        self.stream += before
-        self.stream += tokens
+        self.stream.append(pa.array(before + tokens, pa.binary()))
+        self.size += len(self.stream[-1])
 
     def coded(self, block: int, buckets: int) -> pa.RecordBatch:
-        coded = pa.array(self.stream, pa.binary()).dictionary_encode()
+        coded = pa.concat_arrays(self.stream).dictionary_encode()
         words = coded.dictionary.to_pylist()
-        bucket = np.array([zlib.crc32(w) % buckets for w in words])
-        order = np.array(sorted(range(len(words)), key=lambda i: (bucket[i], words[i])))
+        bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+        indices = coded.indices.to_numpy()
+        alphabet = np.empty(len(words), np.int64)
+        alphabet[pc.sort_indices(coded.dictionary).to_numpy()] = np.arange(len(words))
+        times = np.bincount(indices, minlength=len(words))
+        order = _order(bucket, times.max(initial=0) - times, alphabet)
         place = np.empty(len(words), np.int64)
         place[order] = np.arange(len(words))
-        stream = place[coded.indices.to_numpy()]
+        stream = place[indices]
         starts = np.array(self.starts)
         sizes = np.diff(np.append(starts, len(stream)))
         held_out = np.array(self.held_out, np.int64)
@@ -220,6 +269,7 @@ class _Block:
         counted = np.repeat(held_out == 0, sizes) & (_offsets(sizes) >= np.repeat(lead, sizes))
         counts = np.bincount(stream[counted], minlength=len(words))
         cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        lengths = np.diff(np.append(cuts, len(words)))
         lists = [
             {
                 "bucket": int(bucket[order[s]]),
@@ -231,7 +281,7 @@ class _Block:
         value = {
             "block": block,
             "lists": lists,
-            "stream": pack(stream, sizes, held_out, lead),
+            "stream": pack(_dealt(stream, lengths), sizes, held_out, lead, bucket[order[cuts]], lengths),
             "rows": self.rows,
             "ids": self.ids,
         }
@@ -243,6 +293,20 @@ def _offsets(sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
+def _dealt(places: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Places in lists of these lengths, one after the other, as smaller numbers for what
+    comes first in any list: frequent words have small numbers, which packs better."""
+    ends = np.cumsum(lengths)
+    own = np.searchsorted(ends, np.arange(int(lengths.sum())), side="right")
+    return ((np.arange(len(own)) - (ends - lengths)[own]) * len(lengths) + own)[places]
+
+
+def _gathered(dealt: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places that ``_dealt`` made these numbers of."""
+    within, own = np.divmod(dealt, max(1, len(lengths)))
+    return (np.cumsum(lengths) - lengths)[own] + within
+
+
 def _blocks(docs: DataFrame, buckets: int, block_tokens: int, order: int) -> DataFrame:
     """Coded blocks of rows (row, doc_id, text, held_out).  ``row`` numbers the rows by
     partition, in its upper bits, and place; blocks are numbered alike."""
@@ -255,7 +319,7 @@ def _blocks(docs: DataFrame, buckets: int, block_tokens: int, order: int) -> Dat
                 for tokens in segments(text.as_py()):
                     block.add(row.as_py(), doc_id.as_py(), held_out.as_py(), before, tokens)
                     before = [*before, *tokens[-order + 1 :]][-order + 1 :]
-                    if len(block.stream) >= block_tokens:
+                    if block.size >= block_tokens:
                         yield block.coded((block.rows[0] >> 33 << 33) + done, buckets)
                         block, done = _Block(), done + 1
         if block.rows:
@@ -280,7 +344,7 @@ _ANSWERS_ARROW = pa.schema(
 
 
 def _answer_words(rows: pa.Table, buckets: int, tables: bool) -> pa.Table:
-    """Numbers and counts of the words of one bucket, for each block; and a row (block
+    """Places and counts of the words of one bucket, for each block; and a row (block
     is null) with the bucket's own sums and, for ``tables``, its words."""
     rows = rows.sort_by("block")
     bucket = rows["bucket"][0].as_py()
@@ -288,22 +352,25 @@ def _answer_words(rows: pa.Table, buckets: int, tables: bool) -> pa.Table:
     coded = pa.array([w for own in lists for w in own], pa.binary()).dictionary_encode()
     code = coded.indices.to_numpy()
     counts = np.concatenate([unpack(v)[0] for v in rows["counts"].to_pylist()])
-    total = np.zeros(len(coded.dictionary), np.int64)
-    np.add.at(total, code, counts)
-    number = np.arange(len(total)) * buckets + bucket
+    total = np.bincount(code, counts, len(coded.dictionary)).astype(np.int64)
+    # Frequent words get small numbers, which pack better.
+    order = np.argsort(-total, kind="stable")
+    place = np.empty(len(total), np.int64)
+    place[order] = np.arange(len(total))
     out, at = [], 0
     for block, own in zip(rows["block"].to_pylist(), lists):
         part = code[at : at + len(own)]
-        out.append({"block": block, "bucket": bucket, "answer": pack(number[part], total[part])})
+        out.append({"block": block, "bucket": bucket, "answer": pack(place[part], total[part])})
         at += len(own)
     end = coded.dictionary.index(_END).as_py()
     texts = int(total[end]) if end >= 0 else 0
     small = [int((total == r).sum()) for r in range(1, K + 2)]
     start = coded.dictionary.index(_START).as_py()
-    start = int(start * buckets + bucket) if start >= 0 else -1
+    start = int(place[start] * buckets + bucket) if start >= 0 else -1
     own_sums = {"block": None, "bucket": bucket, "sums": [int(total.sum()), int((total > 0).sum()), texts, *small, start]}
     if tables:
-        own_sums |= {"words": zstandard.compress(_PART.join(coded.dictionary.to_pylist()), 3), "counts": pack(total)}
+        words = coded.dictionary.take(pa.array(order)).to_pylist()
+        own_sums |= {"words": zstandard.compress(_PART.join(words), 3), "counts": pack(total[order])}
     return pa.Table.from_pylist([*out, own_sums], _ANSWERS_ARROW)
 
 
@@ -330,6 +397,13 @@ def _mix(a: np.ndarray) -> np.ndarray:
     return (a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
 
 
+def _ranks(values: np.ndarray) -> np.ndarray:
+    """The place of each value among all of them in order."""
+    out = np.empty(len(values), np.int64)
+    out[np.argsort(values)] = np.arange(len(values))
+    return out
+
+
 def _changes(*keys: np.ndarray) -> np.ndarray:
     """Whether a row differs from the one before in any of the keys."""
     new = np.ones(len(keys[0]), bool)
@@ -358,49 +432,71 @@ class Sizes:
 
 
 class _Walk:
-    """The tokens of a block, with the numbers, counts and probabilities of the n-grams
-    that end at each, level by level."""
-
-    def __init__(self, block: pa.Table, answers: list[list[bytes]], uni: Unigrams):
-        self.stream, self.sizes, self.held_out, lead = unpack(block["stream"][0].as_py())
-        self.offset = _offsets(self.sizes)
-        self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        self.scored = self.offset >= lead[self.doc]
-        self.counted = self.scored & (self.held_out[self.doc] == 0)
+    """The tokens of a block, with the probabilities of the n-grams that end at each,
+    level by level.  ``local`` numbers the block's distinct n-grams of the level so far
+    (one of them for each token); ``id`` has their numbers in the whole corpus, ``count``
+    their training counts, ``under`` the denominators of their contexts.  ``known`` has
+    the training counts of the block's words."""
+
+    def __init__(self, block: pa.Table, answers: list[list[bytes]], uni: Unigrams, buckets: int = 1):
+        stream, self.sizes, self.held_out, lead, bucket, lengths = unpack(block["stream"][0].as_py())
+        # Arrays of all tokens are kept as small as they can be.
+        self.word = _gathered(stream, lengths).astype(np.int32)
+        self.offset = _offsets(self.sizes).astype(np.int32)
+        self.scored = self.offset >= np.repeat(lead, self.sizes)
+        self.counted = self.scored & np.repeat(self.held_out == 0, self.sizes)
         parts = [unpack(v) for v in answers[0]]
-        self.number = np.concatenate([p[0] for p in parts])[self.stream].astype(np.int64)
-        self.known = np.concatenate([p[1] for p in parts])[self.stream].astype(np.int64)
-        self.id, self.level = self.number, 1
-        self.p = uni.probability(self.known)
+        self.number = np.concatenate([p[0].astype(np.int64) * buckets + k for p, k in zip(parts, bucket.tolist())])
+        counts = np.concatenate([p[1] for p in parts]).astype(np.int64)
+        self.rank = _ranks(self.number)
+        self.known = counts
+        self.local, self.id, self.level = self.word, self.number, 1
+        self.p = uni.probability(counts)[self.word]
         # The start symbol is no training token; it comes before every training text.
-        self.count = np.where(self.number == uni.start, uni.texts, self.known)
+        self.count = np.where(self.number == uni.start, uni.texts, counts)
+        self.under = np.full(len(counts), uni.total)
 
     def ask(self, sizes: Sizes) -> None:
         """Gather the distinct n-grams of the next level, by bucket, context and word."""
         self.level += 1
-        self.at = np.flatnonzero(self.offset >= self.level - 1)
-        a, b, c = self.id[self.at - 1], self.number[self.at], self.count[self.at - 1]
-        splits = np.maximum(1, -(-c // sizes.hot)).astype(np.uint64)
-        bucket = ((_mix(a) + _mix(b) % splits) % np.uint64(sizes.buckets)).astype(np.int64)
-        order = np.lexsort((b, a, bucket))
+        self.at = np.flatnonzero(self.offset >= self.level - 1).astype(np.int32)
+        a, b = self.local[self.at - 1], self.word[self.at]
+        splits = np.maximum(1, -(-self.count // sizes.hot))
+        bucket = (_mix(self.id) % np.uint64(sizes.buckets)).astype(np.int32)[a]
+        if len(hot := np.flatnonzero(splits[a] > 1)):
+            bucket[hot] = (bucket[hot] + _mix(self.number).astype(np.int64)[b[hot]] % splits[a[hot]]) % sizes.buckets
+        order = _order(bucket, _ranks(self.id)[a], self.rank[b])
         new = _changes(bucket[order], a[order], b[order])
-        self.place = np.empty(len(order), np.int64)
-        self.place[order] = np.cumsum(new) - 1
+        self.place = np.empty(len(order), np.int32)
+        self.place[order] = np.cumsum(new, dtype=np.int32) - 1
         first = order[new]
-        self.a, self.b, self.c, self.bucket = a[first], b[first], c[first], bucket[first]
-        self.lower = self.p[self.at[first]]
-        self.trained = np.bincount(self.place[self.counted[self.at]], minlength=len(first))
+        del order, new
+        self.first, self.bucket = self.at[first], bucket[first]
+        self.a, self.c = self.id[a[first]], self.count[a[first]]
         self.context = _changes(self.bucket, self.a)
 
-    def asked(self, block: int) -> pa.Table:
+    @property
+    def b(self) -> np.ndarray:
+        """The last words of the n-grams that are asked for."""
+        return self.number[self.word[self.first]]
+
+    @property
+    def trained(self) -> np.ndarray:
+        """Their training counts in this block."""
+        return np.bincount(self.place[self.counted[self.at]], minlength=len(self.first))
+
+    def asked(self, block: int, hot: int) -> pa.Table:
+        """What the buckets need; of the probability one level below, for n-grams that
+        were seen, the count and the denominator."""
+        b, trained, own = self.b, self.trained, self.local[self.first]
+        below, over = np.where(trained > 0, self.count[own], 0), self.under[own]
         out, cut = [], np.flatnonzero(_changes(self.bucket))
         for s, e in zip(cut, np.append(cut[1:], len(self.a))):
             new = np.flatnonzero(self.context[s:e])
-            # Few different values, as n-grams that were seen have small counts.
-            values, which = np.unique(np.where(self.trained[s:e] > 0, self.lower[s:e], 0.0), return_inverse=True)
+            c = self.c[s:e][new]
             value = pack(
-                np.diff(self.a[s:e][new], prepend=0), np.diff(np.append(new, e - s)), self.c[s:e][new],
-                self.b[s:e], self.trained[s:e], values, which,
+                self.a[s:e][new], np.diff(np.append(new, e - s)), np.where(c > hot, c, 0), over[s:e][new],
+                b[s:e], trained[s:e], below[s:e],
             )
             out.append({"bucket": int(self.bucket[s]), "block": block, "value": value})
         return pa.Table.from_pylist(out, _ASKED_ARROW)
@@ -409,84 +505,102 @@ class _Walk:
         """Take in the answers (by bucket) to what was asked."""
         if not len(self.a):
             return
+        own, c = self.a[self.context], self.c[self.context]
+        context = np.cumsum(self.context, dtype=np.int32) - 1
+        buckets = self.bucket[np.flatnonzero(_changes(self.bucket))].tolist()
+        lower = self.p[self.first]
+        del self.a, self.c, self.context, self.bucket, self.first
         parts = [unpack(v) for v in answers]
-        count = np.concatenate([p[0] for p in parts]).astype(np.int64)
-        low = np.concatenate([np.stack(p[2 : 2 + K], 1) for p in parts])
-        high, total, mass = (np.concatenate([p[k] for p in parts]) for k in (2 + K, 3 + K, 4 + K))
-        own = self.a[self.context]
+        flags = np.concatenate([p[2] for p in parts])
+        low = np.concatenate([np.stack(p[3 : 3 + K], 1) for p in parts])
+        high, mass = (np.concatenate([p[k] for p in parts]) for k in (3 + K, 4 + K))
+        total, backs = c + flags % 2, flags >= 2
+        weight = np.ones(len(own))
         with np.errstate(invalid="ignore", divide="ignore"):
-            weight = backoff_weights(level.factors, low, high, total, mass)
-        split = np.flatnonzero(self.c[self.context] > sizes.hot)
+            weight[backs] = backoff_weights(level.factors, low, high, total[backs], mass)
+        split = np.flatnonzero(c > sizes.hot)
         if len(split):
             weight[split] = level.weights[np.searchsorted(level.split, own[split])]
-        weight[self.c[self.context] == 0] = 1.0
-        context = np.cumsum(self.context) - 1
-        seen = level.factors[np.where(count <= K, count, 0)] * count / np.maximum(total[context], 1)
-        p = np.where(count > 0, seen, weight[context] * self.lower)
+        del own, c, flags, low, high, mass
+        count = np.concatenate([p[0] for p in parts])
+        under = np.maximum(total, 1)[context]
+        p = weight[context] * lower
+        seen = np.flatnonzero(count > 0)
+        p[seen] = level.factors[np.where(count <= K, count, 0)[seen]] * count[seen] / under[seen]
         self.p[self.at] = p[self.place]
         if len(parts[0][1]):
-            bucket = self.bucket[np.flatnonzero(_changes(self.bucket))]
-            ids = np.concatenate([np.cumsum(p[1]) * sizes.buckets + k for p, k in zip(parts, bucket)])
-            self.id, self.count = np.zeros(len(self.p), np.int64), np.zeros(len(self.p), np.int64)
-            self.id[self.at], self.count[self.at] = ids[self.place], count[self.place]
-
-
-def _walked(block: pa.Table, answers: pa.Table, uni: Unigrams, levels: list[Level], sizes: Sizes) -> _Walk:
-    """The block with all levels so far taken in."""
-    answers = answers.sort_by([("level", "ascending"), ("bucket", "ascending")])
-    level, values = answers["level"].to_numpy(), answers["answer"].to_pylist()
-    by_level = [[values[k] for k in np.flatnonzero(level == n)] for n in range(1, len(levels) + 2)]
-    walk = _Walk(block, by_level, uni)
-    for own, known in zip(by_level[1:], levels):
+            self.id = np.concatenate([p[1].astype(np.int64) * sizes.buckets + k for p, k in zip(parts, buckets)])
+            self.count, self.under, self.local = count.astype(np.int64), under, np.zeros(len(self.p), np.int32)
+            self.local[self.at] = self.place
+        del self.at, self.place
+
+
+def _walked(block: pa.Table, uni: Unigrams, levels: list[Level], sizes: Sizes) -> _Walk:
+    """The block with the answers of all levels so far taken in."""
+    words, *grams = block["answers"][0].as_py()
+    walk = _Walk(block, [words], uni, sizes.buckets)
+    for own, known in zip(grams, levels):
         walk.ask(sizes)
         walk.learn(own, known, sizes)
     return walk
 
 
-def _answer_grams(rows: pa.Table, level: int, sizes: Sizes, last: bool, tables: bool) -> pa.Table:
-    """Counts of the n-grams of one bucket of contexts, for each block, and its sums."""
+def _each_block(work: Callable[[pa.Table], pa.Table]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield from work(pa.Table.from_batches([batch.slice(k, 1)])).to_batches()
+
+    return run
+
+
+def _answer_grams(rows: pa.Table, level: int, sizes: Sizes, last: bool, tables: bool, factors: np.ndarray) -> pa.Table:
+    """Counts of the n-grams of one bucket of contexts, for each block, and its sums;
+    ``factors`` are the discounts of the level below."""
     rows = rows.sort_by("block")
     bucket = rows["bucket"][0].as_py()
-    columns: list[list[np.ndarray]] = [[] for _ in range(5)]
+    columns: list[list[np.ndarray]] = [[] for _ in range(6)]
     edges, contexts_of = [0], []
     for value in rows["value"]:
-        step, size, c, b, trained, values, which = unpack(value.as_py())
-        a = np.repeat(np.cumsum(step.astype(np.int64)), size)
-        for part, x in zip(columns, (a, np.repeat(c, size), b, trained, values[which])):
+        a, size, c, over, b, trained, below = unpack(value.as_py())
+        for part, x in zip(columns, (np.repeat(a, size), np.repeat(c, size), np.repeat(over, size), b, trained, below)):
             part.append(x)
         edges.append(edges[-1] + len(b))
         contexts_of.append(size)
-    a, c, b, trained, lower = (np.concatenate(columns.pop(0)) for _ in range(5))
+    a, c, over, b, trained, below = (np.concatenate(columns.pop(0)) for _ in range(6))
 
-    order = np.lexsort((b, a))
-    new = _changes(a[order], b[order])
+    order = _order(a, b)
+    a, b = a[order], b[order]
+    new = _changes(a, b)
     first = np.flatnonzero(new)
     which = np.empty(len(a), np.int64)
     which[order] = np.cumsum(new) - 1
     count = np.add.reduceat(trained[order], first, dtype=np.int64)
-    own = np.maximum.reduceat(lower[order], first)
-    a, b, c = (x[order][first] for x in (a, b, c))
-    del order, trained, lower
+    below = np.maximum.reduceat(below[order], first)
+    a, b, c, over = a[first], b[first], c[order[first]], over[order[first]]
+    own = factors[np.where(below <= K, below, 0)] * below / over
+    del order, trained, below, over
     new = _changes(a)
     context = np.cumsum(new) - 1
     n = int(context[-1]) + 1
-    a1, c1 = a[new], c[new]
+    a1, c1 = a[new], c[new].astype(np.int64)
+    split = c1 > 0
+    # All occurrences of a context that is not split are here.
+    c1 = np.where(split, c1, np.bincount(context, count, n).astype(np.int64))
     low = np.stack([np.bincount(context[count == r], minlength=n) for r in range(1, K + 1)], 1)
     high = np.bincount(context, np.where(count > K, count, 0), n).astype(np.int64)
     mass = np.bincount(context, np.where(count > 0, own, 0.0), n)
     total = denominators(c1, low.any(1))  # of split contexts too: they are over SURE
-    split, out = c1 > sizes.hot, []
+    out = []
     for k, (block, size) in enumerate(zip(rows["block"].to_pylist(), contexts_of)):
         mine = which[edges[k] : edges[k + 1]]
         start = np.cumsum(size) - size
         used = context[mine[start]]
         # The sums are needed where the block backs off.
-        backs = np.add.reduceat(count[mine] == 0, start) > 0
-        backs &= ~split[used]
-        ids = np.zeros(0, np.int64) if last else np.diff(mine, prepend=0)
-        value = pack(
-            count[mine], ids, *(low[used] * backs[:, None]).T, high[used] * backs, total[used], mass[used] * backs
-        )
+        backs = (np.add.reduceat(count[mine] == 0, start) > 0) & ~split[used] & (c1[used] > 0)
+        ids = np.zeros(0, np.int64) if last else mine
+        needed = used[backs]
+        value = pack(count[mine], ids, (total - c1)[used] + 2 * backs, *low[needed].T, high[needed], mass[needed])
         out.append({"level": level, "bucket": bucket, "block": block, "answer": value})
     sums = {"level": level, "bucket": bucket, "sums": [int((count == r).sum()) for r in range(1, K + 2)]}
     if split.any():
@@ -495,22 +609,22 @@ def _answer_grams(rows: pa.Table, level: int, sizes: Sizes, last: bool, tables:
         known, full = count > 0, (c1 > 0) & ~split
         sums["grams"] = pack(a[known], b[known], count[known])
         sums["ids"] = pack(np.flatnonzero(known) * sizes.buckets + bucket)
-        sums["contexts"] = pack(a1[full], *low[full].T, high[full], total[full], mass[full])
+        sums["contexts"] = pack(a1[full], *low[full].T, high[full], mass[full])
     return pa.Table.from_pylist([*out, sums], _FOUND_ARROW)
 
 
-def _asker(uni: Unigrams, levels: list[Level], sizes: Sizes) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    def ask(block: pa.Table, answers: pa.Table) -> pa.Table:
-        walk = _walked(block, answers, uni, levels, sizes)
+def _asker(uni: Unigrams, levels: list[Level], sizes: Sizes) -> Callable[[pa.Table], pa.Table]:
+    def ask(block: pa.Table) -> pa.Table:
+        walk = _walked(block, uni, levels, sizes)
         walk.ask(sizes)
-        return walk.asked(block["block"][0].as_py())
+        return walk.asked(block["block"][0].as_py(), sizes.hot)
 
     return ask
 
 
-def _answerer(level: int, sizes: Sizes, last: bool, tables: bool) -> Callable[[pa.Table], pa.Table]:
+def _answerer(level: int, sizes: Sizes, last: bool, tables: bool, factors: np.ndarray) -> Callable[[pa.Table], pa.Table]:
     def answer(rows: pa.Table) -> pa.Table:
-        return _answer_grams(rows, level, sizes, last, tables)
+        return _answer_grams(rows, level, sizes, last, tables, factors)
 
     return answer
 
@@ -518,7 +632,7 @@ def _answerer(level: int, sizes: Sizes, last: bool, tables: bool) -> Callable[[p
 def _fit_level(found: DataFrame) -> Level:
     """Discounts, from the sums of all buckets, and the weights of the split contexts;
     their parts, which come to the driver, are less than ``SPLIT_BUCKETS`` times 16."""
-    sums = found.filter("block is null").select([F.sum(F.col("sums")[k]) for k in range(K + 1)]).first()
+    sums = found.select([F.sum(F.col("sums")[k]) for k in range(K + 1)]).first()
     factors, parts = discounts([int(x or 0) for x in sums]), {}
     for r in found.filter("split is not null").select("bucket", "split").orderBy("bucket").collect():
         a1, *rest = unpack(bytes(r["split"]))
@@ -532,15 +646,16 @@ def _fit_level(found: DataFrame) -> Level:
     return Level(factors, split, backoff_weights(factors, x[:, :K], x[:, K], x[:, K + 1], x[:, K + 2]))
 
 
-# --- 4: sums of the documents ----------------------------------------------------
+# --- 4: tables between the levels, and sums of the documents ----------------------------------------------------
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _SCORES = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 def _complete(block: pa.Table, walk: _Walk, uni: Unigrams) -> pa.Table:
     """Sums of the documents, or parts of documents, of one block."""
-    doc, n = walk.doc[walk.scored], len(walk.sizes)
-    known = walk.known[walk.scored]
+    n = len(walk.sizes)
+    doc, known = np.repeat(np.arange(n), walk.sizes)[walk.scored], walk.known[walk.word][walk.scored]
     return pa.table(
         {
             "row": pa.array(block["rows"][0].as_py(), pa.int64()),
@@ -554,6 +669,41 @@ def _complete(block: pa.Table, walk: _Walk, uni: Unigrams) -> pa.Table:
     )
 
 
+#: The answers to a block: a list for each level, by bucket.
+_TOLD = "array<array<binary>>"
+
+
+def _told(blocks: DataFrame, found: DataFrame) -> DataFrame:
+    """Blocks with the answers of one more level."""
+    answers = found.filter("block is not null").groupBy(F.col("block").alias("for")).agg(
+        F.sort_array(F.collect_list(F.struct("bucket", "answer"))).getField("answer").alias("more")
+    )
+    more = F.array(F.coalesce("more", F.array().cast("array<binary>")))
+    joined = blocks.join(answers, F.col("block") == F.col("for"), "left")
+    return joined.select("block", "stream", "rows", "ids", F.concat("answers", more).alias("answers"))
+
+
+def _stored(df: DataFrame, name: str, *parts: str) -> tuple[DataFrame, str]:
+    """``df`` written to a new table in the shared folder and read back, and its path.
+    The files of its shuffles go when it is written, not when the driver next runs out
+    of memory."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.partitionBy(*parts).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def _delete(spark: SparkSession, *paths: str) -> None:
+    """Delete tables, or parts of them, that nothing reads any more."""
+    for path in paths:
+        fs, at = file_system(spark, path)
+        fs.delete(at, True)
+
+
 @dataclass
 class KatzModel:
     """Fitted sums, beside the tables; ``levels`` begins with the pairs."""
@@ -573,8 +723,10 @@ def _write_level(found: DataFrame, n: int, level: Level, tables: str) -> None:
         for batch in batches:
             out = []
             for value in batch["contexts"]:
-                a, *rest = unpack(value.as_py())
-                out.append(pack(a, backoff_weights(level.factors, np.stack(rest[:K], 1), *rest[K:])))
+                a, *low, high, mass = unpack(value.as_py())
+                low = np.stack(low, 1)
+                total = denominators(low @ np.arange(1, K + 1) + high, low.any(1))
+                out.append(pack(a, backoff_weights(level.factors, low, high, total, mass)))
             yield pa.RecordBatch.from_arrays([batch["bucket"], pa.array(out, pa.binary())], ["bucket", "value"])
 
     kept = rows.select("bucket", "contexts").mapInArrow(weights, "bucket int, value binary")
@@ -617,13 +769,13 @@ def katz_scores(
         column(text).alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
     )
-    blocks = stored(_blocks(rows, buckets, block_tokens, order), "blocks")
+    blocks, at = _stored(_blocks(rows, buckets, block_tokens, order), "blocks")
 
     def answer_words(table: pa.Table) -> pa.Table:
         return _answer_words(table, buckets, keep)
 
     lists = blocks.select("block", F.inline("lists")).repartition(tasks, "bucket")
-    words = stored(lists.groupBy("bucket").applyInArrow(answer_words, _ANSWERS), "words")
+    words, words_at = _stored(lists.groupBy("bucket").applyInArrow(answer_words, _ANSWERS), "words")
     own = words.filter("block is null")
     sums = own.select(*[F.sum(F.col("sums")[k]) for k in range(4 + K)], F.max(F.col("sums")[4 + K])).first()
     sums = [int(x or 0) for x in sums]
@@ -632,22 +784,28 @@ def katz_scores(
     if keep:
         own.select("bucket", "words", "counts").write.partitionBy("bucket").parquet(f"{tables}/unigrams")
 
-    told = words.filter("block is not null").select("block", F.lit(1).alias("level"), "bucket", "answer")
-    left = blocks.select("block", "stream", "rows", "ids").repartition(tasks, "block").groupBy("block")
+    told = _told(blocks.select("block", "stream", "rows", "ids", F.array().cast(_TOLD).alias("answers")), words)
     levels: list[Level] = []
     for n in range(2, order + 1):
-        asked = left.cogroup(told.repartition(tasks, "block").groupBy("block")).applyInArrow(_asker(uni, list(levels), sizes), _ASKED)
-        found = asked.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_answerer(n, sizes, n == order, keep), _FOUND)
-        found = stored(found, f"grams_{n}")
-        levels.append(_fit_level(found))
+        # All that the next levels need is in this one table.
+        state, state_at = _stored(told, f"blocks_{n}")
+        _delete(spark, at, words_at)
+        asked = state.select("block", "stream", "answers").mapInArrow(_each_block(_asker(uni, list(levels), sizes)), _ASKED)
+        below = levels[-1].factors if levels else uni.factors
+        found = asked.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_answerer(n, sizes, n == order, keep, below), _FOUND)
+        found, found_at = _stored(found.withColumn("own", F.col("block").isNull()), f"grams_{n}", "own")
+        own = found.filter("own")
+        levels.append(_fit_level(own))
         if keep:
-            _write_level(found, n, levels[-1], tables)
-        told = told.union(found.filter("block is not null").select("block", "level", "bucket", "answer"))
+            _write_level(own, n, levels[-1], tables)
+        _delete(spark, f"{found_at}/own=true")
+        told = _told(state, found.filter("not own"))
+        at, words_at = state_at, found_at
 
-    def complete(block: pa.Table, answers: pa.Table) -> pa.Table:
-        return _complete(block, _walked(block, answers, uni, levels, sizes), uni)
+    def complete(block: pa.Table) -> pa.Table:
+        return _complete(block, _walked(block, uni, levels, sizes), uni)
 
-    done = left.cogroup(told.repartition(tasks, "block").groupBy("block")).applyInArrow(complete, _SCORES)
+    done = told.mapInArrow(_each_block(complete), _SCORES)
     done = done.groupBy("row", "doc_id", "held_out").agg(
         *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
     )

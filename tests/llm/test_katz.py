@@ -1,4 +1,5 @@
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -154,6 +155,33 @@ def test_packing():
         assert (a == b).all()
 
 
+def test_rising_numbers_and_repeated_floats_pack_small():
+    random_ = np.random.default_rng(1)
+    ids = np.cumsum(random_.integers(1, 40, 10000)) * 24 + 7
+    floats = random_.random(100)[random_.integers(0, 100, 10000)]
+    a, b = unpack(pack(ids, floats))
+    assert (a == ids).all() and (b == floats).all()
+    assert len(pack(ids)) < 12000 and len(pack(floats)) < 12000
+
+
+def test_one_level_is_kept_on_disk(spark, tmp_out):
+    from loanframe.sources.files import _scratch_dir
+
+    kept, folder = _scratch_dir(spark).removeprefix("file:"), tmp_out("katz")
+    before = set(os.listdir(kept)) if os.path.isdir(kept) else set()
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(setting)
+    out, _ = katz_scores(spark.createDataFrame(_docs(4), "doc_id long, text string"), F.lit(False), tables=folder)
+    new = set(os.listdir(kept)) - before - {os.path.basename(folder)}
+    assert sorted(n.rsplit("-", 1)[0] for n in new) == ["blocks_3", "grams_3"]
+    assert not any(os.path.isdir(f"{kept}/{n}/own=true") for n in new)
+    assert spark.conf.get(setting) == was
+    assert out.count() == len(_docs(4))  # reads what is left
+    for r in spark.read.parquet(f"{folder}/unigrams").collect():
+        counts = unpack(bytes(r.counts))[0]
+        assert (counts[1:] <= counts[:-1]).all()  # frequent words have small numbers
+
+
 def test_discounts_fall_back_to_half_a_count():
     assert discounts([9, 0, 1, 1, 1, 1])[1] == 0.5
     good = discounts([1000, 400, 230, 150, 110, 85])
