@@ -106,7 +106,10 @@ def read_raw_csv(
         spread = partitions
         if spread is None and any(f.lower().endswith(_UNSPLITTABLE) for f in df.inputFiles()):
             spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        added = [F.col(corrupt_column)] if corrupt_column else []
+        # Spark refuses queries of raw files that use the corrupt column alone, so it is
+        # read together with another one; the condition always holds.
+        read = F.coalesce(F.length(named(header[0])), F.lit(0)) >= 0
+        added = [F.when(read, F.col(corrupt_column)).alias(corrupt_column)] if corrupt_column else []
         added += [F.col("_metadata.file_path").alias(file_column)] if file_column else []
         df = df.select(*[named(c) for c in wanted], *added)
         parts.append(df.repartition(spread) if spread else df)
