@@ -805,7 +805,8 @@ def katz_scores(
     def complete(block: pa.Table) -> pa.Table:
         return _complete(block, _walked(block, uni, levels, sizes), uni)
 
-    done = told.mapInArrow(_each_block(complete), _SCORES)
+    # A group is one block, so that a task has one at a time in memory.
+    done = told.groupBy("block").applyInArrow(complete, _SCORES)
     done = done.groupBy("row", "doc_id", "held_out").agg(
         *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
     )
