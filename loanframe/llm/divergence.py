@@ -15,8 +15,9 @@ compared over the intersections of their runs: f of the two counts, times the le
 Columns are cut into blocks (:data:`BLOCK_RUNS` runs), whose sums add up, so no task
 ever holds a whole vocabulary or a whole source.
 
-What is shuffled: counts by (language, source, term), summed in the tasks first; one row
-per kept term; the entries; the blocks.  A source or a term that holds a third of all
+What is shuffled: one row per language and term from each :data:`HELD_WORDS` words of a
+task, with its counts by source; the entries; the blocks.  All counts of a term meet in
+one partition, so sums and kept terms need no other shuffle.  A source or a term that holds a third of all
 text is a sum in every task.  Blocks times sources of a language rows say which columns
 meet, and the sources of one language are compared in pairs, as the result asks: their
 number (some hundreds of labels, not pages or hosts) is what this operator assumes to be
@@ -31,16 +32,18 @@ Equal values rank by the item's UTF-8 bytes.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import column, ship_package, stored
-from .words import LETTERS, byte_texts, word_blocks
+from .words import BLOCK, LETTERS, byte_texts, word_blocks
 
 #: A kept term occurs in so many documents of the language.
 MIN_DOCS = 3
@@ -50,73 +53,127 @@ TOP = 200
 SCALE = 1_000_000_000
 #: A block of columns ends after so many runs.
 BLOCK_RUNS = 1 << 17
-#: A task hands on its partial counts when it holds so many.
-HELD_COUNTS = 200_000
+#: A task hands on its partial counts when it holds so many words.
+HELD_WORDS = 1 << 21
+#: Rows that a task hands on at once.
+SENT_ROWS = 1 << 14
+#: Counts below this, times SCALE, fit in 64 bits.
+LONG_COUNT = 9_000_000_000
+
+
+def _partial_rows(lang: str, terms: pa.Array, offsets, sources: pa.Array, n, docs) -> Iterator[pa.RecordBatch]:
+    """Rows ``(lang, term, cells)``; the cells of row i are those from ``offsets[i]`` on."""
+    kinds = pa.struct([("source", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
+    cells = pa.StructArray.from_arrays([sources, pa.array(n, pa.int64()), pa.array(docs, pa.int64())], fields=list(kinds))
+    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), cells)
+    langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(terms), np.int64)))
+    out = pa.RecordBatch.from_arrays([langs, terms.cast(pa.string()), lists], ["lang", "term", "cells"])
+    for at in range(0, out.num_rows, SENT_ROWS):
+        yield out.slice(at, SENT_ROWS)
+
+
+class _Held:
+    """The words of some documents of one language, as numbers in the order they were met."""
+
+    def __init__(self) -> None:
+        self.numbers: defaultdict[bytes, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
+        self.words: list[np.ndarray] = []
+        self.sources: list[str] = []
+        self.docs: dict[str, int] = {}
+
+    def add(self, source: str, words: list[bytes]) -> None:
+        self.words.append(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
+        self.sources.append(source)
+
+    def rows(self, lang: str) -> Iterator[pa.RecordBatch]:
+        none = pa.array([None], pa.binary())
+        yield from _partial_rows(lang, none, [0, len(self.docs)], pa.array(list(self.docs), pa.string()),
+                                 [0] * len(self.docs), list(self.docs.values()))
+        if not self.numbers:
+            return
+        # Documents are numbered by source: one sort puts all in the order term, source, document.
+        names, own = np.unique(np.array(self.sources, object), return_inverse=True)
+        place = np.empty(len(own), np.int64)
+        place[np.argsort(own, kind="stable")] = np.arange(len(own))
+        keys = np.concatenate(self.words) * len(own) + np.repeat(place, [len(w) for w in self.words])
+        keys.sort()
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        term, doc = np.divmod(keys[first], len(own))
+        source = np.sort(own)[doc]
+        cell = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(source, prepend=-1) != 0))
+        n = np.diff(first[cell], append=len(keys))
+        docs = np.diff(cell, append=len(first))
+        row = np.flatnonzero(np.diff(term[cell], prepend=-1))
+        sources = pa.array(list(names), pa.string()).take(pa.array(source[cell]))
+        yield from _partial_rows(lang, pa.array(list(self.numbers), pa.binary()), np.append(row, len(cell)), sources, n, docs)
 
 
 def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
     """``(lang, source, term, n, docs)``: occurrences, and documents that hold the term.
-    Every group has one row with a null term, and its documents."""
+    Every group has one row with a null term, and its documents.  The rows of a term of
+    a language are in one partition."""
     ship_package(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[tuple[str, str], dict[bytes | None, list[int]]] = {}
-
-        def flushed() -> pa.RecordBatch:
-            rows = [(a, b, t, n, d) for (a, b), own in groups.items() for t, (n, d) in own.items()]
-            kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
-            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
-            columns[2] = columns[2].cast(pa.string())
-            groups.clear()
-            return pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
-
-        held = 0
+        held: defaultdict[str, _Held] = defaultdict(_Held)
+        size = 0
         for batch, texts in byte_texts(batches, "text"):
             for a, b, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
-                own = groups.setdefault((a, b), {None: [0, 0]})
-                own[None][1] += 1
-                before, seen = len(own), set()
-                for block in word_blocks(t, LETTERS):
-                    for w in block:
-                        if w in own:
-                            own[w][0] += 1
-                        else:
-                            own[w] = [1, 0]
-                    seen.update(block)
-                for w in seen:
-                    own[w][1] += 1
-                held += len(own) - before + 1
-                if held > HELD_COUNTS:
-                    yield flushed()
-                    held = 0
-        if groups:
-            yield flushed()
+                own = held[a]
+                own.docs[b] = own.docs.get(b, 0) + 1
+                size += 1
+                blocks = word_blocks(t, LETTERS)
+                words = next(blocks, [])
+                if t and len(t) > BLOCK:
+                    # A long text is counted by itself, in blocks.
+                    counts = Counter(words)
+                    for block in blocks:
+                        counts.update(block)
+                    terms, n = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+                    for at in range(0, len(terms), SENT_ROWS):
+                        some = pa.array(terms[at : at + SENT_ROWS], pa.binary())
+                        k = len(some)
+                        sources, once = pa.array([b] * k, pa.string()), np.ones(k, np.int64)
+                        yield from _partial_rows(a, some, np.arange(k + 1), sources, n[at : at + k], once)
+                elif words:
+                    own.add(b, words)
+                    size += len(words)
+                if size >= HELD_WORDS:
+                    for a, own in held.items():
+                        yield from own.rows(a)
+                    held.clear()
+                    size = 0
+        for a, own in held.items():
+            yield from own.rows(a)
 
     read = docs.select(
         F.coalesce(column(lang).cast("string"), F.lit("")).alias("lang"),
         F.coalesce(column(source).cast("string"), F.lit("")).alias("source"),
         column(text).cast("string").alias("text"),
     )
-    partial = read.mapInArrow(count, "lang string, source string, term string, n bigint, docs bigint")
-    return partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    schema = "lang string, term string, cells array<struct<source: string, n: bigint, docs: bigint>>"
+    partial = read.mapInArrow(count, schema).repartition("lang", "term")
+    cells = partial.select("lang", "term", F.inline("cells"))
+    return cells.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def kept_terms(counts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``(lang, term, total, cells)``: kept terms with their counts by source, in the
-    order of the sources.  A row holds one cell per source of the language at most."""
+    order of the sources, and for each language a null term with all its sources.  A row
+    holds one cell per source of the language at most."""
     cells = F.array_sort(F.collect_list(F.struct("source", "n")))
-    summed = counts.filter("term is not null").groupBy("lang", "term")
+    summed = counts.groupBy("lang", "term")
     return (
         summed.agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"), cells.alias("cells"))
-        .filter(F.col("docs") >= min_docs)
+        .filter((F.col("docs") >= min_docs) | F.col("term").isNull())
         .drop("docs")
     )
 
 
-def group_sizes(counts: DataFrame, kept: DataFrame) -> DataFrame:
+def group_sizes(groups: DataFrame, kept: DataFrame) -> DataFrame:
     """``(lang, source, n, lang_n, v)`` of every group: its and its language's
     occurrences of kept terms, and the number of those."""
-    groups = counts.filter("term is null").select("lang", "source")
     own = kept.select("lang", F.inline("cells")).groupBy("lang", "source").agg(F.sum("n").alias("n"))
     whole = kept.groupBy("lang").agg(F.sum("total").alias("lang_n"), F.count("*").alias("v"))
     return groups.join(own, ["lang", "source"], "left").join(whole, "lang", "left").na.fill(0, ["n", "lang_n", "v"])
@@ -125,13 +182,52 @@ def group_sizes(counts: DataFrame, kept: DataFrame) -> DataFrame:
 def _share(n: Column, size: Column, v: Column) -> Column:
     """The scaled, smoothed probability, exactly."""
     top = F.lit(SCALE).cast("decimal(10,0)") * (n + 1).cast("decimal(20,0)")
-    return F.call_function("div", top, (size + v).cast("decimal(20,0)")) + 1
+    wide = F.call_function("div", top, (size + v).cast("decimal(20,0)"))
+    # Counts whose product fits in 64 bits need no decimals.
+    short = F.call_function("div", F.lit(SCALE).cast("bigint") * (n + 1), size + v)
+    return F.when(n < LONG_COUNT, short).otherwise(wide) + 1
 
 
 def _excess(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.ListArray, np.ndarray]]:
+    """Entries of one language, of about :data:`BLOCK_RUNS` cells: it, cells and lengths."""
+    langs, cells, terms = batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_numpy()
+    ends = np.cumsum(pc.list_value_length(cells).to_numpy())
+    at = 0
+    while at < len(langs):
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + BLOCK_RUNS, "right")))
+        if langs[end - 1] != langs[at]:
+            end = next(i for i in range(at, end) if langs[i] != langs[at])
+        yield langs[at], cells.slice(at, end - at), terms[at:end]
+        at = end
+
+
+def piece_runs(cells: pa.ListArray, terms: np.ndarray, begin: int) -> Iterator[tuple[str, tuple[np.ndarray, ...]]]:
+    """The runs ``(starts, lengths, counts)`` of every source in some entries, the first
+    of which starts at ``begin``."""
+    row = np.repeat(np.arange(len(cells)), pc.list_value_length(cells).to_numpy())
+    sources, n = cells.flatten().flatten()
+    sources = sources.dictionary_encode()
+    own = sources.indices.to_numpy()
+    # Sources in turn, the entries of each in their order.
+    order = np.argsort(own, kind="stable")
+    own, row, n = own[order], row[order], n.to_numpy()[order]
+    new = np.ones(len(own), bool)
+    new[1:] = (own[1:] != own[:-1]) | (row[1:] != row[:-1] + 1) | (n[1:] != n[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(own)) - 1
+    ends = begin + np.cumsum(terms)
+    starts = (ends - terms)[row[first]]
+    lengths, counts = ends[row[last]] - starts, n[first]
+    cuts = np.append(np.flatnonzero(np.diff(own[first], prepend=-1)), len(first))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield sources.dictionary[int(own[first[a]])].as_py(), (starts[a:b], lengths[a:b], counts[a:b])
+
+
 def _runs(entries: DataFrame) -> DataFrame:
     """The columns of all blocks: ``(lang, block, size, source, starts, lengths,
     counts)``; ``size`` is the block's number of terms, starts count from its begin."""
@@ -148,26 +244,22 @@ def _runs(entries: DataFrame) -> DataFrame:
                 pa.array([size] * len(names), pa.int64()),
                 pa.array(names, pa.string()),
             ]
-            columns += [pa.array([runs[s][k] for s in names], pa.list_(pa.int64())) for k in range(3)]
+            for k in range(3):
+                joined = [np.concatenate([part[k] for part in runs[s]]) for s in names]
+                columns.append(pa.array(joined, pa.list_(pa.int64())))
             fields = ["lang", "block", "size", "source", "starts", "lengths", "counts"]
             return pa.RecordBatch.from_arrays(columns, fields)
 
         for batch in batches:
-            for own, cells, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for own, cells, terms in _pieces(batch):
                 if runs and (own != lang or held >= BLOCK_RUNS):
                     yield flushed()
                     blocks, size, runs, held = blocks + 1, 0, {}, 0
                 lang = own
-                for cell in cells:
-                    starts, lengths, counts = runs.setdefault(cell["source"], ([], [], []))
-                    if starts and counts[-1] == cell["n"] and starts[-1] + lengths[-1] == size:
-                        lengths[-1] += n
-                    else:
-                        starts.append(size)
-                        lengths.append(n)
-                        counts.append(cell["n"])
-                        held += 1
-                size += n
+                for source, part in piece_runs(cells, terms, size):
+                    runs.setdefault(source, []).append(part)
+                    held += len(part[0])
+                size += int(terms.sum())
         if runs:
             yield flushed()
 
@@ -256,9 +348,11 @@ def divergence_audit(
 ) -> DataFrame:
     """``(lang, source, part, item, value, rank)``: part ``pair`` with all other sources
     of the language, part ``term`` with the ``top`` terms of the source."""
-    counts = stored(term_counts(docs, lang, source, text), "counts")
-    kept = stored(kept_terms(counts, min_docs), "kept")
-    sizes = stored(group_sizes(counts, kept), "sizes")
+    counts = term_counts(docs, lang, source, text)
+    rows = stored(kept_terms(counts, min_docs), "kept")
+    kept = rows.filter("term is not null")
+    groups = rows.filter("term is null").select("lang", F.inline("cells")).drop("n")
+    sizes = stored(group_sizes(groups, kept), "sizes")
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item"))
     ranked = [
         part.withColumn("rank", F.row_number().over(order)).withColumn("part", F.lit(name))

@@ -2,11 +2,13 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from test_importance import LETTER, lowered
 
 from loanframe.llm import divergence
-from loanframe.llm.divergence import SCALE, divergence_audit, pair_sums, run_shares
+from loanframe.llm.divergence import SCALE, divergence_audit, kept_terms, pair_sums, run_shares, term_counts
 
 
 def plain_audit(rows, min_docs=3, top=200):
@@ -92,3 +94,65 @@ def test_empty_table_clashing_columns_and_long_text(spark):
     rows = [("en", "a", "kuma tado " * 200_000, "own", 1, 2), ("en", "b", "kuma", "own", 1, 2), ("en", "b", "kuma", "own", 1, 2)]
     out = divergence_audit(spark.createDataFrame(rows, schema))
     assert sorted(tuple(r) for r in out.collect()) == plain_audit([r[:3] for r in rows])
+
+
+@pytest.mark.parametrize("held_words", [1, 40])
+def test_counts_do_not_depend_on_what_a_task_holds(spark, monkeypatch, held_words):
+    monkeypatch.setattr(divergence, "HELD_WORDS", held_words)
+    monkeypatch.setattr(divergence, "SENT_ROWS", 3)
+    rows = _rows(120, 8) + [("en", "hot", "long " * 300_000 + "Kuma rot"), ("en", "mute", None), ("alone", "mute", "1")]
+    df = spark.createDataFrame(rows, "lang string, source string, text string").coalesce(2)
+    n, docs = Counter(), Counter()
+    for a, b, t in rows:
+        own = (a or "", b or "")
+        words = LETTER.findall(lowered(t))
+        n.update((*own, w) for w in words)
+        docs.update({(*own, w) for w in words} | {(*own, None)})
+    out = term_counts(df)
+    assert out.columns == ["lang", "source", "term", "n", "docs"]
+    counted = [tuple(r) for r in out.collect()]
+    assert len(counted) == len(docs)
+    assert set(counted) == {(*k, n[k], d) for k, d in docs.items()}
+
+
+def test_counts_and_kept_terms_need_one_shuffle(spark):
+    df = spark.createDataFrame(_rows(50, 2), "lang string, source string, text string")
+    plan = kept_terms(term_counts(df))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    # A term of several sources leaves a task as one row.
+    df = spark.createDataFrame([("en", f"s{i % 4}", "kuma tado") for i in range(40)], "lang string, source string, text string")
+    held = divergence._Held()
+    for r in df.collect():
+        held.docs[r.source] = held.docs.get(r.source, 0) + 1
+        held.add(r.source, [w.encode() for w in r.text.split()])
+    sent = [r for b in held.rows("en") for r in b.to_pylist()]
+    assert [(r["lang"], r["term"], len(r["cells"])) for r in sent] == [("en", None, 4), ("en", "kuma", 4), ("en", "tado", 4)]
+    assert all(c["n"] == c["docs"] == 10 for r in sent[1:] for c in r["cells"])
+
+
+def test_runs_of_entries_equal_runs_of_terms():
+    r = random.Random(9)
+    kind = pa.list_(pa.struct([("source", pa.string()), ("n", pa.int64())]))
+    for _ in range(100):
+        rows = [[{"source": s, "n": r.randint(1, 2)} for s in "abc" if r.random() < 0.7] for _ in range(r.randint(1, 12))]
+        terms, begin = [r.randint(1, 4) for _ in rows], r.randint(0, 5)
+        # A slice, as entries of one language are one of a batch.
+        cells = pa.array([[{"source": "z", "n": 7}], *rows], kind).slice(1)
+        dense = defaultdict(dict)
+        at = begin
+        for cell, k in zip(rows, terms):
+            for c in cell:
+                dense[c["source"]].update({at + i: c["n"] for i in range(k)})
+            at += k
+        found = {s: list(zip(*(x.tolist() for x in part))) for s, part in divergence.piece_runs(cells, np.array(terms), begin)}
+        assert {s: {a + i: c for a, k, c in runs for i in range(k)} for s, runs in found.items()} == dense
+        for runs in found.values():
+            assert all(a + k < b or (a + k == b and c != d) for (a, k, c), (b, _, d) in zip(runs, runs[1:]))
+
+
+def test_shares_of_counts_beyond_64_bits(spark):
+    counts = [0, 1, 8_999_999_999, 9_000_000_000, 10**15]
+    size, v = 10**16, 12345
+    df = spark.createDataFrame([(c, size, v) for c in counts], "n long, size long, v long")
+    got = df.select("n", divergence._share(F.col("n"), F.col("size"), F.col("v")).alias("p")).collect()
+    assert {r.n: int(r.p) for r in got} == {c: 1 + SCALE * (c + 1) // (size + v) for c in counts}
