@@ -68,6 +68,8 @@ from .common import column, partitions, ship_package
 K, SURE = 5, 1000
 #: Tokens of a block, and bytes of a text that are split into words at a time.
 BLOCK_TOKENS, SEGMENT = 1_500_000, 4 << 20
+#: Bytes of a block, or of what it asks for, that go between Spark and Python at a time.
+BATCH_BYTES, ASKED_BYTES = 2 << 20, 1 << 20
 #: Default order of the model, and bytes of text for which there is a bucket.
 ORDER, BUCKET_BYTES = 3, 24 << 20
 #: Contexts are split where they hold more than a quarter of a bucket's share of tokens;
@@ -140,7 +142,8 @@ def _order(*keys: np.ndarray) -> np.ndarray:
         return np.lexsort(keys[::-1])
     whole = keys[0].astype(np.int64)
     for k, n in zip(keys[1:], bits[1:]):
-        whole = whole << n | k
+        whole <<= n
+        whole |= k
     return np.argsort(whole)
 
 
@@ -252,6 +255,7 @@ class _Block:
 
     def coded(self, block: int, buckets: int) -> pa.RecordBatch:
         coded = pa.concat_arrays(self.stream).dictionary_encode()
+        self.stream.clear()
         words = coded.dictionary.to_pylist()
         bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
         indices = coded.indices.to_numpy()
@@ -259,9 +263,10 @@ class _Block:
         alphabet[pc.sort_indices(coded.dictionary).to_numpy()] = np.arange(len(words))
         times = np.bincount(indices, minlength=len(words))
         order = _order(bucket, times.max(initial=0) - times, alphabet)
-        place = np.empty(len(words), np.int64)
+        place = np.empty(len(words), np.int32)
         place[order] = np.arange(len(words))
         stream = place[indices]
+        del coded, indices
         starts = np.array(self.starts)
         sizes = np.diff(np.append(starts, len(stream)))
         held_out = np.array(self.held_out, np.int64)
@@ -289,8 +294,10 @@ class _Block:
 
 
 def _offsets(sizes: np.ndarray) -> np.ndarray:
-    """0, 1, 2 ... in each of runs of these sizes."""
-    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    """0, 1, 2 ... in each of runs of these sizes, of the tokens of one block."""
+    out = np.arange(int(sizes.sum()), dtype=np.int32)
+    out -= np.repeat((np.cumsum(sizes) - sizes).astype(np.int32), sizes)
+    return out
 
 
 def _dealt(places: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -298,13 +305,15 @@ def _dealt(places: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     comes first in any list: frequent words have small numbers, which packs better."""
     ends = np.cumsum(lengths)
     own = np.searchsorted(ends, np.arange(int(lengths.sum())), side="right")
-    return ((np.arange(len(own)) - (ends - lengths)[own]) * len(lengths) + own)[places]
+    numbers = (np.arange(len(own)) - (ends - lengths)[own]) * len(lengths) + own
+    return (numbers if numbers.max(initial=0) >> 31 else numbers.astype(np.int32))[places]
 
 
 def _gathered(dealt: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The places that ``_dealt`` made these numbers of."""
     within, own = np.divmod(dealt, max(1, len(lengths)))
-    return (np.cumsum(lengths) - lengths)[own] + within
+    within += (np.cumsum(lengths) - lengths).astype(within.dtype)[own]
+    return within
 
 
 def _blocks(docs: DataFrame, buckets: int, block_tokens: int, order: int) -> DataFrame:
@@ -322,8 +331,12 @@ def _blocks(docs: DataFrame, buckets: int, block_tokens: int, order: int) -> Dat
                     if block.size >= block_tokens:
                         yield block.coded((block.rows[0] >> 33 << 33) + done, buckets)
                         block, done = _Block(), done + 1
+                        pa.default_memory_pool().release_unused()
         if block.rows:
             yield block.coded((block.rows[0] >> 33 << 33) + done, buckets)
+        del block
+        # Else the idle worker holds it while the next stages run.
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, _BLOCKS)
 
@@ -398,9 +411,9 @@ def _mix(a: np.ndarray) -> np.ndarray:
 
 
 def _ranks(values: np.ndarray) -> np.ndarray:
-    """The place of each value among all of them in order."""
-    out = np.empty(len(values), np.int64)
-    out[np.argsort(values)] = np.arange(len(values))
+    """The place of each of a block's values among all of them in order."""
+    out = np.empty(len(values), np.int32)
+    out[np.argsort(values)] = np.arange(len(values), dtype=np.int32)
     return out
 
 
@@ -441,8 +454,9 @@ class _Walk:
     def __init__(self, block: pa.Table, answers: list[list[bytes]], uni: Unigrams, buckets: int = 1):
         stream, self.sizes, self.held_out, lead, bucket, lengths = unpack(block["stream"][0].as_py())
         # Arrays of all tokens are kept as small as they can be.
-        self.word = _gathered(stream, lengths).astype(np.int32)
-        self.offset = _offsets(self.sizes).astype(np.int32)
+        self.word = _gathered(stream, lengths).astype(np.int32, copy=False)
+        del stream
+        self.offset = _offsets(self.sizes)
         self.scored = self.offset >= np.repeat(lead, self.sizes)
         self.counted = self.scored & np.repeat(self.held_out == 0, self.sizes)
         parts = [unpack(v) for v in answers[0]]
@@ -463,17 +477,18 @@ class _Walk:
         a, b = self.local[self.at - 1], self.word[self.at]
         splits = np.maximum(1, -(-self.count // sizes.hot))
         bucket = (_mix(self.id) % np.uint64(sizes.buckets)).astype(np.int32)[a]
-        if len(hot := np.flatnonzero(splits[a] > 1)):
+        if len(hot := np.flatnonzero((splits > 1)[a])):
             bucket[hot] = (bucket[hot] + _mix(self.number).astype(np.int64)[b[hot]] % splits[a[hot]]) % sizes.buckets
         order = _order(bucket, _ranks(self.id)[a], self.rank[b])
         new = _changes(bucket[order], a[order], b[order])
         self.place = np.empty(len(order), np.int32)
         self.place[order] = np.cumsum(new, dtype=np.int32) - 1
         first = order[new]
-        del order, new
-        self.first, self.bucket = self.at[first], bucket[first]
-        self.a, self.c = self.id[a[first]], self.count[a[first]]
-        self.context = _changes(self.bucket, self.a)
+        del order, new, b
+        self.first, self.bucket, own = self.at[first], bucket[first], a[first]
+        self.context = _changes(self.bucket, own)
+        own = own[self.context]
+        self.a, self.c = self.id[own], self.count[own]
 
     @property
     def b(self) -> np.ndarray:
@@ -485,35 +500,39 @@ class _Walk:
         """Their training counts in this block."""
         return np.bincount(self.place[self.counted[self.at]], minlength=len(self.first))
 
-    def asked(self, block: int, hot: int) -> pa.Table:
-        """What the buckets need; of the probability one level below, for n-grams that
-        were seen, the count and the denominator."""
-        b, trained, own = self.b, self.trained, self.local[self.first]
-        below, over = np.where(trained > 0, self.count[own], 0), self.under[own]
-        out, cut = [], np.flatnonzero(_changes(self.bucket))
-        for s, e in zip(cut, np.append(cut[1:], len(self.a))):
-            new = np.flatnonzero(self.context[s:e])
-            c = self.c[s:e][new]
+    def asked(self, block: int, hot: int) -> Iterator[pa.Table]:
+        """What the buckets need, in tables of about ``ASKED_BYTES``; of the probability
+        one level below, for n-grams that were seen, the count and the denominator."""
+        trained, out, size = self.trained, [], 0
+        start, cut = np.flatnonzero(self.context), np.flatnonzero(_changes(self.bucket))
+        end = np.append(cut[1:], len(self.first))
+        for s, e, i, j in zip(cut, end, np.searchsorted(start, cut), np.searchsorted(start, end)):
+            first, seen, c = self.first[s:e], trained[s:e], self.c[i:j]
+            own = self.local[first]
             value = pack(
-                self.a[s:e][new], np.diff(np.append(new, e - s)), np.where(c > hot, c, 0), over[s:e][new],
-                b[s:e], trained[s:e], below[s:e],
+                self.a[i:j], np.diff(np.append(start[i:j], e)), np.where(c > hot, c, 0), self.under[own[start[i:j] - s]],
+                self.number[self.word[first]], seen, np.where(seen > 0, self.count[own], 0),
             )
             out.append({"bucket": int(self.bucket[s]), "block": block, "value": value})
-        return pa.Table.from_pylist(out, _ASKED_ARROW)
+            size += len(value)
+            if size >= ASKED_BYTES:
+                yield pa.Table.from_pylist(out, _ASKED_ARROW)
+                out, size = [], 0
+        yield pa.Table.from_pylist(out, _ASKED_ARROW)
 
     def learn(self, answers: list[bytes], level: Level, sizes: Sizes) -> None:
         """Take in the answers (by bucket) to what was asked."""
-        if not len(self.a):
+        if not len(self.first):
             return
-        own, c = self.a[self.context], self.c[self.context]
+        own, c = self.a, self.c
         context = np.cumsum(self.context, dtype=np.int32) - 1
         buckets = self.bucket[np.flatnonzero(_changes(self.bucket))].tolist()
-        lower = self.p[self.first]
+        p = self.p[self.first]  # one level below
         del self.a, self.c, self.context, self.bucket, self.first
         parts = [unpack(v) for v in answers]
-        flags = np.concatenate([p[2] for p in parts])
-        low = np.concatenate([np.stack(p[3 : 3 + K], 1) for p in parts])
-        high, mass = (np.concatenate([p[k] for p in parts]) for k in (3 + K, 4 + K))
+        flags = np.concatenate([x[2] for x in parts])
+        low = np.concatenate([np.stack(x[3 : 3 + K], 1) for x in parts])
+        high, mass = (np.concatenate([x[k] for x in parts]) for k in (3 + K, 4 + K))
         total, backs = c + flags % 2, flags >= 2
         weight = np.ones(len(own))
         with np.errstate(invalid="ignore", divide="ignore"):
@@ -522,15 +541,20 @@ class _Walk:
         if len(split):
             weight[split] = level.weights[np.searchsorted(level.split, own[split])]
         del own, c, flags, low, high, mass
-        count = np.concatenate([p[0] for p in parts])
-        under = np.maximum(total, 1)[context]
-        p = weight[context] * lower
+        count = np.concatenate([x[0] for x in parts])
+        ids = [x[1] for x in parts]
+        del parts
+        total = np.maximum(total, 1)
+        p *= weight[context]
         seen = np.flatnonzero(count > 0)
-        p[seen] = level.factors[np.where(count <= K, count, 0)[seen]] * count[seen] / under[seen]
+        few = count[seen]
+        p[seen] = level.factors[np.where(few <= K, few, 0)] * few / total[context[seen]]
+        del seen, few
         self.p[self.at] = p[self.place]
-        if len(parts[0][1]):
-            self.id = np.concatenate([p[1].astype(np.int64) * sizes.buckets + k for p, k in zip(parts, buckets)])
-            self.count, self.under, self.local = count.astype(np.int64), under, np.zeros(len(self.p), np.int32)
+        del p
+        if len(ids[0]):
+            self.id = np.concatenate([x.astype(np.int64) * sizes.buckets + k for x, k in zip(ids, buckets)])
+            self.count, self.under, self.local = count.astype(np.int64), total[context], np.zeros(len(self.p), np.int32)
             self.local[self.at] = self.place
         del self.at, self.place
 
@@ -545,11 +569,13 @@ def _walked(block: pa.Table, uni: Unigrams, levels: list[Level], sizes: Sizes) -
     return walk
 
 
-def _each_block(work: Callable[[pa.Table], pa.Table]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _each_block(work: Callable[[pa.Table], Iterator[pa.Table]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                yield from work(pa.Table.from_batches([batch.slice(k, 1)])).to_batches()
+                for table in work(pa.Table.from_batches([batch.slice(k, 1)])):
+                    yield from table.to_batches()
+                pa.default_memory_pool().release_unused()
 
     return run
 
@@ -613,8 +639,8 @@ def _answer_grams(rows: pa.Table, level: int, sizes: Sizes, last: bool, tables:
     return pa.Table.from_pylist([*out, sums], _FOUND_ARROW)
 
 
-def _asker(uni: Unigrams, levels: list[Level], sizes: Sizes) -> Callable[[pa.Table], pa.Table]:
-    def ask(block: pa.Table) -> pa.Table:
+def _asker(uni: Unigrams, levels: list[Level], sizes: Sizes) -> Callable[[pa.Table], Iterator[pa.Table]]:
+    def ask(block: pa.Table) -> Iterator[pa.Table]:
         walk = _walked(block, uni, levels, sizes)
         walk.ask(sizes)
         return walk.asked(block["block"][0].as_py(), sizes.hot)
@@ -648,22 +674,27 @@ def _fit_level(found: DataFrame) -> Level:
 
 # --- 4: tables between the levels, and sums of the documents ----------------------------------------------------
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings while a table is written: the files of its shuffles go when it is written, not
+#: when the driver next runs out of memory; and Python gets about one block at a time.
+_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
+}
 _SCORES = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 def _complete(block: pa.Table, walk: _Walk, uni: Unigrams) -> pa.Table:
     """Sums of the documents, or parts of documents, of one block."""
     n = len(walk.sizes)
-    doc, known = np.repeat(np.arange(n), walk.sizes)[walk.scored], walk.known[walk.word][walk.scored]
+    doc, word = np.repeat(np.arange(n), walk.sizes)[walk.scored], walk.word[walk.scored]
     return pa.table(
         {
             "row": pa.array(block["rows"][0].as_py(), pa.int64()),
             "doc_id": pa.array(block["ids"][0].as_py(), pa.int64()),
             "held_out": pa.array(walk.held_out == 1),
             "n_tokens": np.bincount(doc, minlength=n).astype(np.int64),
-            "n_known": np.bincount(doc[known > 0], minlength=n).astype(np.int64),
-            "base_score": np.bincount(doc, uni.base(known), n),
+            "n_known": np.bincount(doc[(walk.known > 0)[word]], minlength=n).astype(np.int64),
+            "base_score": np.bincount(doc, uni.base(walk.known)[word], n),
             "score": np.bincount(doc, np.log10(walk.p[walk.scored]), n),
         }
     )
@@ -684,16 +715,16 @@ def _told(blocks: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _stored(df: DataFrame, name: str, *parts: str) -> tuple[DataFrame, str]:
-    """``df`` written to a new table in the shared folder and read back, and its path.
-    The files of its shuffles go when it is written, not when the driver next runs out
-    of memory."""
+    """``df`` written to a new table in the shared folder and read back, and its path."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+    before = {k: spark.conf.get(k) for k in _WRITING}
+    for k, v in _WRITING.items():
+        spark.conf.set(k, v)
     try:
         df.write.partitionBy(*parts).parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -230,3 +230,63 @@ def test_query(spark):
     assert out.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     r = out.filter("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert r.s > r.b
+
+
+def test_a_block_takes_few_bytes_a_token():
+    import tracemalloc
+
+    from loanframe.llm.katz import Level, _answer_grams, _asker, _Block, _complete, _walked
+
+    random_ = np.random.default_rng(3)
+    block = _Block()
+    for k in range(300):
+        block.add(k, k, k % 9 == 0, [b"\t"], [b"w%d" % i for i in random_.integers(0, 3000, 1000)] + [b"\x0b"])
+    n, sizes = block.size, Sizes(7, 1 << 40)
+    coded = pa.Table.from_batches([block.coded(0, 7)])
+    told = []
+    for x in coded["lists"][0].as_py():
+        counts = unpack(x["counts"])[0]
+        told.append(pack(np.arange(len(counts)), counts))
+    uni, levels, answers = Unigrams(n, 1000, 300, [5, 4, 3, 2, 1, 1]), [], [told]
+    half = np.array([1, *((r - 0.5) / r for r in range(1, K + 1))])
+
+    def state():
+        return coded.append_column("answers", pa.array([answers], pa.list_(pa.list_(pa.binary()))))
+
+    def peak(work):
+        tracemalloc.start()
+        work()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most / n
+
+    for level, most in ((2, 75), (3, 120)):
+        ask, own = _asker(uni, levels, sizes), state()
+        assert peak(lambda: [None for _ in ask(own)]) < most
+        asked = pa.concat_tables(ask(own))
+        found = [
+            _answer_grams(asked.filter(pa.compute.equal(asked["bucket"], b)), level, sizes, level == 3, False, half).to_pylist()[0]
+            for b in sorted(set(asked["bucket"].to_pylist()))
+        ]
+        answers.append([r["answer"] for r in found])
+        levels.append(Level(half, np.zeros(0, np.int64), np.zeros(0)))
+    own = state()
+    with np.errstate(all="ignore"):  # these counts are no real model's
+        assert peak(lambda: _complete(own, _walked(own, uni, levels, sizes), uni)) < 124
+
+
+def test_python_gets_one_large_block_at_a_time(spark, tmp_out):
+    from loanframe.llm.katz import BATCH_BYTES, _stored
+
+    def rows(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    path = tmp_out("values")
+    value = F.expr(f"cast(repeat('abcd', {BATCH_BYTES // 4 + 1}) as binary)")
+    spark.range(0, 5, 1, 1).withColumn("value", value).write.parquet(path)
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.get(setting)
+    out, _ = _stored(spark.read.parquet(path).mapInArrow(rows, "n long"), "sizes")
+    assert [r.n for r in out.collect()] == [1] * 5
+    assert spark.conf.get(setting) == was
